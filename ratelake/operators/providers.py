@@ -50,7 +50,7 @@ def join_rates(messages: DataFrame, references: DataFrame) -> DataFrame:
         "rate_no",
         "procedure",
         "negotiated_prices",
-        F.explode("provider_ids").cast("bigint").alias("provider_group_id"),
+        F.explode(F.col("provider_ids").cast("array<bigint>")).alias("provider_group_id"),
     )
     return named.join(
         references.select("file_id", "provider_group_id", "network_name", "provider_groups"),
