@@ -125,13 +125,13 @@ def with_source_and_company(jobs: DataFrame, sources: DataFrame, companies: Data
 def company_sources(companies: DataFrame, sources: DataFrame) -> DataFrame:
     """Companies with their sources, one row each; a company without a source has one row with NULLs.
 
-    Rows rather than one array per company: a company may have any number of sources.
+    Rows rather than one array per company, and an inner join rather than an outer one from the
+    companies: a company may have any number of sources, and only then may they be split.
     """
-    return companies.select(F.col("id").alias("company_id"), F.col("name").alias("company_name")).join(
-        sources.select("company_id", F.col("id").alias("source_id"), F.col("name").alias("source_name")),
-        "company_id",
-        "left",
-    )
+    named = companies.select(F.col("id").alias("company_id"), F.col("name").alias("company_name"))
+    owned = sources.select("company_id", F.col("id").alias("source_id"), F.col("name").alias("source_name"))
+    without = named.join(owned.select("company_id").distinct(), "company_id", "left_anti")
+    return owned.join(named, "company_id").unionByName(without, allowMissingColumns=True)
 
 
 def parse_metrics(parsed: DataFrame) -> DataFrame:

@@ -21,6 +21,7 @@ PROCEDURE_FIELDS = (
     "billing_code",
     "description",
 )
+SEEN = ("first_seen_date", "last_seen_date")
 CODE_FIELDS = ("billing_code_type", "billing_code_type_version", "billing_code", "description")
 
 
@@ -78,39 +79,38 @@ def prices(messages: DataFrame) -> DataFrame:
     )
 
 
-def rate_dimension(priced: DataFrame, seen_date: Column) -> DataFrame:
-    """Distinct prices with first and last seen date.
+def dimension_rows(priced: DataFrame, seen_date: Column) -> DataFrame:
+    """Rows of the rate dimension, one per price, still to be merged.
 
-    All attributes follow from the hash, so they are grouping columns: the buffers then hold
-    two dates only and the aggregation stays a hash aggregation.
+    All attributes follow from the hash. They are grouping columns of the merge, so its buffers
+    hold two dates only and it stays a hash aggregation.
     """
     price = F.col("price")
-    return (
-        priced.select(
-            "procedure_hash",
-            price["negotiated_rate"].alias("negotiated_rate"),
-            to_date(price["expiration_date"]).alias("expiration_date"),
-            "billing_code",
-            encode_services(price["service_code"]).alias("service_code"),
-            encode(price["billing_class"], V.BILLING_CLASS_CODES).alias("billing_class"),
-            encode(price["setting"], V.SETTING_CODES).alias("setting"),
-            F.array_sort(array_or_empty(price["billing_code_modifier"], "string")).alias("billing_code_modifier"),
-            seen_date.alias("seen"),
-        )
-        .groupBy(
-            "procedure_hash",
-            "negotiated_rate",
-            "expiration_date",
-            "billing_code",
-            "service_code",
-            "billing_class",
-            "setting",
-            "billing_code_modifier",
-        )
-        .agg(F.min("seen").alias("first_seen_date"), F.max("seen").alias("last_seen_date"))
+    return priced.select(
+        "procedure_hash",
+        price["negotiated_rate"].alias("negotiated_rate"),
+        to_date(price["expiration_date"]).alias("expiration_date"),
+        "billing_code",
+        encode_services(price["service_code"]).alias("service_code"),
+        encode(price["billing_class"], V.BILLING_CLASS_CODES).alias("billing_class"),
+        encode(price["setting"], V.SETTING_CODES).alias("setting"),
+        F.array_sort(array_or_empty(price["billing_code_modifier"], "string")).alias("billing_code_modifier"),
+        seen_date.alias("first_seen_date"),
+        seen_date.alias("last_seen_date"),
     )
 
 
+def merge(rows: DataFrame) -> DataFrame:
+    """Rows of the dimension or the fact, each once, with its first and last seen date.
+
+    An upsert is the merge of the stored table and the new rows in one union: rows are summed up
+    before the shuffle, and one exchange carries both sides. A join would need one exchange for
+    the sums and one more for each side.
+    """
+    key = [column for column in rows.columns if column not in SEEN]
+    return rows.groupBy(*key).agg(F.min(SEEN[0]).alias(SEEN[0]), F.max(SEEN[1]).alias(SEEN[1]))
+
+
 def unknown_codes(priced: DataFrame) -> DataFrame:
     """Words without a small-int code, counted: they are NULL in the dimension."""
     price = F.col("price")
@@ -129,35 +129,34 @@ def unknown_codes(priced: DataFrame) -> DataFrame:
     )
 
 
-def provider_fact(priced: DataFrame, plans_of_files: DataFrame, locations: DataFrame) -> DataFrame:
-    """First and last seen date per plan, code, provider group and price.
+def fact_rows(priced: DataFrame, plans_of_files: DataFrame) -> DataFrame:
+    """Rows of the provider fact, one per price, provider and plan, still to be merged.
 
-    `priced` carries `seen_date`; `plans_of_files` is (file_id, insurance_plan_id), each pair once;
-    `locations` is (provider_group_id, zip_code, region_code), each group once, and joins last,
-    when the rows are fewest.
+    `priced` carries `seen_date`; `plans_of_files` is (file_id, insurance_plan_id), each pair once.
     """
-    keys = ("insurance_plan_id", "billing_code_id", "provider_group_id", "procedure_hash")
-    seen = (
-        priced.join(plans_of_files, "file_id")
-        .select(
-            "insurance_plan_id",
-            F.col("billing_code").alias("billing_code_id"),
-            F.explode("provider_ids").alias("provider_group_id"),
-            "procedure_hash",
-            "seen_date",
-        )
-        .groupBy(*keys)
-        .agg(F.min("seen_date").alias("first_seen_date"), F.max("seen_date").alias("last_seen_date"))
+    return priced.join(plans_of_files, "file_id").select(
+        "insurance_plan_id",
+        F.col("billing_code").alias("billing_code_id"),
+        F.explode("provider_ids").alias("provider_group_id"),
+        "procedure_hash",
+        F.col("seen_date").alias("first_seen_date"),
+        F.col("seen_date").alias("last_seen_date"),
     )
-    return seen.join(locations, "provider_group_id", "left").select(
+
+
+def with_locations(fact: DataFrame, locations: DataFrame) -> DataFrame:
+    """Add zip code and region of the provider group, after the merge, when the rows are fewest.
+
+    `locations` is (provider_group_id, zip_code, region_code), each group once.
+    """
+    return fact.join(locations, "provider_group_id", "left").select(
         "provider_group_id",
         "zip_code",
         "region_code",
         "insurance_plan_id",
         "billing_code_id",
         "procedure_hash",
-        "first_seen_date",
-        "last_seen_date",
+        *SEEN,
     )
 
 

@@ -6,7 +6,7 @@ one element of an index with its place in it. Order always comes from the places
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratelake import values as V
@@ -139,7 +139,7 @@ def with_plan_parts(files: DataFrame, pairs: DataFrame, size: int = 10_000) -> D
     )
 
 
-def child_jobs(files: DataFrame, parent_job_id, source_id) -> DataFrame:
+def child_jobs(files: DataFrame, parent_job_id: Column, source_id: Column, *carried: str) -> DataFrame:
     """A pending job per file of an index."""
     kind = F.upper("file_type")
     return files.select(
@@ -150,10 +150,9 @@ def child_jobs(files: DataFrame, parent_job_id, source_id) -> DataFrame:
         F.col("url").alias("file_url"),
         "file_extension",
         kind.alias("file_type"),
-        "file_id",
-        "location",
         "rs_pos",
         "file_pos",
+        *carried,
     )
 
 
@@ -169,8 +168,8 @@ def with_lots(jobs: DataFrame, size: int = V.DISPATCH_LOT, bucket_width: int = 4
     return ranked.withColumn("lot", F.floor((F.col("lot_rank") - 1) / size)).drop("lot_rank")
 
 
-def dispatch_messages(jobs: DataFrame, parts: DataFrame, company_id, topic_prefix: str = "") -> DataFrame:
-    """One JSON message per job (and per further part of a very long plan list)."""
+def dispatch_messages(jobs: DataFrame, company_id: Column, topic_prefix: str = "") -> DataFrame:
+    """Add topic and JSON message to jobs that carry their plans: one row per job and part of its plan list."""
     topic = F.when(F.col("file_type") == "IN_NETWORK", V.TOPIC_IN_NETWORK).otherwise(V.TOPIC_ALLOWED_AMOUNT)
     payload = F.struct(
         F.lit(V.HANDLED_SOURCE_TYPES[0]).alias("sourceType"),
@@ -182,12 +181,8 @@ def dispatch_messages(jobs: DataFrame, parts: DataFrame, company_id, topic_prefi
         F.when(F.col("part") > 0, F.col("part")).alias("part"),
     )
     return (
-        jobs.join(parts.select("file_id", "location", "part", "reporting_plans"), ["file_id", "location"])
-        .withColumn("topic", topic)
-        .select(
-            F.concat(F.lit(topic_prefix), "topic").alias("topic"),
-            "id",
-            "part",
-            F.to_json(F.struct("id", "topic", payload.alias("payload"))).alias("value"),
-        )
+        jobs.withColumn("topic", topic)
+        .withColumn("value", F.to_json(F.struct("id", "topic", payload.alias("payload"))))
+        .withColumn("topic", F.concat(F.lit(topic_prefix), "topic"))
+        .drop("reporting_plans")
     )

@@ -1,4 +1,4 @@
-"""Upserts as full-outer joins, and versioned tables to write them to."""
+"""Upserts, and versioned tables to write them to."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 def merge_seen(
     existing: DataFrame, incoming: DataFrame, keys: Sequence[str], first_seen: str, last_seen: str
 ) -> DataFrame:
-    """Insert unknown keys and widen the seen span of known ones.
+    """Insert unknown keys and widen the seen span of known ones, by a full outer join.
 
     Both sides hold each key once, and keys are not NULL. Columns other than the span stay as
     they were first stored.

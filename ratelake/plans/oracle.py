@@ -334,6 +334,16 @@ ORACLE["provider_rate_fact"] = with_(
     select=f"""SELECT provider_group_id, zip_code, region_code, insurance_plan_id, billing_code_id, procedure_hash,
   {SEEN.format("", "")} FROM fact""",
 )
+ORACLE["provider_rate_upsert"] = with_(
+    *FACT[:-1],
+    """
+dated AS (
+  SELECT * REPLACE (seen_date - 30 AS seen_date) FROM named WHERE l_returnflag <> 'R'
+  UNION ALL SELECT * FROM named WHERE l_returnflag <> 'A')""",
+    FACT[-1].replace("FROM named", "FROM dated"),
+    select=f"""SELECT provider_group_id, zip_code, region_code, insurance_plan_id, billing_code_id, procedure_hash,
+  {SEEN.format("", "")} FROM fact""",
+)
 ORACLE["serve_by_plan_code"] = with_(
     *FACT,
     select="""SELECT insurance_plan_id, billing_code_id, count(*) AS n_rows, CAST(min(rate) AS DOUBLE) AS min_rate,
@@ -491,7 +501,7 @@ ORACLE["url_normalize"] = """
 SELECT page_id, split_part(url, '?', 1) AS location,
   CASE WHEN suffix IN ('gz', 'gzip') THEN 'GZ' WHEN suffix = 'zip' THEN 'ZIP' WHEN suffix = 'json' THEN 'JSON' ELSE 'UNKNOWN' END AS file_extension
 FROM (SELECT *, lower(string_split(regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1), '.')[-1]) AS suffix FROM pages)"""
-ORACLE["code_buckets"] = """
+ORACLE["code_bucket"] = """
 SELECT CAST(p_partkey AS VARCHAR) AS billing_code,
   CAST(('0x' || substr(sha256(CAST(p_partkey AS VARCHAR)), 1, 2)) AS INTEGER) AS bucket FROM part"""
 ORACLE["zip_expand"] = """
@@ -531,7 +541,7 @@ SELECT topic, value, CASE WHEN shaped THEN CAST(user_id AS VARCHAR) END AS job_i
   CASE WHEN topic = 'other' THEN 'unknown topic' WHEN event_type = 'view' THEN 'not a message'
        WHEN event_type = 'signup' THEN 'no job id' END AS reason,
   topic <> 'other' AND shaped AS accepted
-FROM (SELECT *, event_type NOT IN ('view', 'signup') AS shaped,
+FROM (SELECT * EXCLUDE (value), event_type NOT IN ('view', 'signup') AS shaped,
              CASE event_type WHEN 'click' THEN 'insurance-source-scan-jobs' WHEN 'error' THEN 'other' ELSE 'in-network-file' END AS topic,
              CASE event_type WHEN 'view' THEN substr(props, 1, 3) WHEN 'signup' THEN props
                   ELSE '{"id":"' || user_id || '","payload":"' || replace(props, '"', '\\"') || '"}' END AS value FROM events)"""

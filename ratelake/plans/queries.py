@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from ratelake import schemas as S
 from ratelake import session
 from ratelake import values as V
+from ratelake.functions import keys as K
 from ratelake.functions.files import file_extension, file_type
-from ratelake.functions.keys import code_bucket, surrogate_id
 from ratelake.functions.text import day_text
 from ratelake.functions.urls import url_extension, without_query
 from ratelake.operators import insurance_plans as P
@@ -23,8 +23,8 @@ from ratelake.operators import rates as R
 from ratelake.operators import serving as A
 from ratelake.operators import toc as T
 from ratelake.operators.checks import split_by_enums
-from ratelake.operators.upsert import merge_seen
 from ratelake.plans import standins as I
+from ratelake.plans.rate_ingest import upsert_dimension, upsert_fact
 from ratelake.plans.toc_import import TocImport, import_toc
 from ratelake.sources import files as D
 from ratelake.sources import shred as X
@@ -82,7 +82,7 @@ def toc_first_rank(spark, folder):
 @query
 def toc_plan_count(spark, folder):
     good = T.first_plans(T.flatten_plans(I.structures(spark, folder)))
-    return good.agg(F.count_distinct("file_id", "plan_name").alias("n_plans"))
+    return good.agg(F.count(F.lit(1)).alias("n_plans"))
 
 
 @query
@@ -185,9 +185,9 @@ def toc_placeholder_skip(spark, folder):
 
 @query
 def toc_child_jobs(spark, folder):
-    done = imported(spark, folder)
-    jobs = done.jobs.select("id", "source_id", "parent_job_id", "status", "file_url", "file_extension", "file_type")
-    return jobs.join(done.messages.select("id", "topic", "part", "value"), "id")
+    return imported(spark, folder).messages.select(
+        "id", "source_id", "parent_job_id", "status", "file_url", "file_extension", "file_type", "topic", "part", "value"
+    )
 
 
 @query
@@ -251,7 +251,12 @@ def priced(spark: SparkSession, folder: str, rows: Column | None = None) -> Data
 
 
 def fact(spark: SparkSession, folder: str) -> DataFrame:
-    return R.provider_fact(priced(spark, folder), I.file_plans(spark, folder), I.locations(spark, folder))
+    rows = R.fact_rows(priced(spark, folder), I.file_plans(spark, folder))
+    return R.with_locations(R.merge(rows), I.locations(spark, folder))
+
+
+def shown(rows: DataFrame) -> DataFrame:
+    return rows.withColumns({name: day(name) for name in R.SEEN})
 
 
 @query
@@ -316,10 +321,8 @@ def rate_wire(spark, folder):
 @query
 def procedure_rate_upsert(spark, folder):
     seen = F.col("seen_date")
-    old = R.rate_dimension(priced(spark, folder, F.col("flag") != "R"), F.date_sub(seen, 30))
-    new = R.rate_dimension(priced(spark, folder, F.col("flag") != "A"), seen)
-    merged = merge_seen(old, new, ["procedure_hash"], "first_seen_date", "last_seen_date")
-    return merged.select(
+    stored = R.merge(R.dimension_rows(priced(spark, folder, F.col("flag") != "R"), F.date_sub(seen, 30)))
+    return upsert_dimension(stored, priced(spark, folder, F.col("flag") != "A"), seen).select(
         "procedure_hash",
         number("negotiated_rate"),
         day("expiration_date"),
@@ -342,16 +345,15 @@ def rate_unknown_codes(spark, folder):
 
 @query
 def provider_rate_fact(spark, folder):
-    return fact(spark, folder).select(
-        "provider_group_id",
-        "zip_code",
-        "region_code",
-        "insurance_plan_id",
-        "billing_code_id",
-        "procedure_hash",
-        day("first_seen_date"),
-        day("last_seen_date"),
-    )
+    return shown(fact(spark, folder))
+
+
+@query
+def provider_rate_upsert(spark, folder):
+    plans, places = I.file_plans(spark, folder), I.locations(spark, folder)
+    earlier = priced(spark, folder, F.col("flag") != "R").withColumn("seen_date", F.date_sub("seen_date", 30))
+    stored = R.with_locations(R.merge(R.fact_rows(earlier, plans)), places)
+    return shown(upsert_fact(stored, priced(spark, folder, F.col("flag") != "A"), plans, places))
 
 
 @query
@@ -390,7 +392,7 @@ def provider_bridge(spark, folder):
     references = I.references(spark, folder)
     pairs, providers = G.bridge(G.members(references))
     groups = references.select("provider_group_id", F.col("network_name").alias("group_name"))
-    known = providers.select("npi", surrogate_id("provider", F.col("npi")).alias("provider_id"))
+    known = providers.select("npi", K.surrogate_id("provider", F.col("npi")).alias("provider_id"))
     return groups.join(pairs, "provider_group_id").join(known, "npi")
 
 
@@ -399,7 +401,7 @@ def provider_bridge(spark, folder):
 
 @query
 def serve_by_plan_code(spark, folder):
-    rates = R.rate_dimension(priced(spark, folder), F.col("seen_date"))
+    rates = R.merge(R.dimension_rows(priced(spark, folder), F.col("seen_date")))
     rows = A.with_rates(A.view(fact(spark, folder), "plan_code"), rates)
     return rows.groupBy("insurance_plan_id", "billing_code_id").agg(
         F.count(F.lit(1)).alias("n_rows"),
@@ -538,9 +540,9 @@ def url_normalize(spark, folder):
 
 
 @query
-def code_buckets(spark, folder):
+def code_bucket(spark, folder):
     code = F.col("p_partkey").cast("string")
-    return table(spark, folder, "part").select(code.alias("billing_code"), code_bucket(code).alias("bucket"))
+    return table(spark, folder, "part").select(code.alias("billing_code"), K.code_bucket(code).alias("bucket"))
 
 
 @query
@@ -552,7 +554,7 @@ def zip_expand(spark, folder):
 def shred_items(spark, folder):
     landing = session.run_dir(spark, "landing")
     I.write_rate_files(spark, folder, landing)
-    raw = X.shred(D.list_files(spark, landing, "part-*"), ["in_network"], block_bytes=1 << 20)
+    raw = X.shred(D.list_files(spark, landing, "part-*"), ["in_network"])
     items = X.good(X.parse(raw, "in_network", S.ITEM))
     price = F.col("negotiated_rates")[0]["negotiated_prices"][0]
     return items.select(
@@ -570,7 +572,7 @@ def shred_items(spark, folder):
 def shred_references(spark, folder):
     landing = session.run_dir(spark, "landing")
     I.write_rate_files(spark, folder, landing)
-    raw = X.shred(D.list_files(spark, landing, "part-*"), ["provider_references"], block_bytes=1 << 20)
+    raw = X.shred(D.list_files(spark, landing, "part-*"), ["provider_references"])
     return G.members(X.good(X.parse(raw, "provider_references", S.PROVIDER_REFERENCE))).drop("file_id")
 
 

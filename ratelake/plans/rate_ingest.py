@@ -8,12 +8,8 @@ from pyspark.sql import Column, DataFrame
 
 from ratelake import schemas as S
 from ratelake.operators import rates as R
-from ratelake.operators.upsert import merge_seen
 from ratelake.sources import shred as X
 
-FACT_KEY = ("insurance_plan_id", "billing_code_id", "provider_group_id", "procedure_hash")
-
-
 @dataclass(frozen=True)
 class Bronze:
     items: DataFrame
@@ -25,7 +21,7 @@ class Bronze:
 def read_bronze(files: DataFrame, staging: str, block_bytes: int = X.BLOCK_BYTES) -> Bronze:
     """Shred files once into a staged table by section, then parse each section from there."""
     raw = X.shred(files, ["in_network", "provider_references", X.HEADER_SECTION], block_bytes)
-    raw.write.mode("overwrite").parquet(staging)
+    raw.write.mode("overwrite").partitionBy("section").parquet(staging)
     staged = files.sparkSession.read.schema(X.RAW).parquet(staging)
     items = X.parse(staged, "in_network", S.ITEM)
     references = X.parse(staged, "provider_references", S.PROVIDER_REFERENCE)
@@ -37,11 +33,11 @@ def read_bronze(files: DataFrame, staging: str, block_bytes: int = X.BLOCK_BYTES
     )
 
 
-def merge_dimension(table: DataFrame, priced: DataFrame, seen_date: Column) -> DataFrame:
-    return merge_seen(
-        table, R.rate_dimension(priced, seen_date), ["procedure_hash"], "first_seen_date", "last_seen_date"
-    )
+def upsert_dimension(table: DataFrame, priced: DataFrame, seen_date: Column) -> DataFrame:
+    return R.merge(table.unionByName(R.dimension_rows(priced, seen_date)))
 
 
-def merge_fact(table: DataFrame, fact: DataFrame) -> DataFrame:
-    return merge_seen(table, fact, list(FACT_KEY), "first_seen_date", "last_seen_date")
+def upsert_fact(table: DataFrame, priced: DataFrame, plans_of_files: DataFrame, locations: DataFrame) -> DataFrame:
+    """The stored fact and new rows, with today's location of each provider group."""
+    rows = table.drop("zip_code", "region_code").unionByName(R.fact_rows(priced, plans_of_files))
+    return R.with_locations(R.merge(rows), locations)

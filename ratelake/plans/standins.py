@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratelake.operators.insurance_plans import normalize_plans, plan_rows
+from ratelake.sources.shred import HEADER_SECTION
 from ratelake.sources.tables import table
 
 COMPANY = "ins_1"
@@ -113,7 +114,7 @@ def header_texts(spark: SparkSession, folder: str) -> DataFrame:
         F.struct(F.lit(2).cast("bigint").alias("item_no"), F.lit(',"unknown":7,"version":"1.0"').alias("text")),
     )
     return table(spark, folder, "orders").select(
-        text("o_orderkey").alias("file_id"), F.lit("").alias("section"), F.inline(pieces)
+        text("o_orderkey").alias("file_id"), F.lit(HEADER_SECTION).alias("section"), F.inline(pieces)
     )
 
 
@@ -416,7 +417,7 @@ def write_rate_files(spark: SparkSession, folder: str, target: str) -> None:
 
     (
         part_items.unionByName(groups)
-        .repartition(spark.sparkContext.defaultParallelism, F.xxhash64("text"))
+        .repartition(F.xxhash64("text"))
         .sortWithinPartitions("section")
         .mapInPandas(run, "value STRING")
         .write.text(target)

@@ -60,5 +60,7 @@ def import_toc(
         file_plans=parts,
         jobs=jobs,
         lots=T.with_lots(jobs),
-        messages=T.dispatch_messages(jobs, parts, company_id, topic_prefix),
+        messages=T.dispatch_messages(
+            T.child_jobs(parts, parent_job_id, source_id, "part", "reporting_plans"), company_id, topic_prefix
+        ),
     )

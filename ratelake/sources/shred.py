@@ -29,7 +29,7 @@ BLOCK_BYTES = 64 << 20
 LOOKBACK = 4096
 QUOTE, BACKSLASH, OPEN_OBJECT, CLOSE_OBJECT, OPEN_ARRAY, CLOSE_ARRAY = b'"\\{}[]'
 KEY_AT_END = re.compile(rb'"((?:[^"\\]|\\.)*)"\s*:\s*$', re.DOTALL)
-HEADER_SECTION = ""
+HEADER_SECTION = "#header"
 NO_SECTION = "\0"
 
 OPENS = "ARRAY<STRUCT<d: INT, n: BIGINT, name: STRING, object: BOOLEAN>>"
@@ -153,6 +153,7 @@ def _cut(chunks: Iterable[bytes], state: State, limit: float, wanted: frozenset[
     skipping = state.depth >= 3 and state.in_object
     open_parts: list[bytes] | None = None
     open_at: tuple[str, int] = ("", 0)
+    listed = wanted - {HEADER_SECTION}
     for chunk in chunks:
         if state.offset >= limit and open_parts is None:
             return
@@ -182,7 +183,7 @@ def _cut(chunks: Iterable[bytes], state: State, limit: float, wanted: frozenset[
                         skipping = False
                     elif open_parts is not None:
                         open_parts.append(chunk[taken : position + 1])
-                        if open_at[0] in wanted:
+                        if open_at[0] in listed:
                             yield (*open_at, b"".join(open_parts))
                         open_parts = None
                         if offset >= limit:
@@ -283,8 +284,8 @@ def _entry_states(blocks: DataFrame, block_bytes: int) -> DataFrame:
 def shred(files: DataFrame, sections: Sequence[str], block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(file_id, section, item_no, text) for the elements of the named top-level arrays.
 
-    `files` is (file_id, file_size). `item_no` rises in document order within a file. Section ''
-    asks for the scalar members, see `headers`. Entries of a zip get the id `file!entry`.
+    `files` is (file_id, file_size). `item_no` rises in document order within a file. Section
+    HEADER_SECTION asks for the scalar members, see `headers`. Entries of a zip get the id `file!entry`.
     """
     wanted = frozenset(sections)
     last = F.greatest(F.ceil(F.col("file_size") / block_bytes) - 1, F.lit(0))
