@@ -34,10 +34,10 @@ def price_hash(code_type: Column, code: Column, price: Column) -> Column:
             blank(price["negotiated_type"]),
             blank(price["negotiated_rate"]),
             blank(price["expiration_date"]),
-            blank(F.array_join(F.array_sort(price["service_code"]), ",")),
+            blank(F.array_join(F.sort_array(price["service_code"]), ",")),
             blank(price["billing_class"]),
             blank(price["setting"]),
-            blank(F.array_join(F.array_sort(price["billing_code_modifier"]), ",")),
+            blank(F.array_join(F.sort_array(price["billing_code_modifier"]), ",")),
         ),
         256,
     )

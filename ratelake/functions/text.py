@@ -45,7 +45,5 @@ def encode(word: Column, codes: dict[str, int]) -> Column:
 
 
 def encode_services(codes: Column) -> Column:
-    """Place-of-service texts as small ints, sorted; texts that are no small int drop out."""
-    return F.array_sort(
-        F.filter(F.transform(codes, lambda c: c.try_cast("tinyint")), lambda c: c.isNotNull())
-    )
+    """Place-of-service texts as small ints, sorted; NULL, and first, for texts that are none."""
+    return F.sort_array(codes.try_cast("array<tinyint>"))

@@ -94,7 +94,7 @@ def dimension_rows(priced: DataFrame, seen_date: Column) -> DataFrame:
         encode_services(price["service_code"]).alias("service_code"),
         encode(price["billing_class"], V.BILLING_CLASS_CODES).alias("billing_class"),
         encode(price["setting"], V.SETTING_CODES).alias("setting"),
-        F.array_sort(array_or_empty(price["billing_code_modifier"], "string")).alias("billing_code_modifier"),
+        F.sort_array(array_or_empty(price["billing_code_modifier"], "string")).alias("billing_code_modifier"),
         seen_date.alias("first_seen_date"),
         seen_date.alias("last_seen_date"),
     )
@@ -114,12 +114,18 @@ def merge(rows: DataFrame) -> DataFrame:
 def unknown_codes(priced: DataFrame) -> DataFrame:
     """Words without a small-int code, counted: they are NULL in the dimension."""
     price = F.col("price")
-    words = F.array(
-        F.struct(F.lit("billing_class").alias("field"), price["billing_class"].alias("word")),
-        F.struct(F.lit("setting").alias("field"), price["setting"].alias("word")),
+
+    def word(field: str, value: Column) -> Column:
+        return F.struct(F.lit(field).alias("field"), value.alias("word"))
+
+    words = F.concat(
+        F.array(word("billing_class", price["billing_class"]), word("setting", price["setting"])),
+        F.transform(array_or_empty(price["service_code"], "string"), lambda code: word("service_code", code)),
     )
-    code = F.when(F.col("field") == "setting", encode(F.col("word"), V.SETTING_CODES)).otherwise(
-        encode(F.col("word"), V.BILLING_CLASS_CODES)
+    code = (
+        F.when(F.col("field") == "setting", encode(F.col("word"), V.SETTING_CODES))
+        .when(F.col("field") == "billing_class", encode(F.col("word"), V.BILLING_CLASS_CODES))
+        .otherwise(F.col("word").try_cast("tinyint"))
     )
     return (
         priced.select(F.inline(words))

@@ -17,7 +17,7 @@ def ident(prefix: str, text: str) -> str:
 
 STRUCTURE = """
 s AS (
-  SELECT o_orderkey AS rs_pos, o_orderstatus AS st, o_orderpriority AS pr, o_custkey % 500 AS lot,
+  SELECT 'toc-' || year(o_orderdate) AS file_id, o_orderkey AS rs_pos, o_orderstatus AS st, o_orderpriority AS pr, o_custkey % 500 AS lot,
          c_custkey, c_name, c_mktsegment || '-' || c_nationkey AS nm,
          CASE WHEN c_custkey % 2 = 0 THEN 'ein' ELSE 'hios' END AS idt,
          CASE WHEN c_acctbal < 0 THEN 'individual' ELSE 'group' END AS mk,
@@ -26,25 +26,25 @@ s AS (
 
 PLANS = """
 pl AS (
-  SELECT rs_pos, 0 AS plan_pos, nm AS plan_name, idt AS plan_id_type,
+  SELECT file_id, rs_pos, 0 AS plan_pos, nm AS plan_name, idt AS plan_id_type,
          CASE WHEN c_custkey % 3 <> 0 THEN CAST(c_custkey AS VARCHAR) END AS plan_id,
          c_name AS plan_sponsor_name, mk AS plan_market_type, skipped FROM s
   UNION ALL
-  SELECT rs_pos, 1, nm || '/' || st, idt,
+  SELECT file_id, rs_pos, 1, nm || '/' || st, idt,
          CASE st WHEN 'F' THEN 'S' || c_custkey WHEN 'O' THEN '' END, c_name, mk, skipped FROM s)"""
 
 RANKED = """
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY plan_name ORDER BY rs_pos, plan_pos) AS name_rank
+  SELECT *, row_number() OVER (PARTITION BY file_id, plan_name ORDER BY rs_pos, plan_pos) AS name_rank
   FROM pl WHERE plan_id IS NOT NULL AND plan_id <> '')"""
 
 RESOLVED = """
 res AS (
-  SELECT rs_pos, plan_pos, plan_name, plan_id_type, plan_id, plan_sponsor_name, plan_market_type, skipped
+  SELECT file_id, rs_pos, plan_pos, plan_name, plan_id_type, plan_id, plan_sponsor_name, plan_market_type, skipped
   FROM pl WHERE plan_id IS NOT NULL AND plan_id <> ''
   UNION ALL
-  SELECT p.rs_pos, p.plan_pos, g.plan_name, g.plan_id_type, g.plan_id, g.plan_sponsor_name, g.plan_market_type, p.skipped
-  FROM pl p JOIN ranked g ON g.name_rank = 1 AND g.plan_name IS NOT DISTINCT FROM p.plan_name
+  SELECT p.file_id, p.rs_pos, p.plan_pos, g.plan_name, g.plan_id_type, g.plan_id, g.plan_sponsor_name, g.plan_market_type, p.skipped
+  FROM pl p JOIN ranked g ON g.name_rank = 1 AND g.file_id = p.file_id AND g.plan_name IS NOT DISTINCT FROM p.plan_name
   WHERE p.plan_id IS NULL OR p.plan_id = '')"""
 
 
@@ -64,12 +64,12 @@ def normalized(name: str, source: str, company: str = "'ins_1'") -> str:
 PLAN_ROWS = """
 incoming AS (
   SELECT insurance_plan_id AS id, * EXCLUDE (insurance_plan_id) FROM (
-    SELECT *, row_number() OVER (PARTITION BY insurance_plan_hash ORDER BY rs_pos, plan_pos) AS rn FROM norm)
+    SELECT *, row_number() OVER (PARTITION BY insurance_plan_hash ORDER BY file_id, rs_pos, plan_pos) AS rn FROM norm)
   WHERE rn = 1)"""
 
 TABLE_SOURCE = """
 raw_table AS (
-  SELECT c_custkey AS rs_pos, c_mktsegment || '-' || c_nationkey AS plan_name,
+  SELECT 'earlier' AS file_id, c_custkey AS rs_pos, c_mktsegment || '-' || c_nationkey AS plan_name,
          CASE WHEN c_custkey % 2 = 0 THEN 'ein' ELSE 'hios' END AS plan_id_type,
          CAST(c_custkey AS VARCHAR) AS plan_id, 'earlier' AS plan_sponsor_name, 'group' AS plan_market_type
   FROM customer WHERE c_acctbal >= 0 AND c_custkey % 3 <> 0)"""
@@ -79,12 +79,12 @@ INCOMING = (*TOC, normalized("norm", "res"), PLAN_ROWS, TABLE_SOURCE, normalized
 
 ORACLE["toc_good_plans"] = with_(
     *TOC,
-    select="""SELECT plan_name, rs_pos, plan_pos, plan_id_type, plan_id, plan_sponsor_name, plan_market_type
+    select="""SELECT file_id, plan_name, rs_pos, plan_pos, plan_id_type, plan_id, plan_sponsor_name, plan_market_type
 FROM ranked WHERE name_rank = 1""",
 )
-ORACLE["toc_first_rank"] = with_(*TOC, select="SELECT plan_name, plan_id, rs_pos, plan_pos, name_rank FROM ranked")
+ORACLE["toc_first_rank"] = with_(*TOC, select="SELECT file_id, plan_name, plan_id, rs_pos, plan_pos, name_rank FROM ranked")
 ORACLE["toc_plan_count"] = with_(
-    *TOC, select="SELECT count(DISTINCT plan_name) AS n_plans FROM ranked"
+    *TOC, select="SELECT file_id, count(DISTINCT plan_name) AS n_plans FROM ranked GROUP BY 1"
 )
 ORACLE["plan_backfill"] = with_(*TOC, select="SELECT * EXCLUDE (skipped) FROM res")
 ORACLE["plan_normalize"] = with_(
@@ -130,11 +130,11 @@ def listed(scope: str) -> str:
     kept = "NOT skipped" if scope == "structure" else "true"
     return f"""
 listed_{scope} AS (
-  SELECT rs_pos, 0 AS file_pos, 'https://h/aa' || lot || '.json' AS location,
+  SELECT file_id, rs_pos, 0 AS file_pos, 'https://h/aa' || lot || '.json' AS location,
          'https://h/aa' || lot || '.json?s=' || rs_pos AS url, 'allowed_amount' AS file_type, 'JSON' AS file_extension
   FROM s WHERE pr = '5-LOW' AND NOT skipped
   UNION ALL
-  SELECT rs_pos, 1, split_part(url, '?', 1), url, 'in_network',
+  SELECT file_id, rs_pos, 1, split_part(url, '?', 1), url, 'in_network',
          CASE st WHEN 'F' THEN 'GZ' WHEN 'O' THEN 'ZIP' ELSE 'JSON' END
   FROM (SELECT *, 'https://h/f' || lot || CASE st WHEN 'F' THEN '.json.gz' WHEN 'O' THEN '.zip' ELSE '.json' END
                || '?s=' || rs_pos AS url FROM s WHERE {kept}))"""
@@ -146,45 +146,46 @@ FILES = (
     listed("structure"),
     """
 files AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY location ORDER BY rs_pos, file_pos) AS rn FROM listed_structure)
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY file_id, location ORDER BY rs_pos, file_pos) AS rn FROM listed_structure)
   WHERE rn = 1)""",
     """
 pairs AS (
-  SELECT DISTINCT location, insurance_plan_id
+  SELECT DISTINCT listed_structure.file_id, location, insurance_plan_id
   FROM listed_structure JOIN norm USING (rs_pos) WHERE NOT norm.skipped)""",
     """
 numbered AS (
-  SELECT *, CAST(floor((row_number() OVER (PARTITION BY location ORDER BY insurance_plan_id) - 1) / 10000) AS INTEGER) AS part
+  SELECT *, CAST(floor((row_number() OVER (PARTITION BY file_id, location ORDER BY insurance_plan_id) - 1) / 10000) AS INTEGER) AS part
   FROM pairs)""",
     """
 parts AS (
-  SELECT location, part, CAST(count(*) AS INTEGER) AS n_plans, string_agg(insurance_plan_id, ',' ORDER BY insurance_plan_id) AS plans,
+  SELECT file_id, location, part, CAST(count(*) AS INTEGER) AS n_plans, string_agg(insurance_plan_id, ',' ORDER BY insurance_plan_id) AS plans,
          string_agg('"' || insurance_plan_id || '"', ',' ORDER BY insurance_plan_id) AS quoted
-  FROM numbered GROUP BY location, part)""",
+  FROM numbered GROUP BY file_id, location, part)""",
     """
 file_parts AS (
   SELECT f.*, coalesce(part, 0) AS part, coalesce(n_plans, 0) AS n_plans, coalesce(plans, '') AS plans,
          coalesce(quoted, '') AS quoted,
-         'ins_job_' || substr(sha256('ins_job_1' || chr(31) || f.location), 1, 24) AS id,
+         'ins_job_' || f.file_id AS parent_job_id,
+         'ins_job_' || substr(sha256('ins_job_' || f.file_id || chr(31) || f.location), 1, 24) AS id,
          CASE file_type WHEN 'in_network' THEN 'in-network-file' ELSE 'allowed-amount' END AS topic
-  FROM files f LEFT JOIN parts USING (location))""",
+  FROM files f LEFT JOIN parts USING (file_id, location))""",
 )
 
 ORACLE["toc_file_plans"] = with_(
-    *FILES, select="SELECT location, url, file_type, file_extension, part, n_plans, plans FROM file_parts"
+    *FILES, select="SELECT file_id, location, url, file_type, file_extension, part, n_plans, plans FROM file_parts"
 )
 ORACLE["toc_placeholder_skip"] = with_(
     STRUCTURE,
     listed("structure"),
     listed("file"),
-    select="""SELECT location, count(*) FILTER (scope = 'structure') AS n_listed,
+    select="""SELECT file_id, location, count(*) FILTER (scope = 'structure') AS n_listed,
   count(*) FILTER (scope = 'file') AS n_listed_by_file_scope
-FROM (SELECT location, 'structure' AS scope FROM listed_structure UNION ALL SELECT location, 'file' FROM listed_file)
-GROUP BY location""",
+FROM (SELECT file_id, location, 'structure' AS scope FROM listed_structure UNION ALL SELECT file_id, location, 'file' FROM listed_file)
+GROUP BY file_id, location""",
 )
 ORACLE["toc_child_jobs"] = with_(
     *FILES,
-    select="""SELECT id, 'iss_1' AS source_id, 'ins_job_1' AS parent_job_id, 'PENDING' AS status, url AS file_url,
+    select="""SELECT id, 'iss_1' AS source_id, parent_job_id, 'PENDING' AS status, url AS file_url,
   file_extension, upper(file_type) AS file_type, topic, part,
   '{"id":"' || id || '","topic":"' || topic || '","payload":{"sourceType":"CIGNA_INDEX_API","url":"' || url
   || '","reportingPlans":[' || quoted || '],"insuranceCompanyId":"ins_1","insuranceImportSourceId":"iss_1"'
@@ -193,9 +194,9 @@ FROM file_parts""",
 )
 ORACLE["dispatch_batches"] = with_(
     *FILES,
-    select="""SELECT 'ins_job_' || substr(sha256('ins_job_1' || chr(31) || location), 1, 24) AS id,
-  upper(file_type) AS file_type, rs_pos,
-  CAST(floor((row_number() OVER (PARTITION BY file_type ORDER BY rs_pos, file_pos) - 1) / 100) AS BIGINT) AS lot
+    select="""SELECT 'ins_job_' || substr(sha256('ins_job_' || file_id || chr(31) || location), 1, 24) AS id,
+  'ins_job_' || file_id AS parent_job_id, upper(file_type) AS file_type, rs_pos,
+  CAST(floor((row_number() OVER (PARTITION BY file_id, file_type ORDER BY rs_pos, file_pos) - 1) / 100) AS BIGINT) AS lot
 FROM files""",
 )
 

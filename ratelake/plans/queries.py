@@ -70,24 +70,24 @@ def incoming_plans(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def toc_good_plans(spark, folder):
-    return T.first_plans(T.flatten_plans(I.structures(spark, folder))).drop("file_id")
+    return T.first_plans(T.flatten_plans(I.structures(spark, folder)))
 
 
 @query
 def toc_first_rank(spark, folder):
     ranked = T.rank_plans(T.flatten_plans(I.structures(spark, folder)))
-    return ranked.select("plan_name", "plan_id", "rs_pos", "plan_pos", "name_rank")
+    return ranked.select("file_id", "plan_name", "plan_id", "rs_pos", "plan_pos", "name_rank")
 
 
 @query
 def toc_plan_count(spark, folder):
     good = T.first_plans(T.flatten_plans(I.structures(spark, folder)))
-    return good.agg(F.count(F.lit(1)).alias("n_plans"))
+    return good.groupBy("file_id").agg(F.count(F.lit(1)).alias("n_plans"))
 
 
 @query
 def plan_backfill(spark, folder):
-    return resolved(spark, folder).drop("file_id")
+    return resolved(spark, folder)
 
 
 @query
@@ -146,7 +146,7 @@ def imported(spark: SparkSession, folder: str) -> TocImport:
         I.plan_table(spark, folder),
         F.lit(I.COMPANY),
         F.lit(I.SOURCE),
-        F.lit("ins_job_1"),
+        F.concat(F.lit("ins_job_"), "file_id"),
         RUN_TS,
         placeholder=I.PLACEHOLDER,
     )
@@ -155,6 +155,7 @@ def imported(spark: SparkSession, folder: str) -> TocImport:
 @query
 def toc_file_plans(spark, folder):
     return imported(spark, folder).file_plans.select(
+        "file_id",
         "location",
         "url",
         "file_type",
@@ -169,13 +170,13 @@ def toc_file_plans(spark, folder):
 def toc_placeholder_skip(spark, folder):
     structures = I.structures(spark, folder)
     scopes = [
-        T.flatten_files(structures, I.PLACEHOLDER, scope).select("location", F.lit(scope).alias("scope"))
+        T.flatten_files(structures, I.PLACEHOLDER, scope).select("file_id", "location", F.lit(scope).alias("scope"))
         for scope in ("structure", "file")
     ]
     return (
         scopes[0]
         .unionByName(scopes[1])
-        .groupBy("location")
+        .groupBy("file_id", "location")
         .agg(
             F.count_if(F.col("scope") == "structure").alias("n_listed"),
             F.count_if(F.col("scope") == "file").alias("n_listed_by_file_scope"),
@@ -192,7 +193,7 @@ def toc_child_jobs(spark, folder):
 
 @query
 def dispatch_batches(spark, folder):
-    return imported(spark, folder).lots.select("id", "file_type", "rs_pos", "lot")
+    return imported(spark, folder).lots.select("id", "parent_job_id", "file_type", "rs_pos", "lot")
 
 
 @query

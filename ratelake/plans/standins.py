@@ -19,12 +19,12 @@ from pyspark.sql import functions as F
 
 from ratelake.operators.insurance_plans import normalize_plans, plan_rows
 from ratelake.sources.shred import HEADER_SECTION
-from ratelake.sources.tables import table
+from ratelake.sources.tables import spread, table
 
 COMPANY = "ins_1"
 SOURCE = "iss_1"
-TOC_FILE = "toc"
 PLACEHOLDER = "empty_allowed-amounts.json"
+LINE = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 EVENT_STATUS = {
     "click": "PENDING",
@@ -40,8 +40,8 @@ def text(column: str) -> Column:
 
 
 def structures(spark: SparkSession, folder: str) -> DataFrame:
-    """An index with one structure per order, with two plans and one or two files each."""
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
+    """An index per year, with a structure per order that has two plans and one or two files."""
+    orders = table(spark, folder, "orders").drop("o_totalprice")
     customers = table(spark, folder, "customer")
     name = F.concat_ws("-", "c_mktsegment", text("c_nationkey"))
     status, number = F.col("o_orderstatus"), text("o_orderkey")
@@ -70,7 +70,7 @@ def structures(spark: SparkSession, folder: str) -> DataFrame:
         ),
     )
     return orders.join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
-        F.lit(TOC_FILE).alias("file_id"),
+        F.concat(F.lit("toc-"), F.year("o_orderdate")).alias("file_id"),
         F.col("o_orderkey").alias("rs_pos"),
         F.array(main, rider).alias("reporting_plans"),
         F.array(F.struct(in_network.alias("location"))).alias("in_network_files"),
@@ -124,7 +124,7 @@ def items(spark: SparkSession, folder: str, described: bool = False) -> DataFram
     The price columns stay decimal all the way. Name and description need `part`; they are read
     for the queries that show them.
     """
-    lines = table(spark, folder, "lineitem")
+    lines = spread(table(spark, folder, "lineitem"), *LINE)
     listed = F.col("l_extendedprice").cast("decimal(18,2)")
     cut = F.lit(1).cast("decimal(3,2)") - F.col("l_discount").cast("decimal(3,2)")
     classes = F.when(F.col("l_returnflag") == "A", "professional").when(
@@ -136,7 +136,7 @@ def items(spark: SparkSession, folder: str, described: bool = False) -> DataFram
         return F.struct(
             F.lit(kind).alias("negotiated_type"),
             rate.cast("decimal(18,4)").alias("negotiated_rate"),
-            F.date_format("l_shipdate", "yyyy-MM-dd").alias("expiration_date"),
+            F.col("l_shipdate").cast("date").cast("string").alias("expiration_date"),
             F.array((F.col("l_linenumber") + 10).cast("string"), F.lit("11")).alias("service_code"),
             classes.alias("billing_class"),
             setting.alias("setting"),
@@ -191,7 +191,7 @@ def item_texts(spark: SparkSession, folder: str) -> DataFrame:
     body = F.to_json(F.struct(text("l_partkey").alias("billing_code"), F.array(rate).alias("negotiated_rates")))
     # Rates that are numbers stand without quotes in a file.
     plain = F.regexp_replace(body, '"negotiated_rate":"([0-9.]+)"', '"negotiated_rate":$1')
-    return table(spark, folder, "lineitem").select(
+    return spread(table(spark, folder, "lineitem"), *LINE).select(
         text("l_orderkey").alias("file_id"),
         F.lit("in_network").alias("section"),
         F.col("l_linenumber").cast("bigint").alias("item_no"),
@@ -357,8 +357,7 @@ def archives(spark: SparkSession, folder: str) -> DataFrame:
             yield pd.DataFrame({"file_id": "doc" + batch["doc_id"].astype(str) + ".zip", "content": packed})
 
     return (
-        table(spark, folder, "documents")
-        .select("doc_id", "text", "lang")
+        spread(table(spark, folder, "documents").select("doc_id", "text", "lang"), "doc_id")
         .mapInPandas(run, "file_id STRING, content BINARY")
     )
 
@@ -428,7 +427,7 @@ def plan_table(spark: SparkSession, folder: str) -> DataFrame:
     """The plan table of an earlier run: customers whose balance is not negative and who have a plan id."""
     customers = table(spark, folder, "customer").where(F.col("c_acctbal") >= 0)
     raw = customers.where(F.col("c_custkey") % 3 != 0).select(
-        F.lit(TOC_FILE).alias("file_id"),
+        F.lit("earlier").alias("file_id"),
         F.col("c_custkey").alias("rs_pos"),
         F.lit(0).alias("plan_pos"),
         F.concat_ws("-", "c_mktsegment", text("c_nationkey")).alias("plan_name"),

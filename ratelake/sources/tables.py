@@ -9,6 +9,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """A scan in fewer splits than there are cores, spread over the cores; any other scan as it is.
+
+    One shuffle of the scanned columns is cheaper than heavy work per row in a few tasks.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def catalogue(spark: SparkSession, url: str, name: str, key: str | None = None, bounds: tuple[int, int] | None = None,
               partitions: int = 1, **options: str) -> DataFrame:
     """A catalogue table over JDBC; a numeric key with bounds splits the read."""
