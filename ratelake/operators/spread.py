@@ -15,21 +15,16 @@ from pyspark.sql import functions as F
 BUCKET = "_bucket"
 
 
-def rank_over(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], bucket: Column, name: str, only: str | None = None
-) -> DataFrame:
+def rank_over(df: DataFrame, keys: Sequence[str], order: Sequence[Column], bucket: Column, name: str) -> DataFrame:
     """Number the rows of each key from 1. `bucket` must never fall as the order rises.
 
-    `only` names the one column there is besides the keys. Counting that column keeps it in the
-    count's input, so count and rows read the same exchange and `df` is computed once.
+    `df` is read twice, once for the counts: stage it first where it costs much to compute.
     """
     df = df.withColumn(BUCKET, bucket)
-    if only:
-        df = df.repartition(*keys, BUCKET)
     before = Window.partitionBy(*keys).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         df.groupBy(*keys, BUCKET)
-        .agg(F.count(only or F.lit(1)).alias("_rows"))
+        .agg(F.count(F.lit(1)).alias("_rows"))
         .select(*keys, BUCKET, F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
     )
     inside = Window.partitionBy(*keys, BUCKET).orderBy(*order)
@@ -66,7 +61,7 @@ def gather_in_parts(
     `df` holds each value once per key. A key with more than `size` values gets parts
     0, 1, 2 …, so no row and no task has to hold all of a large key.
     """
-    ranked = rank_over(df.select(*keys, value), keys, [F.col(value)], bucket, "_rank", only=value)
+    ranked = rank_over(df.select(*keys, value), keys, [F.col(value)], bucket, "_rank")
     part = F.floor((F.col("_rank") - 1) / size).cast("int")
     return (
         ranked.withColumn("part", part)

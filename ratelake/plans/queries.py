@@ -140,7 +140,7 @@ def plan_upsert(spark, folder):
 # --- index: files and jobs ---------------------------------------------------------------
 
 
-def imported(spark: SparkSession, folder: str) -> TocImport:
+def imported(spark: SparkSession, folder: str, staging: str | None = None) -> TocImport:
     return import_toc(
         I.structures(spark, folder),
         I.plan_table(spark, folder),
@@ -149,12 +149,13 @@ def imported(spark: SparkSession, folder: str) -> TocImport:
         F.concat(F.lit("ins_job_"), "file_id"),
         RUN_TS,
         placeholder=I.PLACEHOLDER,
+        staging=staging,
     )
 
 
 @query
 def toc_file_plans(spark, folder):
-    return imported(spark, folder).file_plans.select(
+    return imported(spark, folder, session.run_dir(spark, "index")).file_plans.select(
         "file_id",
         "location",
         "url",
@@ -186,7 +187,7 @@ def toc_placeholder_skip(spark, folder):
 
 @query
 def toc_child_jobs(spark, folder):
-    return imported(spark, folder).messages.select(
+    return imported(spark, folder, session.run_dir(spark, "index")).messages.select(
         "id", "source_id", "parent_job_id", "status", "file_url", "file_extension", "file_type", "topic", "part", "value"
     )
 

@@ -41,7 +41,7 @@ def text(column: str) -> Column:
 
 def structures(spark: SparkSession, folder: str) -> DataFrame:
     """An index per year, with a structure per order that has two plans and one or two files."""
-    orders = table(spark, folder, "orders").drop("o_totalprice")
+    orders = spread(table(spark, folder, "orders").drop("o_totalprice"), "o_orderkey")
     customers = table(spark, folder, "customer")
     name = F.concat_ws("-", "c_mktsegment", text("c_nationkey"))
     status, number = F.col("o_orderstatus"), text("o_orderkey")

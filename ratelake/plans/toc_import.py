@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ratelake import values as V
 from ratelake.operators import insurance_plans as P
 from ratelake.operators import toc as T
+from ratelake.session import staged
 
 
 @dataclass(frozen=True)
@@ -36,10 +37,12 @@ def import_toc(
     scope: str = "structure",
     topic_prefix: str = "",
     part_size: int = 10_000,
+    staging: str | None = None,
 ) -> TocImport:
-    """All tables of an import, lazily; the plan table is merged once for the whole index.
+    """All tables of an import; the plan table is merged once for the whole index.
 
-    A structure dropped for its placeholder adds neither files nor plans, but its plans still
+    Nothing runs until a table is used, except that with a `staging` folder the plans and the
+    pairs of file and plan, which several tables share, are written there first. A structure dropped for its placeholder adds neither files nor plans, but its plans still
     serve as donors of ids.
     """
     good = T.first_plans(T.flatten_plans(structures))
@@ -50,7 +53,12 @@ def import_toc(
     plans = P.normalize_plans(T.backfill_plans(T.flatten_plans(kept), good), company_id)
     listed = T.flatten_files(structures, placeholder, scope)
     files = T.files_by_location(listed)
-    parts = T.with_plan_parts(files, T.plans_of_files(listed, plans), part_size)
+    if staging:
+        plans = staged(plans, f"{staging}/plans")
+    pairs = T.plans_of_files(listed, plans)
+    if staging:
+        pairs = staged(pairs, f"{staging}/file_plans")
+    parts = T.with_plan_parts(files, pairs, part_size)
     jobs = T.child_jobs(files, parent_job_id, source_id)
     return TocImport(
         good_plans=good,

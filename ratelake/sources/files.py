@@ -6,7 +6,7 @@ import gzip
 import hashlib
 import zipfile
 from collections.abc import Iterator
-from urllib.parse import unquote, urlparse
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -37,12 +37,14 @@ def over_tasks(df: DataFrame, *columns: str) -> DataFrame:
 
 def open_file(uri: str):
     """A landed file as a seekable binary stream, from a local path or a shared file system."""
-    parsed = urlparse(uri)
-    if parsed.scheme in ("", "file"):
-        return open(unquote(parsed.path), "rb")
+    if uri.startswith("file:"):
+        return open("/" + uri.removeprefix("file:").lstrip("/"), "rb")
+    if "://" not in uri:
+        return open(uri, "rb")
     from pyarrow import fs
 
-    system, path = fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+    # Listed paths are plain text, URIs are escaped.
+    system, path = fs.FileSystem.from_uri(quote(uri.replace("s3a://", "s3://", 1), safe="/:@"))
     return system.open_input_file(path)
 
 
