@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,14 +23,18 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@cache
+def _own_dir() -> str:
+    return tempfile.mkdtemp(prefix="ratelake-")
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's `spark.checkpoint.dir`; in local mode a folder of our own where it is unset."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="ratelake-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        folder = _own_dir()
     return folder.rstrip("/")
 
 

@@ -1,6 +1,7 @@
 """Every query against its SQL twin at the smallest scale, and plan shapes that must hold."""
 
 import re
+from types import SimpleNamespace
 
 import duckdb
 import pytest
@@ -68,13 +69,17 @@ def test_no_query_forces_a_broadcast_or_a_cross_join(spark, small):
         assert "BroadcastNestedLoopJoin" not in plan(spark, small, name)
 
 
-def test_shared_folder_comes_from_the_session(spark):
-    before = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        spark.conf.set("spark.checkpoint.dir", "/tmp/of-the-cluster/")
-        assert session.run_dir(spark, "x").startswith("/tmp/of-the-cluster/x-")
-    finally:
-        if before is None:
-            spark.conf.unset("spark.checkpoint.dir")
-        else:
-            spark.conf.set("spark.checkpoint.dir", before)
+class Session:
+    """A session with the given settings, as far as the shared folder needs one."""
+
+    def __init__(self, master, **conf):
+        self.sparkContext = SimpleNamespace(master=master)
+        self.conf = SimpleNamespace(get=lambda key, default: conf.get(key, default))
+
+
+def test_shared_folder_comes_from_the_session():
+    named = Session("yarn", **{"spark.checkpoint.dir": "hdfs://shared/"})
+    assert session.run_dir(named, "x").startswith("hdfs://shared/x-")
+    assert session.shared_dir(Session("local[2]")) == session.shared_dir(Session("local[2]"))
+    with pytest.raises(ValueError):
+        session.shared_dir(Session("yarn"))
