@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ratelake import values as V
 from ratelake.functions.keys import surrogate_id
 from ratelake.functions.text import filled
-from ratelake.operators.spread import follow_over
+from ratelake.operators.spread import follow_over, rank_over
 
 
 def counters(files: DataFrame) -> DataFrame:
@@ -63,6 +63,33 @@ def steps(events: DataFrame, bucket: Column) -> DataFrame:
     return follow_over(events, ["job_id"], ["status_time", "event_id"], ["status", "status_time"], bucket)
 
 
+STEP_OF_STATUS = {"DOWNLOADING": "DOWNLOAD", "DECOMPRESSING": "DECOMPRESS", "PARSING": "PARSE", "COMPLETED": "POST_PROCESS"}
+
+
+def step_rows(events: DataFrame, bucket: Column) -> DataFrame:
+    """The steps of each job in order: type, state, start and end."""
+    kind = F.lit(None).cast("string")
+    for status, step in STEP_OF_STATUS.items():
+        kind = F.when(F.col("status") == status, step).otherwise(kind)
+    working = steps(events, bucket).withColumn("type", kind).where(F.col("type").isNotNull())
+    ended = F.col("next_status_time")
+    state = (
+        F.when((F.col("status") == "COMPLETED") | (F.col("next_status") != "FAILED"), "COMPLETED")
+        .when(F.col("next_status") == "FAILED", "FAILED")
+        .otherwise("IN_PROGRESS")
+    )
+    order = [F.col("status_time"), F.col("event_id")]
+    return rank_over(working, ["job_id"], order, bucket, "sequence_order").select(
+        surrogate_id(V.ID_STEP, F.col("job_id"), F.col("event_id")).alias("id"),
+        "job_id",
+        "type",
+        state.alias("status"),
+        F.col("status_time").alias("started_at"),
+        ended.alias("completed_at"),
+        "sequence_order",
+    )
+
+
 def step_durations(events: DataFrame, bucket: Column) -> DataFrame:
     """Per job and status: how often it was entered and left, and the microseconds spent in it."""
     spent = F.unix_micros("next_status_time") - F.unix_micros("status_time")
@@ -148,6 +175,34 @@ def parse_metrics(parsed: DataFrame) -> DataFrame:
     )
 
 
+def job_metrics(files: DataFrame) -> DataFrame:
+    """The ten counters of a job from its files' metrics.
+
+    `files` is (job_id, file_type, objects_parsed, objects_with_errors, rates_saved, providers_named,
+    providers_saved, plans_named, plans_saved).
+    """
+
+    def total(column: str, file_type: str | None = None) -> Column:
+        value = F.col(column)
+        if file_type:
+            value = F.when(F.col("file_type") == file_type, value).otherwise(0)
+        return F.sum(value).cast("bigint")
+
+    counters = {
+        "in_network_objects_parsed": total("objects_parsed", "IN_NETWORK"),
+        "allowed_amount_objects_parsed": total("objects_parsed", "ALLOWED_AMOUNT"),
+        "in_network_rates_saved": total("rates_saved", "IN_NETWORK"),
+        "allowed_amount_rates_saved": total("rates_saved", "ALLOWED_AMOUNT"),
+        "in_network_rates_with_errors": total("objects_with_errors", "IN_NETWORK"),
+        "allowed_amount_rates_with_errors": total("objects_with_errors", "ALLOWED_AMOUNT"),
+        "providers_parsed": total("providers_named"),
+        "plans_parsed": total("plans_named"),
+        "providers_saved": total("providers_saved"),
+        "plans_saved": total("plans_saved"),
+    }
+    return files.groupBy("job_id").agg(*[value.alias(name) for name, value in counters.items()])
+
+
 def trigger_jobs(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Jobs started from scan sources, and the requests that start none, with the reason.
 

@@ -448,6 +448,33 @@ WHERE next_status IS NOT NULL AND (status, next_status) NOT IN (
   ('DOWNLOADING', 'FAILED'), ('DECOMPRESSING', 'PARSING'), ('DECOMPRESSING', 'FAILED'), ('PARSING', 'COMPLETED'),
   ('PARSING', 'FAILED'), ('COMPLETED', 'PENDING'), ('FAILED', 'PENDING'))""",
 )
+ORACLE["job_steps"] = with_(
+    EVENTS,
+    FOLLOWED,
+    select=f"""SELECT {ident("ins_step", "job_id || chr(31) || event_id")} AS id, job_id,
+  CASE status WHEN 'DOWNLOADING' THEN 'DOWNLOAD' WHEN 'PARSING' THEN 'PARSE' WHEN 'COMPLETED' THEN 'POST_PROCESS' END AS type,
+  CASE WHEN status = 'COMPLETED' THEN 'COMPLETED' WHEN next_status IS NULL THEN 'IN_PROGRESS'
+       WHEN next_status = 'FAILED' THEN 'FAILED' ELSE 'COMPLETED' END AS status,
+  {TIME.format("status_time", "started_at")}, {TIME.format("next_time", "completed_at")},
+  row_number() OVER (PARTITION BY job_id ORDER BY status_time, event_id) AS sequence_order
+FROM followed WHERE status IN ('DOWNLOADING', 'PARSING', 'COMPLETED')""",
+)
+ORACLE["job_metrics"] = """
+WITH per_file AS (
+  SELECT l_orderkey, count(*) AS parsed, count(*) FILTER (l_returnflag <> 'R') AS saved FROM lineitem GROUP BY 1),
+f AS (
+  SELECT CAST(o_custkey AS VARCHAR) AS job_id, o_custkey, o_orderpriority = '5-LOW' AS allowed, parsed, saved
+  FROM per_file JOIN orders ON l_orderkey = o_orderkey)
+SELECT job_id,
+  CAST(coalesce(sum(parsed) FILTER (NOT allowed), 0) AS BIGINT) AS in_network_objects_parsed,
+  CAST(coalesce(sum(parsed) FILTER (allowed), 0) AS BIGINT) AS allowed_amount_objects_parsed,
+  CAST(coalesce(sum(saved) FILTER (NOT allowed), 0) AS BIGINT) AS in_network_rates_saved,
+  CAST(coalesce(sum(saved) FILTER (allowed), 0) AS BIGINT) AS allowed_amount_rates_saved,
+  CAST(coalesce(sum(parsed - saved) FILTER (NOT allowed), 0) AS BIGINT) AS in_network_rates_with_errors,
+  CAST(coalesce(sum(parsed - saved) FILTER (allowed), 0) AS BIGINT) AS allowed_amount_rates_with_errors,
+  CAST(sum(saved) AS BIGINT) AS providers_parsed, count(*) AS plans_parsed,
+  CAST(sum(saved) AS BIGINT) AS providers_saved, count(*) FILTER (o_custkey % 3 <> 0) AS plans_saved
+FROM f GROUP BY job_id"""
 ORACLE["job_throughput"] = with_(
     EVENTS,
     """

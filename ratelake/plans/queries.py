@@ -456,6 +456,13 @@ def job_step_durations(spark, folder):
     return J.step_durations(I.status_events(spark, folder), hour())
 
 
+@query
+def job_steps(spark, folder):
+    return J.step_rows(I.status_events(spark, folder), hour()).select(
+        "id", "job_id", "type", "status", moment("started_at"), moment("completed_at"), "sequence_order"
+    )
+
+
 @query
 def job_illegal_moves(spark, folder):
     return J.illegal_moves(I.status_events(spark, folder), hour()).select("event_id", "job_id", "status", "next_status")
@@ -491,8 +498,7 @@ def company_sources(spark, folder):
     return J.company_sources(companies, sources)
 
 
-@query
-def parse_metrics(spark, folder):
+def file_metrics(spark: SparkSession, folder: str) -> DataFrame:
     parsed = X.parse(I.item_texts(spark, folder), "in_network", S.ITEM)
     named = F.aggregate(
         F.coalesce("negotiated_rates", F.array().cast(f"array<{S.RATE}>")),
@@ -504,6 +510,24 @@ def parse_metrics(spark, folder):
     )
 
 
+@query
+def parse_metrics(spark, folder):
+    return file_metrics(spark, folder)
+
+
+@query
+def job_metrics(spark, folder):
+    files = table(spark, folder, "orders").select(
+        F.col("o_orderkey").cast("string").alias("file_id"),
+        F.col("o_custkey").cast("string").alias("job_id"),
+        F.when(F.col("o_orderpriority") == "5-LOW", "ALLOWED_AMOUNT").otherwise("IN_NETWORK").alias("file_type"),
+        F.lit(1).alias("plans_named"),
+        (F.col("o_custkey") % 3 != 0).cast("int").alias("plans_saved"),
+    )
+    metrics = file_metrics(spark, folder).withColumn("providers_saved", F.col("providers_named"))
+    return J.job_metrics(metrics.join(files, "file_id"))
+
+
 @query
 def item_rejects(spark, folder):
     return X.rejects(X.parse(I.item_texts(spark, folder), "in_network", S.ITEM))

@@ -1 +1 @@
-"""Sinks: message topics. Tables are written where they are made (see operators.upsert)."""
+"""Sinks: tables that grow by appends, JSON dumps, and message topics."""

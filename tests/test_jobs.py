@@ -166,3 +166,27 @@ def test_text(spark):
         encode(F.lit("Both"), {"both": 3}).alias("d"),
     ).first()
     assert tuple(row) == ("in-network-file", "x", None, 3)
+
+
+def test_append_new_appends_once(spark, tmp_path):
+    from ratelake.sinks.tables import append_new, dump_json
+
+    table = str(tmp_path / "jobs")
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "id string, n int")
+    append_new(rows, table, rows.limit(0))
+    more = rows.unionByName(spark.createDataFrame([("c", 3)], "id string, n int"))
+    append_new(more, table, spark.read.schema("id string, n int").parquet(table))
+    assert sorted(map(tuple, spark.read.parquet(table).collect())) == [("a", 1), ("b", 2), ("c", 3)]
+    dump_json(rows, str(tmp_path / "dump"))
+    assert spark.read.json(str(tmp_path / "dump")).count() == 2
+
+
+def test_step_rows(spark):
+    rows = events(spark, "PENDING", "DOWNLOADING", "DECOMPRESSING", "PARSING", "FAILED", "PENDING", "DOWNLOADING")
+    steps = J.step_rows(rows, F.date_trunc("minute", "status_time")).orderBy("sequence_order").collect()
+    assert [(r.sequence_order, r.type, r.status) for r in steps] == [
+        (1, "DOWNLOAD", "COMPLETED"),
+        (2, "DECOMPRESS", "COMPLETED"),
+        (3, "PARSE", "FAILED"),
+        (4, "DOWNLOAD", "IN_PROGRESS"),
+    ]
