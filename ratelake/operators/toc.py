@@ -91,17 +91,18 @@ def flatten_files(
     empty = F.coalesce(F.contains(allowed, F.lit(placeholder)), F.lit(False))
     if scope == "structure":
         structures = structures.where(~empty)
-    listed = F.transform(
-        F.coalesce("in_network_files", F.array().cast("array<struct<location:string>>")),
-        lambda f: F.struct(f["location"].alias("url"), F.lit("in_network").alias("file_type")),
-    )
-    single = F.when(
-        allowed.isNotNull() & ~empty,
-        F.array(F.struct(allowed.alias("url"), F.lit("allowed_amount").alias("file_type"))),
-    ).otherwise(F.array().cast("array<struct<url:string,file_type:string>>"))
+    none = F.array().cast("array<struct<location:string>>")
+    has_allowed = allowed.isNotNull() & ~empty
+    single = F.when(has_allowed, F.array("allowed_amount_file")).otherwise(none)
+    first = F.when(F.col("has_allowed") & (F.col("file_pos") == 0), "allowed_amount").otherwise("in_network")
     return (
-        structures.select("file_id", "rs_pos", F.posexplode(F.concat(single, listed)).alias("file_pos", "file"))
-        .select("file_id", "rs_pos", "file_pos", "file.url", "file.file_type")
+        structures.select(
+            "file_id",
+            "rs_pos",
+            has_allowed.alias("has_allowed"),
+            F.posexplode(F.concat(single, F.coalesce("in_network_files", none))).alias("file_pos", "file"),
+        )
+        .select("file_id", "rs_pos", "file_pos", F.col("file.location").alias("url"), first.alias("file_type"))
         .where(F.col("url").isNotNull())
         .withColumn("location", without_query(F.col("url")))
     )
