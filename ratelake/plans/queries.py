@@ -573,7 +573,7 @@ def code_bucket(spark, folder):
 
 @query
 def zip_expand(spark, folder):
-    return D.measure_archives(I.archives(spark, folder))
+    return D.measure_archives(I.archives(spark, folder)).drop("error")
 
 
 @query

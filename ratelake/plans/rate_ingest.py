@@ -16,20 +16,28 @@ class Bronze:
     references: DataFrame
     headers: DataFrame
     rejects: DataFrame
+    failed: DataFrame
 
 
-def read_bronze(files: DataFrame, staging: str, block_bytes: int = X.BLOCK_BYTES) -> Bronze:
-    """Shred files once into a staged table by section, then parse each section from there."""
+def land_bronze(files: DataFrame, folder: str, block_bytes: int = X.BLOCK_BYTES) -> Bronze:
+    """Shred files once, parse each section once, and land the results as tables below `folder`.
+
+    The raw table is partitioned by section. Its files split, so a packed file that one task had to
+    stream is parsed by many.
+    """
     raw = X.shred(files, ["in_network", "provider_references", X.HEADER_SECTION], block_bytes)
-    raw.write.mode("overwrite").partitionBy("section").parquet(staging)
-    staged = files.sparkSession.read.schema(X.RAW).parquet(staging)
-    items = X.parse(staged, "in_network", S.ITEM)
-    references = X.parse(staged, "provider_references", S.PROVIDER_REFERENCE)
+    raw.write.mode("overwrite").partitionBy("section").parquet(f"{folder}/raw")
+    staged = files.sparkSession.read.schema(X.RAW).parquet(f"{folder}/raw")
+    failed = X.failed_files(staged)
+    whole = X.of_whole_files(staged, failed)
+    items = X.land(X.parse(whole, "in_network", S.ITEM), f"{folder}/items")
+    references = X.land(X.parse(whole, "provider_references", S.PROVIDER_REFERENCE), f"{folder}/references")
     return Bronze(
         items=X.good(items),
         references=X.good(references),
-        headers=X.headers(staged),
+        headers=X.headers(whole),
         rejects=X.rejects(items).unionByName(X.rejects(references)),
+        failed=failed,
     )
 
 

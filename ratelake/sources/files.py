@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 from urllib.parse import quote
 
@@ -67,18 +69,26 @@ def entries(name: str, stream) -> Iterator[tuple[str, object]]:
         yield name.rsplit("/", 1)[-1], stream
 
 
-ENTRY = "file_id STRING, file_name STRING, file_size BIGINT, file_hash STRING"
+ENTRY = "file_id STRING, file_name STRING, file_size BIGINT, file_hash STRING, error STRING"
+# What a damaged archive raises. Other I/O errors are left to the task, which Spark runs again.
+UNPACK_ERRORS = (EOFError, gzip.BadGzipFile, zlib.error, zipfile.BadZipFile)
 
 
-def _measure(file_id: str, stream) -> list[tuple[str, str, int, str]]:
+def _measure(file_id: str, stream) -> pd.DataFrame:
+    """Rows of the files in a landed file; one row with the error for an archive that cannot be unpacked."""
     rows = []
-    for name, entry in entries(file_id, stream):
-        digest, size = hashlib.sha256(), 0
-        while data := entry.read(READ_BYTES):
-            digest.update(data)
-            size += len(data)
-        rows.append((file_id, name, size, digest.hexdigest()))
-    return rows
+    try:
+        for name, entry in entries(file_id, stream):
+            digest, size = hashlib.sha256(), 0
+            while data := entry.read(READ_BYTES):
+                digest.update(data)
+                size += len(data)
+            rows.append((file_id, name, size, digest.hexdigest(), None))
+    except UNPACK_ERRORS as error:
+        rows = [(file_id, None, None, None, str(error))]
+    return pd.DataFrame(rows, columns=["file_id", "file_name", "file_size", "file_hash", "error"]).astype(
+        {"file_size": "Int64"}
+    )
 
 
 def measure_files(files: DataFrame) -> DataFrame:
@@ -88,24 +98,18 @@ def measure_files(files: DataFrame) -> DataFrame:
         for batch in batches:
             for file_id in batch["file_id"]:
                 with open_file(file_id) as stream:
-                    rows = _measure(file_id, stream)
-                yield pd.DataFrame(rows, columns=["file_id", "file_name", "file_size", "file_hash"])
+                    yield _measure(file_id, stream)
 
     return over_tasks(files.select("file_id"), "file_id").mapInPandas(run, ENTRY)
 
 
 def measure_archives(archives: DataFrame) -> DataFrame:
     """As `measure_files`, for archives that are rows with `content`."""
-    import io
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [
-                row
-                for file_id, content in zip(batch["file_id"], batch["content"])
-                for row in _measure(file_id, io.BytesIO(content))
-            ]
-            yield pd.DataFrame(rows, columns=["file_id", "file_name", "file_size", "file_hash"])
+            found = [_measure(file_id, io.BytesIO(content)) for file_id, content in zip(batch["file_id"], batch["content"])]
+            yield pd.concat(found)
 
     return archives.select("file_id", "content").mapInPandas(run, ENTRY)
 
@@ -113,7 +117,7 @@ def measure_archives(archives: DataFrame) -> DataFrame:
 def manifest(measured: DataFrame, job_id: Column, extension_rule: str = "last") -> DataFrame:
     """Rows of the file manifest from measured files."""
     name = F.col("file_name")
-    return measured.select(
+    return measured.where(name.isNotNull()).select(
         surrogate_id(V.ID_JOB_FILE, job_id, F.col("file_id"), name).alias("id"),
         job_id.alias("job_id"),
         "file_name",

@@ -23,13 +23,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratelake.schemas import HEADER
-from ratelake.sources.files import READ_BYTES, entries, open_file, over_tasks
+from ratelake.sources.files import READ_BYTES, UNPACK_ERRORS, entries, open_file, over_tasks
 
 BLOCK_BYTES = 64 << 20
 LOOKBACK = 4096
 QUOTE, BACKSLASH, OPEN_OBJECT, CLOSE_OBJECT, OPEN_ARRAY, CLOSE_ARRAY = b'"\\{}[]'
 KEY_AT_END = re.compile(rb'"((?:[^"\\]|\\.)*)"\s*:\s*$', re.DOTALL)
 HEADER_SECTION = "#header"
+FAILED_SECTION = "#failed"
 NO_SECTION = "\0"
 
 OPENS = "ARRAY<STRUCT<d: INT, n: BIGINT, name: STRING, object: BOOLEAN>>"
@@ -217,12 +218,15 @@ def _cut(chunks: Iterable[bytes], state: State, limit: float, wanted: frozenset[
             state.depth = int(after[-1])
         state.lead = (state.lead + chunk[-LOOKBACK:])[-LOOKBACK:]
         state.offset += len(chunk)
+    if open_parts is not None and open_at[0] in listed:
+        # The file ends inside an element: it comes out as it is and will not parse.
+        yield (*open_at, b"".join(open_parts))
 
 
 def _frames(file_id: str, items: Iterable[tuple[str, int, bytes]]) -> Iterator[pd.DataFrame]:
     rows, size = [], 0
     for section, item_no, text in items:
-        rows.append((file_id, section, item_no, text.decode("utf-8")))
+        rows.append((file_id, section, item_no, text.decode("utf-8", "replace")))
         size += len(text)
         if size > READ_BYTES or len(rows) >= 4096:
             yield pd.DataFrame(rows, columns=["file_id", "section", "item_no", "text"])
@@ -286,6 +290,8 @@ def shred(files: DataFrame, sections: Sequence[str], block_bytes: int = BLOCK_BY
 
     `files` is (file_id, file_size). `item_no` rises in document order within a file. Section
     HEADER_SECTION asks for the scalar members, see `headers`. Entries of a zip get the id `file!entry`.
+    An archive that cannot be unpacked gives a row of FAILED_SECTION, see `failed_files`; items may have
+    come before it.
     """
     wanted = frozenset(sections)
     last = F.greatest(F.ceil(F.col("file_size") / block_bytes) - 1, F.lit(0))
@@ -312,9 +318,12 @@ def shred(files: DataFrame, sections: Sequence[str], block_bytes: int = BLOCK_BY
             for row in batch.itertuples(index=False):
                 with open_file(row.file_id) as stream:
                     if row.packed:
-                        for name, entry in entries(row.file_id, stream):
-                            inner = f"{row.file_id}!{name}" if row.file_id.lower().endswith(".zip") else row.file_id
-                            yield from _frames(inner, _cut(_chunks(entry), State(), float("inf"), wanted))
+                        try:
+                            for name, entry in entries(row.file_id, stream):
+                                inner = f"{row.file_id}!{name}" if row.file_id.lower().endswith(".zip") else row.file_id
+                                yield from _frames(inner, _cut(_chunks(entry), State(), float("inf"), wanted))
+                        except UNPACK_ERRORS as error:
+                            yield from _frames(row.file_id, [(FAILED_SECTION, 0, str(error).encode())])
                         continue
                     size = int(row.file_size)
                     start = _safe_offset(stream, int(row.block_no) * block_bytes, size)
@@ -342,6 +351,13 @@ def parse(raw: DataFrame, section: str, schema: str) -> DataFrame:
     )
 
 
+def land(parsed: DataFrame, folder: str) -> DataFrame:
+    """Write parsed elements once, good and bad apart; the text stays only with the bad ones."""
+    kept = parsed.withColumn("text", F.when(F.col("bad"), F.col("text")))
+    kept.write.mode("overwrite").partitionBy("bad").parquet(folder)
+    return parsed.sparkSession.read.schema(kept.schema).parquet(folder)
+
+
 def good(parsed: DataFrame) -> DataFrame:
     return parsed.where(~F.col("bad")).drop("bad", "text")
 
@@ -350,6 +366,21 @@ def rejects(parsed: DataFrame) -> DataFrame:
     return parsed.where("bad").select("file_id", "item_no", "text")
 
 
+def failed_files(raw: DataFrame) -> DataFrame:
+    """Archives that could not be unpacked, with the reason."""
+    return raw.where(F.col("section") == FAILED_SECTION).select("file_id", F.col("text").alias("reason"))
+
+
+def of_whole_files(rows: DataFrame, failed: DataFrame) -> DataFrame:
+    """Without the rows of failed archives."""
+    archive = F.substring_index("file_id", "!", 1)
+    return (
+        rows.withColumn("_archive", archive)
+        .join(failed.select(F.col("file_id").alias("_archive")), "_archive", "left_anti")
+        .drop("_archive")
+    )
+
+
 def headers(raw: DataFrame) -> DataFrame:
     """Scalar members of each file. A file's header is a few short pieces, wherever they stand in it."""
     pieces = F.array_sort(F.collect_list(F.struct("item_no", "text")))

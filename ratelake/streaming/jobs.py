@@ -109,15 +109,18 @@ def start_routing(messages: DataFrame, target: str, checkpoint: str, prefix: str
 def start_rate_files(
     files: DataFrame, target: str, checkpoint: str, block_bytes: int = X.BLOCK_BYTES, once: bool = False
 ) -> StreamingQuery:
-    """Parse each landed in-network file into rate messages; items that do not parse go beside them."""
+    """Parse each landed in-network file into rate messages; items that do not parse and archives that do not unpack go beside them."""
 
     def write(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         staged = f"{target}/raw/batch={number}"
         X.shred(batch, ["in_network"], block_bytes).write.mode("overwrite").parquet(staged)
-        parsed = X.parse(spark.read.schema(X.RAW).parquet(staged), "in_network", S.ITEM)
+        raw = spark.read.schema(X.RAW).parquet(staged)
+        whole = X.of_whole_files(raw, X.failed_files(raw))
+        parsed = X.land(X.parse(whole, "in_network", S.ITEM), f"{target}/items/batch={number}")
         R.rate_messages(X.good(parsed)).write.mode("overwrite").parquet(f"{target}/messages/batch={number}")
         X.rejects(parsed).write.mode("overwrite").parquet(f"{target}/rejects/batch={number}")
+        X.failed_files(raw).write.mode("overwrite").parquet(f"{target}/failed/batch={number}")
 
     return _by_batch(files, checkpoint, write, once)
 

@@ -12,7 +12,7 @@ from ratelake import schemas as S
 from ratelake.operators import providers as G
 from ratelake.operators import rates as R
 from ratelake.operators import serving as A
-from ratelake.plans.rate_ingest import read_bronze, upsert_dimension, upsert_fact
+from ratelake.plans.rate_ingest import land_bronze, upsert_dimension, upsert_fact
 from ratelake.sources import files as D
 from ratelake.sources import shred as X
 
@@ -83,7 +83,7 @@ def landed(tmp_path_factory):
 @pytest.fixture(scope="module")
 def bronze(spark, landed, tmp_path_factory):
     staging = str(tmp_path_factory.mktemp("staging") / "raw")
-    return read_bronze(D.list_files(spark, landed), staging, block_bytes=128)
+    return land_bronze(D.list_files(spark, landed), staging, block_bytes=128)
 
 
 @pytest.fixture(scope="module")
@@ -231,3 +231,26 @@ def test_empty_file_gives_nothing(spark, tmp_path):
     (tmp_path / "bare.json").write_text("{}")
     raw = X.shred(D.list_files(spark, str(tmp_path)), ["in_network"])
     assert raw.count() == 0
+
+
+def test_broken_files(spark, tmp_path):
+    text = json.dumps(DOCUMENT).encode()
+    packed = gzip.compress(text * 50)
+    (tmp_path / "short.json.gz").write_bytes(packed[: len(packed) - 20])
+    (tmp_path / "no.zip").write_bytes(b"PK no archive")
+    (tmp_path / "fine.json").write_bytes(text)
+    (tmp_path / "cut.json").write_bytes(text[: text.index(b"470") + 20])
+    files = D.list_files(spark, str(tmp_path))
+    bronze = land_bronze(files, str(tmp_path / "staging"), block_bytes=200)
+    name = lambda r: r.file_id.rsplit("/", 1)[1]
+    assert sorted(name(r) for r in bronze.failed.collect()) == ["no.zip", "short.json.gz"]
+    assert sorted((name(r), r.billing_code) for r in bronze.items.collect()) == [
+        ("cut.json", "99213"),
+        ("fine.json", "470"),
+        ("fine.json", "99213"),
+    ]
+    rejects = bronze.rejects.collect()
+    assert [name(r) for r in rejects] == ["cut.json"] and "470" in rejects[0].text
+    measured = D.measure_files(files).collect()
+    assert sorted(name(r) for r in measured if r.error) == ["no.zip", "short.json.gz"]
+    assert D.manifest(D.measure_files(files), F.lit("j")).count() == 2
