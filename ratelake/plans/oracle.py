@@ -214,9 +214,8 @@ once AS (
          min(requested_at) AS requested_at,
          CASE WHEN source_type <> 'CIGNA_INDEX_API' THEN 'source type not handled'
               WHEN url IS NULL THEN 'listing url missing' END AS reason
-  FROM requests GROUP BY ALL)""",
+  FROM requests GROUP BY 1, 2, 3, 4)""",
 )
-REQUESTS = (REQUESTS[0], REQUESTS[1].replace("GROUP BY ALL", "GROUP BY 1, 2, 3, 4"))
 JOB_ID = ident("ins_job", "request_id")
 ORACLE["trigger_jobs"] = with_(
     *REQUESTS,
@@ -273,7 +272,6 @@ ORACLE["rate_summary_by_code"] = with_(
   CAST(sum(rate) AS DOUBLE) AS sum_rate, CAST(sum(rate) AS DOUBLE) / count(rate) AS avg_rate
 FROM prices LEFT JOIN part ON p_partkey = l_partkey GROUP BY code""",
 )
-PRICE_TEXT = """'{kind}|' || {rate}expires || '|11/' || (l_linenumber + 10) || '|' || class || '|' || setting || '|' || l_returnflag"""
 ORACLE["rate_messages"] = with_(
     PRICES,
     select="""SELECT CAST(l_orderkey AS VARCHAR) AS file_id, CAST(l_linenumber AS BIGINT) AS item_no, 0 AS rate_no,

@@ -42,7 +42,9 @@ def import_toc(
     """All tables of an import; the plan table is merged once for the whole index.
 
     Nothing runs until a table is used, except that with a `staging` folder the plans and the
-    pairs of file and plan, which several tables share, are written there first. A structure dropped for its placeholder adds neither files nor plans, but its plans still
+    pairs of file and plan, which several tables share, are written there first.
+
+    A structure dropped for its placeholder adds neither files nor plans, but its plans still
     serve as donors of ids.
     """
     good = T.first_plans(T.flatten_plans(structures))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pathlib import Path
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.protobuf.functions import to_protobuf
@@ -41,6 +39,3 @@ def send_rates(messages: DataFrame, servers: str, descriptor: str, topic: str =
         .options(**options)
         .save()
     )
-
-
-PROTO = Path(__file__).with_name("rate_message.proto")

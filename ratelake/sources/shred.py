@@ -28,6 +28,8 @@ from ratelake.sources.files import READ_BYTES, UNPACK_ERRORS, entries, open_file
 BLOCK_BYTES = 64 << 20
 LOOKBACK = 4096
 QUOTE, BACKSLASH, OPEN_OBJECT, CLOSE_OBJECT, OPEN_ARRAY, CLOSE_ARRAY = b'"\\{}[]'
+IS_BRACKET = np.isin(np.arange(256), (OPEN_OBJECT, CLOSE_OBJECT, OPEN_ARRAY, CLOSE_ARRAY))
+MAX_DEPTH = 1000
 KEY_AT_END = re.compile(rb'"((?:[^"\\]|\\.)*)"\s*:\s*$', re.DOTALL)
 HEADER_SECTION = "#header"
 FAILED_SECTION = "#failed"
@@ -47,23 +49,25 @@ RAW = "file_id STRING, section STRING, item_no BIGINT, text STRING"
 def _real_quotes(buf: np.ndarray) -> np.ndarray:
     """Positions of the quotes that no backslash escapes."""
     quotes = np.flatnonzero(buf == QUOTE)
-    slashes = np.flatnonzero(buf == BACKSLASH)
-    if not len(slashes) or not len(quotes):
+    doubtful = np.flatnonzero((quotes > 0) & (buf[quotes - 1] == BACKSLASH))
+    if not len(doubtful):
         return quotes
+    # Behind an odd run of backslashes a quote is escaped.
+    slashes = np.flatnonzero(buf == BACKSLASH)
     fresh = np.diff(slashes, prepend=-2) != 1
     run_start = np.maximum.accumulate(np.where(fresh, np.arange(len(slashes)), 0))
-    run_length = np.arange(len(slashes)) - run_start + 1
-    before = np.searchsorted(slashes, quotes) - 1
-    touching = (before >= 0) & (slashes[before] == quotes - 1)
-    return quotes[~(touching & (run_length[before] % 2 == 1))]
+    last = np.searchsorted(slashes, quotes[doubtful]) - 1
+    return np.delete(quotes, doubtful[(last - run_start[last]) % 2 == 0])
+
+
+def _brackets(buf: np.ndarray, quotes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of all brackets, and how many quotes stand before each, modulo 2."""
+    at = np.flatnonzero(IS_BRACKET[buf])
+    return at, np.searchsorted(quotes, at) & 1
 
 
-def _brackets(buf: np.ndarray, quotes: np.ndarray, in_string: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Positions, kinds and depth steps of the brackets outside strings."""
-    at = np.flatnonzero((buf == OPEN_OBJECT) | (buf == CLOSE_OBJECT) | (buf == OPEN_ARRAY) | (buf == CLOSE_ARRAY))
-    at = at[(np.searchsorted(quotes, at) + in_string) % 2 == 0]
-    kinds = buf[at]
-    return at, kinds, np.where((kinds == OPEN_OBJECT) | (kinds == OPEN_ARRAY), 1, -1)
+def _steps(kinds: np.ndarray) -> np.ndarray:
+    return np.where((kinds == OPEN_OBJECT) | (kinds == OPEN_ARRAY), 1, -1)
 
 
 def _key_before(text: bytes, end: int) -> str:
@@ -109,25 +113,25 @@ def _summarize(lead: bytes, data: bytes) -> dict:
     text = lead + data
     buf = np.frombuffer(data, dtype=np.uint8)
     quotes = _real_quotes(buf)
+    brackets, odd = _brackets(buf, quotes)
     out = {"quotes": len(quotes)}
     for case, in_string in (("out", 0), ("in", 1)):
-        at, kinds, step = _brackets(buf, quotes, in_string)
+        at = brackets[odd == in_string]
+        kinds = buf[at]
+        step = _steps(kinds)
         before = np.cumsum(step) - step
-        opener = step == 1
+        # Depths 1 and 2 of the document are at most 2 from here, and no document nests deeper than this.
+        seen = np.flatnonzero((step == 1) & (before <= 2) & (before >= -MAX_DEPTH))
+        place = before[seen] + MAX_DEPTH
+        objects = np.bincount(place[kinds[seen] == OPEN_OBJECT], minlength=MAX_DEPTH + 3)
+        last = np.full(MAX_DEPTH + 3, -1)
+        last[place] = seen
         opens = []
-        for depth in np.unique(before[opener]):
-            here = np.flatnonzero(opener & (before == depth))
-            last = here[-1]
-            is_object = kinds[last] == OPEN_OBJECT
-            name = NO_SECTION if is_object else _key_before(text, len(lead) + int(at[last]))
-            opens.append(
-                {
-                    "d": int(depth),
-                    "n": int((kinds[here] == OPEN_OBJECT).sum()),
-                    "name": name,
-                    "object": bool(is_object),
-                }
-            )
+        for depth in np.flatnonzero(last >= 0):
+            where = int(last[depth])
+            is_object = bool(kinds[where] == OPEN_OBJECT)
+            name = NO_SECTION if is_object else _key_before(text, len(lead) + int(at[where]))
+            opens.append({"d": int(depth) - MAX_DEPTH, "n": int(objects[depth]), "name": name, "object": is_object})
         out[f"delta_{case}"] = int(step.sum())
         out[f"opens_{case}"] = opens
     return out
@@ -160,7 +164,10 @@ def _cut(chunks: Iterable[bytes], state: State, limit: float, wanted: frozenset[
             return
         buf = np.frombuffer(chunk, dtype=np.uint8)
         quotes = _real_quotes(buf)
-        at, kinds, step = _brackets(buf, quotes, state.in_string)
+        at, odd = _brackets(buf, quotes)
+        at = at[odd == state.in_string]
+        kinds = buf[at]
+        step = _steps(kinds)
         after = state.depth + np.cumsum(step)
         before = after - step
 

@@ -8,12 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ratelake import schemas as S
 from ratelake import values as V
+from ratelake.functions.keys import surrogate_id
 from ratelake.functions.text import bare_topic
 from ratelake.operators import rates as R
 from ratelake.sources import shred as X
@@ -90,7 +91,11 @@ def routed(messages: DataFrame, prefix: str = "") -> DataFrame:
         .when(F.col("m.id").isNull(), "no job id")
     )
     return messages.withColumn("m", parsed).select(
-        topic.alias("topic"), "value", F.col("m.id").alias("job_id"), F.col("m.payload").alias("payload"), reason.alias("reason")
+        topic.alias("topic"),
+        *[column for column in messages.columns if column != "topic"],
+        F.col("m.id").alias("job_id"),
+        F.col("m.payload").alias("payload"),
+        reason.alias("reason"),
     )
 
 
@@ -125,6 +130,14 @@ def start_rate_files(
     return _by_batch(files, checkpoint, write, once)
 
 
-def status_events(messages: DataFrame, status: Column) -> DataFrame:
-    """Status events of consumed messages, ready to append: the state machine lives in the events."""
-    return messages.select("job_id", status.alias("status"), F.col("at").alias("status_time"))
+def opened_attempts(rows: DataFrame) -> DataFrame:
+    """A PENDING event per handled message, to append to the status events: it opens an attempt of its job.
+
+    `rows` are routed messages with their time `at`.
+    """
+    return rows.where(F.col("reason").isNull()).select(
+        surrogate_id("event", F.col("topic"), F.col("job_id"), F.col("at")).alias("event_id"),
+        "job_id",
+        F.lit("PENDING").alias("status"),
+        F.col("at").alias("status_time"),
+    )

@@ -72,3 +72,10 @@ def test_first_requests(spark, tmp_path):
         stream = M.first_requests(spark.readStream.schema(df.schema).parquet(source), ["request_id"], "at", "1 hour")
         M.start_append(stream.select("request_id"), target, checkpoint, once=True).awaitTermination()
     assert sorted(r.request_id for r in spark.read.parquet(target).collect()) == ["r1", "r2"]
+
+
+def test_consumed_messages_open_attempts(spark):
+    rows = [("allowed-amount", '{"id":"1"}', 1), ("allowed-amount", '{"id":"1"}', 2), ("other", '{"id":"3"}', 3)]
+    messages = spark.createDataFrame(rows, "topic string, value string, at int").withColumn("at", F.timestamp_seconds("at"))
+    status = J.latest_status(M.opened_attempts(M.routed(messages))).collect()
+    assert [(r.job_id, r.status, r.attempt) for r in status] == [("1", "PENDING", 2)]
