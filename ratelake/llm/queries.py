@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from ratelake.llm import fingerprints, mixing, packing, pii, secrets, simhash, toxicity
+from ratelake.llm import fingerprints, html, mixing, packing, pii, secrets, simhash, toxicity
 
 QUERIES = {
     "op3_simhash": simhash.op3_simhash,
     "op4_mixing": mixing.op4_mixing,
     "op5_pii": pii.op5_pii,
     "op6_packing": packing.op6_packing,
+    "op7_html": html.op7_html,
     "op8_fingerprints": fingerprints.op8_fingerprints,
     "op9_secrets": secrets.op9_secrets,
     "op10_toxicity": toxicity.op10_toxicity,
