@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from ratelake.llm import fingerprints, html, mixing, neighbours, packing, pii, secrets, simhash, toxicity
+from ratelake.llm import fingerprints, html, licenses, mixing, neighbours, packing, pii, secrets, simhash, toxicity
 
 QUERIES = {
+    "op1_licenses": licenses.op1_licenses,
     "op2_neighbours": neighbours.op2_neighbours,
     "op3_simhash": simhash.op3_simhash,
     "op4_mixing": mixing.op4_mixing,
