@@ -159,19 +159,17 @@ def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), repeats: int = 3) -
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The documents of the mix, a row for each time it takes one, with the columns of `docs`."""
-    taken = mix(docs).filter("passes > 0").select(
-        F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "passes"
+    taken = mix(docs).filter("passes > 0").select("doc_id", "source", "size", "passes")
+    same = (
+        F.col("row.doc_id").eqNullSafe(F.col("doc_id"))
+        & F.col("row.source").eqNullSafe(F.col("source"))
+        & (F.col("words") == F.col("size"))
     )
     return (
-        docs.withColumn("_words", word_count(F.col("text")))
-        .join(
-            taken,
-            F.col("doc_id").eqNullSafe(F.col("_id"))
-            & F.col("source").eqNullSafe(F.col("_source"))
-            & (F.col("_words") == F.col("_size")),
-        )
-        .withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("passes"))))
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+        docs.select(F.struct("*").alias("row"), word_count(F.col("text")).alias("words"))
+        .join(taken, same)
+        .select("row", F.explode(F.sequence(F.lit(1), F.col("passes"))))
+        .select("row.*")
     )
 
 

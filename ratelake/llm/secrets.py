@@ -19,10 +19,9 @@ from ratelake.llm.spans import pieces, placed
 
 #: A candidate: a token of 12 characters or more that may be a key, or what follows name= or name: .
 CANDIDATE = (
-    r"(?<![A-Za-z0-9_+/.=@%-])"
-    r"(?:(?=[A-Za-z0-9_+/.=-]{0,200}[0-9])[A-Za-z0-9_+/.=-]{12,}+|(?<=[=:][\x20\"']{0,2})[A-Za-z0-9_+/.!$-]{8,}+)"
+    r"(?<![A-Za-z0-9_+/.@%-])"
+    r"(?:(?=[A-Za-z0-9_+/.-]{0,200}[0-9])[A-Za-z0-9_+/.-]{12,}+={0,2}|(?<=[=:][\x20\"']{0,2})[A-Za-z0-9_+/.!$-]{8,}+)"
 )
-NAMED = r"[A-Za-z_][A-Za-z0-9_.-]*[\x20]?[=:][\x20]?[\"']?"
 #: What candidates are looked for in: a text with one of these.
 HINT = r"[A-Za-z0-9_+/.=-]{12}|[=:]"
 #: Labelled rows of the corpus that a fit may see, the least by a hash.
@@ -197,22 +196,22 @@ def scan(docs: DataFrame, path: str = "source", threshold: float = THRESHOLD) ->
 
 def masked_documents(docs: DataFrame, path: str = "source") -> DataFrame:
     """Every row of `docs` with its secrets masked in text, and n_chars to match; other columns stay."""
-    text = F.coalesce(F.col("text"), F.lit(""))
     hits = (
         scan(docs, path)
         .filter(F.size("secrets") > 0)
-        .select("key", F.transform("secrets", lambda s: s["value"]).alias("_values"))
+        .select("key", F.transform("secrets", lambda s: s["value"]).alias("values"))
         .dropDuplicates(["key"])
-        .withColumnRenamed("key", "_key")
     )
-    key = F.struct(F.xxhash64(text).alias("hash"), F.length(text).alias("length"))
-    longest = F.array_sort(F.array_distinct("_values"), lambda a, b: F.length(b) - F.length(a))
-    masked = F.aggregate(longest, F.col("text"), lambda t, v: F.replace(t, v, F.lit(MASK)))
-    joined = docs.withColumn("_k", key).join(hits, F.col("_k") == F.col("_key"), "left")
-    changed = {"text": F.when(F.col("_values").isNull(), F.col("text")).otherwise(masked)}
+    text = F.coalesce(F.col("text"), F.lit(""))
+    mine = F.struct(F.xxhash64(text).alias("hash"), F.length(text).alias("length"))
+    longest = F.array_sort(F.array_distinct("values"), lambda a, b: F.length(b) - F.length(a))
+    masked = F.aggregate(longest, F.col("row.text"), lambda t, v: F.replace(t, v, F.lit(MASK)))
+    joined = docs.select(F.struct("*").alias("row"), mine.alias("mine")).join(hits, F.col("mine") == F.col("key"), "left")
+    joined = joined.select("row", F.when(F.col("values").isNotNull(), masked).alias("masked"))
+    changed = {"text": F.coalesce("masked", "row.text")}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("_values").isNull(), F.col("n_chars")).otherwise(F.length(masked).cast("long"))
-    return joined.select(*[changed[c].alias(c) if c in changed else F.col(f"`{c}`") for c in docs.columns])
+        changed["n_chars"] = F.coalesce(F.length("masked").cast("long"), "row.n_chars")
+    return joined.select(*[(changed[c] if c in changed else F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -151,9 +151,13 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
 
 
 def kept_documents(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """One document of each group of near-duplicates: the one that names it, once. All columns stay."""
+    """One document of each group of near-duplicates: the one that names it, once. All columns stay.
+
+    Rows that repeat an id are one document; of rows with a NULL id, one stays for all groups without ids.
+    """
     heads = near_duplicates(docs, radius).select(F.col("component_id").alias("_id")).distinct()
-    return docs.dropDuplicates(["doc_id"]).join(heads, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    rows = docs.select(F.col("doc_id").alias("id"), F.struct("*").alias("row")).dropDuplicates(["id"])
+    return rows.join(heads, F.col("id").eqNullSafe(F.col("_id")), "left_semi").select("row.*")
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ratelake.llm.common import table, utf8
 
@@ -67,15 +68,15 @@ def _sample(docs: DataFrame, labels: DataFrame, positives: int, unlabelled: int)
 
     # The sample is bounded by its two parameters, so it may be broadcast and collected.
     rows = (
-        docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+        docs.select("doc_id", "text")
+        .join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
         .select("_confirmed", utf8(F.col("text")).alias("text"))
         .mapInArrow(work, "confirmed boolean, features binary")
-        .collect()
+        .toArrow()
     )
-    rows = sorted(rows, key=lambda r: bytes(r["features"]))
     sides = ([], [])
-    for row in rows:
-        sides[0 if row["confirmed"] else 1].append(np.frombuffer(bytes(row["features"]), np.uint32))
+    for confirmed, own in sorted(zip(rows["confirmed"].to_pylist(), rows["features"].to_pylist(), strict=True)):
+        sides[0 if confirmed else 1].append(np.frombuffer(own, np.uint32))
     return sides
 
 
@@ -95,14 +96,21 @@ def train(
     """
     if not confirmed or not unlabelled:
         return {}, -10.0
-    texts = confirmed + unlabelled
     n, m = len(confirmed), len(unlabelled)
-    names, columns = np.unique(np.concatenate(texts), return_inverse=True)
-    rows = np.repeat(np.arange(n + m), [len(t) for t in texts])
-    often = np.bincount(columns[rows < n], minlength=len(names))
+    names, often = np.unique(np.concatenate(confirmed), return_counts=True)
+    names, often = names[often >= 3], often[often >= 3]
+    if not len(names):
+        return {}, -10.0
+    # Only what several confirmed texts have can be used, so nothing else of a text is kept.
+    held = []
+    for text in confirmed + unlabelled:
+        at = np.minimum(np.searchsorted(names, text), len(names) - 1)
+        held.append(at[names[at] == text].astype(np.int32))
+    columns = np.concatenate(held)
+    rows = np.repeat(np.arange(n + m), [len(t) for t in held])
     rare = np.bincount(columns[rows >= n], minlength=len(names))
     expected = n * (rare + 0.5) / (m + 1)
-    use = (often >= 3) & (often - expected >= SURPRISE * np.sqrt(expected + 0.5))
+    use = often - expected >= SURPRISE * np.sqrt(expected + 0.5)
     if not use.any():
         return {}, -10.0
     names = names[use]
@@ -152,13 +160,19 @@ def toxicity(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unl
     other rows, repeated or NULL labels do no harm: an id is confirmed if any of its labels is 1. Words
     count once a text, so a score neither ends with a prefix nor grows with a repeated line.
     """
-    weights, bias = train(*_sample(docs, labels, positives, unlabelled), _prior(labels))
+    rows = docs.select(F.struct("doc_id", held_out(F.col("doc_id")).alias("held_out")).alias("row"), utf8(F.col("text")).alias("text"))
+    model = train(*_sample(docs, labels, positives, unlabelled), _prior(labels))
+    return scored(rows, *model).select("row.*", "score").withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+
+
+def scored(rows: DataFrame, weights: dict[int, float], bias: float) -> DataFrame:
+    """(row, score) for (row, text as bytes): the row passes by as it is."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, float] = {}
         for batch in batches:
             scores = []
-            for raw in batch.column(2):
+            for raw in batch.column(1):
                 words = set(WORDS.findall(raw.as_py().decode("utf-8", "replace").lower()))
                 fresh = words.difference(known)
                 if len(known) > CACHE:
@@ -168,20 +182,17 @@ def toxicity(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unl
                     known[word] = sum(weights.get(f, 0.0) for f in features(word))
                 g = bias + math.fsum(map(known.__getitem__, words))
                 scores.append(1 / (1 + math.exp(-max(-30.0, min(30.0, g)))))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(scores, pa.float64())], names=["doc_id", "held_out", "score"]
-            )
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64())], names=["row", "score"])
 
-    read = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), utf8(F.col("text")).alias("text"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    scored = read.mapInArrow(work, f"doc_id {kind}, held_out boolean, score double")
-    return scored.withColumn("predicted", (F.col("score") >= THRESHOLD).cast("int"))
+    kind = T.StructType([T.StructField("row", rows.schema["row"].dataType), T.StructField("score", T.DoubleType())])
+    return rows.mapInArrow(work, kind)
 
 
 def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not scored as toxic, with all their columns."""
-    rejected = toxicity(docs, labels).filter("predicted = 1").select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(rejected, F.col("doc_id").eqNullSafe(F.col("_id")), "left_anti")
+    """The documents that are not scored as toxic, with all their columns. No exchange."""
+    rows = docs.select(F.struct("*").alias("row"), utf8(F.col("text")).alias("text"))
+    model = train(*_sample(docs, labels, POSITIVES, UNLABELLED), _prior(labels))
+    return scored(rows, *model).filter(F.col("score") < THRESHOLD).select("row.*")
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
