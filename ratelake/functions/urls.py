@@ -20,5 +20,9 @@ def suffix_extension(suffix: Column) -> Column:
 
 
 def url_extension(url: Column) -> Column:
-    """Extension of the path of a URL; a text that is no URL gives UNKNOWN."""
-    return suffix_extension(F.substring_index(F.try_parse_url(url, F.lit("PATH")), ".", -1))
+    """Extension of the path of a URL, by its text: without scheme, host, query and fragment.
+
+    A text that is no URL, or a path without a dot, gives UNKNOWN; blanks and bars in a path do no harm.
+    """
+    path = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)", 1)
+    return suffix_extension(F.substring_index(F.when(F.contains(path, F.lit(".")), path), ".", -1))

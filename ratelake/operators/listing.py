@@ -23,12 +23,22 @@ def page(
 
 
 def page_after(
-    df: DataFrame, sort: str, row_id: str, last: tuple, size: int = 10, columns: Sequence[str] | None = None
+    df: DataFrame, sort: str, row_id: str, last: tuple, size: int = 10, columns: Sequence[str] | None = None,
+    ascending: bool = True,
 ) -> DataFrame:
-    """The page behind the row with sort value and id `last`, at the same cost however deep it lies."""
-    value, last_id = F.lit(last[0]), F.lit(last[1])
-    behind = (F.col(sort) > value) | ((F.col(sort) == value) & (F.col(row_id) > last_id))
-    return df.where(behind).orderBy(sort, row_id).limit(size).select(*(columns or df.columns))
+    """The page behind the row with sort value and id `last`, at the same cost however deep it lies.
+
+    NULL sort values come first in ascending order and last in descending order, as on `page`.
+    """
+    value, last_id = last
+    column, later_id = F.col(sort), F.col(row_id) > F.lit(last_id)
+    if value is None:
+        behind = (column.isNull() & later_id) | (column.isNotNull() if ascending else F.lit(False))
+    else:
+        further = column > F.lit(value) if ascending else (column < F.lit(value)) | column.isNull()
+        behind = further | ((column == F.lit(value)) & later_id)
+    order = [column.asc() if ascending else column.desc(), F.col(row_id).asc()]
+    return df.where(behind).orderBy(*order).limit(size).select(*(columns or df.columns))
 
 
 def selection_counts(df: DataFrame, selected: Column) -> DataFrame:

@@ -33,8 +33,8 @@ def members(references: DataFrame) -> DataFrame:
 
 
 def bridge(member_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(group, NPI) pairs and NPIs, each once."""
-    pairs = member_rows.select("provider_group_id", "npi").distinct()
+    """(file, group, NPI) and NPIs, each once. A group's number counts within its file only."""
+    pairs = member_rows.select("file_id", "provider_group_id", "npi").distinct()
     return pairs, pairs.select("npi").distinct()
 
 

@@ -63,8 +63,19 @@ def wire_messages(messages: DataFrame) -> DataFrame:
     )
 
 
+def _canonical(price: Column) -> Column:
+    """A price with its arrays as the hash sees them: NULL is empty, without NULL and empty members, in order."""
+    for field in ("service_code", "billing_code_modifier"):
+        members = F.filter(array_or_empty(price[field], "string"), lambda x: x.isNotNull() & (x != ""))
+        price = price.withField(field, F.sort_array(members))
+    return price
+
+
 def prices(messages: DataFrame) -> DataFrame:
-    """One row per negotiated price, providers still in their array."""
+    """One row per negotiated price, providers still in their array.
+
+    Arrays are made canonical first, so prices of one hash have one set of attributes.
+    """
     code_type, code = F.col("procedure.billing_code_type"), F.col("procedure.billing_code")
     return (
         messages.select(
@@ -75,6 +86,7 @@ def prices(messages: DataFrame) -> DataFrame:
             "provider_ids",
             F.explode("negotiated_prices").alias("price"),
         )
+        .withColumn("price", _canonical(F.col("price")))
         .withColumn("procedure_hash", price_hash(F.col("billing_code_type"), F.col("billing_code"), F.col("price")))
     )
 

@@ -51,15 +51,18 @@ def first_plans(plans: DataFrame) -> DataFrame:
 
 
 def rank_plans(plans: DataFrame, bucket_width: int = 4096) -> DataFrame:
-    """Number the plans with an id within their name, in document order."""
-    named = plans.where(filled(F.col("plan_id"))).withColumn("plan_name", or_empty(F.col("plan_name")))
-    return rank_over(
+    """Number the plans with an id within their name, in document order. NULL is a name of its own."""
+    named = plans.where(filled(F.col("plan_id"))).withColumns(
+        {"_name": or_empty(F.col("plan_name")), "_unnamed": F.col("plan_name").isNull()}
+    )
+    ranked = rank_over(
         named,
-        ["file_id", "plan_name"],
+        ["file_id", "_name", "_unnamed"],
         [F.col("rs_pos"), F.col("plan_pos")],
         F.floor(F.col("rs_pos") / bucket_width),
         "name_rank",
     )
+    return ranked.drop("_name", "_unnamed")
 
 
 def backfill_plans(plans: DataFrame, good: DataFrame) -> DataFrame:

@@ -393,9 +393,9 @@ def provider_ref_members(spark, folder):
 def provider_bridge(spark, folder):
     references = I.references(spark, folder)
     pairs, providers = G.bridge(G.members(references))
-    groups = references.select("provider_group_id", F.col("network_name").alias("group_name"))
+    groups = references.select("file_id", "provider_group_id", F.col("network_name").alias("group_name"))
     known = providers.select("npi", K.surrogate_id("provider", F.col("npi")).alias("provider_id"))
-    return groups.join(pairs, "provider_group_id").join(known, "npi")
+    return groups.join(pairs, ["file_id", "provider_group_id"]).join(known, "npi").drop("file_id")
 
 
 # --- serving -----------------------------------------------------------------------------

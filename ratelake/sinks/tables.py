@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 
 
 def append_new(df: DataFrame, table: str, stored: DataFrame, key: str = "id") -> None:
-    """Append the rows whose key is not stored yet.
+    """Append the rows whose key is not stored yet, each key once.
 
-    Ids follow from what a row stands for, so a run that is repeated appends nothing twice.
+    Ids follow from what a row stands for, so a run that is repeated appends nothing twice, and rows of
+    one batch that share a key are the same row.
     """
-    fresh = df.join(stored.select(key), key, "left_anti").select(*df.columns)
+    fresh = df.join(stored.select(key), key, "left_anti").dropDuplicates([key]).select(*df.columns)
     fresh.write.mode("append").parquet(table)
 
 
