@@ -25,6 +25,8 @@ from ratelake.llm.common import table, utf8
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 12, 2
+#: Words of short texts that are scanned together.
+TOGETHER = 30_000
 #: Words whose hash a task keeps; beyond, it starts anew.
 CACHE = 400_000
 WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
@@ -78,16 +80,6 @@ def _shingles(hashes: np.ndarray, width: int) -> np.ndarray:
     return (mixed >> np.uint64(16)).astype(np.uint32)
 
 
-def _minima(values: np.ndarray, width: int) -> np.ndarray:
-    """The least of each `width` values in turn."""
-    done = 1
-    while 2 * done <= width:
-        values = np.minimum(values[:-done], values[done:])
-        done *= 2
-    rest = width - done
-    return np.minimum(values[:-rest], values[rest:]) if rest else values
-
-
 class Scanner:
     """The templates by number of shingles, with the minima of their bands."""
 
@@ -115,31 +107,65 @@ class Scanner:
         return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
     def scan(self, words: list[bytes]) -> list[tuple[str, int, int, float]]:
-        """(license, first word, word behind the last, containment) of each finding, best first where they overlap."""
-        shingles = _shingles(self.hashes(words), self.shingle)
-        if not len(shingles):
-            return []
-        found = []
-        scaled = [shingles * f for f in self.factors]
-        for width, templates in self.classes.items():
-            # A text a little shorter than the template may still hold most of it.
-            span = min(width, len(shingles))
-            step = max(1, width // 8)
-            minima = [_minima(values, span)[::step] for values in scaled]
-            for name, own, signature in templates:
-                hit = np.zeros(len(minima[0]), bool)
-                for band in range(0, BANDS * ROWS, ROWS):
-                    match = minima[band] == signature[band]
-                    for row in range(1, ROWS):
-                        match &= minima[band + row] == signature[band + row]
-                    hit |= match
-                for start in (np.nonzero(hit)[0] * step).tolist():
-                    found += self._verified(name, own, shingles, start, width)
-        return self._settled(found)
-
-    def _verified(self, name: str, own: np.ndarray, shingles: np.ndarray, start: int, width: int) -> list:
+        """(license, first word, word behind the last, containment) of each finding, by place."""
+        return self.scan_many([words])[0]
+
+    def scan_many(self, texts: list[list[bytes]]) -> list[list[tuple[str, int, int, float]]]:
+        """The findings of each text. Windows slide over all texts at once; a finding lies within one."""
+        gap = [b"\n"] * self.shingle  # no word, so no shingle of two texts is one of a template
+        starts, joined = [], []
+        for words in texts:
+            starts.append(len(joined))
+            joined += words
+            joined += gap
+        joined += gap[:1] * max(self.classes)  # so that a window fits on a text shorter than its template
+        shingles = _shingles(self.hashes(joined), self.shingle)
+        hits = self._retrieved(shingles)
+        found: list[list] = [[] for _ in texts]
+        for name, own, width, places in hits:
+            for place in places:
+                # The window may reach over an edge, so each text it touches is looked at.
+                first = max(0, int(np.searchsorted(starts, place - width // 2, "right")) - 1)
+                last = int(np.searchsorted(starts, place + width + width // 2, "left"))
+                for text in range(first, last):
+                    low, high = starts[text], starts[text] + len(texts[text]) - self.shingle + 1
+                    for _, a, b, share in self._verified(name, own, shingles, place, width, low, high):
+                        found[text].append((name, a - low, b - low, share))
+        return [self._settled(own) for own in found]
+
+    def _retrieved(self, shingles: np.ndarray) -> list[tuple[str, np.ndarray, int, list[int]]]:
+        """(license, its shingles, their number, window places) wherever a band of a template's minima fits."""
+        n = len(shingles)
+        hit = {(w, t): None for w, templates in self.classes.items() if w <= n for t in range(len(templates))}
+        for band in range(0, BANDS * ROWS, ROWS):
+            match: dict = {}
+            for row in range(band, band + ROWS):
+                levels = {1: shingles * self.factors[row]}
+                for width, templates in self.classes.items():
+                    if width > n:
+                        continue
+                    half = 1 << (width.bit_length() - 1)
+                    while half not in levels:
+                        done = max(levels)
+                        levels[2 * done] = np.minimum(levels[done][:-done], levels[done][done:])
+                    step, count, level = max(1, width // 8), n - width + 1, levels[half]
+                    least = np.minimum(level[:count:step], level[width - half : width - half + count : step])
+                    for t, (_, _, signature) in enumerate(templates):
+                        same = least == signature[row]
+                        match[width, t] = same if (width, t) not in match else match[width, t] & same
+            for key, same in match.items():
+                hit[key] = same if hit[key] is None else hit[key] | same
+        out = []
+        for (width, t), same in hit.items():
+            name, own, _ = self.classes[width][t]
+            places = (np.nonzero(same)[0] * max(1, width // 8)).tolist()
+            if places:
+                out.append((name, own, width, places))
+        return out
+
+    def _verified(self, name: str, own: np.ndarray, shingles: np.ndarray, start: int, width: int, floor: int, end: int) -> list:
         """The stretch of at most 1.25 widths around a window that holds most of a template, if it is enough."""
-        low, high = max(0, start - width // 2), min(len(shingles), start + width + width // 2)
+        low, high = max(floor, start - width // 2), min(end, start + width + width // 2)
         here = np.nonzero(np.isin(shingles[low:high], own))[0] + low
         best = (0.0, 0, 0)
         longest = width + width // 4
@@ -162,6 +188,21 @@ class Scanner:
         return sorted(kept, key=lambda f: f[1])
 
 
+def _groups(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
+    """Texts with their words, together until they have TOGETHER words; a longer text stands alone."""
+    group, size = [], 0
+    for doc_id, raw in rows:
+        raw = raw.as_py().lower()  # bytes: A-Z only, so no place moves
+        words = WORD.findall(raw)
+        if group and size + len(words) > TOGETHER:
+            yield group
+            group, size = [], 0
+        group.append((doc_id, raw, words))
+        size += len(words)
+    if group:
+        yield group
+
+
 def licenses(
     docs: DataFrame, templates: Mapping[str, list[str]] = TEMPLATES, shingle: int = SHINGLE, similarity: float = SIMILARITY
 ) -> DataFrame:
@@ -178,16 +219,15 @@ def licenses(
         scanner = Scanner(templates, shingle, similarity)
         for batch in batches:
             rows = []
-            for doc_id, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                raw = raw.as_py().lower()  # bytes: A-Z only, so no place moves
-                hits = scanner.scan(WORD.findall(raw))
-                if not hits:
-                    continue
-                places = [m.span() for m in WORD.finditer(raw)]
-                for name, first, last, share in hits:
-                    a, b = places[first][0], places[last - 1][1]
-                    start = len(raw[:a].decode("utf-8", "replace"))
-                    rows.append((doc_id, name, start, start + len(raw[a:b].decode("utf-8", "replace")), share))
+            for group in _groups(zip(batch.column(0).to_pylist(), batch.column(1), strict=True)):
+                for (doc_id, raw, _), hits in zip(group, scanner.scan_many([words for _, _, words in group]), strict=True):
+                    if not hits:
+                        continue
+                    places = [m.span() for m in WORD.finditer(raw)]
+                    for name, first, last, share in hits:
+                        a, b = places[first][0], places[last - 1][1]
+                        start = len(raw[:a].decode("utf-8", "replace"))
+                        rows.append((doc_id, name, start, start + len(raw[a:b].decode("utf-8", "replace")), share))
             columns = list(zip(*rows, strict=True)) or [()] * 5
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64()]
             yield pa.RecordBatch.from_arrays(
