@@ -18,6 +18,11 @@ def surrogate_id(prefix: str, *parts: Column) -> Column:
     return F.concat(F.lit(f"{prefix}_"), F.substring(digest, 1, 24))
 
 
+def group_id(file_id: Column, number: Column) -> Column:
+    """Id of a provider group, whose number counts within its file only."""
+    return surrogate_id("group", file_id, number)
+
+
 def plan_hash(company: Column, plan_id: Column, market: Column, name: Column, id_type: Column) -> Column:
     """One argument order for every caller: company, plan id, market, name, id type."""
     parts = [blank(company), blank(plan_id), blank(market), blank(name), F.upper(blank(id_type))]

@@ -175,18 +175,25 @@ def parse_metrics(parsed: DataFrame) -> DataFrame:
     )
 
 
+def reference_metrics(parsed: DataFrame) -> DataFrame:
+    """Per file: provider references found and saved. `parsed` is (file_id, bad)."""
+    return parsed.groupBy("file_id").agg(
+        F.count(F.lit(1)).alias("references_parsed"), F.count_if(~F.col("bad")).alias("references_saved")
+    )
+
+
 def job_metrics(files: DataFrame) -> DataFrame:
     """The ten counters of a job from its files' metrics.
 
-    `files` is (job_id, file_type, objects_parsed, objects_with_errors, rates_saved, providers_named,
-    providers_saved, plans_named, plans_saved).
+    `files` is (job_id, file_type, objects_parsed, objects_with_errors, rates_saved, references_parsed,
+    references_saved, plans_named, plans_saved); a file without references has NULL counts of them.
     """
 
     def total(column: str, file_type: str | None = None) -> Column:
         value = F.col(column)
         if file_type:
             value = F.when(F.col("file_type") == file_type, value).otherwise(0)
-        return F.sum(value).cast("bigint")
+        return F.coalesce(F.sum(value), F.lit(0)).cast("bigint")
 
     counters = {
         "in_network_objects_parsed": total("objects_parsed", "IN_NETWORK"),
@@ -195,9 +202,9 @@ def job_metrics(files: DataFrame) -> DataFrame:
         "allowed_amount_rates_saved": total("rates_saved", "ALLOWED_AMOUNT"),
         "in_network_rates_with_errors": total("objects_with_errors", "IN_NETWORK"),
         "allowed_amount_rates_with_errors": total("objects_with_errors", "ALLOWED_AMOUNT"),
-        "providers_parsed": total("providers_named"),
+        "providers_parsed": total("references_parsed"),
         "plans_parsed": total("plans_named"),
-        "providers_saved": total("providers_saved"),
+        "providers_saved": total("references_saved"),
         "plans_saved": total("plans_saved"),
     }
     return files.groupBy("job_id").agg(*[value.alias(name) for name, value in counters.items()])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ratelake.functions.keys import group_id
 from ratelake.functions.text import or_empty
 
 
@@ -15,13 +16,15 @@ def members(references: DataFrame) -> DataFrame:
         references.select(
             "file_id",
             "provider_group_id",
+            group_id(F.col("file_id"), F.col("provider_group_id")).alias("group_id"),
             or_empty(F.col("network_name")).alias("network_name"),
             F.posexplode("provider_groups").alias("member_no", "group"),
         )
-        .select("file_id", "provider_group_id", "network_name", "member_no", tax.alias("tax"), F.explode("group.npi").alias("npi"))
+        .select("file_id", "provider_group_id", "group_id", "network_name", "member_no", tax.alias("tax"), F.explode("group.npi").alias("npi"))
         .select(
             "file_id",
             "provider_group_id",
+            "group_id",
             "network_name",
             "member_no",
             "npi",
@@ -33,8 +36,8 @@ def members(references: DataFrame) -> DataFrame:
 
 
 def bridge(member_rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(file, group, NPI) and NPIs, each once. A group's number counts within its file only."""
-    pairs = member_rows.select("file_id", "provider_group_id", "npi").distinct()
+    """(group, NPI) and NPIs, each once."""
+    pairs = member_rows.select("group_id", "npi").distinct()
     return pairs, pairs.select("npi").distinct()
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratelake import values as V
-from ratelake.functions.keys import price_hash, surrogate_id
+from ratelake.functions.keys import group_id, price_hash, surrogate_id
 from ratelake.functions.text import array_or_empty, encode, encode_services, or_empty, to_date
 
 PROCEDURE_FIELDS = (
@@ -22,15 +22,21 @@ PROCEDURE_FIELDS = (
     "description",
 )
 SEEN = ("first_seen_date", "last_seen_date")
+CODED = ("billing_class", "setting")
 CODE_FIELDS = ("billing_code_type", "billing_code_type_version", "billing_code", "description")
 
 
-def rate_messages(items: DataFrame) -> DataFrame:
-    """One message per item and negotiated rate; the item's severity of illness is not passed on."""
+def rate_messages(items: DataFrame, *carried: str) -> DataFrame:
+    """One message per item and negotiated rate, with the item's `carried` columns; its severity of illness is not passed on."""
     procedure = F.struct(*[or_empty(F.col(field)).alias(field) for field in PROCEDURE_FIELDS])
     return items.select(
-        "file_id", "item_no", procedure.alias("procedure"), F.posexplode("negotiated_rates").alias("rate_no", "rate")
+        "file_id",
+        "item_no",
+        *carried,
+        procedure.alias("procedure"),
+        F.posexplode("negotiated_rates").alias("rate_no", "rate"),
     ).select(
+        *carried,
         "file_id",
         "item_no",
         "rate_no",
@@ -71,14 +77,15 @@ def _canonical(price: Column) -> Column:
     return price
 
 
-def prices(messages: DataFrame) -> DataFrame:
-    """One row per negotiated price, providers still in their array.
+def prices(messages: DataFrame, *carried: str) -> DataFrame:
+    """One row per negotiated price, providers still in their array, with the `carried` columns.
 
     Arrays are made canonical first, so prices of one hash have one set of attributes.
     """
     code_type, code = F.col("procedure.billing_code_type"), F.col("procedure.billing_code")
     return (
         messages.select(
+            *carried,
             "file_id",
             "item_no",
             code_type.alias("billing_code_type"),
@@ -118,9 +125,16 @@ def merge(rows: DataFrame) -> DataFrame:
     An upsert is the merge of the stored table and the new rows in one union: rows are summed up
     before the shuffle, and one exchange carries both sides. A join would need one exchange for
     the sums and one more for each side.
+
+    Encoded words are no part of the key: a price stored before its word had a code is the same price, and
+    takes the code.
     """
-    key = [column for column in rows.columns if column not in SEEN]
-    return rows.groupBy(*key).agg(F.min(SEEN[0]).alias(SEEN[0]), F.max(SEEN[1]).alias(SEEN[1]))
+    coded = [column for column in rows.columns if column in CODED]
+    key = [column for column in rows.columns if column not in (*SEEN, *CODED)]
+    merged = rows.groupBy(*key).agg(
+        *[F.max(column).alias(column) for column in coded], F.min(SEEN[0]).alias(SEEN[0]), F.max(SEEN[1]).alias(SEEN[1])
+    )
+    return merged.select(*rows.columns)
 
 
 def unknown_codes(priced: DataFrame) -> DataFrame:
@@ -150,15 +164,20 @@ def unknown_codes(priced: DataFrame) -> DataFrame:
 def fact_rows(priced: DataFrame, plans_of_files: DataFrame) -> DataFrame:
     """Rows of the provider fact, one per price, provider and plan, still to be merged.
 
-    `priced` carries `seen_date`; `plans_of_files` is (file_id, insurance_plan_id), each pair once.
+    `priced` carries `seen_date`; `plans_of_files` is (file_id, insurance_plan_id), each pair once. A file's
+    prices are reduced to distinct ones before its plans multiply them.
     """
-    return priced.join(plans_of_files, "file_id").select(
+    once = (
+        priced.select("file_id", "billing_code", "procedure_hash", F.explode("provider_ids").alias("number"), "seen_date")
+        .groupBy("file_id", "billing_code", "procedure_hash", "number")
+        .agg(F.min("seen_date").alias(SEEN[0]), F.max("seen_date").alias(SEEN[1]))
+    )
+    return once.join(plans_of_files, "file_id").select(
         "insurance_plan_id",
         F.col("billing_code").alias("billing_code_id"),
-        F.explode("provider_ids").alias("provider_group_id"),
+        group_id(F.col("file_id"), F.col("number")).alias("provider_group_id"),
         "procedure_hash",
-        F.col("seen_date").alias("first_seen_date"),
-        F.col("seen_date").alias("last_seen_date"),
+        *SEEN,
     )
 
 

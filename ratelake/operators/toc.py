@@ -6,7 +6,7 @@ one element of an index with its place in it. Order always comes from the places
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratelake import values as V
@@ -20,12 +20,17 @@ PLAN_PLACE = ("file_id", "rs_pos", "plan_pos")
 
 
 def gate_listings(listings: DataFrame) -> DataFrame:
-    """Tell which listings name exactly one index file, and why the others do not."""
+    """Tell which listings name exactly one index file, and why the others do not.
+
+    A column `malformed`, where there is one, marks documents that could not be read.
+    """
+    malformed = F.col("malformed") if "malformed" in listings.columns else F.lit(False)
     mrfs = F.coalesce(F.size("mrfs"), F.lit(0))
     files = F.col("mrfs")[0]["files"]
     n_files = F.coalesce(F.when(mrfs > 0, F.size(files)), F.lit(0))
     reason = (
-        F.when(mrfs <= 0, "no mrf")
+        F.when(malformed, "not a listing")
+        .when(mrfs <= 0, "no mrf")
         .when(mrfs > 1, "more than one mrf")
         .when(n_files != 1, "not exactly one file")
     )
@@ -136,9 +141,12 @@ def with_plan_parts(files: DataFrame, pairs: DataFrame, size: int = 10_000) -> D
     # Plan ids are evenly spread hex behind a fixed prefix, so three digits make even, ordered buckets.
     bucket = F.substring("insurance_plan_id", 1, len(V.ID_PLAN) + 4)
     parts = gather_in_parts(pairs, ["file_id", "location"], "insurance_plan_id", bucket, size, "reporting_plans")
+    # A location has a part for each ten thousand plans: few rows to a window.
+    of_file = Window.partitionBy("file_id", "location")
     return (
         files.join(parts, ["file_id", "location"], "left")
         .withColumn("part", F.coalesce("part", F.lit(0)))
+        .withColumn("n_parts", F.max("part").over(of_file) + 1)
         .withColumn("reporting_plans", F.coalesce("reporting_plans", F.array().cast("array<string>")))
     )
 
@@ -181,12 +189,13 @@ def dispatch_messages(jobs: DataFrame, company_id: Column, topic_prefix: str = "
         F.col("reporting_plans").alias("reportingPlans"),
         company_id.alias("insuranceCompanyId"),
         F.col("source_id").alias("insuranceImportSourceId"),
-        # Left out of the JSON while NULL: a plan list that fits one message looks as it always did.
-        F.when(F.col("part") > 0, F.col("part")).alias("part"),
+        # Left out of the JSON while NULL: a plan list that fits one message has no parts.
+        F.when(F.col("n_parts") > 1, F.col("part")).alias("part"),
+        F.when(F.col("n_parts") > 1, F.col("n_parts")).alias("nParts"),
     )
     return (
         jobs.withColumn("topic", topic)
         .withColumn("value", F.to_json(F.struct("id", "topic", payload.alias("payload"))))
         .withColumn("topic", F.concat(F.lit(topic_prefix), "topic"))
-        .drop("reporting_plans")
+        .drop("reporting_plans", "n_parts")
     )

@@ -254,7 +254,7 @@ lines AS (
          CAST(1 AS DECIMAL(3,2)) - CAST(l_discount AS DECIMAL(3,2)) AS cut,
          CASE l_returnflag WHEN 'A' THEN 'professional' WHEN 'N' THEN 'institutional' ELSE 'both' END AS class,
          CASE l_linestatus WHEN 'F' THEN 'inpatient' ELSE 'outpatient' END AS setting,
-         strftime(l_shipdate, '%Y-%m-%d') AS expires, CAST(l_shipdate AS DATE) AS seen_date,
+         strftime(l_shipdate, '%Y') || '-12-31' AS expires, CAST(l_shipdate AS DATE) AS seen_date,
          CAST(l_partkey AS VARCHAR) AS code FROM lineitem),
 unhashed AS (
   SELECT *, 'negotiated' AS kind, CAST(listed AS DECIMAL(18,4)) AS rate FROM lines
@@ -311,20 +311,21 @@ FACT = (
     PRICES,
     """
 places AS (
-  SELECT CAST(s_suppkey AS VARCHAR) AS provider_group_id,
+  SELECT s_suppkey AS number,
          CASE WHEN s_acctbal >= 0 THEN lpad(CAST(s_suppkey * 37 % 100000 AS VARCHAR), 5, '0') END AS zip_code,
          CAST(n_regionkey AS BIGINT) AS region_code
   FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey)""",
-    """
+    f"""
 named AS (
-  SELECT *, CAST(l_suppkey AS VARCHAR) AS provider_group_id FROM prices
-  UNION ALL SELECT *, CAST(l_suppkey + 1 AS VARCHAR) FROM prices WHERE l_returnflag = 'R')""",
+  SELECT *, {ident("group", "l_orderkey || chr(31) || number")} AS provider_group_id
+  FROM (SELECT *, l_suppkey AS number FROM prices
+        UNION ALL SELECT *, l_suppkey + 1 FROM prices WHERE l_returnflag = 'R'))""",
     """
 fact AS (
   SELECT provider_group_id, zip_code, region_code, CAST(o_custkey AS VARCHAR) AS insurance_plan_id,
          code AS billing_code_id, procedure_hash, min(seen_date) AS first_seen, max(seen_date) AS last_seen,
          min(rate) AS rate
-  FROM named JOIN orders ON l_orderkey = o_orderkey LEFT JOIN places USING (provider_group_id)
+  FROM named JOIN orders ON l_orderkey = o_orderkey LEFT JOIN places USING (number)
   GROUP BY 1, 2, 3, 4, 5, 6)""",
 )
 SEEN = "strftime({0}(first_seen), '%Y-%m-%d') AS first_seen_date, strftime({1}(last_seen), '%Y-%m-%d') AS last_seen_date"
@@ -358,13 +359,28 @@ for path, keys in (
         select=f"""SELECT {keys}, count(*) AS n_rows, {SEEN.format("min", "max")}
 FROM fact WHERE {keys.split(",")[0]} IS NOT NULL GROUP BY {keys}""",
     )
+for path, key in (
+    ("plan_code", "insurance_plan_id"),
+    ("region", "region_code"),
+    ("zip", "zip_code"),
+    ("provider", "provider_group_id"),
+):
+    ORACLE[f"lookup_{path}"] = with_(
+        *FACT,
+        """
+dim AS (SELECT DISTINCT procedure_hash, rate AS priced, expires FROM prices)""",
+        select=f"""SELECT provider_group_id, zip_code, region_code, insurance_plan_id, billing_code_id, procedure_hash,
+  {SEEN.format("", "")}, CAST(priced AS DOUBLE) AS negotiated_rate, expires AS expiration_date
+FROM fact JOIN dim USING (procedure_hash) WHERE {key} = (SELECT min({key}) FROM fact)""",
+    )
 ORACLE["rate_provider_join"] = with_(
     PRICES,
     """
 named AS (
   SELECT *, l_suppkey AS provider_group_id FROM lines
   UNION ALL SELECT *, l_suppkey + 1 FROM lines WHERE l_returnflag = 'R')""",
-    select="""SELECT CAST(l_linenumber AS BIGINT) AS item_no, code AS billing_code, provider_group_id, s_name AS network_name,
+    select="""SELECT CASE WHEN l_orderkey % 2 = 0 THEN 'even' ELSE 'odd' END AS file_id, CAST(l_linenumber AS BIGINT) AS item_no,
+  code AS billing_code, provider_group_id, CASE WHEN l_orderkey % 2 = 0 THEN s_name ELSE s_name || '/odd' END AS network_name,
   CASE WHEN s_suppkey IS NOT NULL THEN 2 END AS n_members
 FROM named LEFT JOIN supplier ON s_suppkey = provider_group_id""",
 )
@@ -391,8 +407,12 @@ ORACLE["provider_ref_members"] = with_(MEMBERS, select="SELECT * FROM m")
 ORACLE["shred_references"] = ORACLE["provider_ref_members"]
 ORACLE["provider_bridge"] = with_(
     MEMBERS,
-    select=f"""SELECT DISTINCT npi, provider_group_id, network_name AS group_name,
-  {ident("provider", "CAST(npi AS VARCHAR)")} AS provider_id FROM m""",
+    """
+two AS (
+  SELECT 'even' AS file_id, npi, provider_group_id, network_name FROM m
+  UNION ALL SELECT 'odd', npi + 5000000000, provider_group_id, network_name || '/odd' FROM m)""",
+    select=f"""SELECT DISTINCT npi, {ident("group", "file_id || chr(31) || provider_group_id")} AS group_id,
+  network_name AS group_name, {ident("provider", "CAST(npi AS VARCHAR)")} AS provider_id FROM two""",
 )
 
 # --- jobs --------------------------------------------------------------------------------
@@ -459,9 +479,10 @@ FROM followed WHERE status IN ('DOWNLOADING', 'PARSING', 'COMPLETED')""",
 )
 ORACLE["job_metrics"] = """
 WITH per_file AS (
-  SELECT l_orderkey, count(*) AS parsed, count(*) FILTER (l_returnflag <> 'R') AS saved FROM lineitem GROUP BY 1),
+  SELECT l_orderkey, count(*) AS parsed, count(*) FILTER (l_returnflag <> 'R') AS saved,
+    count(DISTINCT l_suppkey) AS refs, count(DISTINCT l_suppkey) FILTER (l_suppkey % 7 <> 0) AS refs_saved FROM lineitem GROUP BY 1),
 f AS (
-  SELECT CAST(o_custkey AS VARCHAR) AS job_id, o_custkey, o_orderpriority = '5-LOW' AS allowed, parsed, saved
+  SELECT CAST(o_custkey AS VARCHAR) AS job_id, o_custkey, o_orderpriority = '5-LOW' AS allowed, parsed, saved, refs, refs_saved
   FROM per_file JOIN orders ON l_orderkey = o_orderkey)
 SELECT job_id,
   CAST(coalesce(sum(parsed) FILTER (NOT allowed), 0) AS BIGINT) AS in_network_objects_parsed,
@@ -470,8 +491,8 @@ SELECT job_id,
   CAST(coalesce(sum(saved) FILTER (allowed), 0) AS BIGINT) AS allowed_amount_rates_saved,
   CAST(coalesce(sum(parsed - saved) FILTER (NOT allowed), 0) AS BIGINT) AS in_network_rates_with_errors,
   CAST(coalesce(sum(parsed - saved) FILTER (allowed), 0) AS BIGINT) AS allowed_amount_rates_with_errors,
-  CAST(sum(saved) AS BIGINT) AS providers_parsed, count(*) AS plans_parsed,
-  CAST(sum(saved) AS BIGINT) AS providers_saved, count(*) FILTER (o_custkey % 3 <> 0) AS plans_saved
+  CAST(sum(refs) AS BIGINT) AS providers_parsed, count(*) AS plans_parsed,
+  CAST(sum(refs_saved) AS BIGINT) AS providers_saved, count(*) FILTER (o_custkey % 3 <> 0) AS plans_saved
 FROM f GROUP BY job_id"""
 ORACLE["job_throughput"] = with_(
     EVENTS,
@@ -539,6 +560,12 @@ ORACLE["shred_items"] = """
 SELECT CAST(p_partkey AS VARCHAR) AS billing_code, p_name || ' "{[\\' AS name, p_type AS billing_code_type, p_brand AS description,
   CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS DOUBLE) AS negotiated_rate, '11,' || p_size AS service_code,
   p_size || ',' || (p_size + 1) AS provider_ids FROM part"""
+ORACLE["shred_rejects"] = """
+SELECT 'item' AS kind, CAST(n_nationkey AS VARCHAR) AS text FROM nation, (VALUES (1), (2)) v(k) WHERE n_nationkey % 5 <> 0
+UNION ALL SELECT 'reject', 'null' FROM nation WHERE n_nationkey % 5 <> 0
+UNION ALL SELECT 'reject', '["' || n_nationkey || '"]' FROM nation WHERE n_nationkey % 5 <> 0
+UNION ALL SELECT 'reject', '"' || n_nationkey || '"' FROM nation WHERE n_nationkey % 5 <> 0
+UNION ALL SELECT 'failed', 'the document ends too early or its brackets do not match' FROM nation WHERE n_nationkey % 5 = 0"""
 ORACLE["stream_new_files"] = """
 SELECT CAST(p_partkey AS VARCHAR) AS billing_code, p_brand AS description, p_size || ',' || (p_size + 1) AS provider_ids,
   1 AS n_prices FROM part"""

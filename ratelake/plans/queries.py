@@ -24,7 +24,7 @@ from ratelake.operators import serving as A
 from ratelake.operators import toc as T
 from ratelake.operators.checks import split_by_enums
 from ratelake.plans import standins as I
-from ratelake.plans.rate_ingest import upsert_dimension, upsert_fact
+from ratelake.plans.rate_ingest import land_bronze, upsert_dimension, upsert_fact
 from ratelake.plans.toc_import import TocImport, import_toc
 from ratelake.sources import files as D
 from ratelake.sources import shred as X
@@ -248,8 +248,7 @@ def priced(spark: SparkSession, folder: str, rows: Column | None = None) -> Data
     """Prices with the day they were seen; the day of a line rides in its items."""
     items = I.items(spark, folder)
     items = items if rows is None else items.where(rows)
-    # The stand-in's items expire on the day they were seen.
-    return R.prices(R.rate_messages(items)).withColumn("seen_date", F.to_date("price.expiration_date"))
+    return R.prices(R.rate_messages(items, "seen_date"), "seen_date")
 
 
 def fact(spark: SparkSession, folder: str) -> DataFrame:
@@ -360,9 +359,10 @@ def provider_rate_upsert(spark, folder):
 
 @query
 def rate_provider_join(spark, folder):
-    references = I.references(spark, folder)
-    in_one_file = messages(spark, folder).withColumn("file_id", F.lit("suppliers"))
-    return G.join_rates(in_one_file, references).select(
+    references = I.two_reference_files(spark, folder)
+    of_two = F.when(F.col("file_id").cast("bigint") % 2 == 0, "even").otherwise("odd")
+    return G.join_rates(messages(spark, folder).withColumn("file_id", of_two), references).select(
+        "file_id",
         "item_no",
         "procedure.billing_code",
         "provider_group_id",
@@ -386,16 +386,17 @@ def procedure_codes(spark, folder):
 
 @query
 def provider_ref_members(spark, folder):
-    return G.members(I.references(spark, folder)).drop("file_id")
+    return G.members(I.references(spark, folder)).drop("file_id", "group_id")
 
 
 @query
 def provider_bridge(spark, folder):
-    references = I.references(spark, folder)
+    references = I.two_reference_files(spark, folder)
     pairs, providers = G.bridge(G.members(references))
-    groups = references.select("file_id", "provider_group_id", F.col("network_name").alias("group_name"))
+    number = F.col("provider_group_id")
+    groups = references.select(K.group_id(F.col("file_id"), number).alias("group_id"), F.col("network_name").alias("group_name"))
     known = providers.select("npi", K.surrogate_id("provider", F.col("npi")).alias("provider_id"))
-    return groups.join(pairs, ["file_id", "provider_group_id"]).join(known, "npi").drop("file_id")
+    return groups.join(pairs, "group_id").join(known, "npi")
 
 
 # --- serving -----------------------------------------------------------------------------
@@ -432,6 +433,39 @@ def serve_by_provider(spark, folder):
     return served(spark, folder, "provider")
 
 
+def looked_up(spark: SparkSession, folder: str, path: str) -> DataFrame:
+    """What the smallest first key of a path leads to: its rows of the sorted layout, then their rates."""
+    rows, target = fact(spark, folder), session.run_dir(spark, f"layout-{path}")
+    A.write_layout(rows, path, target)
+    layout = spark.read.schema(rows.schema).parquet(target)
+    first = A.PATHS[path][0][0]
+    smallest = layout.agg(F.min(first)).first()[0]
+    rates = R.merge(R.dimension_rows(priced(spark, folder), F.col("seen_date")))
+    return shown(A.with_rates(A.lookup(layout, path, smallest), rates)).select(
+        *rows.columns, number("negotiated_rate"), day("expiration_date")
+    )
+
+
+@query
+def lookup_plan_code(spark, folder):
+    return looked_up(spark, folder, "plan_code")
+
+
+@query
+def lookup_region(spark, folder):
+    return looked_up(spark, folder, "region")
+
+
+@query
+def lookup_zip(spark, folder):
+    return looked_up(spark, folder, "zip")
+
+
+@query
+def lookup_provider(spark, folder):
+    return looked_up(spark, folder, "provider")
+
+
 # --- jobs --------------------------------------------------------------------------------
 
 
@@ -524,8 +558,9 @@ def job_metrics(spark, folder):
         F.lit(1).alias("plans_named"),
         (F.col("o_custkey") % 3 != 0).cast("int").alias("plans_saved"),
     )
-    metrics = file_metrics(spark, folder).withColumn("providers_saved", F.col("providers_named"))
-    return J.job_metrics(metrics.join(files, "file_id"))
+    references = X.parse(I.reference_texts(spark, folder), "provider_references", S.PROVIDER_REFERENCE)
+    counted = J.reference_metrics(references.select("file_id", "bad"))
+    return J.job_metrics(file_metrics(spark, folder).join(counted, "file_id", "left").join(files, "file_id"))
 
 
 @query
@@ -594,12 +629,23 @@ def shred_items(spark, folder):
     )
 
 
+@query
+def shred_rejects(spark, folder):
+    """What a landed file holds beside items and what cannot be a file: nothing goes without a row."""
+    landing = session.run_dir(spark, "damaged")
+    I.write_damaged_files(spark, folder, landing)
+    bronze = land_bronze(D.list_files(spark, landing, "part-*"), session.run_dir(spark, "bronze"))
+    return bronze.rejects.select(F.lit("reject").alias("kind"), "text").unionByName(
+        bronze.failed.select(F.lit("failed").alias("kind"), F.col("reason").alias("text"))
+    ).unionByName(bronze.items.select(F.lit("item").alias("kind"), F.col("billing_code").alias("text")))
+
+
 @query
 def shred_references(spark, folder):
     landing = session.run_dir(spark, "landing")
     I.write_rate_files(spark, folder, landing)
     raw = X.shred(D.list_files(spark, landing, "part-*"), ["provider_references"])
-    return G.members(X.good(X.parse(raw, "provider_references", S.PROVIDER_REFERENCE))).drop("file_id")
+    return G.members(X.good(X.parse(raw, "provider_references", S.PROVIDER_REFERENCE))).drop("file_id", "group_id")
 
 
 # --- list page ---------------------------------------------------------------------------
@@ -650,12 +696,10 @@ def stream_job_counters(spark, folder):
 @query
 def stream_trigger_dedupe(spark, folder):
     target = session.run_dir(spark, "requests")
-    rows = M.table_stream(spark, folder, "events").select(
-        "user_id", "event_type", F.col("ts").cast("timestamp").alias("at")
-    )
-    first = M.first_requests(rows, ["user_id", "event_type"], "at", "60 days")
-    finished(M.start_append(first.select("user_id", "event_type"), f"{target}/table", f"{target}/checkpoint", once=True))
-    return spark.read.schema("user_id BIGINT, event_type STRING").parquet(f"{target}/table")
+    rows = M.table_stream(spark, folder, "events").select("user_id", "event_type")
+    keys = ["user_id", "event_type"]
+    finished(M.start_first_requests(rows, keys, f"{target}/table", f"{target}/checkpoint", once=True))
+    return spark.read.schema("user_id BIGINT, event_type STRING").parquet(f"{target}/table").select("user_id", "event_type")
 
 
 @query

@@ -17,6 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ratelake.functions.keys import group_id
 from ratelake.operators.insurance_plans import normalize_plans, plan_rows
 from ratelake.sources.shred import HEADER_SECTION
 from ratelake.sources.tables import spread, table
@@ -136,7 +137,7 @@ def items(spark: SparkSession, folder: str, described: bool = False) -> DataFram
         return F.struct(
             F.lit(kind).alias("negotiated_type"),
             rate.cast("decimal(18,4)").alias("negotiated_rate"),
-            F.col("l_shipdate").cast("date").cast("string").alias("expiration_date"),
+            F.concat(F.year("l_shipdate"), F.lit("-12-31")).alias("expiration_date"),
             F.array((F.col("l_linenumber") + 10).cast("string"), F.lit("11")).alias("service_code"),
             classes.alias("billing_class"),
             setting.alias("setting"),
@@ -199,6 +200,18 @@ def item_texts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def reference_texts(spark: SparkSession, folder: str) -> DataFrame:
+    """The provider references of each file as JSON text; every seventh group has bad members."""
+    key = text("l_suppkey")
+    members = F.when(F.col("l_suppkey") % 7 == 0, '"bad"').otherwise('[{"npi":[1]}]')
+    return table(spark, folder, "lineitem").select("l_orderkey", "l_suppkey").distinct().select(
+        text("l_orderkey").alias("file_id"),
+        F.lit("provider_references").alias("section"),
+        F.col("l_suppkey").alias("item_no"),
+        F.concat(F.lit('{"provider_group_id":'), key, F.lit(',"provider_groups":'), members, F.lit("}")).alias("text"),
+    )
+
+
 def coded_items(spark: SparkSession, folder: str) -> DataFrame:
     """An item per part with bundled codes and a covered service."""
 
@@ -224,7 +237,13 @@ def coded_items(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def references(spark: SparkSession, folder: str) -> DataFrame:
+def two_reference_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Two files whose groups have the same numbers, but other names and NPIs."""
+
+    return references(spark, folder, "even").unionByName(references(spark, folder, "odd", 5_000_000_000))
+
+
+def references(spark: SparkSession, folder: str, file_id: str = "suppliers", shift: int = 0) -> DataFrame:
     """A provider reference per supplier, with two members that share an NPI; every fifth tax id is `tin`."""
     key = F.col("s_suppkey")
     tax = "struct<type:string,value:string,business_name:string>"
@@ -243,11 +262,11 @@ def references(spark: SparkSession, folder: str) -> DataFrame:
             F.when(odd, identifier).alias("tin"),
         )
 
-    first = key * 10 + 1_000_000_000
+    first = key * 10 + 1_000_000_000 + shift
     return table(spark, folder, "supplier").select(
-        F.lit("suppliers").alias("file_id"),
+        F.lit(file_id).alias("file_id"),
         key.alias("provider_group_id"),
-        F.col("s_name").alias("network_name"),
+        (F.concat_ws("/", "s_name", F.lit(file_id)) if shift else F.col("s_name")).alias("network_name"),
         F.array(
             member(F.array(first, first + 1), tax_id("ein", key)),
             member(F.array(first + 1), tax_id("npi", first + 1)),
@@ -256,14 +275,19 @@ def references(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def locations(spark: SparkSession, folder: str) -> DataFrame:
-    """Zip code and region of each provider group; groups with a negative balance have no zip."""
+    """Zip code and region of each provider group that a file names; a negative balance means no zip."""
     suppliers, nations = table(spark, folder, "supplier"), table(spark, folder, "nation")
     zip_code = F.lpad((F.col("s_suppkey") * 37 % 100_000).cast("string"), 5, "0")
-    return suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey"), "left").select(
-        text("s_suppkey").alias("provider_group_id"),
+    places = suppliers.join(nations, F.col("s_nationkey") == F.col("n_nationkey"), "left").select(
+        F.col("s_suppkey").alias("number"),
         F.when(F.col("s_acctbal") >= 0, zip_code).alias("zip_code"),
         F.col("n_regionkey").cast("bigint").alias("region_code"),
     )
+    numbers = F.when(F.col("l_returnflag") == "R", F.array("l_suppkey", F.col("l_suppkey") + 1)).otherwise(F.array("l_suppkey"))
+    named = table(spark, folder, "lineitem").select("l_orderkey", F.explode(numbers).alias("number")).distinct()
+    return named.join(places, "number").select(
+        group_id(F.col("l_orderkey"), F.col("number")).alias("provider_group_id"), "zip_code", "region_code"
+    )
 
 
 def file_plans(spark: SparkSession, folder: str) -> DataFrame:
@@ -423,6 +447,22 @@ def write_rate_files(spark: SparkSession, folder: str, target: str) -> None:
     )
 
 
+def write_damaged_files(spark: SparkSession, folder: str, target: str) -> None:
+    """Land a file per nation: its key as items, with members that are no objects; every fifth file ends too early."""
+    key = text("n_nationkey")
+    item = F.concat(F.lit('{"billing_code":"'), key, F.lit('","negotiated_rates":[]}'))
+    odd = F.concat(F.lit("[null,"), item, F.lit(',["'), key, F.lit('"],'), item, F.lit(',"'), key, F.lit('"'))
+    end = F.when(F.col("n_nationkey") % 5 == 0, "").otherwise("]}")
+    (
+        table(spark, folder, "nation")
+        .select("n_nationkey", F.concat(F.lit('{"in_network":'), F.lit(" " * 5000), odd, end).alias("value"))
+        .withColumn("nation", F.col("n_nationkey"))
+        .drop("n_nationkey")
+        .write.partitionBy("nation")
+        .text(target)
+    )
+
+
 def plan_table(spark: SparkSession, folder: str) -> DataFrame:
     """The plan table of an earlier run: customers whose balance is not negative and who have a plan id."""
     customers = table(spark, folder, "customer").where(F.col("c_acctbal") >= 0)

@@ -71,6 +71,6 @@ def import_toc(
         jobs=jobs,
         lots=T.with_lots(jobs),
         messages=T.dispatch_messages(
-            T.child_jobs(parts, parent_job_id, source_id, "part", "reporting_plans"), company_id, topic_prefix
+            T.child_jobs(parts, parent_job_id, source_id, "part", "n_parts", "reporting_plans"), company_id, topic_prefix
         ),
     )

@@ -32,9 +32,14 @@ def list_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     )
 
 
-def over_tasks(df: DataFrame, *columns: str) -> DataFrame:
-    """Spread few small rows that mean much work each. A fixed number keeps AQE from merging them."""
-    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism, *columns)
+def over_tasks(df: DataFrame, *columns: str, rows_a_task: int = 4) -> DataFrame:
+    """Spread small rows that mean much work each, such as blocks and files, a few to a task.
+
+    The number of tasks follows from the number of rows, so a lost executor costs minutes at any size; few
+    rows still reach all cores. It is fixed, which keeps AQE from merging tasks whose rows look small.
+    """
+    rows, cores = df.count(), df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(2, min(rows, 2 * cores), -(-rows // rows_a_task)), *columns)
 
 
 def open_file(uri: str):
@@ -50,6 +55,10 @@ def open_file(uri: str):
     return system.open_input_file(path)
 
 
+def is_packed(name: str) -> bool:
+    return name.lower().endswith((".gz", ".zip"))
+
+
 def entries(name: str, stream) -> Iterator[tuple[str, object]]:
     """The files in a landed file: the entries of a zip, the one in a gzip, or the file itself.
 

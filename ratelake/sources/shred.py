@@ -8,14 +8,17 @@ it into one task, so it is cut into byte blocks that tasks read on their own:
 2. Windows over these small summaries give every block its true entry state.
 3. Each block yields the elements that begin in it, reading on past its end for the last one.
 
-Packed files cannot be entered in the middle; a task streams each of them in constant memory.
+Packed files cannot be entered in the middle; a task streams each of them, holding one element.
 Rows hold text only. `parse` turns it into columns after the rows are spread over tasks.
+
+Nothing is passed over in silence: what stands in a wanted array and is no object becomes a row of its
+own, which `parse` marks as bad, and a file that ends too early is a failed file.
 """
 
 from __future__ import annotations
 
-import re
-from collections.abc import Iterable, Iterator, Sequence
+import json
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -23,24 +26,25 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ratelake.schemas import HEADER
-from ratelake.sources.files import READ_BYTES, UNPACK_ERRORS, entries, open_file, over_tasks
+from ratelake.sources.files import READ_BYTES, UNPACK_ERRORS, entries, is_packed, open_file, over_tasks
 
 BLOCK_BYTES = 64 << 20
-LOOKBACK = 4096
+FIRST_LOOK = 4096
+BETWEEN = b", \t\r\n"
 QUOTE, BACKSLASH, OPEN_OBJECT, CLOSE_OBJECT, OPEN_ARRAY, CLOSE_ARRAY = b'"\\{}[]'
 IS_BRACKET = np.isin(np.arange(256), (OPEN_OBJECT, CLOSE_OBJECT, OPEN_ARRAY, CLOSE_ARRAY))
-MAX_DEPTH = 1000
-KEY_AT_END = re.compile(rb'"((?:[^"\\]|\\.)*)"\s*:\s*$', re.DOTALL)
 HEADER_SECTION = "#header"
 FAILED_SECTION = "#failed"
+#: Behind a section's name: text in its array that is no object or array.
+BETWEEN_SECTION = "#between"
 NO_SECTION = "\0"
 
-OPENS = "ARRAY<STRUCT<d: INT, n: BIGINT, name: STRING, object: BOOLEAN>>"
+OPENS = "ARRAY<STRUCT<d: BIGINT, n: BIGINT, name: STRING>>"
 SUMMARY = (
     "file_id STRING, block_no BIGINT, quotes BIGINT, "
     f"delta_out BIGINT, opens_out {OPENS}, delta_in BIGINT, opens_in {OPENS}"
 )
-RAW = "file_id STRING, section STRING, item_no BIGINT, text STRING"
+RAW = "archive STRING, file_id STRING, section STRING, item_no BIGINT, text STRING"
 
 
 # --- inside one task -------------------------------------------------------------------
@@ -70,9 +74,55 @@ def _steps(kinds: np.ndarray) -> np.ndarray:
     return np.where((kinds == OPEN_OBJECT) | (kinds == OPEN_ARRAY), 1, -1)
 
 
-def _key_before(text: bytes, end: int) -> str:
-    found = KEY_AT_END.search(text[max(0, end - LOOKBACK) : end])
-    return found.group(1).decode("utf-8", "replace") if found else ""
+def _key_before(text: bytes, quotes: np.ndarray, end: int) -> str:
+    """The key of the value that begins at `end`, "" where there is none; `quotes` are the text's real quotes."""
+    behind = int(np.searchsorted(quotes, end))
+    if behind < 2:
+        return ""
+    first, last = int(quotes[behind - 2]), int(quotes[behind - 1])
+    if text[last + 1 : end].strip() != b":":
+        return ""
+    try:
+        return json.loads(text[first : last + 1]).encode("utf-8", "replace").decode()
+    except ValueError:
+        return text[first + 1 : last].decode("utf-8", "replace")
+
+
+def _last_token(text: bytes, in_string: bool) -> bytes | None:
+    """The text from its last string on, which may still be open; None if no string begins in it."""
+    quotes = _real_quotes(np.frombuffer(text, dtype=np.uint8))
+    needed = 1 if in_string else 2
+    return text[int(quotes[-needed]) :] if len(quotes) >= needed else None
+
+
+def _lead(look_back: Callable[[int], tuple[bytes, bool]], in_string: bool) -> bytes:
+    """What a block must know of the text before it to name an array: the last key, however far back it begins."""
+    length = FIRST_LOOK
+    while True:
+        text, whole = look_back(length)
+        if not in_string and text.rstrip()[-1:] not in (b"", b'"', b":"):
+            return b""
+        token = _last_token(text, in_string)
+        if token is not None or whole:
+            return token or b""
+        length *= 8
+
+
+def _look_back(stream, offset: int) -> Callable[[int], tuple[bytes, bool]]:
+    """A reader of the text before an offset: the last n bytes or a few more, and whether that is all."""
+
+    def read(length: int) -> tuple[bytes, bool]:
+        start = max(0, offset - length)
+        while start:
+            stream.seek(start - 1)
+            byte = stream.read(1)[0]
+            if byte != BACKSLASH and byte < 0x80:
+                break
+            start -= 1
+        stream.seek(start)
+        return stream.read(offset - start), start == 0
+
+    return read
 
 
 def _safe_end(data: bytes) -> int:
@@ -108,9 +158,8 @@ def _chunks(stream) -> Iterator[bytes]:
         yield held
 
 
-def _summarize(lead: bytes, data: bytes) -> dict:
+def _summarize(look_back: Callable[[int], tuple[bytes, bool]], data: bytes) -> dict:
     """What a block does to the state, whether it begins outside a string or inside one."""
-    text = lead + data
     buf = np.frombuffer(data, dtype=np.uint8)
     quotes = _real_quotes(buf)
     brackets, odd = _brackets(buf, quotes)
@@ -120,48 +169,75 @@ def _summarize(lead: bytes, data: bytes) -> dict:
         kinds = buf[at]
         step = _steps(kinds)
         before = np.cumsum(step) - step
-        # Depths 1 and 2 of the document are at most 2 from here, and no document nests deeper than this.
-        seen = np.flatnonzero((step == 1) & (before <= 2) & (before >= -MAX_DEPTH))
-        place = before[seen] + MAX_DEPTH
-        objects = np.bincount(place[kinds[seen] == OPEN_OBJECT], minlength=MAX_DEPTH + 3)
-        last = np.full(MAX_DEPTH + 3, -1)
-        last[place] = seen
+        # Depths 1 and 2 of the document are at most 2 from here.
+        seen = np.flatnonzero((step == 1) & (before <= 2))
+        depths, last, counts = np.unique(before[seen][::-1], return_index=True, return_counts=True)
         opens = []
-        for depth in np.flatnonzero(last >= 0):
-            where = int(last[depth])
-            is_object = bool(kinds[where] == OPEN_OBJECT)
-            name = NO_SECTION if is_object else _key_before(text, len(lead) + int(at[where]))
-            opens.append({"d": int(depth) - MAX_DEPTH, "n": int(objects[depth]), "name": name, "object": is_object})
+        for depth, back, count in zip(depths.tolist(), last.tolist(), counts.tolist()):
+            where = int(seen[len(seen) - 1 - back])
+            name = NO_SECTION if kinds[where] == OPEN_OBJECT else _name(look_back, data, quotes, int(at[where]), in_string)
+            opens.append({"d": depth, "n": count, "name": name})
         out[f"delta_{case}"] = int(step.sum())
         out[f"opens_{case}"] = opens
     return out
 
 
+def _name(look_back, data: bytes, quotes: np.ndarray, position: int, in_string: int) -> str:
+    """The key of an array that opens in a block; only a key that begins before the block is read back."""
+    behind = int(np.searchsorted(quotes, position))
+    if behind >= 2:
+        return _key_before(data, quotes, position)
+    if data[int(quotes[0]) + 1 if behind else 0 : position].strip() not in (b"", b":"):
+        return ""
+    text = _lead(look_back, bool(in_string)) + data[:position]
+    return _key_before(text, _real_quotes(np.frombuffer(text, dtype=np.uint8)), len(text))
+
+
 class State:
-    """Where a stream stands: inside a string, how deep, in which array, in which element."""
+    """Where a stream stands: inside a string, how deep, in which array, at which element.
 
-    __slots__ = ("in_string", "depth", "section", "in_object", "next_item", "lead", "offset")
+    `lead` is the text from the last string of depth 1 on, white space left out; it may hold an array's key.
+    """
 
-    def __init__(self, in_string=0, depth=0, section=NO_SECTION, in_object=False, next_item=0, lead=b"", offset=0):
+    __slots__ = ("in_string", "depth", "section", "next_item", "lead", "offset")
+
+    def __init__(self, in_string=0, depth=0, section=NO_SECTION, next_item=0, lead=b"", offset=0):
         self.in_string, self.depth, self.section = in_string, depth, section
-        self.in_object, self.next_item = in_object, next_item
-        self.lead, self.offset = lead, offset
+        self.next_item, self.lead, self.offset = next_item, lead, offset
+
+
+def _lead_after(lead: bytes, chunk: bytes, in_string: int) -> bytes:
+    token = _last_token(lead + chunk, bool(in_string))
+    if token is None or in_string:
+        return token or b""
+    end = int(_real_quotes(np.frombuffer(token, dtype=np.uint8))[1]) + 1
+    return token[:end] + b"".join(token[end:].split())
 
 
-def _cut(chunks: Iterable[bytes], state: State, limit: float, wanted: frozenset[str]) -> Iterator[tuple[str, int, bytes]]:
+def _cut(
+    chunks: Iterable[bytes], state: State, limit: float, wanted: frozenset[str], to_end: bool = False
+) -> Iterator[tuple[str, int, bytes]]:
     """(section, item_no, text) of the elements that begin before `limit`.
 
     Text at depth 1, arrays and objects replaced by null, comes out as pieces of the header
-    section numbered by their offset.
+    section numbered by their offset. Text between the objects and arrays of a wanted array comes out
+    too, with the number of the next one; a block's edge may cut it in two. With `to_end`, a stream that
+    ends inside a value gives a row of FAILED_SECTION.
     """
     # An element that was open on entry belongs to an earlier block: pass over its rest.
-    skipping = state.depth >= 3 and state.in_object
+    skipping = state.depth >= 3
     open_parts: list[bytes] | None = None
     open_at: tuple[str, int] = ("", 0)
     listed = wanted - {HEADER_SECTION}
+
+    def between(text: bytes) -> Iterator[tuple[str, int, bytes]]:
+        if state.section in listed and (stray := text.strip(BETWEEN)):
+            yield state.section + BETWEEN_SECTION, state.next_item, stray
+
     for chunk in chunks:
         if state.offset >= limit and open_parts is None:
             return
+        own = len(chunk) if limit == float("inf") else max(0, min(len(chunk), int(limit) - state.offset))
         buf = np.frombuffer(chunk, dtype=np.uint8)
         quotes = _real_quotes(buf)
         at, odd = _brackets(buf, quotes)
@@ -174,19 +250,22 @@ def _cut(chunks: Iterable[bytes], state: State, limit: float, wanted: frozenset[
         # Only brackets that touch depth 1 or the edge of an element matter.
         edge = ((before <= 2) & (step == 1)) | ((after <= 2) & (step == -1))
         header_from = 0 if state.depth == 1 else None
+        between_from = 0 if state.depth == 2 else None
         taken = 0
         for position, kind, low in zip(at[edge].tolist(), kinds[edge].tolist(), np.minimum(before, after)[edge].tolist()):
             offset = state.offset + position
             opening = kind in (OPEN_OBJECT, OPEN_ARRAY)
             if low == 2:
-                if kind == OPEN_OBJECT:
+                if opening:
+                    if between_from is not None:
+                        yield from between(chunk[between_from : min(position, own)])
+                        between_from = None
                     if offset >= limit:
                         return
                     open_at = (state.section, state.next_item)
                     state.next_item += 1
                     open_parts, taken = [], position
-                    state.in_object = True
-                elif kind == CLOSE_OBJECT:
+                else:
                     if skipping:
                         skipping = False
                     elif open_parts is not None:
@@ -194,52 +273,62 @@ def _cut(chunks: Iterable[bytes], state: State, limit: float, wanted: frozenset[
                         if open_at[0] in listed:
                             yield (*open_at, b"".join(open_parts))
                         open_parts = None
-                        if offset >= limit:
-                            return
-                elif opening:
-                    state.in_object = False
+                    if offset >= limit:
+                        return
+                    between_from = position + 1
             elif offset >= limit:
                 break
             elif opening and low == 1:
-                text = state.lead + chunk[:position]
-                state.section = NO_SECTION if kind == OPEN_OBJECT else _key_before(text, len(text))
+                if kind == OPEN_OBJECT:
+                    state.section = NO_SECTION
+                elif np.searchsorted(quotes, position) >= 2:
+                    state.section = _key_before(chunk, quotes, position)
+                else:
+                    text = state.lead + chunk[:position]
+                    state.section = _key_before(text, _real_quotes(np.frombuffer(text, dtype=np.uint8)), len(text))
                 if HEADER_SECTION in wanted:
                     yield HEADER_SECTION, state.offset + header_from, chunk[header_from:position] + b"null"
-                header_from = None
+                header_from, between_from = None, position + 1
             elif opening:
                 header_from = position + 1
             elif low == 1:
-                header_from = position + 1
+                if between_from is not None:
+                    yield from between(chunk[between_from:position])
+                header_from, between_from = position + 1, None
             else:
                 if header_from is not None and HEADER_SECTION in wanted:
                     yield HEADER_SECTION, state.offset + header_from, chunk[header_from:position]
                 header_from = None
-        if header_from is not None and HEADER_SECTION in wanted:
-            end = len(chunk) if limit == float("inf") else min(len(chunk), int(limit) - state.offset)
-            if end > header_from:
-                yield HEADER_SECTION, state.offset + header_from, chunk[header_from:end]
+        if header_from is not None and HEADER_SECTION in wanted and own > header_from:
+            yield HEADER_SECTION, state.offset + header_from, chunk[header_from:own]
+        if between_from is not None:
+            yield from between(chunk[between_from:own])
         if open_parts is not None:
             open_parts.append(chunk[taken:])
+            taken = 0
         state.in_string = (state.in_string + len(quotes)) % 2
         if len(after):
             state.depth = int(after[-1])
-        state.lead = (state.lead + chunk[-LOOKBACK:])[-LOOKBACK:]
+        state.lead = _lead_after(state.lead, chunk, state.in_string) if state.depth == 1 else b""
         state.offset += len(chunk)
     if open_parts is not None and open_at[0] in listed:
         # The file ends inside an element: it comes out as it is and will not parse.
         yield (*open_at, b"".join(open_parts))
+    if to_end and (state.depth or state.in_string):
+        yield FAILED_SECTION, 0, b"the document ends too early or its brackets do not match"
 
 
-def _frames(file_id: str, items: Iterable[tuple[str, int, bytes]]) -> Iterator[pd.DataFrame]:
+def _frames(archive: str, file_id: str, items: Iterable[tuple[str, int, bytes]]) -> Iterator[pd.DataFrame]:
+    columns = ["archive", "file_id", "section", "item_no", "text"]
     rows, size = [], 0
     for section, item_no, text in items:
-        rows.append((file_id, section, item_no, text.decode("utf-8", "replace")))
+        rows.append((archive, file_id, section, item_no, text.decode("utf-8", "replace")))
         size += len(text)
         if size > READ_BYTES or len(rows) >= 4096:
-            yield pd.DataFrame(rows, columns=["file_id", "section", "item_no", "text"])
+            yield pd.DataFrame(rows, columns=columns)
             rows, size = [], 0
     if rows:
-        yield pd.DataFrame(rows, columns=["file_id", "section", "item_no", "text"])
+        yield pd.DataFrame(rows, columns=columns)
 
 
 # --- over all tasks --------------------------------------------------------------------
@@ -258,10 +347,9 @@ def _entry_states(blocks: DataFrame, block_bytes: int) -> DataFrame:
                 with open_file(file_id) as stream:
                     start = _safe_offset(stream, int(block_no) * block_bytes, int(size))
                     end = _safe_offset(stream, (int(block_no) + 1) * block_bytes, int(size))
-                    lead_from = max(0, start - LOOKBACK)
-                    stream.seek(lead_from)
-                    lead = stream.read(start - lead_from)
-                    row = _summarize(lead, stream.read(end - start))
+                    stream.seek(start)
+                    data = stream.read(end - start)
+                    row = _summarize(_look_back(stream, start), data)
                 yield pd.DataFrame([{"file_id": file_id, "block_no": block_no, **row}])
 
     inner = blocks.where((F.col("block_no") + 1) * block_bytes < F.col("file_size"))
@@ -286,7 +374,6 @@ def _entry_states(blocks: DataFrame, block_bytes: int) -> DataFrame:
             (F.col("quotes_through") % 2).cast("int").alias("in_string"),
             F.col("depth_through").cast("int").alias("depth"),
             F.last("at_one.name", ignorenulls=True).over(through).alias("section"),
-            F.last("at_two.object", ignorenulls=True).over(through).alias("in_object"),
             F.sum(F.coalesce("at_two.n", F.lit(0))).over(through).alias("next_item"),
         )
     )
@@ -297,8 +384,8 @@ def shred(files: DataFrame, sections: Sequence[str], block_bytes: int = BLOCK_BY
 
     `files` is (file_id, file_size). `item_no` rises in document order within a file. Section
     HEADER_SECTION asks for the scalar members, see `headers`. Entries of a zip get the id `file!entry`.
-    An archive that cannot be unpacked gives a row of FAILED_SECTION, see `failed_files`; items may have
-    come before it.
+    A file that ends too early and an archive that cannot be unpacked give a row of FAILED_SECTION, see
+    `failed_files`; items may have come before it. `archive` is the landed file itself.
     """
     wanted = frozenset(sections)
     last = F.greatest(F.ceil(F.col("file_size") / block_bytes) - 1, F.lit(0))
@@ -315,7 +402,6 @@ def shred(files: DataFrame, sections: Sequence[str], block_bytes: int = BLOCK_BY
         F.coalesce("in_string", F.lit(0)).alias("in_string"),
         F.coalesce("depth", F.lit(0)).alias("depth"),
         F.coalesce("section", F.lit(NO_SECTION)).alias("section"),
-        F.coalesce("in_object", F.lit(False)).alias("in_object"),
         F.coalesce("next_item", F.lit(0)).alias("next_item"),
         _packed().alias("packed"),
     )
@@ -328,32 +414,39 @@ def shred(files: DataFrame, sections: Sequence[str], block_bytes: int = BLOCK_BY
                         try:
                             for name, entry in entries(row.file_id, stream):
                                 inner = f"{row.file_id}!{name}" if row.file_id.lower().endswith(".zip") else row.file_id
-                                yield from _frames(inner, _cut(_chunks(entry), State(), float("inf"), wanted))
+                                if is_packed(name):
+                                    items = [(FAILED_SECTION, 0, b"an archive inside an archive")]
+                                else:
+                                    items = _cut(_chunks(entry), State(), float("inf"), wanted, to_end=True)
+                                yield from _frames(row.file_id, inner, items)
                         except UNPACK_ERRORS as error:
-                            yield from _frames(row.file_id, [(FAILED_SECTION, 0, str(error).encode())])
+                            yield from _frames(row.file_id, row.file_id, [(FAILED_SECTION, 0, str(error).encode())])
                         continue
                     size = int(row.file_size)
                     start = _safe_offset(stream, int(row.block_no) * block_bytes, size)
                     end = _safe_offset(stream, (int(row.block_no) + 1) * block_bytes, size)
-                    lead_from = max(0, start - LOOKBACK)
-                    stream.seek(lead_from)
-                    state = State(
-                        int(row.in_string), int(row.depth), row.section, bool(row.in_object),
-                        int(row.next_item), stream.read(start - lead_from), start,
-                    )
-                    yield from _frames(row.file_id, _cut(_chunks(stream), state, end, wanted))
+                    lead = _lead(_look_back(stream, start), bool(row.in_string)) if row.depth == 1 else b""
+                    stream.seek(start)
+                    state = State(int(row.in_string), int(row.depth), row.section, int(row.next_item), lead, start)
+                    items = _cut(_chunks(stream), state, end, wanted, to_end=end == size)
+                    yield from _frames(row.file_id, row.file_id, items)
 
     return over_tasks(work, "file_id", "block_no").mapInPandas(run, RAW)
 
 
 def parse(raw: DataFrame, section: str, schema: str) -> DataFrame:
-    """Columns of one section. `bad` marks elements with a value that does not fit the schema."""
+    """Columns of one section. `bad` marks elements with a value that does not fit the schema, and what is no object."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
     return (
-        raw.where(F.col("section") == section)
-        .select("file_id", "item_no", "text", F.from_json("text", f"{schema}, _corrupt STRING", options).alias("item"))
-        .select("file_id", "item_no", "item.*", "text")
-        .withColumn("bad", F.col("_corrupt").isNotNull())
+        raw.where(F.col("section").isin(section, section + BETWEEN_SECTION))
+        .select("section", "file_id", "item_no", "text", F.from_json("text", f"{schema}, _corrupt STRING", options).alias("item"))
+        .select(
+            "file_id",
+            "item_no",
+            "item.*",
+            "text",
+            ((F.col("section") != section) | F.col("item._corrupt").isNotNull() | ~F.col("text").startswith("{")).alias("bad"),
+        )
         .drop("_corrupt")
     )
 
@@ -374,18 +467,13 @@ def rejects(parsed: DataFrame) -> DataFrame:
 
 
 def failed_files(raw: DataFrame) -> DataFrame:
-    """Archives that could not be unpacked, with the reason."""
-    return raw.where(F.col("section") == FAILED_SECTION).select("file_id", F.col("text").alias("reason"))
+    """Files that end too early and archives that could not be unpacked, with the reason."""
+    return raw.where(F.col("section") == FAILED_SECTION).select(F.col("archive").alias("file_id"), F.col("text").alias("reason"))
 
 
-def of_whole_files(rows: DataFrame, failed: DataFrame) -> DataFrame:
-    """Without the rows of failed archives."""
-    archive = F.substring_index("file_id", "!", 1)
-    return (
-        rows.withColumn("_archive", archive)
-        .join(failed.select(F.col("file_id").alias("_archive")), "_archive", "left_anti")
-        .drop("_archive")
-    )
+def of_whole_files(raw: DataFrame, failed: DataFrame) -> DataFrame:
+    """Without the rows of failed files."""
+    return raw.join(failed.select(F.col("file_id").alias("archive")), "archive", "left_anti")
 
 
 def headers(raw: DataFrame) -> DataFrame:

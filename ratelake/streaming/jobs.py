@@ -7,26 +7,32 @@ batch that runs again after a failure replaces its own output.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
-from ratelake import schemas as S
 from ratelake import values as V
 from ratelake.functions.keys import surrogate_id
 from ratelake.functions.text import bare_topic
 from ratelake.operators import rates as R
+from ratelake.plans.rate_ingest import land_bronze
 from ratelake.sources import shred as X
 
 
 def table_stream(spark: SparkSession, folder: str, name: str, files_per_trigger: int = 1000) -> DataFrame:
-    """A table's parquet files as a stream, a bounded number of files per batch."""
+    """A table's parquet files as a stream, a bounded number of files per batch.
+
+    The table is one file or a folder of part files. The path is a pattern that fits its name only, as a
+    stream takes no plain path of a file.
+    """
     return (
         spark.readStream.schema(spark.read.parquet(f"{folder}/{name}.parquet").schema)
-        .option("pathGlobFilter", f"{name}.parquet")
         .option("maxFilesPerTrigger", files_per_trigger)
-        .parquet(folder)
+        .parquet(f"{folder}/{name}.parque[t]")
     )
 
 
@@ -71,9 +77,25 @@ def running_counters(spark: SparkSession, target: str) -> DataFrame:
     )
 
 
-def first_requests(requests: DataFrame, keys: list[str], time: str, delay: str) -> DataFrame:
-    """Requests without repeats; state is dropped once the watermark has passed `delay`."""
-    return requests.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
+def start_first_requests(
+    requests: DataFrame, keys: list[str], target: str, checkpoint: str, once: bool = False
+) -> StreamingQuery:
+    """Requests without repeats, however late they come: a batch is compared with the batches stored before it.
+
+    State behind a watermark would drop a late request that was never seen, and say nothing. A batch that
+    runs again reads only what came before it, so it writes the same rows.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        fresh = batch.dropDuplicates(keys)
+        if number:
+            schema = StructType([*[batch.schema[key] for key in keys], StructField("batch", LongType())])
+            stored = batch.sparkSession.read.schema(schema).parquet(target).where(F.col("batch") < number)
+            same = [fresh[key].eqNullSafe(stored[key]) for key in keys]
+            fresh = fresh.join(stored, reduce(and_, same), "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{target}/batch={number}")
+
+    return _by_batch(requests, checkpoint, write, once)
 
 
 def start_append(stream: DataFrame, target: str, checkpoint: str, once: bool = False) -> StreamingQuery:
@@ -114,28 +136,33 @@ def start_routing(messages: DataFrame, target: str, checkpoint: str, prefix: str
 def start_rate_files(
     files: DataFrame, target: str, checkpoint: str, block_bytes: int = X.BLOCK_BYTES, once: bool = False
 ) -> StreamingQuery:
-    """Parse each landed in-network file into rate messages; items that do not parse and archives that do not unpack go beside them."""
+    """Parse each landed in-network file into rate messages, provider references and its header.
+
+    Items and references that do not parse and files that are not whole go beside them.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        staged = f"{target}/raw/batch={number}"
-        X.shred(batch, ["in_network"], block_bytes).write.mode("overwrite").parquet(staged)
-        raw = spark.read.schema(X.RAW).parquet(staged)
-        whole = X.of_whole_files(raw, X.failed_files(raw))
-        parsed = X.land(X.parse(whole, "in_network", S.ITEM), f"{target}/items/batch={number}")
-        R.rate_messages(X.good(parsed)).write.mode("overwrite").parquet(f"{target}/messages/batch={number}")
-        X.rejects(parsed).write.mode("overwrite").parquet(f"{target}/rejects/batch={number}")
-        X.failed_files(raw).write.mode("overwrite").parquet(f"{target}/failed/batch={number}")
+        bronze = land_bronze(batch, f"{target}/bronze/batch={number}", block_bytes)
+        tables = {
+            "messages": R.rate_messages(bronze.items),
+            "references": bronze.references,
+            "headers": bronze.headers,
+            "rejects": bronze.rejects,
+            "failed": bronze.failed,
+        }
+        for name, rows in tables.items():
+            rows.write.mode("overwrite").parquet(f"{target}/{name}/batch={number}")
 
     return _by_batch(files, checkpoint, write, once)
 
 
 def opened_attempts(rows: DataFrame) -> DataFrame:
-    """A PENDING event per handled message, to append to the status events: it opens an attempt of its job.
+    """A PENDING event per handled job, to append to the status events: it opens an attempt.
 
-    `rows` are routed messages with their time `at`.
+    `rows` are routed messages with their time `at`. A long plan list comes in parts, of which the first opens.
     """
-    return rows.where(F.col("reason").isNull()).select(
+    part = F.coalesce(F.get_json_object("payload", "$.part").cast("int"), F.lit(0))
+    return rows.where(F.col("reason").isNull() & (part == 0)).select(
         surrogate_id("event", F.col("topic"), F.col("job_id"), F.col("at")).alias("event_id"),
         "job_id",
         F.lit("PENDING").alias("status"),

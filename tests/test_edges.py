@@ -1,5 +1,7 @@
 """Edge cases that once went wrong: names, pages, extensions, groups, arrays and batches."""
 
+import json
+
 from pyspark.sql import functions as F
 
 from ratelake import schemas as S
@@ -45,9 +47,32 @@ def test_pages_go_on_behind_a_null_both_ways(spark):
 
 
 def test_groups_of_two_files_stay_apart(spark):
-    rows = spark.createDataFrame([("a", 1, 11), ("b", 1, 22), ("a", 1, 11)], "file_id string, provider_group_id long, npi long")
-    pairs, providers = G.bridge(rows)
-    assert sorted(map(tuple, pairs.collect())) == [("a", 1, 11), ("b", 1, 22)] and providers.count() == 2
+    group = "provider_groups ARRAY<STRUCT<npi: ARRAY<BIGINT>, tin: STRUCT<type: STRING, value: STRING, business_name: STRING>, tins: STRUCT<type: STRING, value: STRING, business_name: STRING>>>"
+    rows = [(file_id, 1, None, [([npi], None, None)]) for file_id, npi in (("a", 11), ("b", 22), ("a", 11))]
+    references = spark.createDataFrame(rows, f"file_id STRING, provider_group_id BIGINT, network_name STRING, {group}")
+    pairs, providers = G.bridge(G.members(references))
+    found = pairs.collect()
+    assert sorted(r.npi for r in found) == [11, 22] and len({r.group_id for r in found}) == 2 and providers.count() == 2
+
+
+def test_malformed_documents_are_named(spark, tmp_path):
+    from ratelake.operators import toc as T
+    from ratelake.sources import documents as C
+
+    (tmp_path / "bad.json").write_text('{"mrfs": [')
+    (tmp_path / "none.json").write_text('{"mrfs": []}')
+    gated = T.gate_listings(C.listings(spark, str(tmp_path)))
+    assert {r.file_id.rsplit("/", 1)[1]: r.reason for r in gated.collect()} == {"bad.json": "not a listing", "none.json": "no mrf"}
+    assert C.structures(spark, str(tmp_path)).count() == 0
+    assert [r.file_id.rsplit("/", 1)[1] for r in C.malformed(spark, str(tmp_path), S.TOC).collect()] == ["bad.json"]
+
+
+def test_parts_of_a_job_open_one_attempt(spark):
+    from ratelake.streaming import jobs as M
+
+    rows = [("in-network-file", json.dumps({"id": "j", "payload": {"part": part, "nParts": 3}}), 5 + part) for part in range(3)]
+    messages = spark.createDataFrame(rows, "topic string, value string, at int").withColumn("at", F.timestamp_seconds("at"))
+    assert M.opened_attempts(M.routed(messages)).count() == 1
 
 
 def test_one_dimension_row_for_each_hash(spark):

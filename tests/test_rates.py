@@ -12,6 +12,7 @@ from ratelake import schemas as S
 from ratelake.operators import providers as G
 from ratelake.operators import rates as R
 from ratelake.operators import serving as A
+from ratelake.functions.keys import group_id
 from ratelake.plans.rate_ingest import land_bronze, upsert_dimension, upsert_fact
 from ratelake.sources import files as D
 from ratelake.sources import shred as X
@@ -149,8 +150,10 @@ def test_price_hash_ignores_array_order(one):
     assert again.where("h <> procedure_hash").count() == 0
 
 
-def places(spark):
-    return spark.createDataFrame([("1", "00501", 1), ("2", None, 2)], "provider_group_id string, zip_code string, region_code bigint")
+def places(spark, one):
+    rows = spark.createDataFrame([(1, "00501", 1), (2, None, 2)], "number long, zip_code string, region_code bigint")
+    file_id = one[0].first().file_id
+    return rows.select(group_id(F.lit(file_id), F.col("number")).alias("provider_group_id"), "zip_code", "region_code")
 
 
 def fact_of(spark, one, day="2024-01-01"):
@@ -161,10 +164,10 @@ def fact_of(spark, one, day="2024-01-01"):
 
 def test_fact_and_upserts(spark, one):
     priced, plans = fact_of(spark, one)
-    fact = upsert_fact(spark.createDataFrame([], S.PROVIDER_RATE_TABLE), priced, plans, places(spark))
+    fact = upsert_fact(spark.createDataFrame([], S.PROVIDER_RATE_TABLE), priced, plans, places(spark, one))
     assert fact.count() == 5
     later = priced.withColumn("seen_date", F.to_date(F.lit("2024-02-01")))
-    again = upsert_fact(fact, later.where("price.negotiated_rate = 80"), plans, places(spark))
+    again = upsert_fact(fact, later.where("price.negotiated_rate = 80"), plans, places(spark, one))
     rows = again.groupBy("first_seen_date", "last_seen_date").count().collect()
     assert sorted((str(r.first_seen_date), str(r.last_seen_date), r["count"]) for r in rows) == [
         ("2024-01-01", "2024-01-01", 3),
@@ -188,7 +191,7 @@ def test_members_and_join(bronze, one):
 
 def test_layouts_and_lookups(spark, one, tmp_path):
     priced, plans = fact_of(spark, one)
-    fact = upsert_fact(spark.createDataFrame([], S.PROVIDER_RATE_TABLE), priced, plans, places(spark))
+    fact = upsert_fact(spark.createDataFrame([], S.PROVIDER_RATE_TABLE), priced, plans, places(spark, one))
     counts = {}
     for path in A.PATHS:
         A.write_layout(fact, path, str(tmp_path / path))
@@ -201,7 +204,8 @@ def test_layouts_and_lookups(spark, one, tmp_path):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(zip_code), IsNotNull(billing_code_id), EqualTo(zip_code,00501)" in plan
     provider = A.read_layout(spark, str(tmp_path / "provider"), S.PROVIDER_RATE_TABLE)
-    assert A.lookup(provider, "provider", "2").count() == 3
+    second = places(spark, one).where("region_code = 2").first().provider_group_id
+    assert A.lookup(provider, "provider", second).count() == 3
 
 
 def test_manifest(spark, landed):
@@ -243,14 +247,35 @@ def test_broken_files(spark, tmp_path):
     files = D.list_files(spark, str(tmp_path))
     bronze = land_bronze(files, str(tmp_path / "staging"), block_bytes=200)
     name = lambda r: r.file_id.rsplit("/", 1)[1]
-    assert sorted(name(r) for r in bronze.failed.collect()) == ["no.zip", "short.json.gz"]
-    assert sorted((name(r), r.billing_code) for r in bronze.items.collect()) == [
-        ("cut.json", "99213"),
-        ("fine.json", "470"),
-        ("fine.json", "99213"),
-    ]
-    rejects = bronze.rejects.collect()
-    assert [name(r) for r in rejects] == ["cut.json"] and "470" in rejects[0].text
+    assert sorted(name(r) for r in bronze.failed.collect()) == ["cut.json", "no.zip", "short.json.gz"]
+    assert sorted((name(r), r.billing_code) for r in bronze.items.collect()) == [("fine.json", "470"), ("fine.json", "99213")]
     measured = D.measure_files(files).collect()
     assert sorted(name(r) for r in measured if r.error) == ["no.zip", "short.json.gz"]
     assert D.manifest(D.measure_files(files), F.lit("j")).count() == 2
+
+
+def test_archives_with_odd_names_and_archives_in_them(spark, tmp_path):
+    """A failed archive takes its own rows with it and no others; an archive inside an archive is a failed file."""
+    text = json.dumps(DOCUMENT)
+    for name, members in {"a!b.zip": {"x.json": text, "y.json": text[:-5]}, "a.zip": {"x!.json": text}, "n.zip": {"x.json.gz": text}}.items():
+        with zipfile.ZipFile(tmp_path / name, "w") as archive:
+            for member, body in members.items():
+                archive.writestr(member, body)
+    bronze = land_bronze(D.list_files(spark, str(tmp_path)), str(tmp_path / "staging"))
+    name = lambda r: r.file_id.rsplit("/", 1)[1]
+    assert sorted(name(r) for r in bronze.failed.collect()) == ["a!b.zip", "n.zip"]
+    assert {name(r) for r in bronze.items.collect()} == {"a.zip!x!.json"}
+
+
+def test_fact_keeps_files_apart_and_new_codes_join_old_rows(spark, one):
+    """Group 1 of two files is two groups; a word that gets a code later is no second dimension row."""
+    priced, _ = fact_of(spark, one)
+    both = priced.unionByName(priced.withColumn("file_id", F.lit("other")))
+    plans = both.select("file_id").distinct().withColumn("insurance_plan_id", F.lit("p1"))
+    groups = R.merge(R.fact_rows(both, plans)).select("provider_group_id").distinct()
+    assert groups.count() == 4
+    rows = R.dimension_rows(priced, F.col("seen_date"))
+    later = rows.withColumn("setting", F.lit(9).cast("tinyint"))
+    merged = R.merge(rows.unionByName(later))
+    assert merged.count() == rows.select("procedure_hash").distinct().count()
+    assert merged.where("setting = 9").count() == merged.count()

@@ -31,26 +31,35 @@ def expected(doc):
 
 def states(data, block, sections):
     """Entry states from the block summaries, folded in order."""
-    size, state, out = len(data), (0, 0, S.NO_SECTION, False, 0), []
+    size, state, out = len(data), (0, 0, S.NO_SECTION, 0), []
     stream = io.BytesIO(data)
     for number in range(max(1, -(-size // block))):
         start = S._safe_offset(stream, number * block, size)
         end = S._safe_offset(stream, (number + 1) * block, size)
-        lead = data[max(0, start - S.LOOKBACK) : start]
+        look_back = S._look_back(stream, start)
+        in_string, depth, section, item = state
+        lead = S._lead(look_back, bool(in_string)) if depth == 1 else b""
         out.append((start, end, lead, state))
-        row = S._summarize(lead, data[start:end])
-        in_string, depth, section, in_object, item = state
+        row = S._summarize(look_back, data[start:end])
         case = "in" if in_string else "out"
         opens = {o["d"]: o for o in row[f"opens_{case}"]}
         if 1 - depth in opens:
             section = opens[1 - depth]["name"]
         if 2 - depth in opens:
-            in_object = opens[2 - depth]["object"]
             item += opens[2 - depth]["n"]
-        state = ((in_string + row["quotes"]) % 2, depth + row[f"delta_{case}"], section, in_object, item)
+        state = ((in_string + row["quotes"]) % 2, depth + row[f"delta_{case}"], section, item)
     return out
 
 
+def cut(data, block, wanted):
+    """What all blocks of a document yield, in order."""
+    for start, end, lead, (in_string, depth, section, item) in states(data, block, wanted):
+        stream = io.BytesIO(data)
+        stream.seek(start)
+        state = S.State(in_string, depth, section, item, lead, start)
+        yield from S._cut(S._chunks(stream), state, end, wanted, to_end=end == len(data))
+
+
 @pytest.mark.parametrize("indent", [None, 1])
 @pytest.mark.parametrize("ascii_only", [True, False])
 def test_any_block_and_read_size(monkeypatch, indent, ascii_only):
@@ -59,16 +68,17 @@ def test_any_block_and_read_size(monkeypatch, indent, ascii_only):
     for block in [1, 2, 3, 5, 7, 11, 16, 31, 64, 200, 10_000]:
         for read in (3, 17, 1 << 20):
             monkeypatch.setattr(S, "READ_BYTES", read)
-            found, header = {}, []
-            for start, end, lead, (in_string, depth, section, in_object, item) in states(data, block, wanted):
-                stream = io.BytesIO(data)
-                stream.seek(start)
-                state = S.State(in_string, depth, section, in_object, item, lead, start)
-                for name, number, text in S._cut(S._chunks(stream), state, end, wanted):
-                    if name == S.HEADER_SECTION:
-                        header.append((number, text))
-                    else:
-                        found.setdefault(name, []).append((number, json.loads(text)))
+            found, header, others = {}, [], []
+            for name, number, text in cut(data, block, wanted):
+                if name == S.HEADER_SECTION:
+                    header.append((number, text))
+                elif text.startswith(b"{") and not name.endswith(S.BETWEEN_SECTION):
+                    found.setdefault(name, []).append((number, json.loads(text)))
+                else:
+                    others.append((name, text))
+            assert {name for name, _ in others} == {"mixed", "mixed" + S.BETWEEN_SECTION}
+            pieces = b"".join(text for _, text in others)
+            assert all(part in pieces for part in (b'[{"no": 1}]', b'3')) or indent
             assert {k: [v for _, v in rows] for k, rows in found.items()} == expected(TRICKY), (block, read)
             numbers = [n for rows in found.values() for n, _ in rows]
             assert len(set(numbers)) == len(numbers)
@@ -100,10 +110,30 @@ def test_random_documents(monkeypatch):
         block, read = rng.randrange(1, 60), rng.randrange(1, 40)
         monkeypatch.setattr(S, "READ_BYTES", read)
         found = {"in_network": [], "provider_references": []}
-        for start, end, lead, (in_string, depth, section, in_object, item) in states(data, block, wanted):
-            stream = io.BytesIO(data)
-            stream.seek(start)
-            state = S.State(in_string, depth, section, in_object, item, lead, start)
-            for name, _, text in S._cut(S._chunks(stream), state, end, wanted):
+        for name, _, text in cut(data, block, wanted):
+            assert name != S.FAILED_SECTION
+            if text.startswith(b"{") and not name.endswith(S.BETWEEN_SECTION):
                 found[name].append(json.loads(text))
         assert found == {k: [v for v in doc[k] if isinstance(v, dict)] for k in found}
+
+
+@pytest.mark.parametrize("read", [5, 64, 1 << 20])
+def test_nothing_is_lost_in_silence(monkeypatch, read):
+    """Blanks before an array, deep nesting, members that are no objects, files cut off: at any block size."""
+    monkeypatch.setattr(S, "READ_BYTES", read)
+    wanted = frozenset(["in_network"])
+
+    def rows(text, block):
+        return [(name, text) for name, _, text in cut(text, block, wanted)]
+
+    far = b'{"in_network":' + b" " * 5000 + b'[{"a":1}],"' + b"k" * 6000 + b'":[{"b":2}],"in_\\u006eetwork":[{"c":3}]}'
+    deep = b'{"x":' + b"[" * 1500 + b"]" * 1500 + b',"in_network":[{"a":' + b"[" * 1300 + b"]" * 1300 + b'},{"b":2}]}'
+    odd = b'{"in_network":[null, "x,", [1], {"a":1}, 7]}'
+    for block in (7, 100, 1000, 4096, 1 << 20):
+        assert [text for _, text in rows(far, block)] == [b'{"a":1}', b'{"c":3}'], block
+        assert [text[:5] for _, text in rows(deep, block)] == [b'{"a":', b'{"b":'], block
+        found = [text for _, text in rows(odd, block)]
+        assert b'{"a":1}' in found and b"[1]" in found
+        assert b"".join(found).replace(b" ", b"").replace(b",", b"") == b'null"x"[1]{"a":1}7', block
+        for end in (len(odd) - 1, len(odd) - 2, len(odd) - 9, 20, 3, 1):
+            assert S.FAILED_SECTION in [name for name, _ in rows(odd[:end], block)], (block, end)

@@ -61,17 +61,31 @@ def test_rate_files_as_they_land(spark, tmp_path):
     rows = spark.read.parquet(f"{target}/messages").select(F.col("procedure.billing_code").alias("c")).collect()
     assert sorted(r.c for r in rows) == ["1", "2", "3"]
     assert spark.read.parquet(f"{target}/rejects").count() == 2
+    assert spark.read.parquet(f"{target}/references").count() == 0
+    assert spark.read.parquet(f"{target}/headers").count() == 2
 
 
 def test_first_requests(spark, tmp_path):
+    """Repeats go, in a batch and between batches; a new request far older than the newest stays; NULL keys are equal."""
     source, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "state"))
-    rows = [("r1", "2024-01-01 00:00:00"), ("r1", "2024-01-01 00:01:00"), ("r2", "2024-01-01 00:02:00")]
-    df = spark.createDataFrame(rows, "request_id string, at string").withColumn("at", F.col("at").cast("timestamp"))
-    for _ in range(2):
+    batches = [[("r1", "2024-06-01"), ("r1", "2024-06-01"), (None, "2024-06-01")], [("r1", "2024-06-02"), ("old", "2023-01-01"), (None, "2024-06-02")]]
+    for rows in batches:
+        df = spark.createDataFrame(rows, "request_id string, at string")
         df.write.mode("append").parquet(source)
-        stream = M.first_requests(spark.readStream.schema(df.schema).parquet(source), ["request_id"], "at", "1 hour")
-        M.start_append(stream.select("request_id"), target, checkpoint, once=True).awaitTermination()
-    assert sorted(r.request_id for r in spark.read.parquet(target).collect()) == ["r1", "r2"]
+        stream = spark.readStream.schema(df.schema).parquet(source)
+        M.start_first_requests(stream, ["request_id"], target, checkpoint, once=True).awaitTermination()
+    assert sorted(str(r.request_id) for r in spark.read.parquet(target).collect()) == ["None", "old", "r1"]
+
+
+def test_tables_of_part_files_stream(spark, small, tmp_path):
+    """A table is a folder of part files as well as one file, and batches may be as small as one file."""
+    events = spark.read.parquet(f"{small}/events.parquet")
+    events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    for folder in (small, str(tmp_path)):
+        target, checkpoint = str(tmp_path / f"t{len(folder)}"), str(tmp_path / f"c{len(folder)}")
+        rows = M.table_stream(spark, folder, "events", files_per_trigger=1).select("user_id", "event_type")
+        M.start_first_requests(rows, ["user_id", "event_type"], target, checkpoint, once=True).awaitTermination()
+        assert spark.read.parquet(target).count() == events.select("user_id", "event_type").distinct().count()
 
 
 def test_consumed_messages_open_attempts(spark):
