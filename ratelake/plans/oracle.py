@@ -566,6 +566,10 @@ UNION ALL SELECT 'reject', 'null' FROM nation WHERE n_nationkey % 5 <> 0
 UNION ALL SELECT 'reject', '["' || n_nationkey || '"]' FROM nation WHERE n_nationkey % 5 <> 0
 UNION ALL SELECT 'reject', '"' || n_nationkey || '"' FROM nation WHERE n_nationkey % 5 <> 0
 UNION ALL SELECT 'failed', 'the document ends too early or its brackets do not match' FROM nation WHERE n_nationkey % 5 = 0"""
+ORACLE["job_events"] = """
+SELECT CAST(n_nationkey AS VARCHAR) AS job_id, status, '2002-01-01 0' || hour || ':00:00.000000' AS status_time
+FROM nation, (VALUES ('DOWNLOADING', 0), ('PARSING', 2), ('COMPLETED', 3), ('FAILED', 4)) v(status, hour)
+WHERE hour < 3 OR (n_nationkey % 5 = 0) = (status = 'FAILED')"""
 ORACLE["stream_new_files"] = """
 SELECT CAST(p_partkey AS VARCHAR) AS billing_code, p_brand AS description, p_size || ',' || (p_size + 1) AS provider_ids,
   1 AS n_prices FROM part"""

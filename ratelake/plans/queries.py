@@ -24,7 +24,7 @@ from ratelake.operators import serving as A
 from ratelake.operators import toc as T
 from ratelake.operators.checks import split_by_enums
 from ratelake.plans import standins as I
-from ratelake.plans.rate_ingest import land_bronze, upsert_dimension, upsert_fact
+from ratelake.plans.rate_ingest import land_bronze, state_events, upsert_dimension, upsert_fact
 from ratelake.plans.toc_import import TocImport, import_toc
 from ratelake.sources import files as D
 from ratelake.sources import shred as X
@@ -640,6 +640,19 @@ def shred_rejects(spark, folder):
     ).unionByName(bronze.items.select(F.lit("item").alias("kind"), F.col("billing_code").alias("text")))
 
 
+@query
+def job_events(spark, folder):
+    """The status events of one job per landed file, some of which are not whole."""
+    landing = session.run_dir(spark, "damaged")
+    I.write_damaged_files(spark, folder, landing)
+    files = D.list_files(spark, landing, "part-*")
+    bronze = land_bronze(files, session.run_dir(spark, "bronze"))
+    states = ("DOWNLOADING", "DECOMPRESSING", "PARSING", "COMPLETED", "FAILED")
+    times = {status: datetime(2002, 1, 1, hour) for hour, status in enumerate(states)}
+    jobs = files.withColumn("job_id", F.regexp_extract("file_id", "nation=([0-9]+)", 1))
+    return state_events(jobs, bronze.failed, times).select("job_id", "status", moment("status_time"))
+
+
 @query
 def shred_references(spark, folder):
     landing = session.run_dir(spark, "landing")

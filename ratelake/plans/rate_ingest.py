@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ratelake import schemas as S
+from ratelake.functions.keys import surrogate_id
 from ratelake.operators import rates as R
 from ratelake.sources import shred as X
 
+
 @dataclass(frozen=True)
 class Bronze:
     items: DataFrame
@@ -41,6 +45,36 @@ def land_bronze(files: DataFrame, folder: str, block_bytes: int = X.BLOCK_BYTES)
     )
 
 
+def state_events(files: DataFrame, failed: DataFrame, times: dict[str, datetime]) -> DataFrame:
+    """Status events of the jobs whose files were landed, to append to the stored ones.
+
+    `files` is (job_id, file_id), `failed` the failed files of a Bronze, `times` when each step began:
+    DOWNLOADING, DECOMPRESSING, PARSING, COMPLETED and FAILED. Packed files alone are decompressed. A job
+    whose file is not whole ends as FAILED.
+    """
+    lost = failed.select("file_id", F.lit(True).alias("lost")).distinct()
+    states = F.array_compact(
+        F.array(
+            F.lit("DOWNLOADING"),
+            F.when(X.packed(), "DECOMPRESSING"),
+            F.lit("PARSING"),
+            F.when(F.col("lost"), "FAILED").otherwise("COMPLETED"),
+        )
+    )
+    time = F.create_map(*[part for status, at in times.items() for part in (F.lit(status), F.lit(at))])
+    return (
+        files.join(lost, "file_id", "left")
+        .select("job_id", "file_id", F.explode(states).alias("status"))
+        .withColumn("status_time", time[F.col("status")])
+        .select(
+            surrogate_id("event", F.col("job_id"), F.col("file_id"), F.col("status"), F.col("status_time")).alias("event_id"),
+            "job_id",
+            "status",
+            "status_time",
+        )
+    )
+
+
 def upsert_dimension(table: DataFrame, priced: DataFrame, seen_date: Column) -> DataFrame:
     return R.merge(table.unionByName(R.dimension_rows(priced, seen_date)))
 

@@ -334,7 +334,7 @@ def _frames(archive: str, file_id: str, items: Iterable[tuple[str, int, bytes]])
 # --- over all tasks --------------------------------------------------------------------
 
 
-def _packed():
+def packed():
     return F.lower("file_id").rlike("[.](gz|zip)$")
 
 
@@ -392,9 +392,9 @@ def shred(files: DataFrame, sections: Sequence[str], block_bytes: int = BLOCK_BY
     blocks = files.select(
         "file_id",
         "file_size",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.when(_packed(), 0).otherwise(last).cast("bigint"))).alias("block_no"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.when(packed(), 0).otherwise(last).cast("bigint"))).alias("block_no"),
     )
-    states = _entry_states(blocks.where(~_packed()), block_bytes)
+    states = _entry_states(blocks.where(~packed()), block_bytes)
     work = blocks.join(states, ["file_id", "block_no"], "left").select(
         "file_id",
         "file_size",
@@ -403,7 +403,7 @@ def shred(files: DataFrame, sections: Sequence[str], block_bytes: int = BLOCK_BY
         F.coalesce("depth", F.lit(0)).alias("depth"),
         F.coalesce("section", F.lit(NO_SECTION)).alias("section"),
         F.coalesce("next_item", F.lit(0)).alias("next_item"),
-        _packed().alias("packed"),
+        packed().alias("packed"),
     )
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -3,17 +3,19 @@
 import gzip
 import json
 import zipfile
+from datetime import datetime
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
 from ratelake import schemas as S
+from ratelake.operators import jobs as J
 from ratelake.operators import providers as G
 from ratelake.operators import rates as R
 from ratelake.operators import serving as A
 from ratelake.functions.keys import group_id
-from ratelake.plans.rate_ingest import land_bronze, upsert_dimension, upsert_fact
+from ratelake.plans.rate_ingest import land_bronze, state_events, upsert_dimension, upsert_fact
 from ratelake.sources import files as D
 from ratelake.sources import shred as X
 
@@ -279,3 +281,22 @@ def test_fact_keeps_files_apart_and_new_codes_join_old_rows(spark, one):
     merged = R.merge(rows.unionByName(later))
     assert merged.count() == rows.select("procedure_hash").distinct().count()
     assert merged.where("setting = 9").count() == merged.count()
+
+
+def test_state_events_of_landed_files(spark):
+    """A packed file is decompressed first, a file that is not whole ends as FAILED, and every move is legal."""
+    names = [("1", "a.json.gz"), ("2", "b.json"), ("3", "c.json")]
+    files = spark.createDataFrame(names, "job_id string, file_id string")
+    failed = spark.createDataFrame([("c.json", "cut"), ("c.json", "cut")], "file_id string, reason string")
+    states = ("DOWNLOADING", "DECOMPRESSING", "PARSING", "COMPLETED", "FAILED")
+    events = state_events(files, failed, {status: datetime(2024, 1, 1, n) for n, status in enumerate(states)})
+    found = {}
+    for row in events.orderBy("status_time").collect():
+        found.setdefault(row.job_id, []).append(row.status)
+    assert found == {
+        "1": ["DOWNLOADING", "DECOMPRESSING", "PARSING", "COMPLETED"],
+        "2": ["DOWNLOADING", "PARSING", "COMPLETED"],
+        "3": ["DOWNLOADING", "PARSING", "FAILED"],
+    }
+    assert J.illegal_moves(events, F.date_trunc("hour", "status_time")).count() == 0
+    assert {r.job_id: r.status for r in J.latest_status(events).collect()} == {"1": "COMPLETED", "2": "COMPLETED", "3": "FAILED"}
