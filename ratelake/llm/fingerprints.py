@@ -21,9 +21,10 @@ PARTS, WIDTH = 3, 4
 CELLS = PARTS * WIDTH
 #: Digests per sketch when they are dealt to several.
 LOAD = 3
-#: A line is a paragraph; a longer one ends at the first end of a sentence behind so many characters.
-LONG = 100
-PARAGRAPH = rf"(?:[^\n]{{{LONG},}}?[.!?](?=\s)|[^\n]++)"
+#: A line is a paragraph; a longer one ends at the first end of a sentence behind LONG characters, or, where
+#: none comes within LONGEST, behind the word that stands there; a word counts up to LONG characters more.
+LONG, LONGEST = 100, 200
+PARAGRAPH = rf"(?:[^\n]{{{LONG},{LONGEST}}}?[.!?](?=\s)|[^\n]{{{LONGEST}}}\S{{0,{LONG}}}+|[^\n]++)"
 #: Buckets of ids in which the next document is looked for.
 BUCKETS = 1024
 ROUNDS = 40
@@ -135,12 +136,14 @@ def with_next(docs: DataFrame) -> DataFrame:
     """(doc_id, text, next, _bucket, _row): each row with the text that follows in ascending doc_id.
 
     Behind the last row comes the first. NULL ids come first; equal ids go by a hash of their text. Ids
-    are cut into BUCKETS of equal width, and one row of each crosses to the one before.
+    are cut into BUCKETS at their quantiles, so that uneven ids make even buckets, and one row of each
+    crosses to the one before.
     """
     read = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    least, most = read.agg(F.min("doc_id"), F.max("doc_id")).first()
-    width = 1 if least is None else (most - least) // BUCKETS + 1
-    bucketed = read.withColumn("_bucket", F.coalesce(F.floor((F.col("doc_id") - F.lit(least or 0)) / width), F.lit(-1)))
+    cuts = F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])
+    bounds = sorted(set(read.agg(F.percentile_approx("doc_id", cuts, 10 * BUCKETS)).first()[0] or []))
+    numbered = F.size(F.filter(F.lit(bounds).cast("array<long>"), lambda b: b <= F.col("doc_id")))
+    bucketed = read.withColumn("_bucket", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(numbered))
     order = F.struct("doc_id", F.xxhash64("text"), "text")
     inside = Window.partitionBy("_bucket").orderBy("doc_id", F.xxhash64("text"), "text")
     across = Window.orderBy("_bucket")

@@ -153,11 +153,14 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
 def kept_documents(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """One document of each group of near-duplicates: the one that names it, once. All columns stay.
 
-    Rows that repeat an id are one document; of rows with a NULL id, one stays for all groups without ids.
+    Rows that repeat an id are one document. A row without id goes by a hash of its text, above all usual
+    ids: it stays if nothing else is like it, and otherwise yields to a document with an id.
     """
-    heads = near_duplicates(docs, radius).select(F.col("component_id").alias("_id")).distinct()
-    rows = docs.select(F.col("doc_id").alias("id"), F.struct("*").alias("row")).dropDuplicates(["id"])
-    return rows.join(heads, F.col("id").eqNullSafe(F.col("_id")), "left_semi").select("row.*")
+    unnamed = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    named = F.coalesce(F.col("doc_id").cast("long"), unnamed)
+    heads = near_duplicates(docs.select(named.alias("doc_id"), "text"), radius).select("component_id").distinct()
+    rows = docs.select(named.alias("id"), F.struct("*").alias("row")).dropDuplicates(["id"])
+    return rows.join(heads, F.col("id") == F.col("component_id"), "left_semi").select("row.*")
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

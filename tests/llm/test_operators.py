@@ -206,6 +206,14 @@ def test_one_of_each_group_stays(hard, empty):
     assert simhash.near_duplicates(empty).count() == 0 and simhash.kept_documents(empty).count() == 0
 
 
+def test_rows_without_ids_stay_unless_something_is_like_them(spark):
+    rows = [(None, "a b c d e f"), (None, "quite another text stands here"), (7, "a b c d e f"), (None, None), (None, ""), (None, "quite another text stands here")]
+    kept = simhash.kept_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in kept) == [
+        (False, 7, "a b c d e f"), (True, 0, ""), (True, 0, "quite another text stands here")
+    ]
+
+
 def test_long_chains_are_one_component(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1000), (5, 5)], "a long, b long")
     got = components.components(chain).collect()
@@ -276,6 +284,13 @@ def test_personal_data_of_hard_rows(hard, empty):
 # --- fingerprints ---
 
 
+def test_uneven_ids_make_even_buckets(spark):
+    ids = [1 << 60, *range(5000)]
+    found = fingerprints.with_next(spark.createDataFrame([(i, str(i)) for i in ids], "doc_id long, text string")).collect()
+    assert {r["doc_id"]: r["next"] for r in found} == {i: str(j) for i, j in zip(sorted(ids), [*range(1, 5000), 1 << 60, 0], strict=True)}
+    assert max(Counter(r["_bucket"] for r in found).values()) < 50
+
+
 def test_likeness_is_exact_on_hard_rows(hard, empty):
     rows = sorted(
         hard.select("doc_id", F.coalesce("text", F.lit("")).alias("t"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("h")).collect(),
