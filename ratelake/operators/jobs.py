@@ -213,9 +213,11 @@ def job_metrics(files: DataFrame) -> DataFrame:
 def trigger_jobs(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Jobs started from scan sources, and the requests that start none, with the reason.
 
-    Requests repeat; each request id starts one job.
+    Requests repeat; each request id starts one job. The message carries all options of its source, by name;
+    options that are no JSON name no listing.
     """
-    option = F.get_json_object("options", f"$.{V.LISTING_URL_OPTION}")
+    parsed = F.try_parse_json("options")
+    option = F.try_variant_get(parsed, f"$.{V.LISTING_URL_OPTION}", "string")
     reason = F.when(
         ~F.coalesce(F.col("source_type").isin(*V.HANDLED_SOURCE_TYPES), F.lit(False)), "source type not handled"
     ).when(~filled(F.coalesce(option, F.lit(""))), "listing url missing")
@@ -230,7 +232,7 @@ def trigger_jobs(requests: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.col("source_id").alias("id"),
         F.col("source_type").alias("sourceType"),
         F.col("company_id").alias("insuranceCompanyId"),
-        F.struct(F.col("listing_url").alias(V.LISTING_URL_OPTION)).alias("options"),
+        parsed.alias("options"),
     )
     job_id = surrogate_id(V.ID_JOB, F.col("request_id"))
     started = once.where(F.col("reason").isNull()).select(

@@ -6,6 +6,8 @@ one element of an index with its place in it. Order always comes from the places
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -138,8 +140,8 @@ def plans_of_files(files: DataFrame, plans: DataFrame) -> DataFrame:
 
 def with_plan_parts(files: DataFrame, pairs: DataFrame, size: int = 10_000) -> DataFrame:
     """Files with their sorted plan ids, in parts of at most `size`; a file without plans has one empty part."""
-    # Plan ids are evenly spread hex behind a fixed prefix, so three digits make even, ordered buckets.
-    bucket = F.substring("insurance_plan_id", 1, len(V.ID_PLAN) + 4)
+    # Plan ids are evenly spread hex behind a fixed prefix, so one digit makes 16 even, ordered buckets.
+    bucket = F.substring("insurance_plan_id", 1, len(V.ID_PLAN) + 2)
     parts = gather_in_parts(pairs, ["file_id", "location"], "insurance_plan_id", bucket, size, "reporting_plans")
     # A location has a part for each ten thousand plans: few rows to a window.
     of_file = Window.partitionBy("file_id", "location")
@@ -180,6 +182,12 @@ def with_lots(jobs: DataFrame, size: int = V.DISPATCH_LOT, bucket_width: int = 4
     return ranked.withColumn("lot", F.floor((F.col("lot_rank") - 1) / size)).drop("lot_rank")
 
 
+def dispatched(messages: DataFrame, lots: DataFrame, types: Sequence[str] = V.JOB_FILE_TYPES) -> DataFrame:
+    """The messages of the file types that are sent, each with the lot of its job; others exist but go nowhere."""
+    numbered = lots.select(F.col("id").alias("_id"), "lot")
+    return messages.where(F.col("file_type").isin(*types)).join(numbered, F.col("id") == F.col("_id")).drop("_id")
+
+
 def dispatch_messages(jobs: DataFrame, company_id: Column, topic_prefix: str = "") -> DataFrame:
     """Add topic and JSON message to jobs that carry their plans: one row per job and part of its plan list."""
     topic = F.when(F.col("file_type") == "IN_NETWORK", V.TOPIC_IN_NETWORK).otherwise(V.TOPIC_ALLOWED_AMOUNT)

@@ -199,6 +199,15 @@ ORACLE["dispatch_batches"] = with_(
   CAST(floor((row_number() OVER (PARTITION BY file_id, file_type ORDER BY rs_pos, file_pos) - 1) / 100) AS BIGINT) AS lot
 FROM files""",
 )
+ORACLE["dispatch_lots"] = with_(
+    *FILES,
+    select="""SELECT parent_job_id, topic, lot, count(*) AS n_messages
+FROM file_parts JOIN (
+  SELECT file_id, location,
+    CAST(floor((row_number() OVER (PARTITION BY file_id ORDER BY rs_pos, file_pos) - 1) / 100) AS BIGINT) AS lot
+  FROM files WHERE file_type = 'in_network') USING (file_id, location)
+GROUP BY ALL""",
+)
 
 REQUESTS = (
     """

@@ -75,7 +75,8 @@ def toc_good_plans(spark, folder):
 
 @query
 def toc_first_rank(spark, folder):
-    ranked = T.rank_plans(T.flatten_plans(I.structures(spark, folder)))
+    plans = session.staged(T.flatten_plans(I.structures(spark, folder)), session.run_dir(spark, "plans"))
+    ranked = T.rank_plans(plans)
     return ranked.select("file_id", "plan_name", "plan_id", "rs_pos", "plan_pos", "name_rank")
 
 
@@ -194,7 +195,15 @@ def toc_child_jobs(spark, folder):
 
 @query
 def dispatch_batches(spark, folder):
-    return imported(spark, folder).lots.select("id", "parent_job_id", "file_type", "rs_pos", "lot")
+    jobs = session.staged(imported(spark, folder).jobs, session.run_dir(spark, "jobs"))
+    return T.with_lots(jobs).select("id", "parent_job_id", "file_type", "rs_pos", "lot")
+
+
+@query
+def dispatch_lots(spark, folder):
+    index = imported(spark, folder, session.run_dir(spark, "index"))
+    sent = T.dispatched(index.messages, index.lots, ("IN_NETWORK",))
+    return sent.groupBy("parent_job_id", "topic", "lot").agg(F.count(F.lit(1)).alias("n_messages"))
 
 
 @query

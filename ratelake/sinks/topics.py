@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.protobuf.functions import to_protobuf
@@ -10,12 +12,11 @@ from ratelake import values as V
 from ratelake.operators.rates import wire_messages
 
 
-def send_jobs(messages: DataFrame, servers: str, dispatch: bool = True, **options: str) -> None:
-    """Send (topic, value) rows. With `dispatch` off the jobs exist but nothing is sent."""
-    if not dispatch:
-        return
+def send_jobs(messages: DataFrame, servers: str, types: Sequence[str] = V.JOB_FILE_TYPES, **options: str) -> None:
+    """Send (topic, value) of the jobs of `types`. Jobs of other types exist but nothing is sent for them."""
     (
-        messages.select("topic", "value")
+        messages.where(F.col("file_type").isin(*types))
+        .select("topic", "value")
         .write.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .options(**options)

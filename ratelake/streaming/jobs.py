@@ -23,26 +23,37 @@ from ratelake.plans.rate_ingest import land_bronze
 from ratelake.sources import shred as X
 
 
-def table_stream(spark: SparkSession, folder: str, name: str, files_per_trigger: int = 1000) -> DataFrame:
-    """A table's parquet files as a stream, a bounded number of files per batch.
+def _bound(files_per_trigger: int, bytes_per_trigger: int | None) -> dict[str, str]:
+    """What bounds a batch: bytes where they are given, else files. Spark takes one of the two."""
+    if bytes_per_trigger is None:
+        return {"maxFilesPerTrigger": str(files_per_trigger)}
+    return {"maxBytesPerTrigger": str(bytes_per_trigger)}
+
+
+def table_stream(
+    spark: SparkSession, folder: str, name: str, files_per_trigger: int = 1000, bytes_per_trigger: int | None = None
+) -> DataFrame:
+    """A table's parquet files as a stream, a bounded number of files or of bytes per batch.
 
     The table is one file or a folder of part files. The path is a pattern that fits its name only, as a
     stream takes no plain path of a file.
     """
     return (
         spark.readStream.schema(spark.read.parquet(f"{folder}/{name}.parquet").schema)
-        .option("maxFilesPerTrigger", files_per_trigger)
+        .options(**_bound(files_per_trigger, bytes_per_trigger))
         .parquet(f"{folder}/{name}.parque[t]")
     )
 
 
-def landed_files(spark: SparkSession, folder: str, glob: str = "*", files_per_trigger: int = 1000) -> DataFrame:
+def landed_files(
+    spark: SparkSession, folder: str, glob: str = "*", files_per_trigger: int = 1000, bytes_per_trigger: int | None = None
+) -> DataFrame:
     """(file_id, file_size) of files as they land; no content is read."""
     return (
         spark.readStream.format("binaryFile")
         .schema("path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY")
         .option("pathGlobFilter", glob)
-        .option("maxFilesPerTrigger", files_per_trigger)
+        .options(**_bound(files_per_trigger, bytes_per_trigger))
         .load(folder)
         .select(F.col("path").alias("file_id"), F.col("length").alias("file_size"))
     )

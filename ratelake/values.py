@@ -59,6 +59,9 @@ ID_STEP = "ins_step"
 ID_PLAN = "ins_plan"
 ID_JOB_FILE = "ins_job_file"
 
+#: Types of files that an index lists.
+JOB_FILE_TYPES = ("IN_NETWORK", "ALLOWED_AMOUNT")
+
 # Fixed value: files sent per lot.
 DISPATCH_LOT = 100
 

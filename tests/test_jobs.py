@@ -1,5 +1,6 @@
 """Job states, counters, checks, lists, and the operators that split large keys."""
 
+import json
 from datetime import datetime, timedelta
 
 import pytest
@@ -75,11 +76,17 @@ def test_triggers(spark):
         ("r1", START + timedelta(1), "s1", "CIGNA_INDEX_API", "c", '{"cigna_page_url":"https://h"}'),
         ("r2", START, "s2", "MANUAL", "c", "{}"),
         ("r3", START, "s3", "CIGNA_INDEX_API", "c", None),
+        ("r4", START, "s4", "CIGNA_INDEX_API", "c", '{"cigna_page_url":"https://h", '),
+        ("r5", START, "s5", "CIGNA_INDEX_API", "c", '{"cigna_page_url":"https://h","depth":2,"only":["a"]}'),
     ]
     requests = spark.createDataFrame(rows, "request_id string, requested_at timestamp, source_id string, source_type string, company_id string, options string")
     started, rejected = J.trigger_jobs(requests)
-    assert [(r.source_id, r.status_time) for r in started.collect()] == [("s1", START)]
-    assert sorted((r.request_id, r.reason) for r in rejected.collect()) == [("r2", "source type not handled"), ("r3", "listing url missing")]
+    assert sorted((r.source_id, r.status_time) for r in started.collect()) == [("s1", START), ("s5", START)]
+    assert sorted((r.request_id, r.reason) for r in rejected.collect()) == [
+        ("r2", "source type not handled"), ("r3", "listing url missing"), ("r4", "listing url missing")
+    ]
+    message = started.where("source_id = 's5'").first()["message"]
+    assert json.loads(message)["payload"]["options"] == {"cigna_page_url": "https://h", "depth": 2, "only": ["a"]}
 
 
 def test_enums(spark):

@@ -81,9 +81,9 @@ def test_tables_of_part_files_stream(spark, small, tmp_path):
     """A table is a folder of part files as well as one file, and batches may be as small as one file."""
     events = spark.read.parquet(f"{small}/events.parquet")
     events.repartition(3).write.parquet(str(tmp_path / "events.parquet"))
-    for folder in (small, str(tmp_path)):
-        target, checkpoint = str(tmp_path / f"t{len(folder)}"), str(tmp_path / f"c{len(folder)}")
-        rows = M.table_stream(spark, folder, "events", files_per_trigger=1).select("user_id", "event_type")
+    for n, (folder, bound) in enumerate([(small, {"files_per_trigger": 1}), (str(tmp_path), {"files_per_trigger": 1}), (str(tmp_path), {"bytes_per_trigger": 1})]):
+        target, checkpoint = str(tmp_path / f"t{n}"), str(tmp_path / f"c{n}")
+        rows = M.table_stream(spark, folder, "events", **bound).select("user_id", "event_type")
         M.start_first_requests(rows, ["user_id", "event_type"], target, checkpoint, once=True).awaitTermination()
         assert spark.read.parquet(target).count() == events.select("user_id", "event_type").distinct().count()
 
