@@ -1,19 +1,20 @@
 """Personal data: fixed patterns, and identifiers found by bootstrapped contexts.
 
-Matches of the fixed patterns are the seeds. Every token with a digit is a candidate; the words beside it
-and its shape make up its lexical patterns. Patterns and candidate values form a graph that is scored in
-rounds: a pattern is trusted as far as its values are known, and a value as far as its best pattern. Values
-of trusted patterns that no fixed pattern matches are added. All of it is SQL functions; texts are read
-once and never shuffled, only candidates are.
+Matches of the fixed patterns are the seeds, whatever tokens they cover. Every token with a digit or with a
+mark between letters, and every run of tokens of digits and marks, is a candidate. The words beside a seed or
+candidate make up its lexical patterns, with its exact shape, with its rough shape, and more words without
+one. Patterns and values form a graph that is scored in rounds: a pattern is trusted as far as its values are
+known, and a value as far as its best pattern. Values of trusted patterns that no fixed pattern matches are
+added. All of it is SQL functions; texts are read once and never shuffled, only candidates are.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ratelake.llm.common import staged, table
-from ratelake.llm.spans import pieces, placed
+from ratelake.llm.spans import around
 
 KINDS = ("email", "ip", "card", "phone")
 #: The patterns as given, written so that no text takes more than linear time: a match begins where a run
@@ -26,7 +27,19 @@ PATTERNS = {
 }
 #: What a text must hold for a match to be possible.
 HINTS = {"email": "@", "ip": "[0-9][.][0-9]", "card": "[0-9]{2}|[0-9][ -][0-9]", "phone": r"\+[0-9]"}
-CANDIDATE = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
+#: A token with a digit, or with a mark between letters that is neither a hyphen nor an apostrophe.
+CANDIDATE = (
+    r"(?<![^\x20\x09-\x0D])(?:[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
+    r"|[^\x20\x09-\x0D]*?\p{L}(?!['\u2019-])[^\x20\x09-\x0D\p{L}]++\p{L}[^\x20\x09-\x0D]*+)"
+)
+#: Two or more tokens of digits and marks with one blank between them.
+RUN = (
+    r"(?<![^\x20\x09-\x0D\"'<{,;:\[])[+(]?[0-9][0-9().+/-]*+(?![\p{L}@_=])"
+    r"(?:\x20[(]?[0-9][0-9().+/-]*+(?![\p{L}@_=]))++"
+)
+#: Characters to either side from which the neighbouring words are taken.
+BESIDE = 48
+MARKS = "\"'(<{,.;:!?)>}]["
 #: A pattern counts from so many known values on, and is trusted from this share of known values on.
 SUPPORT, CONFIDENCE = 5, 0.8
 ROUNDS = 3
@@ -48,19 +61,14 @@ def _valid(kind: str, value: Column) -> Column:
 
 
 def base_spans(text: Column, kind: str) -> Column:
-    """The matches of one fixed pattern that pass its test, as structs (start, end, value)."""
+    """The matches of one fixed pattern that pass its test, as structs (start, end, value, before, after)."""
     hint = F.contains(text, F.lit("@")) if kind == "email" else text.rlike(HINTS[kind])
-    found = placed(*pieces(text, PATTERNS[kind], hint))
-    return F.filter(found, lambda s: _valid(kind, s["value"]))
+    return F.filter(around(text, PATTERNS[kind], BESIDE, hint), lambda s: _valid(kind, s["value"]))
 
 
 def _of_kind(spans: Column, kind: int) -> Column:
-    return F.transform(
-        spans,
-        lambda s: F.struct(
-            F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")
-        ),
-    )
+    fields = ("start", "end", "value", "before", "after")
+    return F.transform(spans, lambda s: F.struct(F.lit(kind).alias("kind"), *[s[f].alias(f) for f in fields]))
 
 
 def _count(spans: Column, kind: int) -> Column:
@@ -69,33 +77,59 @@ def _count(spans: Column, kind: int) -> Column:
 
 def shape(value: Column) -> Column:
     """Runs of letters as a, runs of up to three digits by their length and longer ones as 9."""
-    letters = F.regexp_replace(value, r"\p{L}+", "a")
-    return F.regexp_replace(letters, "[0-9]{4,}", "9")
+    form = F.regexp_replace(value, r"\p{L}+", "a")
+    for run, name in (("[0-9]{4,}", "L"), ("[0-9]{3}", "T"), ("[0-9]{2}", "D"), ("[0-9]", "S")):
+        form = F.regexp_replace(form, run, name)
+    return F.translate(form, "SDTL", "1239")
+
+
+def rough_shape(value: Column) -> Column:
+    """Runs of letters, digits and . _ - that hold a letter as a, other runs of digits as 9."""
+    words = F.regexp_replace(value, r"(?<![\p{L}0-9._-])[0-9._-]*+\p{L}[\p{L}0-9._-]*+", "a")
+    return F.regexp_replace(words, "[0-9]+", "9")
+
+
+def _trimmed(s: Column, left: str, right: str) -> Column:
+    """A candidate without the marks around it."""
+    rest = F.ltrim(s["value"], F.lit(left))
+    value = F.rtrim(rest, F.lit(right))
+    start = s["start"] + F.length(s["value"]) - F.length(rest)
+    return F.struct(
+        start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"),
+        s["before"].alias("before"), s["after"].alias("after"),
+    )
 
 
 def candidates(text: Column) -> Column:
-    """Tokens with a digit, without the marks around them: start, end, value, and the words beside them."""
-    gaps, hits = pieces(text, CANDIDATE, text.rlike("[0-9]"))
-    plain = F.transform(gaps, lambda g: F.lower(F.translate(g, "\t\n\x0b\x0c\r", "     ")))
-    words = {
-        "before": F.transform(plain, lambda g: F.substring_index(F.rtrim(g), " ", -1)),
-        "after": F.transform(F.slice(plain, F.lit(2), F.size(plain)), lambda g: F.substring_index(F.ltrim(g), " ", 1)),
-    }
-    marks = "\"'(<{,.;:!?)>}]["
-
-    def trimmed(s: Column) -> Column:
-        value = F.trim(s["value"], F.lit(marks))
-        start = s["start"] + F.length(s["value"]) - F.length(F.ltrim(s["value"], F.lit(marks)))
-        return F.struct(
-            start.alias("start"), (start + F.length(value)).alias("end"), value.alias("value"),
-            s["before"].alias("before"), s["after"].alias("after"),
-        )
-
-    return F.transform(placed(gaps, hits, words), trimmed)
+    """Tokens, and runs of tokens of digits, without the marks around them: start, end, value, before, after."""
+    hint = text.rlike(r"[0-9]|\p{L}(?!['\u2019-])[^\x20\x09-\x0D\p{L}]++\p{L}")
+    tokens = F.transform(around(text, CANDIDATE, BESIDE, hint), lambda s: _trimmed(s, MARKS, MARKS))
+    runs = F.transform(around(text, RUN, BESIDE, text.rlike(r"[0-9][)./-]*\x20[(]?[0-9]")), lambda s: _trimmed(s, "", "().+/-"))
+    return F.filter(F.concat(tokens, runs), lambda s: F.length(s["value"]) >= 6)
+
+
+def _patterns(c: Column) -> Column:
+    """The lexical patterns of a seed or candidate: words beside it, with a shape or more words."""
+    plain = {n: F.lower(F.regexp_replace(c[n], r"[\x20\x09-\x0D]+", " ")) for n in ("before", "after")}
+    b = F.rtrim(plain["before"], F.lit(MARKS + " "))
+    a = F.ltrim(plain["after"], F.lit(MARKS + " "))
+    b1, a1 = F.substring_index(b, " ", -1), F.substring_index(a, " ", 1)
+    b2, a2 = F.substring_index(b, " ", -2), F.substring_index(a, " ", 2)
+    form, rough, bar = shape(c["value"]), rough_shape(c["value"]), F.lit("|")
+    all_of = [
+        F.concat(F.lit("before|"), b1, bar, form),
+        F.concat(F.lit("after|"), a1, bar, form),
+        F.when(b1 != "", F.concat(F.lit("before~"), b1, bar, rough)),
+        F.when(a1 != "", F.concat(F.lit("after~"), a1, bar, rough)),
+        F.when(F.ltrim(b2).contains(" "), F.concat(F.lit("before2|"), b2)),
+        F.when(F.rtrim(a2).contains(" "), F.concat(F.lit("after2|"), a2)),
+        F.when((b1 != "") & (a1 != ""), F.concat(F.lit("between|"), b1, bar, a1)),
+    ]
+    return F.array_compact(F.array(*all_of))
 
 
 def extract(docs: DataFrame) -> DataFrame:
-    """(doc_id, key, spans) for every row: arrays of (kind, start, end) of the fixed patterns, and candidates.
+    """(doc_id, key, base, candidates) for every row: matches of the fixed patterns, and what else may be one.
 
     key tells texts apart. Rows of `docs` map one to one; NULL texts are empty. No exchange.
     """
@@ -115,23 +149,27 @@ def extract(docs: DataFrame) -> DataFrame:
 
 
 def _graph(found: DataFrame) -> DataFrame:
-    """One row per candidate of a distinct text: key, start, end, value, its patterns, and the seed kind."""
-    one = found.filter(F.size("candidates") > 0).dropDuplicates(["key"])
-    rows = one.select("key", "base", F.explode("candidates").alias("c"))
-    cover = F.filter("base", lambda b: (b["start"] < F.col("c.end")) & (b["end"] > F.col("c.start")))
-    exact = F.filter("base", lambda b: (b["start"] == F.col("c.start")) & (b["end"] == F.col("c.end")))
-    form = shape(F.col("c.value"))
-    return rows.filter(F.length("c.value") >= 6).select(
+    """One row per seed and free candidate of a distinct text: key, start, end, value, patterns, seed kind.
+
+    A candidate is free if no fixed pattern matches a part of it.
+    """
+    one = found.filter((F.size("candidates") > 0) | (F.size("base") > 0)).dropDuplicates(["key"])
+    free = F.filter(
+        "candidates", lambda c: ~F.exists("base", lambda b: (b["start"] < c["end"]) & (b["end"] > c["start"]))
+    )
+    unnamed = F.transform(
+        free,
+        lambda c: F.struct(F.lit(None).cast("int").alias("kind"), *[c[f].alias(f) for f in ("start", "end", "value", "before", "after")]),
+    )
+    rows = one.select("key", F.explode(F.concat("base", unnamed)).alias("c"))
+    return rows.select(
         "key",
         "c.start",
         "c.end",
         F.col("c.value").alias("value"),
-        F.get(F.transform(exact, lambda b: b["kind"]), F.lit(0)).alias("seed"),
-        (F.size(cover) == 0).alias("free"),
-        F.array(
-            F.concat(F.lit("before|"), F.col("c.before"), F.lit("|"), form),
-            F.concat(F.lit("after|"), F.col("c.after"), F.lit("|"), form),
-        ).alias("patterns"),
+        F.col("c.kind").alias("seed"),
+        F.col("c.kind").isNull().alias("free"),
+        _patterns(F.col("c")).alias("patterns"),
     )
 
 
@@ -168,9 +206,13 @@ def discover(found: DataFrame, rounds: int = ROUNDS, support: int = SUPPORT, con
         known = staged(
             known.filter("score = 1").unionByName(best.join(seeds, "value", "left_anti")), "pii-known"
         )
+    # Of a run and a token in it, the run is added.
+    inside = Window.partitionBy("key").orderBy("start", F.desc("end")).rowsBetween(Window.unboundedPreceding, -1)
     return (
         graph.filter("free")
         .join(known.select("value", "kind"), "value")
+        .withColumn("reach", F.coalesce(F.max("end").over(inside), F.lit(0)))
+        .filter(F.col("end") > F.col("reach"))
         .groupBy("key")
         .agg(F.collect_set(F.struct("kind", "start", "end", "value")).alias("added"))
     )
@@ -186,7 +228,9 @@ def personal_data(docs: DataFrame) -> DataFrame:
     added = discover(found).withColumnRenamed("key", "_key")
     none = F.array().cast("array<struct<kind:int,start:int,end:int,value:string>>")
     return found.join(added, F.col("key") == F.col("_key"), "left").select(
-        "doc_id", "base", F.coalesce("added", none).alias("added")
+        "doc_id",
+        F.transform("base", lambda b: F.struct(*[b[f].alias(f) for f in ("kind", "start", "end", "value")])).alias("base"),
+        F.coalesce("added", none).alias("added"),
     )
 
 

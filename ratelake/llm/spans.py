@@ -49,3 +49,38 @@ def placed(gaps: Column, hits: Column, more: dict[str, Column] | None = None) ->
         F.lit(0).alias("at"), none.alias("now"), F.array().cast(f"array<{kind}>").alias("done")
     )
     return F.aggregate(rows, start, add, lambda acc: F.concat(F.flatten(acc["done"]), acc["now"]))
+
+
+def let(value: Column, body) -> Column:
+    """`body` of `value`, which is computed once however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def around(text: Column, pattern: str, size: int, cheap: Column | None = None) -> Column:
+    """Structs (start, end, value, before, after) of the matches: up to `size` characters to either side.
+
+    They are those of the text at the match's own place, so earlier and later matches are part of them.
+    """
+    n = F.lit(size)
+
+    def strips(v: Column, cut) -> Column:
+        """Gap, match, gap, match and so on, each cut to what can be within `size` characters."""
+        pairs = F.arrays_zip(v["gaps"].alias("gap"), v["hits"].alias("hit"))
+        return F.flatten(F.transform(pairs, lambda r: F.array(cut(r["gap"]), cut(F.coalesce(r["hit"], F.lit(""))))))
+
+    def before(left: Column, i: Column) -> Column:
+        first = F.greatest(F.lit(1), 2 * i + 1 - 2 * size)
+        return F.right(F.array_join(F.slice(left, first, 2 * i + 2 - first), ""), n)
+
+    def after(right: Column, i: Column) -> Column:
+        return F.left(F.array_join(F.slice(right, 2 * i + 3, F.lit(2 * size + 1)), ""), n)
+
+    def of(v: Column) -> Column:
+        more = {
+            "before": let(strips(v, lambda s: F.right(s, n)), lambda a: F.transform(v["hits"], lambda _, i: before(a, i))),
+            "after": let(strips(v, lambda s: F.left(s, n)), lambda a: F.transform(v["hits"], lambda _, i: after(a, i))),
+        }
+        return placed(v["gaps"], v["hits"], more)
+
+    gaps, hits = pieces(text, pattern, cheap)
+    return let(F.struct(gaps.alias("gaps"), hits.alias("hits")), of)

@@ -276,6 +276,33 @@ def test_trusted_patterns_add_unseen_values(spark):
     assert got[51] == [] and all(got[i] == [] for i in range(len(good)))
 
 
+def test_shapes_write_runs_of_digits_by_their_length(spark):
+    values = ["70.23.22.57", "hein.19@mail5.example.com", "+1 (743) 555-3824", "4111 1111"]
+    rows = spark.createDataFrame([(v,) for v in values], "v string").select(pii.shape(F.col("v")), pii.rough_shape(F.col("v")))
+    assert [tuple(r) for r in rows.collect()] == [
+        ("2.2.2.2", "9.9.9.9"), ("a.2@a1.a.a", "a@a"), ("+1 (3) 3-9", "+9 (9) 9-9"), ("9 9", "9 9"),
+    ]
+
+
+def test_every_kind_is_bootstrapped_from_its_base_spans(spark):
+    """Seeds of several tokens and without digits teach contexts, which find forms no fixed pattern matches."""
+    cards = [f"{n[:4]} {n[4:8]} {n[8:12]} {n[12:]}" for n in (str(4111111111110000 + i) for i in range(200)) if luhn(n)]
+    names = "anna bert cleo dora emil fritz gerd hans ida jan kurt lena".split()
+    seeds = {
+        "email": [f"{n}@example.org" for n in names], "ip": [f"{10 + 17 * i}.{3 * i}.{200 - i}.{i + 1}" for i in range(12)],
+        "card": cards[:12], "phone": [f"+1 ({200 + i}) 555-{3000 + 7 * i}" for i in range(12)],
+    }
+    others = {"email": "otto[at]example.org", "ip": "10-20-30-40", "card": "4111 1111 1111 1112", "phone": "(743) 555-3824"}
+    frame = {"email": "please write to {} for an answer", "ip": "logged in from {} by night", "card": "paid with card {} in full", "phone": "you can call {} after noon"}
+    rows = [(100 * k + i, frame[kind].format(v)) for k, kind in enumerate(pii.KINDS) for i, v in enumerate(seeds[kind])]
+    rows += [(1000 + k, frame[kind].format(others[kind])) for k, kind in enumerate(pii.KINDS)]
+    rows += [(2000 + i, f"the {n} of part 77-{i}-1234 and 10/20/{i}{i}") for i, n in enumerate(names)]
+    got = {r["doc_id"]: r["added"] for r in pii.personal_data(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, kind in enumerate(pii.KINDS):
+        assert [(s["kind"], s["value"]) for s in got[1000 + k]] == [(k, others[kind])]
+    assert all(not added for i, added in got.items() if not 1000 <= i < 2000)
+
+
 def test_personal_data_of_hard_rows(hard, empty):
     assert pii.personal_data(hard).count() == hard.count()
     assert pii.personal_data(empty).count() == 0
