@@ -17,11 +17,26 @@ from pyspark.sql import functions as F
 from ratelake.llm.common import staged, table
 from ratelake.llm.spans import pieces, placed
 
-#: A candidate: a token of 12 characters or more that may be a key, or what follows name= or name: .
-CANDIDATE = (
-    r"(?<![A-Za-z0-9_+/.@%-])"
-    r"(?:(?=[A-Za-z0-9_+/.-]{0,200}[0-9])[A-Za-z0-9_+/.-]{12,}+={0,2}|(?<=[=:][\x20\"']{0,2})[A-Za-z0-9_+/.!$-]{8,}+)"
+#: Names that come before a secret, and words that speak against one.
+GUARDED = "passw|pwd|secret|token|api_?key|apikey|access_?key|auth|credential|private|bearer|key"
+PUBLIC = "sha|md5|commit|checksum|digest|uuid|guid|hash|version|isbn|id|order|card|phone|tel|ref"
+_NAME = rf"[A-Za-z0-9_.-]*?(?i:{GUARDED})[A-Za-z0-9_.-]*+[\"']?[\x20\x09]{{0,8}}[=:]"
+_BASE = "[A-Za-z0-9_+/-]"
+#: What follows name= or name: , up to white space, the closing quote, or the next guarded name of a list.
+_ASSIGNED = (
+    r"(?<=[=:\x20\x09\"'])(?<=[=:][\x20\x09]{0,8}[\"']?)(?![=:>])(?!" + _NAME + ")"
+    r"(?:(?<=\")(?:[^\x20\x09-\x0D\"\\]++|\\[^\x20\x09-\x0D])++"
+    r"|(?<=')(?:[^\x20\x09-\x0D'\\]++|\\[^\x20\x09-\x0D])++"
+    r"|(?<![\"'])(?![\"'])(?:[^\x20\x09-\x0D\"'&;,?]++|[&;,?](?!" + _NAME + r")|[\"'](?![\"'\x20\x09-\x0D,;:)}\]>]|$))++)"
 )
+#: A token of 12 characters or more with a digit, padded or not, that is no name with a value behind it.
+_TOKEN = (
+    r"(?<![A-Za-z0-9_+/.@%-])(?=[A-Za-z_+/.-]*+[0-9])(?!" + _NAME + r")"
+    r"(?:(?=[A-Za-z0-9_+/.-]{12})(?:" + _BASE + "{4})++(?:" + _BASE + "{2}==|" + _BASE + "{3}=)(?![A-Za-z0-9=])"
+    r"|[A-Za-z0-9_+/.-]{12,}+(?![\x20\x09]{0,8}=[\x20\x09]{0,8}[^\x20\x09-\x0D=])={0,2})"
+)
+#: A candidate: an assigned value, or a token that may be a key.
+CANDIDATE = f"(?:{_ASSIGNED}|{_TOKEN})"
 #: What candidates are looked for in: a text with one of these.
 HINT = r"[A-Za-z0-9_+/.=-]{12}|[=:]"
 #: Labelled rows of the corpus that a fit may see, the least by a hash.
@@ -29,9 +44,6 @@ LABELLED = 4000
 THRESHOLD = 0.5
 MASK = "[SECRET]"
 
-#: Names that come before a secret, and words that speak against one.
-GUARDED = "passw|pwd|secret|token|api_?key|apikey|access_?key|auth|credential|private|bearer|key"
-PUBLIC = "sha|md5|commit|checksum|digest|uuid|guid|hash|version|isbn|id|order|card|phone|tel|ref"
 #: Common parts of words of several languages, for the coverage of a candidate by a dictionary.
 PARTS = (
     "the|and|tion|ing|ent|ver|con|pro|com|www|http|html|example|test|user|name|data|file|index|page|"
@@ -58,6 +70,11 @@ FINDINGS = [
     ("card", "4041894974608795", 0), ("and", "4337166598464399", 0), ("of", "4944339490429605", 0), ("call", "491701234567890", 0),
     ("on", "2021-03-04T10:15:30", 0), ("the", "erentionthing2", 0), ("isbn", "978-3-16-148410-0", 0), ("order", "100000000123456", 0),
     ("in", "section.4.2.1.3.9", 0), ("ref:", "20210304-000123", 0), ("a", "user_name_data_file_2", 0), ("at", "10.20.30.40.50.60", 0),
+    ("password=", "P@ssw0rd!2024", 1), ("password=", "x7%Kp", 1), ("pwd:", "k#9Qz2", 1), ("passwd=", "Lq4&vT*8~w", 1),
+    ("password: \"", "m^3Rz@81xQ", 1), ("secret=", "hT7~pL2", 1), ("db_password=", "z8#Qw", 1), ("token:", "q4%Zt9*Lm", 1),
+    ("note:", "see", 0), ("https:", "//www.example.com/index.html", 0), ("at 10:", "15:30", 0), ("=", "5", 0),
+    ("key:", "value", 0), ("password:", "none", 0), ("token:", "the", 0), ("secret:", "your", 0), ("n=", "12345", 0),
+    ("total:", "1,250.00", 0), ("name:", "Anna", 0), ("x=", "y2", 0), ("ratio:", "16:9", 0),
     ("file", "chapter_12_report_final", 0), ("page", "https.example.test.2", 0), ("=", "thenationtherening", 0),
 ]
 
@@ -205,7 +222,13 @@ def masked_documents(docs: DataFrame, path: str = "source") -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     mine = F.struct(F.xxhash64(text).alias("hash"), F.length(text).alias("length"))
     longest = F.array_sort(F.array_distinct("values"), lambda a, b: F.length(b) - F.length(a))
-    masked = F.aggregate(longest, F.col("row.text"), lambda t, v: F.replace(t, v, F.lit(MASK)))
+
+    def without(t: Column, v: Column) -> Column:
+        """Every place of a value masked; a value of under 8 characters not within longer words."""
+        quoted = F.concat(F.lit(r"(?<![A-Za-z0-9])\Q"), F.replace(v, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E(?![A-Za-z0-9])"))
+        return F.when(F.length(v) < 8, F.regexp_replace(t, quoted, F.lit(MASK))).otherwise(F.replace(t, v, F.lit(MASK)))
+
+    masked = F.aggregate(longest, F.col("row.text"), without)
     joined = docs.select(F.struct("*").alias("row"), mine.alias("mine")).join(hits, F.col("mine") == F.col("key"), "left")
     joined = joined.select("row", F.when(F.col("values").isNotNull(), masked).alias("masked"))
     changed = {"text": F.coalesce("masked", "row.text")}

@@ -369,6 +369,22 @@ def test_secrets_are_found_and_others_are_not(spark):
     assert masked[2] == "set password=[SECRET] today" and masked[4] == rows[3][1] and masked[7] is None
 
 
+def test_assigned_secrets_are_whole_whatever_their_marks_and_length(spark):
+    long = "x" * 15 + "Kq" * 100 + "7Zp2mLr9Tv4Wn"
+    texts = {
+        1: ("set password=P@ssw0rd!2024 today", "P@ssw0rd!2024"), 2: ('password: "m#3Rz@81^xQ%7" is old', "m#3Rz@81^xQ%7"),
+        3: ("db password=k9#Qz now", "k9#Qz"), 4: ("secret=Zx81kQpW92mLr7Tv*~8&qK4 now", "Zx81kQpW92mLr7Tv*~8&qK4"),
+        5: ("at https://h.example/?token=Zx81kQpW92mLr7Tv&api_key=Qm92kZpX71wLt4Rv", None),
+    }
+    docs = spark.createDataFrame([(i, t, None) for i, (t, _) in texts.items()] + [(9, f"found {long} there", None)], "doc_id long, text string, source string")
+    found = docs.select("doc_id", secrets.findings(F.col("text")).alias("f")).collect()
+    values = {r["doc_id"]: [f["value"] for f in r["f"]] for r in found}
+    assert all(v in values[i] for i, (_, v) in texts.items() if v) and values[9] == [long]
+    assert values[5][-2:] == ["Zx81kQpW92mLr7Tv", "Qm92kZpX71wLt4Rv"]
+    masked = {r["doc_id"]: r["text"] for r in secrets.masked_documents(docs).collect()}
+    assert [masked[i] for i in (1, 2, 3, 4)] == [t.replace(v, "[SECRET]") for t, v in texts.values() if v]
+
+
 def test_masking_keeps_every_row(hard, empty):
     masked = secrets.masked_documents(hard)
     assert masked.columns == hard.columns
