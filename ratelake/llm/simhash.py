@@ -153,14 +153,20 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
 def kept_documents(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """One document of each group of near-duplicates: the one that names it, once. All columns stay.
 
-    Rows that repeat an id are one document. A row without id goes by a hash of its text, above all usual
-    ids: it stays if nothing else is like it, and otherwise yields to a document with an id.
+    A group is one of like texts, whatever ids its rows have: unlike texts that share an id stay, one of each
+    group. The row with the least (id, hash of the text) names a group. A row without id goes by a hash of its
+    text, above all usual ids: it stays if nothing else is like it, and otherwise yields to a document with one.
     """
     unnamed = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
     named = F.coalesce(F.col("doc_id").cast("long"), unnamed)
-    heads = near_duplicates(docs.select(named.alias("doc_id"), "text"), radius).select("component_id").distinct()
-    rows = docs.select(named.alias("id"), F.struct("*").alias("row")).dropDuplicates(["id"])
-    return rows.join(heads, F.col("id") == F.col("component_id"), "left_semi").select("row.*")
+    hashed = F.xxhash64(F.coalesce("text", F.lit("")))
+    groups = near_duplicates(docs.select(hashed.alias("doc_id"), "text"), radius).select(F.col("doc_id").alias("hash"), "component_id").distinct()
+    least = docs.select(named.alias("id"), hashed.alias("hash")).groupBy("hash").agg(F.min("id").alias("id"))
+    heads = least.join(groups, "hash").groupBy("component_id").agg(F.min(F.struct("id", "hash")).alias("head")).select("head.*")
+    # Rows of one id and text differ in other columns at most; a hash of the row decides.
+    rows = docs.select(named.alias("id"), hashed.alias("hash"), F.struct("*").alias("row"))
+    kept = rows.join(heads, ["id", "hash"], "left_semi").groupBy("id", "hash").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return kept.select("row.*")
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

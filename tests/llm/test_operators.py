@@ -214,6 +214,13 @@ def test_rows_without_ids_stay_unless_something_is_like_them(spark):
     ]
 
 
+def test_unlike_texts_that_share_an_id_all_stay(spark):
+    texts = ["a b c d e f", "quite another text stands here", "some third words of no likeness at all"]
+    rows = [(5, t) for t in texts] * 2 + [(6, texts[1]), (4, texts[2])]
+    kept = simhash.kept_documents(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in kept) == [(4, texts[2]), (5, texts[0]), (5, texts[1])]
+
+
 def test_long_chains_are_one_component(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(300)] + [(1000, 1000), (5, 5)], "a long, b long")
     got = components.components(chain).collect()
