@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ratelake.llm.common import staged, table
-from ratelake.llm.spans import pieces, placed
+from ratelake.llm.spans import around
 
 #: Names that come before a secret, and words that speak against one.
 GUARDED = "passw|pwd|secret|token|api_?key|apikey|access_?key|auth|credential|private|bearer|key"
@@ -118,15 +118,16 @@ def features(before: Column, value: Column, after: Column, path: Column) -> list
 def findings(text: Column) -> Column:
     """All candidates of a text: an array of (start, end, value, before, after).
 
-    Places count code points, end exclusive; before and after are up to 40 characters to either side, in
-    lower case.
+    Places count code points, end exclusive; before and after are up to 40 characters of the text to either
+    side, other candidates included, in lower case.
     """
-    gaps, hits = pieces(text, CANDIDATE, text.rlike(HINT))
-    beside = {
-        "before": F.transform(gaps, lambda g: F.lower(F.rtrim(F.right(g, F.lit(40))))),
-        "after": F.transform(F.slice(gaps, F.lit(2), F.size(gaps)), lambda g: F.lower(F.substring(g, 1, 40))),
-    }
-    return placed(gaps, hits, beside)
+    return F.transform(
+        around(text, CANDIDATE, 40, text.rlike(HINT)),
+        lambda f: F.struct(
+            f["start"].alias("start"), f["end"].alias("end"), f["value"].alias("value"),
+            F.lower(F.rtrim(f["before"])).alias("before"), F.lower(f["after"]).alias("after"),
+        ),
+    )
 
 
 def _label(before: Column, value: Column) -> Column:

@@ -392,6 +392,18 @@ def test_assigned_secrets_are_whole_whatever_their_marks_and_length(spark):
     assert [masked[i] for i in (1, 2, 3, 4)] == [t.replace(v, "[SECRET]") for t, v in texts.values() if v]
 
 
+def test_words_beside_a_secret_include_other_candidates(spark):
+    texts = [
+        "run OAUTH2_CLIENT_SECRET=Zx81kQpW92mLr7Tv now",
+        "PRIVATE KEY MIIEpAIBAAKCAQEA3Tz2\nr7SZiAMfQyuvBjM9Oi4k then",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["f"] for r in docs.select("doc_id", secrets.findings(F.col("text")).alias("f")).collect()}
+    assert [(f["value"], f["before"], f["after"]) for f in got[0]] == [("Zx81kQpW92mLr7Tv", "run oauth2_client_secret=", " now")]
+    assert [f["before"] for f in got[1]] == ["private key", "private key miiepaibaakcaqea3tz2\n"]
+    assert got[1][0]["after"] == "\nr7sziamfqyuvbjm9oi4k then"
+
+
 def test_masking_keeps_every_row(hard, empty):
     masked = secrets.masked_documents(hard)
     assert masked.columns == hard.columns
