@@ -9,10 +9,13 @@ buckets and offsets, so a length that a third of all pieces share is no single g
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from functools import cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -21,8 +24,10 @@ from ratelake.llm.common import staged, table, utf8
 
 TOKENS = 4096
 END = 2
-#: Word chunks whose ids a task keeps; beyond, it starts anew. Bounds memory, not results.
+#: Word chunks whose ids a generation keeps, two at a time. Bounds memory, not results.
 CACHE = 400_000
+#: Lower-case letters that stay as they are, then marks: two words to the tokenizer.
+SIMPLE = re.compile("([a-zß-öø-ÿ]+)([.,;:!?]*)").fullmatch
 #: Buckets of equal lengths for ranks.
 BUCKETS = 1024
 
@@ -38,8 +43,10 @@ def tokenizer_path() -> str:
 class ChunkIds(dict):
     """The ids of the chunks of a text between ASCII white space, as little-endian 32-bit bytes.
 
-    No token of this vocabulary spans white space, so a text's ids are those of its chunks in turn.
-    Chunks not met before are encoded many at a time.
+    No token of this vocabulary spans white space, so a text's ids are those of its chunks in turn. Chunks
+    not met before are encoded many at a time. Lower-case letters and marks behind them are words of their own
+    to the tokenizer, so such a chunk needs no more than its letters, which many chunks share. Two
+    generations are kept: what was used lately outlives a full one.
     """
 
     def __init__(self, path: str):
@@ -47,6 +54,10 @@ class ChunkIds(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        for token, i in self.tokenizer.get_vocab().items():
+            self.ends[i] = token.endswith("</w>")
+        self.older: dict[str, bytes] = {}
 
     def chunks(self, text: str) -> list[str]:
         # Lower case is what the vocabulary has; a capital sigma and special tokens depend on their case.
@@ -57,33 +68,69 @@ class ChunkIds(dict):
         return text.split(" ")
 
     def learn(self, chunks: set[str]) -> None:
-        fresh = [c for c in chunks if c and c not in self]
         self[""] = b""
-        for at in range(0, len(fresh), 256):
-            some = fresh[at : at + 256]
-            encoded = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
-            ids: list[list[int]] = [[] for _ in some]
-            starts, place = [], 0
-            for chunk in some:
-                starts.append(place)
-                place += len(chunk) + 1
+        split, letters, others = [], set(), set()
+        for chunk in chunks.difference(self):
+            kept = self.older.get(chunk)
+            if kept is not None:
+                self[chunk] = kept
+            elif found := SIMPLE(chunk):
+                split.append((chunk, *found.groups()))
+                letters.add(found[1])
+                others.add(found[2])
+            else:
+                others.add(chunk)
+        words = [w for w in letters if w not in self]
+        for at in range(0, len(words), 1024):
+            self._learn_words(words[at : at + 1024])
+        rest = [c for c in others if c not in self]
+        for at in range(0, len(rest), 256):
+            self._learn_any(rest[at : at + 256])
+        for chunk, word, marks in split:
+            self[chunk] = self[word] + self[marks]
+
+    def _learn_words(self, words: list[str]) -> None:
+        """Words of letters: each ends with the only token of its own that ends a word."""
+        (encoded,) = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        ids = np.array(encoded.ids, "<u4")
+        stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        raw = ids.tobytes()
+        for word, start, stop in zip(words, [0, *stops], stops, strict=False):
+            self[word] = raw[start:stop]
+        if len(stops) != len(words):
+            raise ValueError("a word of letters has more than one end")
+
+    def _learn_any(self, chunks: list[str]) -> None:
+        encoded = self.tokenizer.encode(" ".join(chunks), add_special_tokens=False)
+        ids: list[list[int]] = [[] for _ in chunks]
+        starts, place = [], 0
+        for chunk in chunks:
             starts.append(place)
-            k = 0
-            for token, (start, _) in zip(encoded.ids, encoded.offsets, strict=True):
-                while start >= starts[k + 1]:
-                    k += 1
-                ids[k].append(token)
-            for chunk, own in zip(some, ids, strict=True):
-                self[chunk] = b"".join(i.to_bytes(4, "little") for i in own)
+            place += len(chunk) + 1
+        starts.append(place)
+        k = 0
+        for token, (start, _) in zip(encoded.ids, encoded.offsets, strict=True):
+            while start >= starts[k + 1]:
+                k += 1
+            ids[k].append(token)
+        for chunk, own in zip(chunks, ids, strict=True):
+            self[chunk] = b"".join(i.to_bytes(4, "little") for i in own)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [self.chunks(text) for text in texts]
         if len(self) > CACHE:
+            self.older = dict(self)
             self.clear()
         self.learn(set().union(*split))
         return [b"".join(map(self.__getitem__, chunks)) for chunks in split]
 
 
+@cache
+def chunk_ids(path: str) -> ChunkIds:
+    """One for all tasks of a worker process, so that later tasks need not learn the same words."""
+    return ChunkIds(path)
+
+
 def pieces(docs: DataFrame, path: str | None = None, end: int = END, tokens: int = TOKENS, with_ids: bool = False) -> DataFrame:
     """Every document as pieces of at most `tokens` ids: doc_id, start, length, ids_crc32, doc_tokens.
 
@@ -94,7 +141,7 @@ def pieces(docs: DataFrame, path: str | None = None, end: int = END, tokens: int
     last = end.to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = ChunkIds(path)
+        known = chunk_ids(path)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
