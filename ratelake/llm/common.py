@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,3 +32,30 @@ def utf8(text: Column) -> Column:
 def word_count(text: Column) -> Column:
     """Number of words of a text; NULL has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def slices(batch: pa.RecordBatch, column: int, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch in order, in parts of about `size` bytes in a binary column, one row at least."""
+    ends = np.cumsum([v.as_buffer().size if v.is_valid else 0 for v in batch.column(column)])
+    start = 0
+    while start < batch.num_rows:
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + size, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
+def most_frequent(counts: DataFrame, size: int) -> DataFrame:
+    """The rows with the greatest `n` (1 or more), at most `size`: all down to the level that still fits.
+
+    Levels are sixteenths of a power of two, so there are at most 1,024 of them, and no task sorts the
+    rows. Reads the table twice: stage it first.
+    """
+    level = F.floor(F.log2(F.col("n")) * 16)
+    total, lowest = 0, None
+    for row in counts.groupBy(level.alias("level")).count().orderBy(F.desc("level")).collect():
+        total += row["count"]
+        if total > size:
+            break
+        lowest = row["level"]
+    return counts.filter(level >= lowest) if lowest is not None else counts.limit(0)

@@ -2,7 +2,21 @@
 
 from __future__ import annotations
 
-from ratelake.llm import fingerprints, html, licenses, mixing, neighbours, packing, pii, secrets, simhash, toxicity
+from ratelake.llm import (
+    alignment,
+    entropy,
+    fingerprints,
+    html,
+    licenses,
+    mixing,
+    neighbours,
+    packing,
+    pii,
+    resampling,
+    secrets,
+    simhash,
+    toxicity,
+)
 
 QUERIES = {
     "op1_licenses": licenses.op1_licenses,
@@ -15,6 +29,9 @@ QUERIES = {
     "op8_fingerprints": fingerprints.op8_fingerprints,
     "op9_secrets": secrets.op9_secrets,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_resampling": resampling.op11_resampling,
+    "op12_alignment": alignment.op12_alignment,
+    "op13_scoring": entropy.op13_scoring,
 }
 
-ORACLE = {"op4_mixing": mixing.OP4_SQL}
+ORACLE = {"op4_mixing": mixing.OP4_SQL, "op11_resampling": resampling.OP11_SQL}
