@@ -19,6 +19,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -83,8 +84,7 @@ class Vocabulary:
 
     def look_up(self, found: list[bytes]) -> np.ndarray:
         """The words' places in the head; -1 for the tail."""
-        get = self.ids.get
-        return np.fromiter((get(w, -1) for w in found), np.int64, len(found))
+        return np.fromiter(map(self.ids.get, found, repeat(-1)), np.int64, len(found))
 
     def moved(self, states: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """The CRCs behind a blank and a word of the head."""
