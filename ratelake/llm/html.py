@@ -11,6 +11,7 @@ from __future__ import annotations
 import html as entities
 import re
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,8 +21,8 @@ from pyspark.sql import functions as F
 
 from ratelake.llm.common import table
 
-#: Pages of the table that a fit may see, the least by a hash of their id.
-SAMPLE = 400
+#: Pages of the table that a fit may see, the least by a hash of id and html, and the blocks of each.
+SAMPLE, SAMPLE_BLOCKS = 400, 400
 EPOCHS = 25
 
 #: Elements that tell main text from other text in the pages written for the fit.
@@ -34,8 +35,13 @@ BLOCKS = frozenset(
 )
 #: Elements without content.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-#: Elements whose content is no text of the page, up to their end tag.
+#: Elements whose content is no text of the page, up to their end tag, and those of them that cannot hold their like.
 RAW = ("script", "style", "noscript", "template", "svg", "textarea", "iframe", "select", "title")
+ALONE = ("noscript", "textarea", "iframe", "select", "title")
+#: Without an end tag: those that end with their parent, those that a block ends too, and those that hold what is up to the next tag.
+TO_PARENT, TO_BLOCK, TO_TAG = ("noscript", "template", "svg", "select"), ("svg", "select"), ("script", "style")
+#: Blocks that may stand in a `select`.
+CHOICES = ("option", "hr", "legend")
 #: Elements that a new one of the same kind ends, up to the element named.
 CLOSES = {
     "p": ("p",), "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"),
@@ -54,8 +60,28 @@ def blocks(page: str) -> list[tuple[str, list[tuple[str, str]]]]:
     """The text blocks of a page in order: text with white space made single, and its open elements.
 
     Elements are (tag, class, id and role words). Tags that are never closed end with their parent, a
-    paragraph also at the next block. Comments, scripts, styles and the like are no text.
+    paragraph also at the next block. Comments, scripts, styles and the like are no text. Of these, one that
+    closes itself (`<svg/>`) holds nothing. Where no end tag follows before the next of its kind, `svg`, `select`,
+    `template` and `noscript` end with their parent, the first two also before a block, `script` and `style` before
+    the next tag, and `title`, `textarea` and `iframe` hold nothing: no text of the page is lost behind them.
     """
+    tags: dict[str, tuple[list[int], list[int]]] = {}
+
+    def raw_end(name: str, at: int) -> int | None:
+        """Where the end tag of a raw element that begins before `at` ends; the page is searched once for each name."""
+        if name not in tags:
+            marks = list(re.finditer(rf"<(/?){name}\b[^>]*>", page, re.I))
+            tags[name] = [m.start() for m in marks if not m[1]], [m.end() for m in marks if m[1]]
+        starts, ends = tags[name]
+        i = bisect_left(ends, at)
+        if i == len(ends):
+            return None
+        if name in ALONE:
+            j = bisect_left(starts, at)
+            if j < len(starts) and starts[j] < ends[i]:
+                return None
+        return ends[i]
+
     found: list[tuple[str, list[tuple[str, str]]]] = []
     stack: list[tuple[str, str]] = []
     text: list[str] = []
@@ -64,7 +90,7 @@ def blocks(page: str) -> list[tuple[str, list[tuple[str, str]]]]:
     def end_block() -> None:
         whole = " ".join(entities.unescape("".join(text)).split())
         text.clear()
-        if whole:
+        if whole and not any(tag in TO_PARENT for tag, _ in stack):
             found.append((whole, list(stack)))
 
     def close(names: tuple[str, ...], within: frozenset[str] = frozenset()) -> None:
@@ -86,10 +112,23 @@ def blocks(page: str) -> list[tuple[str, list[tuple[str, str]]]]:
             continue
         name, closing = name.lower(), match.group(1)
         if not closing and name in RAW:
-            after = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
-            at = after.end() if after else len(page)
+            after = raw_end(name, at)
+            empty = match.group(3).endswith("/") and name == "svg"
+            if after is not None and not empty:
+                at = after
+            elif name in TO_TAG:
+                tag = re.compile("<[/A-Za-z!]").search(page, at)
+                at = tag.start() if tag else len(page)
+            elif name in TO_PARENT and not empty:
+                end_block()
+                stack.append((name, ""))
             text.append(" ")
             continue
+        if name in BLOCKS and name not in CHOICES:
+            first = next((i for i, (tag, _) in enumerate(stack) if tag in TO_BLOCK), None)
+            if first is not None:
+                text.clear()
+                del stack[first:]
         if name == "br":
             text.append(" ")
             continue
@@ -243,9 +282,12 @@ class Field:
         return labels[::-1]
 
 
-def train(pages: list[tuple[list, list[int]]], epochs: int = EPOCHS, rate: float = 0.3, decay: float = 1e-3, seed: int = 5) -> Field:
-    """Fits the field by maximum likelihood with adaptive steps; forward and backward run over all pages at once."""
-    rows = [features(cut) for cut, _ in pages]
+def train(pages: list[tuple[list[list[int]], list[int]]], epochs: int = EPOCHS, rate: float = 0.3, decay: float = 1e-3, seed: int = 5) -> Field:
+    """Fits the field to pages, each the features of its blocks and their labels, by maximum likelihood.
+
+    Steps are adaptive; forward and backward run over many pages at once.
+    """
+    rows = [own for own, _ in pages]
     names = sorted({f for page in rows for row in page for f in row})
     place = {f: i for i, f in enumerate(names)}
     weights, moves = np.zeros((len(names), 2)), np.zeros((2, 2))
@@ -292,13 +334,35 @@ def train(pages: list[tuple[list, list[int]]], epochs: int = EPOCHS, rate: float
     return Field({f: (float(a), float(b)) for f, (a, b) in zip(names, weights, strict=True)}, moves.tolist())
 
 
-def fit(pages: DataFrame, sample: int = SAMPLE) -> Field:
-    """The field from written pages, and at most `sample` pages of the table that mark their article."""
-    some = pages.select("page_id", "html").filter("html is not null").orderBy(F.xxhash64("page_id"), "page_id").limit(sample)
-    found = [r["html"] for r in some.collect()]
-    cut = found_pages(found)
-    lines = [text for page, _ in cut[:100] for text, _ in page] or ["Some words of plain text, written as a line."]
-    return train(cut + written_pages(lines, 400))
+def fit(pages: DataFrame, sample: int = SAMPLE, longest: int = SAMPLE_BLOCKS) -> Field:
+    """The field from written pages, and at most `sample` pages of the table that mark their article.
+
+    Pages are cut and labelled in tasks. Of a page, the first `longest` blocks come to the driver, as features and
+    labels, and a few lines for the written pages, cut to 60 words.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for raw in batch.column(0).to_pylist():
+                for cut, labels in found_pages([raw.decode("utf-8", "replace")]):
+                    lines = [" ".join(text.split()[:60])[:600] for text, _ in cut[:20]]
+                    rows.append((features(cut)[:longest], labels[:longest], lines))
+            columns = list(zip(*rows, strict=True)) or [[], [], []]
+            kinds = [pa.list_(pa.list_(pa.int64())), pa.list_(pa.int64()), pa.list_(pa.string())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["features", "labels", "lines"])
+
+    # Keys are chosen first, so no page goes through the task that sorts; a page that is repeated counts once.
+    keyed = pages.filter("html is not null").select(F.xxhash64("page_id", "html").alias("_key"), F.col("html").cast("binary").alias("html"))
+    keys = keyed.select("_key").distinct().orderBy("_key").limit(sample)
+    chosen = keyed.join(F.broadcast(keys), "_key").dropDuplicates(["_key"]).select("html")
+    rows = sorted(
+        chosen.mapInArrow(work, "features array<array<long>>, labels array<long>, lines array<string>").collect(),
+        key=lambda r: (r["lines"], r["labels"]),
+    )
+    lines = [line for r in rows[:100] for line in r["lines"]] or ["Some words of plain text, written as a line."]
+    written = [(features(cut), labels) for cut, labels in written_pages(lines, 400)]
+    return train([(r["features"], r["labels"]) for r in rows] + written)
 
 
 def main_text(pages: DataFrame, field: Field | None = None) -> DataFrame:
