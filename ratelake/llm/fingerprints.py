@@ -2,9 +2,10 @@
 
 A text is cut into paragraphs, each of which has a 64-bit digest. A sketch has CELLS cells in three parts;
 a digest goes into one cell of each part, which holds a count, the exclusive-or of its digests and that of
-their checks. Sketches of two texts subtract cell by cell: what they share is gone, and peeling recovers
-the digests that differ. Where peeling stops short, the digests are dealt to several sketches and only
-those that stop short again are retried, dealt anew.
+their checks. This sketch is the fingerprint that is published. Sketches of two texts subtract cell by cell:
+what they share is gone, and peeling recovers the digests that differ. The published sketches are tried first.
+Where peeling stops short, sketches GROWTH times as large are made, of as many tables of CELLS cells to which the
+digests are dealt, and so on up to what holds; only the digests of the tables that stop short go on.
 
 All of it is SQL functions. A text is shuffled once, to meet the text that follows it; after that only
 digests are, and a text's digests stay in one partition through each round.
@@ -12,22 +13,28 @@ digests are, and a text's digests stay in one partition through each round.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ratelake.llm.common import staged, table
 
-PARTS, WIDTH = 3, 4
+#: A published sketch holds about 16 differing digests; beyond, two fingerprints alone do not tell how many differ.
+PARTS, WIDTH = 3, 8
 CELLS = PARTS * WIDTH
-#: Digests per sketch when they are dealt to several.
-LOAD = 3
+#: How much larger a retry is than the try before.
+GROWTH = 4
 #: A line is a paragraph; a longer one ends at the first end of a sentence behind LONG characters, or, where
 #: none comes within LONGEST, behind the word that stands there; a word counts up to LONG characters more.
 LONG, LONGEST = 100, 200
 PARAGRAPH = rf"(?:[^\n]{{{LONG},{LONGEST}}}?[.!?](?=\s)|[^\n]{{{LONGEST}}}\S{{0,{LONG}}}+|[^\n]++)"
-#: Buckets of ids in which the next document is looked for.
-BUCKETS = 1024
-ROUNDS = 40
+#: Rows of a bucket of ids in which the next document is looked for, and most buckets.
+ROWS, BUCKETS = 256, 1 << 16
+#: A round's sketch has CELLS * GROWTH ** round cells.
+ROUNDS = 16
+#: The bits of a check that are published.
+HALF = 0xFFFFFFFF
 KEY = ["_bucket", "_row"]
 
 
@@ -82,21 +89,28 @@ def subtract(sign: Column) -> list[Column]:
 
 
 def peel(salt: Column) -> Column:
+    """Peels the difference in n0, k0, c0 and so on."""
+    cells = [F.struct(F.col(f"n{i}").alias("n"), F.col(f"k{i}").alias("k"), F.col(f"c{i}").alias("c")) for i in range(CELLS)]
+    return _peel(F.array(*cells), salt)
+
+
+def _peel(cells: Column, salt: Column, bits: int = -1) -> Column:
     """Peels a difference: struct(found: number of digests recovered, left: cells that are not empty).
 
     A cell with one digest (count 1 or -1, and the check fits) gives it up, and it is taken from its
     cells in all parts. The parts take turns, so no digest is given up twice in a step; PARTS turns
     without a find mean that nothing more comes, so 3 turns for each two digests a sketch can hold do.
+    `bits` are those of a check that the cells hold.
     """
     cell = "struct<n:bigint,k:bigint,c:bigint>"
-    start = F.struct(
-        F.array(*[F.struct(F.col(f"n{i}").alias("n"), F.col(f"k{i}").alias("k"), F.col(f"c{i}").alias("c")) for i in range(CELLS)]).alias("cells"),
-        F.lit(0).alias("found"),
-    )
+    start = F.struct(cells.cast(f"array<{cell}>").alias("cells"), F.lit(0).alias("found"))
     turns = F.array(*[F.lit(p) for _ in range(CELLS // 2) for p in range(PARTS)])
 
+    def check(digest: Column) -> Column:
+        return _check(digest).bitwiseAND(F.lit(bits).cast("long"))
+
     def pure(x: Column) -> Column:
-        return (F.abs(x["n"]) == 1) & (x["c"] == _check(x["k"]))
+        return (F.abs(x["n"]) == 1) & (x["c"] == check(x["k"]))
 
     def turn(acc: Column, part: Column) -> Column:
         own = F.filter(F.slice(acc["cells"], part * WIDTH + 1, F.lit(WIDTH)), pure)
@@ -110,7 +124,7 @@ def peel(salt: Column) -> Column:
                     F.struct(
                         (y["n"] - x["n"]).alias("n"),
                         y["k"].bitwiseXOR(x["k"]).alias("k"),
-                        y["c"].bitwiseXOR(x["c"]).alias("c"),
+                        y["c"].bitwiseXOR(check(x["k"])).alias("c"),
                     ),
                 ).otherwise(y),
             )
@@ -136,13 +150,22 @@ def with_next(docs: DataFrame) -> DataFrame:
     """(doc_id, text, next, _bucket, _row): each row with the text that follows in ascending doc_id.
 
     Behind the last row comes the first. NULL ids come first; equal ids go by a hash of their text. Ids
-    are cut into BUCKETS at their quantiles, so that uneven ids make even buckets, and one row of each
-    crosses to the one before.
+    are cut at their quantiles into buckets of about ROWS rows, so that uneven ids make even buckets, and one
+    row of each crosses to the one before. A row finds its bucket in two steps, among groups of bounds and in one.
     """
     read = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    cuts = F.array(*[F.lit(i / BUCKETS) for i in range(1, BUCKETS)])
-    bounds = sorted(set(read.agg(F.percentile_approx("doc_id", cuts, 10 * BUCKETS)).first()[0] or []))
-    numbered = F.size(F.filter(F.lit(bounds).cast("array<long>"), lambda b: b <= F.col("doc_id")))
+    buckets = max(2, min(BUCKETS, math.ceil(read.count() / ROWS)))
+    cuts = F.lit([i / buckets for i in range(1, buckets)])
+    bounds = sorted(set(read.agg(F.percentile_approx("doc_id", cuts, F.lit(10 * buckets))).first()[0] or []))
+    step = math.isqrt(len(bounds)) + 1
+    groups = [bounds[i : i + step] for i in range(0, len(bounds), step)]
+
+    def below(values: Column) -> Column:
+        return F.size(F.filter(values, lambda b: b <= F.col("doc_id")))
+
+    group = below(F.lit([own[0] for own in groups]).cast("array<long>"))
+    listed = F.lit(groups).cast("array<array<long>>") if groups else F.array().cast("array<array<long>>")
+    numbered = F.when(group == 0, 0).otherwise((group - 1) * step + below(F.get(listed, group - 1)))
     bucketed = read.withColumn("_bucket", F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(numbered))
     order = F.struct("doc_id", F.xxhash64("text"), "text")
     inside = Window.partitionBy("_bucket").orderBy("doc_id", F.xxhash64("text"), "text")
@@ -165,25 +188,26 @@ def edited(text: Column, after: Column) -> Column:
 
 
 def _differences(pairs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
-    """(_bucket, _row, other, found): how many digests differ, for rows of (KEY, other, ours, theirs, n).
+    """(_bucket, _row, other, found): how many digests differ, for rows of (KEY, other, ours, theirs).
 
-    `ours` and `theirs` are arrays of digests, n how many there are in both. Each round deals the digests
-    that are left to n / LOAD sketches, subtracts and peels; the digests of those that fail go on.
+    `ours` and `theirs` are the arrays of digests of two texts whose published sketches do not peel. Each round
+    deals the digests that are left to the tables of a sketch GROWTH times as large as the one before, subtracts
+    and peels; the digests of the tables that fail go on.
     """
     keys = [*KEY, "other"]
     done, left = None, pairs
     for number in range(1, rounds + 1):
-        salt = F.lit(number)
-        dealt = F.pmod(F.xxhash64("digest", salt, F.lit("dealt")), F.greatest(F.lit(1), F.ceil(F.col("n") / LOAD)))
+        salt, tables = F.lit(number), F.lit(GROWTH**number)
+        dealt = F.pmod(F.xxhash64("digest", salt, F.lit("dealt")), tables)
         sides = F.array(
             F.struct(F.lit(1).alias("sign"), F.col("ours").alias("digests")),
             F.struct(F.lit(-1).alias("sign"), F.col("theirs").alias("digests")),
         )
         flat = (
             left.repartition(*KEY)
-            .select(*keys, "n", F.explode(sides).alias("_side"))
-            .select(*keys, "n", "_side.sign", F.explode("_side.digests").alias("digest"))
-            .select(*keys, "n", "sign", "digest", dealt.alias("_deal"))
+            .select(*keys, F.explode(sides).alias("_side"))
+            .select(*keys, "_side.sign", F.explode("_side.digests").alias("digest"))
+            .select(*keys, "sign", "digest", dealt.alias("_deal"))
         )
         sketches = with_cells(flat, salt).groupBy(*keys, "_deal", "sign").agg(*sketch(salt))
         peeled = (
@@ -202,16 +226,14 @@ def _differences(pairs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
         failed = result.filter(F.size("_failed") > 0).select(*keys, "_failed")
         if failed.isEmpty():
             break
-        size = F.greatest(F.lit(1), F.ceil(F.col("n") / LOAD))
 
         def again(side: str) -> Column:
-            deal = lambda d: F.pmod(F.xxhash64(d, salt, F.lit("dealt")), size)  # noqa: E731, B023
+            deal = lambda d: F.pmod(F.xxhash64(d, salt, F.lit("dealt")), tables)  # noqa: E731, B023
             return F.filter(side, lambda d: F.array_contains(F.col("_failed"), deal(d)))
 
         left = staged(
             left.join(failed, keys)
-            .select(*keys, again("ours").alias("ours"), again("theirs").alias("theirs"))
-            .withColumn("n", F.size("ours") + F.size("theirs")),
+            .select(*keys, again("ours").alias("ours"), again("theirs").alias("theirs")),
             "fingerprint-left",
         )
     else:
@@ -219,11 +241,31 @@ def _differences(pairs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     return done.groupBy(*keys).agg(F.sum("found").alias("found"))
 
 
+def peeled(one: Column, other: Column) -> Column:
+    """struct(found, left) of two published fingerprints: how many paragraphs differ, where no cell is left.
+
+    A published check is half a check, which is enough for a table of so few cells. No digests, no text: "".
+    """
+    def cells(text: Column) -> Column:
+        parts = F.filter(F.split(text, ";"), lambda c: c != "")
+        number = lambda c, i: F.conv(F.element_at(F.split(c, "[.]"), i), 16, -10).cast("long")
+        read = F.transform(parts, lambda c: F.struct(number(c, 1).alias("n"), number(c, 2).alias("k"), number(c, 3).alias("c")))
+        none = F.transform(F.sequence(F.lit(1), F.lit(CELLS)), lambda _: F.struct(*[F.lit(0).cast("long").alias(x) for x in "nkc"]))
+        return F.when(F.size(parts) == 0, none).otherwise(read)
+
+    gone = F.zip_with(
+        cells(one), cells(other),
+        lambda x, y: F.struct((x["n"] - y["n"]).alias("n"), x["k"].bitwiseXOR(y["k"]).alias("k"), x["c"].bitwiseXOR(y["c"]).alias("c")),
+    )
+    return _peel(gone, F.lit(0), HALF)
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
     """A row for each of `docs`: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_*.
 
     fingerprint is the sketch of all a text's digests: of each cell the count, the digests and half the
-    checks in hexadecimal. Likeness is the share of digests in both texts among those in either, from the
+    checks in hexadecimal. Two fingerprints whose texts differ in up to about 16 paragraphs can be subtracted and
+    peeled by whoever has them, see `peeled`; beyond, sketches of the texts grow until they hold. Likeness is the share of digests in both texts among those in either, from the
     number that peeling recovers; two texts without digests are alike. Reads doc_id and text; a NULL text
     is empty. A single row follows itself. An empty table gives an empty result.
     """
@@ -241,28 +283,39 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         "fingerprint-digests",
     )
     salt = F.lit(0)
-    texts = F.array(*[F.struct(F.lit(i).alias("side"), F.col(c).alias("digests")) for i, c in enumerate(("own", "edited"))])
+    sides = ("own", "edited", "next")
+    texts = F.array(*[F.struct(F.lit(i).alias("side"), F.col(c).alias("digests")) for i, c in enumerate(sides)])
     flat = (
         prepared.repartition(*KEY)
         .select(*KEY, F.explode(texts).alias("_text"))
         .select(*KEY, "_text.side", F.explode("_text.digests").alias("digest"))
     )
-    whole = with_cells(flat, salt).groupBy(*KEY, "side").agg(*sketch(salt))
+    whole = staged(with_cells(flat, salt).groupBy(*KEY, "side").agg(*sketch(salt)), "fingerprint-sketches")
     written = F.concat(
         *[
-            F.lower(F.concat(F.hex(F.col(f"n{i}")), F.lit("."), F.hex(f"k{i}"), F.lit("."), F.hex(F.col(f"c{i}").bitwiseAND(F.lit(0xFFFFFFFF))), F.lit(";")))
+            F.lower(F.concat(F.hex(F.col(f"n{i}")), F.lit("."), F.hex(f"k{i}"), F.lit("."), F.hex(F.col(f"c{i}").bitwiseAND(F.lit(HALF))), F.lit(";")))
             for i in range(CELLS)
         ]
     )
-    printed = whole.select(*KEY, "side", written.alias("_print")).groupBy(*KEY).agg(
+    printed = whole.filter("side < 2").select(*KEY, "side", written.alias("_print")).groupBy(*KEY).agg(
         *[F.max(F.when(F.col("side") == i, F.col("_print"))).alias(name) for i, name in enumerate(("fingerprint", "edited_fingerprint"))]
     )
-    both = F.array(*[F.struct(F.lit(c).alias("other"), F.col(c).alias("theirs")) for c in ("edited", "next")])
-    pairs = (
-        prepared.select(*KEY, F.col("own").alias("ours"), F.explode(both).alias("_pair"))
-        .select(*KEY, "_pair.other", "ours", "_pair.theirs", (F.size("ours") + F.size("_pair.theirs")).alias("n"))
+    # The published sketches: a text's own against each of the two others.
+    signed = F.when(F.col("side") == 0, F.array(*[F.struct(F.lit(c).alias("other"), F.lit(1).alias("sign")) for c in sides[1:]]))
+    for i, c in enumerate(sides[1:], 1):
+        signed = signed.when(F.col("side") == i, F.array(F.struct(F.lit(c).alias("other"), F.lit(-1).alias("sign"))))
+    cells = [c for c in whole.columns if c not in (*KEY, "side")]
+    first = staged(
+        whole.select(*KEY, F.explode(signed).alias("_s"), *cells)
+        .groupBy(*KEY, F.col("_s.other").alias("other"))
+        .agg(*subtract(F.col("_s.sign")))
+        .select(*KEY, "other", peel(salt).alias("_peeled")),
+        "fingerprint-first",
     )
-    found = _differences(pairs)
+    both = F.array(*[F.struct(F.lit(c).alias("other"), F.col(c).alias("theirs")) for c in sides[1:]])
+    pairs = prepared.select(*KEY, F.col("own").alias("ours"), F.explode(both).alias("_pair")).select(*KEY, "ours", "_pair.*")
+    stuck = pairs.join(first.filter("_peeled.left > 0").select(*KEY, "other"), [*KEY, "other"], "left_semi")
+    found = first.filter("_peeled.left = 0").select(*KEY, "other", "_peeled.found").unionByName(_differences(stuck))
     wide = found.groupBy(*KEY).agg(
         *[F.sum(F.when(F.col("other") == c, F.col("found")).otherwise(0)).alias(f"_{c}") for c in ("edited", "next")]
     )
