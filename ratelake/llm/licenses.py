@@ -210,7 +210,8 @@ def licenses(
 
     start and end are code points, end exclusive. Only doc_id and text are read; a text that is NULL, empty
     or shorter than a shingle has no findings, and neither has an empty table. Repeated rows repeat their
-    findings. Of findings that overlap one stays. Words are runs of ASCII letters and digits and of all
+    findings. Very long texts are cut into overlapping windows, all of which are looked up. Of findings that overlap
+    one stays. Words are runs of ASCII letters and digits and of all
     characters beyond ASCII, in lower case, so marks and line ends between words don't count.
     """
     templates = dict(templates)

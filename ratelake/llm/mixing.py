@@ -158,7 +158,11 @@ def mix(docs: DataFrame, weights: Sequence[int] = (1, 2, 3), repeats: int = 3) -
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
-    """The documents of the mix, a row for each time it takes one, with the columns of `docs`."""
+    """The documents of the mix, a row for each time it takes one, with the columns of `docs`.
+
+    NULL, empty and wordless texts have no size and are never taken, however the sources stand. Repeated rows are
+    taken as often each; rows that tie in the queue go together, and reruns agree. No rows give none.
+    """
     taken = mix(docs).filter("passes > 0").select("doc_id", "source", "size", "passes")
     same = (
         F.col("row.doc_id").eqNullSafe(F.col("doc_id"))

@@ -135,7 +135,8 @@ def pieces(docs: DataFrame, path: str | None = None, end: int = END, tokens: int
     """Every document as pieces of at most `tokens` ids: doc_id, start, length, ids_crc32, doc_tokens.
 
     A document is its ids and the id `end`; a NULL or empty text is that id alone. Only doc_id and text
-    are read. `with_ids` adds the ids, as little-endian 32-bit bytes. Repeated rows give repeated pieces.
+    are read. `with_ids` adds the ids, as little-endian 32-bit bytes. Repeated rows give repeated pieces; nothing
+    here depends on an order, so there are no ties. Very long texts are encoded whole.
     """
     path = path or tokenizer_path()
     last = end.to_bytes(4, "little")
@@ -250,7 +251,11 @@ def packed(cut: DataFrame, tokens: int = TOKENS) -> DataFrame:
 
 
 def packed_documents(docs: DataFrame, with_ids: bool = False) -> DataFrame:
-    """The pieces of all documents with their places; `with_ids` keeps their ids beside them."""
+    """The pieces of all documents with their places; `with_ids` keeps their ids beside them.
+
+    A NULL or empty text is a piece of one id. Repeated rows are packed each for itself; pieces of one length tie,
+    and go to the places of that length by id and content. No rows give none.
+    """
     return packed(staged(pieces(docs, with_ids=with_ids), "pack-pieces"))
 
 

@@ -213,7 +213,11 @@ def scan(docs: DataFrame, path: str = "source", threshold: float = THRESHOLD) ->
 
 
 def masked_documents(docs: DataFrame, path: str = "source") -> DataFrame:
-    """Every row of `docs` with its secrets masked in text, and n_chars to match; other columns stay."""
+    """Every row of `docs` with its secrets masked in text, and n_chars to match; other columns stay.
+
+    No row goes: a NULL or empty text, and one without findings, is as it was. Rows that repeat, and rows that share
+    an id, are masked each by its own text. No rows give none.
+    """
     hits = (
         scan(docs, path)
         .filter(F.size("secrets") > 0)

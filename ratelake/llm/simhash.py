@@ -50,16 +50,21 @@ def fingerprint(raw: bytes, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, fp) of every row: the fingerprint as a signed long. NULL, empty and blank texts have 0."""
+    rows = docs.select(F.struct(F.col("doc_id").cast("long").alias("doc_id")).alias("row"), utf8(F.col("text")).alias("text"))
+    return _printed(rows, shingle).select("row.doc_id", "fp")
+
+
+def _printed(rows: DataFrame, shingle: int) -> DataFrame:
+    """(row, fp) for (row, text as bytes): the row passes by as it is."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.fromiter(
                 (fingerprint(raw.as_py(), shingle) for raw in batch.column(1)), np.uint64, batch.num_rows
             )
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], names=["row", "fp"])
 
-    read = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8(F.col("text")).alias("text"))
-    return read.mapInArrow(work, "doc_id long, fp long")
+    return rows.mapInArrow(work, f"row {rows.schema['row'].dataType.simpleString()}, fp long")
 
 
 def quarter_counts(fp: Column) -> list[Column]:
@@ -154,18 +159,27 @@ def kept_documents(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     """One document of each group of near-duplicates: the one that names it, once. All columns stay.
 
     A group is one of like texts, whatever ids its rows have: unlike texts that share an id stay, one of each
-    group. The row with the least (id, hash of the text) names a group. A row without id goes by a hash of its
+    group. The row with the least (id, hashes of the text) names a group. A row without id goes by a hash of its
     text, above all usual ids: it stays if nothing else is like it, and otherwise yields to a document with one.
+    NULL, empty and blank texts are one group; repeated rows are one row; no rows give none.
     """
-    unnamed = F.xxhash64(F.coalesce("text", F.lit(""))).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
-    named = F.coalesce(F.col("doc_id").cast("long"), unnamed)
-    hashed = F.xxhash64(F.coalesce("text", F.lit("")))
-    groups = near_duplicates(docs.select(hashed.alias("doc_id"), "text"), radius).select(F.col("doc_id").alias("hash"), "component_id").distinct()
-    least = docs.select(named.alias("id"), hashed.alias("hash")).groupBy("hash").agg(F.min("id").alias("id"))
-    heads = least.join(groups, "hash").groupBy("component_id").agg(F.min(F.struct("id", "hash")).alias("head")).select("head.*")
+    text = F.coalesce("text", F.lit(""))
+    # Two hashes tell texts apart: with one, ten thousand million texts would hold a few pairs that share it.
+    hashes = [F.xxhash64(text).alias("hash"), F.xxhash64(F.lit("again"), text).alias("other")]
+    unnamed = F.xxhash64(text).bitwiseAND(F.lit((1 << 62) - 1)).bitwiseOR(F.lit(1 << 62))
+    key = [F.coalesce(F.col("doc_id").cast("long"), unnamed).alias("id"), *hashes]
+    printed = _printed(docs.select(F.struct(*key).alias("row"), utf8(F.col("text")).alias("text")), SHINGLE)
+    least = staged(printed.groupBy("fp").agg(F.min("row").alias("head")), "simhash-heads")
+    joined = components(links(least.select("fp"), radius), "simhash-components")
+    heads = (
+        least.join(joined, F.col("fp") == F.col("node"), "left")
+        .groupBy(F.coalesce("root", "fp").alias("root"))
+        .agg(F.min("head").alias("head"))
+        .select("head.*")
+    )
     # Rows of one id and text differ in other columns at most; a hash of the row decides.
-    rows = docs.select(named.alias("id"), hashed.alias("hash"), F.struct("*").alias("row"))
-    kept = rows.join(heads, ["id", "hash"], "left_semi").groupBy("id", "hash").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    rows = docs.select(*key, F.struct("*").alias("row"))
+    kept = rows.join(heads, ["id", "hash", "other"], "left_semi").groupBy("id", "hash", "other").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
     return kept.select("row.*")
 
 

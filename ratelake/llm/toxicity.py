@@ -189,7 +189,11 @@ def scored(rows: DataFrame, weights: dict[int, float], bias: float) -> DataFrame
 
 
 def clean_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are not scored as toxic, with all their columns. No exchange."""
+    """The documents that are not scored as toxic, with all their columns. No exchange.
+
+    Each row is kept or not by its own text: repeated rows alike, NULL and empty texts by the bias, and a score
+    of exactly THRESHOLD goes. Without confirmed labels every row stays. No rows give none.
+    """
     rows = docs.select(F.struct("*").alias("row"), utf8(F.col("text")).alias("text"))
     model = train(*_sample(docs, labels, POSITIVES, UNLABELLED), _prior(labels))
     return scored(rows, *model).filter(F.col("score") < THRESHOLD).select("row.*")
