@@ -23,6 +23,37 @@ def group_id(file_id: Column, number: Column) -> Column:
     return surrogate_id("group", file_id, number)
 
 
+def member_text(member: Column) -> Column:
+    """What makes a member of a provider group the same member: its NPIs, in any order, and its tax id."""
+    tax = F.coalesce(member["tins"], member["tin"])
+    npi = F.array_sort(F.array_distinct(F.coalesce(member["npi"], F.array().cast("array<bigint>"))))
+    return F.to_json(F.struct(npi.alias("npi"), blank(tax["type"]).alias("type"), blank(tax["value"]).alias("value")))
+
+
+def _halves(text: Column) -> tuple[Column, Column]:
+    """The SHA-256 of a member's text as two numbers, which can be added up in any order."""
+    digest = F.sha2(text, 256)
+    return tuple(F.conv(F.substring(digest, 1 + 16 * i, 16), 16, -10).cast("bigint") for i in (0, 1))
+
+
+def content_number(members: Column) -> Column:
+    """The number of a group by its distinct members, whatever their order: the same wherever the group stands."""
+    texts = F.array_distinct(F.transform(members, member_text))
+    zero = F.lit(0).cast("bigint")
+
+    def both(acc: Column, text: Column) -> Column:
+        return F.struct(*[acc[n].bitwiseXOR(half).alias(n) for n, half in zip("ab", _halves(text), strict=True)])
+
+    sums = F.aggregate(texts, F.struct(zero.alias("a"), zero.alias("b")), both)
+    return F.concat_ws("-", F.lit("members"), F.size(texts).cast("string"), F.hex(sums["a"]), F.hex(sums["b"]))
+
+
+def content_number_of_rows(text: Column) -> Column:
+    """The same as an aggregate over the distinct texts of a group's members, a row each."""
+    a, b = _halves(text)
+    return F.concat_ws("-", F.lit("members"), F.count(text).cast("string"), F.hex(F.bit_xor(a)), F.hex(F.bit_xor(b)))
+
+
 def plan_hash(company: Column, plan_id: Column, market: Column, name: Column, id_type: Column) -> Column:
     """One argument order for every caller: company, plan id, market, name, id type."""
     parts = [blank(company), blank(plan_id), blank(market), blank(name), F.upper(blank(id_type))]
@@ -30,7 +61,12 @@ def plan_hash(company: Column, plan_id: Column, market: Column, name: Column, id
 
 
 def price_hash(code_type: Column, code: Column, price: Column) -> Column:
-    """Hash of what makes a price the same price; the order inside its arrays does not count."""
+    """Hash of what makes a price the same price; the order inside its arrays does not count.
+
+    Arrays go in as JSON, so that no member can be taken for two. The code's version and the negotiation
+    arrangement are no part of it: the rate table has no column for them, so prices that differ in these alone
+    are one row there.
+    """
     return F.sha2(
         F.concat_ws(
             UNIT,
@@ -39,10 +75,10 @@ def price_hash(code_type: Column, code: Column, price: Column) -> Column:
             blank(price["negotiated_type"]),
             blank(price["negotiated_rate"]),
             blank(price["expiration_date"]),
-            blank(F.array_join(F.sort_array(price["service_code"]), ",")),
+            blank(F.to_json(F.sort_array(price["service_code"]))),
             blank(price["billing_class"]),
             blank(price["setting"]),
-            blank(F.array_join(F.sort_array(price["billing_code_modifier"]), ",")),
+            blank(F.to_json(F.sort_array(price["billing_code_modifier"]))),
         ),
         256,
     )

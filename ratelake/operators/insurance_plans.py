@@ -6,11 +6,14 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from ratelake import schemas as S
 from ratelake import values as V
 from ratelake.functions.keys import plan_hash, surrogate_id
 from ratelake.operators.toc import PLAN_PLACE
 from ratelake.operators.upsert import merge_seen
+from ratelake.sinks.merged import RUN, MergedTable
 
 SEEN = ("plan_first_seen", "plan_last_seen")
 
@@ -66,6 +69,19 @@ def upsert_plans(table: DataFrame, rows: DataFrame) -> DataFrame:
     return merge_seen(table, rows, ["insurance_plan_hash"], *SEEN)
 
 
+def merge_plans(rows: DataFrame) -> DataFrame:
+    """One row per hash of the plans of several runs: as first stored, but for when it was seen."""
+    key, seen = "insurance_plan_hash", [F.min(SEEN[0]).alias(SEEN[0]), F.max(SEEN[1]).alias(SEEN[1])]
+    kept = [c for c in rows.columns if c not in (key, RUN, *SEEN)]
+    first = F.min_by(F.struct(*kept), F.struct(RUN, SEEN[0])).alias("first")
+    return rows.groupBy(key).agg(first, *seen).select(key, "first.*", *SEEN)
+
+
+def plans_table(path: str, **options) -> MergedTable:
+    """The stored plan table, merged by hash: `upsert` takes `plan_rows`."""
+    return MergedTable(path, StructType.fromDDL(S.PLANS_TABLE), ("insurance_plan_hash",), merge_plans, **options)
+
+
 def with_activity(table: DataFrame, run_ts: datetime, days: int) -> DataFrame:
     """Mark plans not seen within `days` of the run as inactive; off unless called."""
     limit = F.lit(run_ts).cast("timestamp") - F.make_dt_interval(F.lit(days))

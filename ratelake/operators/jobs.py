@@ -164,21 +164,24 @@ def company_sources(companies: DataFrame, sources: DataFrame) -> DataFrame:
 def parse_metrics(parsed: DataFrame) -> DataFrame:
     """Per file: objects parsed, saved and with errors; rates among the saved ones.
 
-    `parsed` is (file_id, bad, n_rates, n_providers); `bad` marks objects that did not parse.
+    `parsed` is (file_id, part, bad, n_rates, n_providers); `bad` marks objects that did not parse. An object in
+    parts counts with its first.
     """
+    first = F.col("part") == 0
     return parsed.groupBy("file_id").agg(
-        F.count(F.lit(1)).alias("objects_parsed"),
-        F.count_if(~F.col("bad")).alias("objects_saved"),
-        F.count_if(F.col("bad")).alias("objects_with_errors"),
+        F.count_if(first).alias("objects_parsed"),
+        F.count_if(first & ~F.col("bad")).alias("objects_saved"),
+        F.count_if(first & F.col("bad")).alias("objects_with_errors"),
         F.sum(F.when(F.col("bad"), 0).otherwise(F.col("n_rates")).cast("bigint")).alias("rates_saved"),
         F.sum(F.when(F.col("bad"), 0).otherwise(F.col("n_providers")).cast("bigint")).alias("providers_named"),
     )
 
 
 def reference_metrics(parsed: DataFrame) -> DataFrame:
-    """Per file: provider references found and saved. `parsed` is (file_id, bad)."""
+    """Per file: provider references found and saved. `parsed` is (file_id, part, bad)."""
+    first = F.col("part") == 0
     return parsed.groupBy("file_id").agg(
-        F.count(F.lit(1)).alias("references_parsed"), F.count_if(~F.col("bad")).alias("references_saved")
+        F.count_if(first).alias("references_parsed"), F.count_if(first & ~F.col("bad")).alias("references_saved")
     )
 
 

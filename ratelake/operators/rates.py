@@ -10,8 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratelake import values as V
-from ratelake.functions.keys import group_id, price_hash, surrogate_id
+from ratelake.functions.keys import content_number, group_id, price_hash, surrogate_id
 from ratelake.functions.text import array_or_empty, encode, encode_services, or_empty, to_date
+from ratelake.sources.shred import place_in
 
 PROCEDURE_FIELDS = (
     "negotiation_arrangement",
@@ -23,25 +24,36 @@ PROCEDURE_FIELDS = (
 )
 SEEN = ("first_seen_date", "last_seen_date")
 CODED = ("billing_class", "setting")
+FACT_KEY = ("insurance_plan_id", "billing_code_id", "provider_group_id", "procedure_hash")
 CODE_FIELDS = ("billing_code_type", "billing_code_type_version", "billing_code", "description")
 
 
 def rate_messages(items: DataFrame, *carried: str) -> DataFrame:
-    """One message per item and negotiated rate, with the item's `carried` columns; its severity of illness is not passed on."""
+    """One message per item and negotiated rate, with the item's `carried` columns; its severity of illness is not passed on.
+
+    `provider_ids` are the provider references of the rate and, where it brings members of its own, the number
+    of the group they make, see `keys.content_number`.
+    """
+    rate = items.schema["negotiated_rates"].dataType.elementType
+    named = array_or_empty(F.col("rate.provider_references"), "bigint").cast("array<string>")
+    if "provider_groups" in rate.names:
+        members = F.col("rate.provider_groups")
+        named = F.when(F.coalesce(F.size(members), F.lit(0)) > 0, F.concat(named, F.array(content_number(members)))).otherwise(named)
     procedure = F.struct(*[or_empty(F.col(field)).alias(field) for field in PROCEDURE_FIELDS])
     return items.select(
         "file_id",
         "item_no",
         *carried,
         procedure.alias("procedure"),
+        place_in(items, "negotiated_rates", F.lit(0)).alias("first_rate"),
         F.posexplode("negotiated_rates").alias("rate_no", "rate"),
     ).select(
         *carried,
         "file_id",
         "item_no",
-        "rate_no",
+        (F.col("first_rate") + F.col("rate_no")).alias("rate_no"),
         "procedure",
-        array_or_empty(F.col("rate.provider_references"), "bigint").cast("array<string>").alias("provider_ids"),
+        named.alias("provider_ids"),
         F.col("rate.negotiated_prices").alias("negotiated_prices"),
     )
 
@@ -161,26 +173,45 @@ def unknown_codes(priced: DataFrame) -> DataFrame:
     )
 
 
-def fact_rows(priced: DataFrame, plans_of_files: DataFrame) -> DataFrame:
-    """Rows of the provider fact, one per price, provider and plan, still to be merged.
+def fact(priced: DataFrame, plans_of_files: DataFrame, *carried: str) -> DataFrame:
+    """The provider fact of some files: one row per price, provider and plan, with its first and last seen date.
 
-    `priced` carries `seen_date`; `plans_of_files` is (file_id, insurance_plan_id), each pair once. A file's
-    prices are reduced to distinct ones before its plans multiply them.
+    `priced` carries `seen_date`; `plans_of_files` is (file_id, insurance_plan_id), each pair once. Fields of the
+    price named in `carried` come along. A group is (file, number) until the rows are merged: the file is then
+    part of the key, so where the join deals rows by file, the merge needs no further exchange, and the id is
+    made once a row. Hashes travel as bytes.
     """
-    once = (
-        priced.select("file_id", "billing_code", "procedure_hash", F.explode("provider_ids").alias("number"), "seen_date")
-        .groupBy("file_id", "billing_code", "procedure_hash", "number")
-        .agg(F.min("seen_date").alias(SEEN[0]), F.max("seen_date").alias(SEEN[1]))
+    key = ("insurance_plan_id", "billing_code", "file_id", "number", "hash")
+    rows = priced.select(
+        "file_id",
+        "billing_code",
+        F.unhex("procedure_hash").alias("hash"),
+        F.explode(F.array_distinct("provider_ids")).alias("number"),
+        "seen_date",
+        *[F.col("price")[field].alias(field) for field in carried],
     )
-    return once.join(plans_of_files, "file_id").select(
-        "insurance_plan_id",
-        F.col("billing_code").alias("billing_code_id"),
-        group_id(F.col("file_id"), F.col("number")).alias("provider_group_id"),
-        "procedure_hash",
-        *SEEN,
+    return (
+        rows.join(plans_of_files, "file_id")
+        .groupBy(*key)
+        .agg(F.min("seen_date").alias(SEEN[0]), F.max("seen_date").alias(SEEN[1]), *[F.min(c).alias(c) for c in carried])
+        .select(
+            "insurance_plan_id",
+            F.col("billing_code").alias("billing_code_id"),
+            group_id(F.col("file_id"), F.col("number")).alias("provider_group_id"),
+            F.lower(F.hex("hash")).alias("procedure_hash"),
+            *SEEN,
+            *carried,
+        )
     )
 
 
+def by_content(fact: DataFrame, identities: DataFrame) -> DataFrame:
+    """The fact with one id for equal groups of all files, from `providers.identities`."""
+    same = identities.select(F.col("group_id").alias("provider_group_id"), "content_id")
+    rows = fact.join(same, "provider_group_id").withColumn("provider_group_id", F.col("content_id"))
+    return merge(rows.select(*fact.columns))
+
+
 def with_locations(fact: DataFrame, locations: DataFrame) -> DataFrame:
     """Add zip code and region of the provider group, after the merge, when the rows are fewest.
 
@@ -194,6 +225,7 @@ def with_locations(fact: DataFrame, locations: DataFrame) -> DataFrame:
         "billing_code_id",
         "procedure_hash",
         *SEEN,
+        *[c for c in fact.columns if c not in (*FACT_KEY, *SEEN)],
     )
 
 
@@ -204,7 +236,7 @@ def item_codes(items: DataFrame) -> DataFrame:
         return F.transform(
             F.coalesce(F.col(column), F.array().cast(items.schema[column].dataType)),
             lambda c, i: F.struct(
-                F.lit(kind).alias("kind"), i.alias("pos"), *[or_empty(c[f]).alias(f) for f in CODE_FIELDS]
+                F.lit(kind).alias("kind"), place_in(items, column, i).alias("pos"), *[or_empty(c[f]).alias(f) for f in CODE_FIELDS]
             ),
         )
 

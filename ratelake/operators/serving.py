@@ -32,15 +32,62 @@ def view(fact: DataFrame, path: str) -> DataFrame:
     return fact.dropna(subset=[*lead, *rest])
 
 
-def write_layout(fact: DataFrame, path: str, folder: str) -> None:
-    """Write one path's layout, sorted by its key.
+def write_layout(fact: DataFrame, path: str, folder: str, files: int | None = None) -> None:
+    """Write one path's layout, sorted by its key, and the index of its files.
 
     The ranges are cut over the whole key, so a partition key with very many rows is spread
-    over several files, and row groups keep narrow key spans that a lookup can skip by.
+    over several files, and row groups keep narrow key spans that a lookup can skip by. Files have Bloom
+    filters on the columns behind the key. The index has a row a file: the spans of the key and the rows.
     """
     lead, rest = PATHS[path]
-    key = [*lead, *rest]
-    view(fact, path).repartitionByRange(*key).sortWithinPartitions(*key).write.mode("overwrite").parquet(folder)
+    key, spark = [*lead, *rest], fact.sparkSession
+    rows = view(fact, path)
+    ranged = rows.repartitionByRange(*([files] if files else []), *key).sortWithinPartitions(*key)
+    blooms = {f"parquet.bloom.filter.enabled#{column}": "true" for column in rest}
+    ranged.write.mode("overwrite").options(**blooms).parquet(f"{folder}/rows")
+    spans = (
+        spark.read.schema(rows.select(*key).schema)
+        .parquet(f"{folder}/rows")
+        .groupBy(F.col("_metadata.file_path").alias("file"))
+        .agg(F.min(F.struct(*key)).alias("low"), F.max(F.struct(*key)).alias("high"), F.count(F.lit(1)).alias("n_rows"))
+    )
+    spans.write.mode("overwrite").parquet(f"{folder}/index")
+
+
+def read_layout(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).parquet(f"{folder}/rows")
+
+
+def read_index(spark: SparkSession, folder: str) -> DataFrame:
+    """(file, low, high, n_rows): the spans of the layout's files."""
+    return spark.read.parquet(f"{folder}/index")
+
+
+def files_of_key(index: DataFrame, path: str, *values) -> list[str]:
+    """The files whose span holds a key, or its leading columns: as many as the key has, mostly one."""
+    key = [column for columns in PATHS[path] for column in columns][: len(values)]
+    low, high, wanted = (
+        F.struct(*[F.col(f"low.{c}") for c in key]),
+        F.struct(*[F.col(f"high.{c}") for c in key]),
+        F.struct(*[F.lit(v).cast(index.schema["low"].dataType[c].dataType).alias(c) for c, v in zip(key, values, strict=True)]),
+    )
+    return sorted(row["file"] for row in index.where((low <= wanted) & (wanted <= high)).select("file").collect())
+
+
+def look_up(spark: SparkSession, folder: str, schema: str, path: str, *values) -> DataFrame:
+    """Rows of one key of a layout, or of its leading columns. Only the files the index names are opened.
+
+    `first_match` of it stops at the first row: files come in the order of their names, which is the key's.
+    """
+    named = files_of_key(read_index(spark, folder), path, *values)
+    if not named:
+        return spark.createDataFrame([], schema)
+    return lookup(spark.read.schema(schema).parquet(*named), path, *values)
+
+
+def first_match(rows: DataFrame) -> DataFrame:
+    """One row or none. Spark looks into one file and goes on only where that has no match."""
+    return rows.limit(1)
 
 
 def lookup(layout: DataFrame, path: str, *values) -> DataFrame:
@@ -51,10 +98,6 @@ def lookup(layout: DataFrame, path: str, *values) -> DataFrame:
     return layout
 
 
-def read_layout(spark: SparkSession, folder: str, schema: str) -> DataFrame:
-    return spark.read.schema(schema).parquet(folder)
-
-
 def with_rates(rows: DataFrame, dimension: DataFrame) -> DataFrame:
     """Add the price attributes to fact rows."""
     attributes = [c for c in dimension.columns if c not in ("billing_code", "first_seen_date", "last_seen_date")]

@@ -56,15 +56,31 @@ def follow_over(
 def gather_in_parts(
     df: DataFrame, keys: Sequence[str], value: str, bucket: Column, size: int, name: str
 ) -> DataFrame:
-    """Arrays of at most `size` values per key: one row per key and part, values in order.
+    """Arrays of at most `size` distinct values per key: one row per key and part, values in order, and `n_parts`.
 
-    `df` holds each value once per key. A key with more than `size` values gets parts
-    0, 1, 2 …, so no row and no task has to hold all of a large key.
+    `bucket` must never fall as the value rises. A key with more than `size` values gets parts 0, 1, 2 …, so no
+    row and no task has to hold all of a large key: values are gathered by bucket, repeats gone before the
+    exchange, and only the buckets' counts meet by key to tell which part a bucket's values go to.
     """
-    ranked = rank_over(df.select(*keys, value), keys, [F.col(value)], bucket, "_rank")
-    part = F.floor((F.col("_rank") - 1) / size).cast("int")
+    boxes = df.groupBy(*keys, bucket.alias(BUCKET)).agg(F.array_sort(F.collect_set(value)).alias("_values"))
+    of_key = Window.partitionBy(*keys)
+    before = of_key.orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = boxes.select(*keys, BUCKET, F.size("_values").cast("bigint").alias("_n")).select(
+        *keys,
+        BUCKET,
+        "_n",
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"),
+        F.ceil(F.sum("_n").over(of_key) / size).cast("int").alias("n_parts"),
+    )
+    last = F.floor((F.col("_offset") + F.col("_n") - 1) / size)
+    start = F.greatest(F.col("part") * size - F.col("_offset"), F.lit(0))
+    stop = F.least((F.col("part") + 1) * size - F.col("_offset"), F.col("_n"))
+    piece = F.slice("_values", (start + 1).cast("int"), (stop - start).cast("int"))
     return (
-        ranked.withColumn("part", part)
-        .groupBy(*keys, "part")
-        .agg(F.array_sort(F.collect_list(value)).alias(name))
+        boxes.join(offsets, [*keys, BUCKET])
+        .withColumn("part", F.explode(F.sequence(F.floor(F.col("_offset") / size), last)))
+        .select(*keys, "part", "n_parts", F.struct(BUCKET, piece.alias("piece")).alias("_box"))
+        .groupBy(*keys, "part", "n_parts")
+        .agg(F.array_sort(F.collect_list("_box")).alias("_boxes"))
+        .select(*keys, F.col("part").cast("int"), "n_parts", F.flatten(F.col("_boxes.piece")).alias(name))
     )

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ratelake import values as V
@@ -16,6 +16,7 @@ from ratelake.functions.keys import surrogate_id
 from ratelake.functions.text import filled, or_empty
 from ratelake.functions.urls import url_extension, without_query
 from ratelake.operators.spread import gather_in_parts, rank_over
+from ratelake.sources.shred import place_in
 
 PLAN_FIELDS = ("plan_name", "plan_id_type", "plan_id", "plan_sponsor_name", "plan_market_type")
 PLAN_PLACE = ("file_id", "rs_pos", "plan_pos")
@@ -41,9 +42,15 @@ def gate_listings(listings: DataFrame) -> DataFrame:
     )
 
 
+def failed_listings(gated: DataFrame, job_id: Column) -> DataFrame:
+    """(job_id, reason) of the jobs whose listing names no single index file, for their FAILED events."""
+    return gated.where(F.col("reason").isNotNull()).select(job_id.alias("job_id"), "reason")
+
+
 def flatten_plans(structures: DataFrame) -> DataFrame:
-    return structures.select("file_id", "rs_pos", F.posexplode("reporting_plans").alias("plan_pos", "plan")).select(
-        *PLAN_PLACE, *[F.col(f"plan.{field}") for field in PLAN_FIELDS]
+    first = place_in(structures, "reporting_plans", F.lit(0)).alias("first")
+    return structures.select("file_id", "rs_pos", first, F.posexplode("reporting_plans").alias("place", "plan")).select(
+        "file_id", "rs_pos", (F.col("first") + F.col("place")).alias("plan_pos"), *[F.col(f"plan.{field}") for field in PLAN_FIELDS]
     )
 
 
@@ -102,17 +109,22 @@ def flatten_files(
     if scope == "structure":
         structures = structures.where(~empty)
     none = F.array().cast("array<struct<location:string>>")
-    has_allowed = allowed.isNotNull() & ~empty
+    # The parts of a structure that came in parts all name its allowed-amount file: the first one lists it.
+    first_part = F.col("part") == 0 if "part" in structures.columns else F.lit(True)
+    has_allowed = allowed.isNotNull() & ~empty & first_part
     single = F.when(has_allowed, F.array("allowed_amount_file")).otherwise(none)
-    first = F.when(F.col("has_allowed") & (F.col("file_pos") == 0), "allowed_amount").otherwise("in_network")
+    first = F.when(F.col("has_allowed") & (F.col("place") == 0), "allowed_amount").otherwise("in_network")
+    # A later part has the allowed-amount file before it too.
+    earlier = place_in(structures, "in_network_files", F.lit(0)) + F.when(first_part, 0).otherwise((allowed.isNotNull() & ~empty).cast("int"))
     return (
         structures.select(
             "file_id",
             "rs_pos",
             has_allowed.alias("has_allowed"),
-            F.posexplode(F.concat(single, F.coalesce("in_network_files", none))).alias("file_pos", "file"),
+            earlier.alias("earlier_files"),
+            F.posexplode(F.concat(single, F.coalesce("in_network_files", none))).alias("place", "file"),
         )
-        .select("file_id", "rs_pos", "file_pos", F.col("file.location").alias("url"), first.alias("file_type"))
+        .select("file_id", "rs_pos", (F.col("earlier_files") + F.col("place")).alias("file_pos"), F.col("file.location").alias("url"), first.alias("file_type"))
         .where(F.col("url").isNotNull())
         .withColumn("location", without_query(F.col("url")))
     )
@@ -129,12 +141,11 @@ def files_by_location(files: DataFrame) -> DataFrame:
 
 
 def plans_of_files(files: DataFrame, plans: DataFrame) -> DataFrame:
-    """Distinct (file_id, location, insurance_plan_id): each file has the plans of the structures that list it."""
+    """(file_id, location, insurance_plan_id): each file has the plans of the structures that list it, once for each."""
     return (
         files.select("file_id", "rs_pos", "location")
         .join(plans.select("file_id", "rs_pos", "insurance_plan_id"), ["file_id", "rs_pos"])
         .select("file_id", "location", "insurance_plan_id")
-        .distinct()
     )
 
 
@@ -143,12 +154,10 @@ def with_plan_parts(files: DataFrame, pairs: DataFrame, size: int = 10_000) -> D
     # Plan ids are evenly spread hex behind a fixed prefix, so one digit makes 16 even, ordered buckets.
     bucket = F.substring("insurance_plan_id", 1, len(V.ID_PLAN) + 2)
     parts = gather_in_parts(pairs, ["file_id", "location"], "insurance_plan_id", bucket, size, "reporting_plans")
-    # A location has a part for each ten thousand plans: few rows to a window.
-    of_file = Window.partitionBy("file_id", "location")
     return (
         files.join(parts, ["file_id", "location"], "left")
         .withColumn("part", F.coalesce("part", F.lit(0)))
-        .withColumn("n_parts", F.max("part").over(of_file) + 1)
+        .withColumn("n_parts", F.coalesce("n_parts", F.lit(1)))
         .withColumn("reporting_plans", F.coalesce("reporting_plans", F.array().cast("array<string>")))
     )
 

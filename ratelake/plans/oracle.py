@@ -171,6 +171,18 @@ file_parts AS (
   FROM files f LEFT JOIN parts USING (file_id, location))""",
 )
 
+ORACLE["plan_table"] = ORACLE["plan_upsert"]
+ORACLE["toc_from_files"] = with_(
+    TOC[0],
+    PLANS,
+    """
+dated AS (
+  SELECT pl.*, strftime(o_orderdate, '%Y-%m') AS month FROM pl JOIN orders ON rs_pos = o_orderkey
+  WHERE plan_id IS NOT NULL AND plan_id <> '')""",
+    select="""SELECT month, plan_name, plan_id_type, plan_id, plan_sponsor_name, plan_market_type FROM (
+  SELECT *, row_number() OVER (PARTITION BY month, plan_name ORDER BY rs_pos, plan_pos) AS n FROM dated) WHERE n = 1""",
+)
+ORACLE["good_plans_dump"] = ORACLE["toc_good_plans"]
 ORACLE["toc_file_plans"] = with_(
     *FILES, select="SELECT file_id, location, url, file_type, file_extension, part, n_plans, plans FROM file_parts"
 )
@@ -242,6 +254,11 @@ SELECT file_id, reason, CASE WHEN reason IS NULL THEN 'https://h/index' || o_ord
 FROM (SELECT o_orderkey, 'l' || o_orderkey AS file_id,
              CASE WHEN o_orderstatus = 'P' THEN 'more than one mrf' WHEN o_orderpriority = '1-URGENT' THEN 'no mrf'
                   WHEN o_orderpriority = '5-LOW' THEN 'not exactly one file' END AS reason FROM orders)"""
+ORACLE["listing_events"] = """
+SELECT file_id AS job_id, 'FAILED' AS status, '2002-01-01 00:00:00.000000' AS status_time, reason FROM (
+  SELECT 'l' || o_orderkey AS file_id,
+         CASE WHEN o_orderstatus = 'P' THEN 'more than one mrf' WHEN o_orderpriority = '1-URGENT' THEN 'no mrf'
+              WHEN o_orderpriority = '5-LOW' THEN 'not exactly one file' END AS reason FROM orders) WHERE reason IS NOT NULL"""
 ORACLE["enum_reject"] = """
 SELECT o_orderkey AS job_id,
   CASE o_orderpriority WHEN '5-LOW' THEN 'ALLOWED_AMOUNT' WHEN '1-URGENT' THEN 'PHARMACY' ELSE 'IN_NETWORK' END AS file_type,
@@ -264,6 +281,7 @@ lines AS (
          CASE l_returnflag WHEN 'A' THEN 'professional' WHEN 'N' THEN 'institutional' ELSE 'both' END AS class,
          CASE l_linestatus WHEN 'F' THEN 'inpatient' ELSE 'outpatient' END AS setting,
          strftime(l_shipdate, '%Y') || '-12-31' AS expires, CAST(l_shipdate AS DATE) AS seen_date,
+         CASE l_linenumber WHEN 3 THEN ['25,59'] WHEN 4 THEN ['25', '59'] ELSE [l_returnflag] END AS mods,
          CAST(l_partkey AS VARCHAR) AS code FROM lineitem),
 unhashed AS (
   SELECT *, 'negotiated' AS kind, CAST(listed AS DECIMAL(18,4)) AS rate FROM lines
@@ -271,8 +289,8 @@ unhashed AS (
   SELECT *, 'derived', CASE WHEN l_linenumber < 7 THEN CAST(listed * cut AS DECIMAL(18,4)) END FROM lines),
 prices AS (
   SELECT *, sha256('CPT' || chr(31) || code || chr(31) || kind || chr(31) || coalesce(CAST(rate AS VARCHAR), '') || chr(31)
-         || expires || chr(31) || '11,' || (l_linenumber + 10) || chr(31) || class || chr(31) || setting || chr(31)
-         || l_returnflag) AS procedure_hash FROM unhashed)"""
+         || expires || chr(31) || '["11","' || (l_linenumber + 10) || '"]' || chr(31) || class || chr(31) || setting
+         || chr(31) || to_json(mods)) AS procedure_hash FROM unhashed)"""
 
 ORACLE["rate_summary_by_code"] = with_(
     PRICES,
@@ -290,7 +308,8 @@ ORACLE["rate_messages"] = with_(
   2 AS n_prices,
   'negotiated|' || CAST(listed AS DECIMAL(18,4)) || '|' || tail || ';derived|'
   || CASE WHEN l_linenumber < 7 THEN CAST(listed * cut AS DECIMAL(18,4)) || '|' ELSE '' END || tail AS prices
-FROM (SELECT *, expires || '|' || (l_linenumber + 10) || '/11|' || class || '|' || setting || '|' || l_returnflag AS tail
+FROM (SELECT *, expires || '|' || (l_linenumber + 10) || '/11|' || class || '|' || setting || '|'
+         || CASE l_linenumber WHEN 3 THEN '25,59' WHEN 4 THEN '59/25' ELSE l_returnflag END AS tail
       FROM lines) JOIN part ON p_partkey = l_partkey""",
 )
 ORACLE["rate_wire"] = with_(
@@ -301,17 +320,24 @@ ORACLE["rate_wire"] = with_(
   CASE WHEN l_linenumber < 7 THEN CAST(CAST(listed * cut AS DECIMAL(18,4)) AS DOUBLE) ELSE 0.0 END AS rate_2,
   0 AS n_additional FROM lines""",
 )
-DIMENSION = """procedure_hash, rate, expires, code, l_linenumber, class, setting, l_returnflag"""
+DIMENSION = """procedure_hash, rate, expires, code, l_linenumber, class, setting, mods"""
 ORACLE["procedure_rate_upsert"] = with_(
     PRICES,
     select=f"""SELECT procedure_hash, CAST(rate AS DOUBLE) AS negotiated_rate, expires AS expiration_date, code AS billing_code,
   CASE WHEN l_linenumber = 1 THEN '11,11' ELSE '11,' || (l_linenumber + 10) END AS service_code,
   CASE class WHEN 'professional' THEN 1 WHEN 'institutional' THEN 2 ELSE 3 END AS billing_class,
-  CASE setting WHEN 'inpatient' THEN 1 ELSE 2 END AS setting, l_returnflag AS billing_code_modifier,
+  CASE setting WHEN 'inpatient' THEN 1 ELSE 2 END AS setting, array_to_string(mods, ',') AS billing_code_modifier,
   strftime(min(CASE WHEN l_returnflag <> 'R' THEN seen_date - 30 ELSE seen_date END), '%Y-%m-%d') AS first_seen_date,
   strftime(max(CASE WHEN l_returnflag <> 'A' THEN seen_date ELSE seen_date - 30 END), '%Y-%m-%d') AS last_seen_date
 FROM prices GROUP BY {DIMENSION}""",
 )
+ORACLE["dimension_table"] = with_(
+    PRICES,
+    select=f"""SELECT procedure_hash, CAST(rate AS DOUBLE) AS negotiated_rate, code AS billing_code,
+  array_to_string(list_sort(mods), '|') AS billing_code_modifier, strftime(min(seen_date), '%Y-%m-%d') AS first_seen_date,
+  strftime(max(seen_date), '%Y-%m-%d') AS last_seen_date
+FROM prices GROUP BY {DIMENSION}""",
+)
 ORACLE["rate_unknown_codes"] = with_(
     PRICES,
     select="SELECT 'setting' AS field, setting || '-' || class AS word, count(*) AS n_prices FROM prices GROUP BY 1, 2",
@@ -343,6 +369,7 @@ ORACLE["provider_rate_fact"] = with_(
     select=f"""SELECT provider_group_id, zip_code, region_code, insurance_plan_id, billing_code_id, procedure_hash,
   {SEEN.format("", "")} FROM fact""",
 )
+ORACLE["fact_table"] = ORACLE["provider_rate_fact"]
 ORACLE["provider_rate_upsert"] = with_(
     *FACT[:-1],
     """
@@ -368,20 +395,37 @@ for path, keys in (
         select=f"""SELECT {keys}, count(*) AS n_rows, {SEEN.format("min", "max")}
 FROM fact WHERE {keys.split(",")[0]} IS NOT NULL GROUP BY {keys}""",
     )
-for path, key in (
-    ("plan_code", "insurance_plan_id"),
-    ("region", "region_code"),
-    ("zip", "zip_code"),
+for path, lead in (
+    ("plan_code", "insurance_plan_id, billing_code_id"),
+    ("region", "region_code, billing_code_id"),
+    ("zip", "zip_code, billing_code_id"),
     ("provider", "provider_group_id"),
 ):
     ORACLE[f"lookup_{path}"] = with_(
         *FACT,
-        """
-dim AS (SELECT DISTINCT procedure_hash, rate AS priced, expires FROM prices)""",
+        f"""
+dim AS (SELECT DISTINCT procedure_hash, rate AS priced, expires FROM prices),
+smallest AS (SELECT {lead} FROM fact WHERE {lead.split(",")[0]} IS NOT NULL ORDER BY {lead} LIMIT 1)""",
         select=f"""SELECT provider_group_id, zip_code, region_code, insurance_plan_id, billing_code_id, procedure_hash,
   {SEEN.format("", "")}, CAST(priced AS DOUBLE) AS negotiated_rate, expires AS expiration_date
-FROM fact JOIN dim USING (procedure_hash) WHERE {key} = (SELECT min({key}) FROM fact)""",
+FROM fact JOIN dim USING (procedure_hash) JOIN smallest USING ({lead})""",
     )
+ORACLE["lookup_first"] = with_(
+    *FACT,
+    select="""SELECT region_code, billing_code_id FROM fact WHERE region_code IS NOT NULL
+ORDER BY region_code DESC, billing_code_id DESC LIMIT 1""",
+)
+ORACLE["inline_rates"] = with_(
+    PRICES,
+    """
+rows_ AS (
+  SELECT *, l_suppkey AS number FROM prices
+  UNION ALL SELECT *, l_suppkey + 1 FROM prices WHERE l_returnflag = 'R' AND l_linestatus <> 'F')""",
+    select="""SELECT CAST(o_custkey AS VARCHAR) AS insurance_plan_id, code AS billing_code_id, procedure_hash,
+  number * 10 + 1000000000 AS first_npi, strftime(min(seen_date), '%Y-%m-%d') AS first_seen_date,
+  strftime(max(seen_date), '%Y-%m-%d') AS last_seen_date
+FROM rows_ JOIN orders ON l_orderkey = o_orderkey GROUP BY 1, 2, 3, 4""",
+)
 ORACLE["rate_provider_join"] = with_(
     PRICES,
     """
@@ -569,16 +613,53 @@ ORACLE["shred_items"] = """
 SELECT CAST(p_partkey AS VARCHAR) AS billing_code, p_name || ' "{[\\' AS name, p_type AS billing_code_type, p_brand AS description,
   CAST(CAST(p_retailprice AS DECIMAL(18,2)) AS DOUBLE) AS negotiated_rate, '11,' || p_size AS service_code,
   p_size || ',' || (p_size + 1) AS provider_ids FROM part"""
-ORACLE["shred_rejects"] = """
-SELECT 'item' AS kind, CAST(n_nationkey AS VARCHAR) AS text FROM nation, (VALUES (1), (2)) v(k) WHERE n_nationkey % 5 <> 0
-UNION ALL SELECT 'reject', 'null' FROM nation WHERE n_nationkey % 5 <> 0
-UNION ALL SELECT 'reject', '["' || n_nationkey || '"]' FROM nation WHERE n_nationkey % 5 <> 0
-UNION ALL SELECT 'reject', '"' || n_nationkey || '"' FROM nation WHERE n_nationkey % 5 <> 0
-UNION ALL SELECT 'failed', 'the document ends too early or its brackets do not match' FROM nation WHERE n_nationkey % 5 = 0"""
-ORACLE["job_events"] = """
-SELECT CAST(n_nationkey AS VARCHAR) AS job_id, status, '2002-01-01 0' || hour || ':00:00.000000' AS status_time
-FROM nation, (VALUES ('DOWNLOADING', 0), ('PARSING', 2), ('COMPLETED', 3), ('FAILED', 4)) v(status, hour)
-WHERE hour < 3 OR (n_nationkey % 5 = 0) = (status = 'FAILED')"""
+WEEKS = """
+w AS (
+  SELECT strftime(date_trunc('week', l_shipdate), '%Y-%m-%d') AS week, weekofyear(l_shipdate) % 5 = 0 AS short,
+         CAST(l_partkey AS VARCHAR) AS code, l_orderkey, l_linenumber FROM lineitem),
+named AS (SELECT DISTINCT week, short FROM w)"""
+ORACLE["shred_rejects"] = with_(
+    WEEKS,
+    select="""SELECT 'item' AS kind, code AS text FROM w WHERE NOT short AND l_linenumber < 7
+UNION ALL SELECT 'item', week FROM named WHERE NOT short
+UNION ALL SELECT 'reject', 'null' FROM named WHERE NOT short
+UNION ALL SELECT 'reject', '["' || code || '"]' FROM w WHERE NOT short AND l_linenumber = 7
+UNION ALL SELECT 'reject', '"' || code || '"' FROM w WHERE NOT short AND l_linenumber = 6
+UNION ALL SELECT 'failed', 'the document ends too early or its brackets do not match' FROM named WHERE short""",
+)
+ORACLE["shred_headers"] = with_(
+    WEEKS,
+    select="""SELECT week AS plan_name, 'Insurer' AS reporting_entity_name, '1.0' AS version, CAST(NULL AS VARCHAR) AS issuer_name
+FROM named WHERE NOT short""",
+)
+ORACLE["job_events"] = with_(
+    WEEKS,
+    select="""SELECT week AS job_id, status, '2002-01-01 0' || hour || ':00:00.000000' AS status_time,
+  CASE WHEN status = 'FAILED' THEN 'the document ends too early or its brackets do not match' END AS reason
+FROM named, (VALUES ('DOWNLOADING', 0), ('PARSING', 2), ('COMPLETED', 3), ('FAILED', 4)) v(status, hour)
+WHERE hour < 3 OR short = (status = 'FAILED')""",
+)
+ORACLE["landed_manifest"] = with_(
+    WEEKS,
+    """
+lines AS (
+  SELECT week, 0 AS part, 0 AS l_orderkey, 0 AS l_linenumber, '{"reporting_entity_name":"Insurer","plan_name":"' || week
+         || '","in_network":[null,{"billing_code":"' || week || '","negotiated_rates":[]}' AS line FROM named
+  UNION ALL
+  SELECT week, 1, l_orderkey, l_linenumber,
+         CASE l_linenumber WHEN 6 THEN ',"' || code || '",{"billing_code":"' || code || '","negotiated_rates":[]}'
+                           WHEN 7 THEN ',["' || code || '"]' ELSE ',{"billing_code":"' || code || '","negotiated_rates":[]}' END FROM w
+  UNION ALL
+  SELECT week, 2, 0, 0, '],"version":"1.0"}' FROM named WHERE NOT short),
+content AS (SELECT week, string_agg(line, chr(10) ORDER BY part, l_orderkey, l_linenumber) || chr(10) AS body FROM lines GROUP BY week)""",
+    select="""SELECT week AS job_id, 'UNKNOWN' AS file_type, CAST(strlen(body) AS BIGINT) AS file_size, sha256(body) AS file_hash FROM content""",
+)
+ORACLE["manifest_appends"] = ORACLE["file_manifest"]
+ORACLE["job_appends"] = with_(
+    *FILES,
+    select="""SELECT 'ins_job_' || substr(sha256('ins_job_' || file_id || chr(31) || location), 1, 24) AS id, 'iss_1' AS source_id,
+  'ins_job_' || file_id AS parent_job_id, 'PENDING' AS status, url AS file_url, file_extension, upper(file_type) AS file_type FROM files""",
+)
 ORACLE["stream_new_files"] = """
 SELECT CAST(p_partkey AS VARCHAR) AS billing_code, p_brand AS description, p_size || ',' || (p_size + 1) AS provider_ids,
   1 AS n_prices FROM part"""
@@ -588,6 +669,7 @@ SELECT CAST(p_partkey AS VARCHAR) AS billing_code, p_brand AS description, p_siz
 ORACLE["list_page"] = """
 SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_name ILIKE '%customer#%'
 ORDER BY c_acctbal, c_custkey LIMIT 10 OFFSET 30"""
+ORACLE["list_page_deep"] = ORACLE["list_page"]
 ORACLE["list_page_after"] = """
 SELECT c_custkey, c_name, c_acctbal FROM customer
 WHERE c_name ILIKE '%customer#%' AND (c_acctbal > 0 OR (c_acctbal = 0 AND c_custkey > -1))
@@ -601,6 +683,7 @@ ORACLE["list_dates"] = "SELECT o_orderkey, strftime(o_orderdate, '%-m/%-d/%Y') A
 ORACLE["stream_job_counters"] = """
 SELECT CAST(user_id AS VARCHAR) AS job_id, event_type AS file_type,
   CAST(sum(CAST(json_extract_string(props, '$.k') AS BIGINT)) AS BIGINT) AS n_bytes, count(*) AS n_files FROM events GROUP BY 1, 2"""
+ORACLE["stream_job_states"] = ORACLE["job_latest_status"]
 ORACLE["stream_trigger_dedupe"] = "SELECT DISTINCT user_id, event_type FROM events"
 ORACLE["stream_rejects"] = """
 SELECT topic, value, CASE WHEN shaped THEN CAST(user_id AS VARCHAR) END AS job_id, CASE WHEN shaped THEN props END AS payload,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,10 +25,16 @@ from ratelake.operators import serving as A
 from ratelake.operators import toc as T
 from ratelake.operators.checks import split_by_enums
 from ratelake.plans import standins as I
-from ratelake.plans.rate_ingest import land_bronze, state_events, upsert_dimension, upsert_fact
+from ratelake.plans.rate_ingest import dimension_table as stored_dimension
+from ratelake.plans.rate_ingest import fact_table as stored_fact
+from ratelake.plans.rate_ingest import Bronze, land_bronze, upsert_dimension, upsert_fact
+from ratelake.plans.steps import Steps
 from ratelake.plans.toc_import import TocImport, import_toc
+from ratelake.sinks.merged import MergedTable
+from ratelake.sinks.tables import dump_json, once_table
 from ratelake.sources import files as D
 from ratelake.sources import shred as X
+from ratelake.sources.documents import shredded_structures
 from ratelake.sources.tables import table
 from ratelake.streaming import jobs as M
 
@@ -73,6 +80,26 @@ def toc_good_plans(spark, folder):
     return T.first_plans(T.flatten_plans(I.structures(spark, folder)))
 
 
+@query
+def toc_from_files(spark, folder):
+    """Good plans of index files as they lie landed, one a month."""
+    landing = session.run_dir(spark, "indexes")
+    I.write_index_files(spark, folder, landing)
+    raw = X.shred(D.list_files(spark, landing, "part-*"), ["reporting_structure"])
+    structures = shredded_structures(X.good(X.parse(raw, "reporting_structure", S.STRUCTURE)))
+    return T.first_plans(T.flatten_plans(structures)).select(
+        F.regexp_extract("file_id", "document=([-0-9]+)", 1).alias("month"), *T.PLAN_FIELDS
+    )
+
+
+@query
+def good_plans_dump(spark, folder):
+    """The good plans dumped as one JSON object a line, and read back."""
+    good, target = T.first_plans(T.flatten_plans(I.structures(spark, folder))), session.run_dir(spark, "dump")
+    dump_json(good, target)
+    return spark.read.schema(good.schema).json(target)
+
+
 @query
 def toc_first_rank(spark, folder):
     plans = session.staged(T.flatten_plans(I.structures(spark, folder)), session.run_dir(spark, "plans"))
@@ -121,10 +148,8 @@ def plan_ids_union(spark, folder):
     return P.plan_ids(incoming_plans(spark, folder), I.plan_table(spark, folder))
 
 
-@query
-def plan_upsert(spark, folder):
-    merged = P.upsert_plans(I.plan_table(spark, folder), incoming_plans(spark, folder))
-    return merged.select(
+def shown_plans(rows: DataFrame) -> DataFrame:
+    return rows.select(
         "id",
         "plan_name",
         "plan_id_type",
@@ -138,6 +163,20 @@ def plan_upsert(spark, folder):
     )
 
 
+@query
+def plan_upsert(spark, folder):
+    return shown_plans(P.upsert_plans(I.plan_table(spark, folder), incoming_plans(spark, folder)))
+
+
+@query
+def plan_table(spark, folder):
+    """The stored plan table behind an earlier run and this one."""
+    table_ = P.plans_table(session.run_dir(spark, "plans"), buckets=16)
+    table_.upsert(I.plan_table(spark, folder))
+    table_.upsert(incoming_plans(spark, folder))
+    return shown_plans(table_.read(spark))
+
+
 # --- index: files and jobs ---------------------------------------------------------------
 
 
@@ -224,6 +263,16 @@ def listing_gate(spark, folder):
     return T.gate_listings(parsed).select("file_id", "reason", "index_url")
 
 
+@query
+def listing_events(spark, folder):
+    """The FAILED events of the jobs whose listing names no single index file."""
+    texts = I.listings(spark, folder)
+    gated = T.gate_listings(texts.select("file_id", F.from_json("text", S.LISTING).alias("l")).select("file_id", "l.*"))
+    steps = Steps(session.run_dir(spark, "events"), clock=lambda: RUN_TS)
+    steps.record(T.failed_listings(gated, F.col("file_id")), "FAILED")
+    return steps.events(spark).select("job_id", "status", moment("status_time"), "reason")
+
+
 @query
 def enum_reject(spark, folder):
     priority, status = F.col("o_orderpriority"), F.col("o_orderstatus")
@@ -260,9 +309,9 @@ def priced(spark: SparkSession, folder: str, rows: Column | None = None) -> Data
     return R.prices(R.rate_messages(items, "seen_date"), "seen_date")
 
 
-def fact(spark: SparkSession, folder: str) -> DataFrame:
-    rows = R.fact_rows(priced(spark, folder), I.file_plans(spark, folder))
-    return R.with_locations(R.merge(rows), I.locations(spark, folder))
+def fact(spark: SparkSession, folder: str, *carried: str) -> DataFrame:
+    rows = R.fact(priced(spark, folder), I.file_plans(spark, folder), *carried)
+    return R.with_locations(rows, I.locations(spark, folder))
 
 
 def shown(rows: DataFrame) -> DataFrame:
@@ -346,6 +395,37 @@ def procedure_rate_upsert(spark, folder):
     )
 
 
+def two_runs(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows by day: what a first run brings, and the last year, which another brings."""
+    late = F.col("seen_date") >= F.lit("1998-01-01").cast("date")
+    return rows.where(~late), rows.where(late)
+
+
+@query
+def dimension_table(spark, folder):
+    """The stored rate dimension behind two runs."""
+    table_ = stored_dimension(session.run_dir(spark, "dimension"))
+    for rows in two_runs(priced(spark, folder)):
+        table_.upsert(R.dimension_rows(rows, F.col("seen_date")))
+    return table_.read(spark).select(
+        "procedure_hash",
+        number("negotiated_rate"),
+        "billing_code",
+        F.array_join("billing_code_modifier", "|").alias("billing_code_modifier"),
+        day("first_seen_date"),
+        day("last_seen_date"),
+    )
+
+
+@query
+def fact_table(spark, folder):
+    """The stored provider fact behind two runs, with today's locations."""
+    table_, plans = stored_fact(session.run_dir(spark, "fact")), I.file_plans(spark, folder)
+    for rows in two_runs(priced(spark, folder)):
+        table_.upsert(R.fact(rows, plans))
+    return shown(R.with_locations(table_.read(spark), I.locations(spark, folder)))
+
+
 @query
 def rate_unknown_codes(spark, folder):
     priced_rows = R.prices(messages(spark, folder))
@@ -362,10 +442,24 @@ def provider_rate_fact(spark, folder):
 def provider_rate_upsert(spark, folder):
     plans, places = I.file_plans(spark, folder), I.locations(spark, folder)
     earlier = priced(spark, folder, F.col("flag") != "R").withColumn("seen_date", F.date_sub("seen_date", 30))
-    stored = R.with_locations(R.merge(R.fact_rows(earlier, plans)), places)
+    stored = R.with_locations(R.fact(earlier, plans), places)
     return shown(upsert_fact(stored, priced(spark, folder, F.col("flag") != "A"), plans, places))
 
 
+@query
+def inline_rates(spark, folder):
+    """The fact where some rates bring their group's members: equal groups of all files and both forms are one."""
+    items = session.staged(I.items(spark, folder, inline=True), session.run_dir(spark, "items"))
+    rows = R.fact(R.prices(R.rate_messages(items, "seen_date"), "seen_date"), I.file_plans(spark, folder))
+    references, inline = I.file_references(spark, folder), G.inline_references(items)
+    same = session.staged(G.identities(references, inline), session.run_dir(spark, "identities"))
+    merged = R.by_content(rows, same)
+    number = K.group_id(F.col("file_id"), F.col("provider_group_id")).alias("group_id")
+    npi = F.array_min(F.flatten(F.col("provider_groups.npi")))
+    names = references.select(number, npi.alias("first_npi")).join(same, "group_id").groupBy("content_id").agg(F.min("first_npi").alias("first_npi"))
+    return shown(merged.join(names, F.col("content_id") == F.col("provider_group_id")).drop("content_id", "provider_group_id"))
+
+
 @query
 def rate_provider_join(spark, folder):
     references = I.two_reference_files(spark, folder)
@@ -376,7 +470,7 @@ def rate_provider_join(spark, folder):
         "procedure.billing_code",
         "provider_group_id",
         "network_name",
-        F.when(F.col("provider_groups").isNotNull(), F.size("provider_groups")).alias("n_members"),
+        "n_members",
     )
 
 
@@ -413,9 +507,7 @@ def provider_bridge(spark, folder):
 
 @query
 def serve_by_plan_code(spark, folder):
-    rates = R.merge(R.dimension_rows(priced(spark, folder), F.col("seen_date")))
-    rows = A.with_rates(A.view(fact(spark, folder), "plan_code"), rates)
-    return rows.groupBy("insurance_plan_id", "billing_code_id").agg(
+    return A.view(fact(spark, folder, "negotiated_rate"), "plan_code").groupBy("insurance_plan_id", "billing_code_id").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.min("negotiated_rate").cast("double").alias("min_rate"),
         F.max("negotiated_rate").cast("double").alias("max_rate"),
@@ -442,15 +534,31 @@ def serve_by_provider(spark, folder):
     return served(spark, folder, "provider")
 
 
+@cache
+def stored_layout(application: str, spark: SparkSession, folder: str, path: str) -> str:
+    """A path's layout of the fact, written once a session and used by every lookup behind it."""
+    target = session.run_dir(spark, f"layout-{path}")
+    A.write_layout(stored_rates(application, spark, folder)[0], path, target)
+    return target
+
+
+@cache
+def stored_rates(application: str, spark: SparkSession, folder: str) -> tuple[DataFrame, MergedTable]:
+    """The fact and the rate dimension as written tables, once a session."""
+    dimension = stored_dimension(session.run_dir(spark, "dimension"))
+    dimension.upsert(R.dimension_rows(priced(spark, folder), F.col("seen_date")))
+    return session.staged(fact(spark, folder), session.run_dir(spark, "fact")), dimension
+
+
 def looked_up(spark: SparkSession, folder: str, path: str) -> DataFrame:
-    """What the smallest first key of a path leads to: its rows of the sorted layout, then their rates."""
-    rows, target = fact(spark, folder), session.run_dir(spark, f"layout-{path}")
-    A.write_layout(rows, path, target)
-    layout = spark.read.schema(rows.schema).parquet(target)
-    first = A.PATHS[path][0][0]
-    smallest = layout.agg(F.min(first)).first()[0]
-    rates = R.merge(R.dimension_rows(priced(spark, folder), F.col("seen_date")))
-    return shown(A.with_rates(A.lookup(layout, path, smallest), rates)).select(
+    """What the smallest whole key of a path leads to: its rows of the layout, then their rates."""
+    session_key = spark.sparkContext.applicationId
+    target = stored_layout(session_key, spark, folder, path)
+    rows, dimension = stored_rates(session_key, spark, folder)
+    smallest = A.read_index(spark, target).agg(F.min("low").alias("low")).first()["low"]
+    wanted = [smallest[column] for column in A.PATHS[path][0]]
+    found = A.look_up(spark, target, S.PROVIDER_RATE_TABLE, path, *wanted)
+    return shown(A.with_rates(found, dimension.of_keys(found))).select(
         *rows.columns, number("negotiated_rate"), day("expiration_date")
     )
 
@@ -475,6 +583,16 @@ def lookup_provider(spark, folder):
     return looked_up(spark, folder, "provider")
 
 
+@query
+def lookup_first(spark, folder):
+    """Whether any plan has a rate for a code in a region: the first match of the greatest key, and the search ends."""
+    target = stored_layout(spark.sparkContext.applicationId, spark, folder, "region")
+    greatest = A.read_index(spark, target).agg(F.max("high").alias("high")).first()["high"]
+    wanted = [greatest[column] for column in A.PATHS["region"][0]]
+    rows = A.look_up(spark, target, S.PROVIDER_RATE_TABLE, "region", *wanted)
+    return A.first_match(rows).select("region_code", "billing_code_id")
+
+
 # --- jobs --------------------------------------------------------------------------------
 
 
@@ -549,7 +667,7 @@ def file_metrics(spark: SparkSession, folder: str) -> DataFrame:
         lambda n, r: n + F.coalesce(F.size(r["provider_references"]), F.lit(0)),
     )
     return J.parse_metrics(
-        parsed.select("file_id", "bad", F.size("negotiated_rates").alias("n_rates"), named.alias("n_providers"))
+        parsed.select("file_id", "part", "bad", F.size("negotiated_rates").alias("n_rates"), named.alias("n_providers"))
     )
 
 
@@ -568,7 +686,7 @@ def job_metrics(spark, folder):
         (F.col("o_custkey") % 3 != 0).cast("int").alias("plans_saved"),
     )
     references = X.parse(I.reference_texts(spark, folder), "provider_references", S.PROVIDER_REFERENCE)
-    counted = J.reference_metrics(references.select("file_id", "bad"))
+    counted = J.reference_metrics(references.select("file_id", "part", "bad"))
     return J.job_metrics(file_metrics(spark, folder).join(counted, "file_id", "left").join(files, "file_id"))
 
 
@@ -638,28 +756,71 @@ def shred_items(spark, folder):
     )
 
 
+@cache
+def landed_weeks(application: str, spark: SparkSession, folder: str) -> tuple[DataFrame, Bronze, Steps]:
+    """A file per week, landed once a session: the files as jobs, what is in them, and the jobs' status events."""
+    landing, staging = session.run_dir(spark, "weeks"), session.run_dir(spark, "bronze")
+    I.write_week_files(spark, folder, landing)
+    week = F.regexp_extract("file_id", "document=([-0-9]+)", 1)
+    files = session.staged(D.list_files(spark, landing, "part-*").withColumn("job_id", week), f"{staging}/files")
+    # A clock of full hours: each step is an hour behind the one before.
+    hours = iter(range(24))
+    steps = Steps(f"{staging}/events", clock=lambda: RUN_TS.replace(hour=next(hours)))
+    steps.record(files, "DOWNLOADING")
+    return files, land_bronze(files, staging, steps=steps), steps
+
+
+def weeks(spark: SparkSession, folder: str) -> tuple[DataFrame, Bronze, Steps]:
+    return landed_weeks(spark.sparkContext.applicationId, spark, folder)
+
+
 @query
 def shred_rejects(spark, folder):
     """What a landed file holds beside items and what cannot be a file: nothing goes without a row."""
-    landing = session.run_dir(spark, "damaged")
-    I.write_damaged_files(spark, folder, landing)
-    bronze = land_bronze(D.list_files(spark, landing, "part-*"), session.run_dir(spark, "bronze"))
+    bronze = weeks(spark, folder)[1]
     return bronze.rejects.select(F.lit("reject").alias("kind"), "text").unionByName(
         bronze.failed.select(F.lit("failed").alias("kind"), F.col("reason").alias("text"))
     ).unionByName(bronze.items.select(F.lit("item").alias("kind"), F.col("billing_code").alias("text")))
 
 
+@query
+def shred_headers(spark, folder):
+    """The scalars of each whole file, before and behind its items."""
+    return weeks(spark, folder)[1].headers.select("plan_name", "reporting_entity_name", "version", "issuer_name")
+
+
 @query
 def job_events(spark, folder):
-    """The status events of one job per landed file, some of which are not whole."""
-    landing = session.run_dir(spark, "damaged")
-    I.write_damaged_files(spark, folder, landing)
-    files = D.list_files(spark, landing, "part-*")
-    bronze = land_bronze(files, session.run_dir(spark, "bronze"))
-    states = ("DOWNLOADING", "DECOMPRESSING", "PARSING", "COMPLETED", "FAILED")
-    times = {status: datetime(2002, 1, 1, hour) for hour, status in enumerate(states)}
-    jobs = files.withColumn("job_id", F.regexp_extract("file_id", "nation=([0-9]+)", 1))
-    return state_events(jobs, bronze.failed, times).select("job_id", "status", moment("status_time"))
+    """The status events the steps wrote for one job per landed file, some of which are not whole."""
+    return weeks(spark, folder)[2].events(spark).select("job_id", "status", moment("status_time"), "reason")
+
+
+@query
+def landed_manifest(spark, folder):
+    """Size and hash of each landed file, read as it lies there."""
+    files = weeks(spark, folder)[0]
+    measured = D.measure_files(files).join(files.select("file_id", "job_id"), "file_id")
+    return D.manifest(measured, F.col("job_id")).select("job_id", "file_type", "file_size", "file_hash")
+
+
+@query
+def manifest_appends(spark, folder):
+    """The stored manifest behind two runs, of which the second brings all files again."""
+    table_ = once_table(session.run_dir(spark, "manifest"), S.FILE_MANIFEST_TABLE)
+    rows = D.manifest(I.extracted_files(spark, folder), F.col("job_id"))
+    table_.upsert(rows.where(F.col("file_type") == "IN_NETWORK"))
+    table_.upsert(rows)
+    return table_.read(spark)
+
+
+@query
+def job_appends(spark, folder):
+    """The stored child jobs behind an import that ran twice."""
+    jobs = imported(spark, folder).jobs.select("id", "source_id", "parent_job_id", "status", "file_url", "file_extension", "file_type")
+    table_ = once_table(session.run_dir(spark, "jobs"), jobs.schema)
+    for _ in range(2):
+        table_.upsert(jobs)
+    return table_.read(spark)
 
 
 @query
@@ -687,6 +848,14 @@ def list_page_after(spark, folder):
     return L.page_after(listed(spark, folder), "c_acctbal", "c_custkey", (0.0, -1), columns=["c_custkey", "c_name", "c_acctbal"])
 
 
+@query
+def list_page_deep(spark, folder):
+    """The same page of the list as it is written for deep pages."""
+    target, order = session.run_dir(spark, "pages"), ("c_acctbal", "c_custkey")
+    L.write_pages(listed(spark, folder), *order, target)
+    return L.deep_page(spark, target, *order, 3, columns=["c_custkey", "c_name", "c_acctbal"])
+
+
 @query
 def list_counts(spark, folder):
     return L.selection_counts(listed(spark, folder), F.col("c_acctbal") > 5000)
@@ -724,6 +893,16 @@ def stream_trigger_dedupe(spark, folder):
     return spark.read.schema("user_id BIGINT, event_type STRING").parquet(f"{target}/table").select("user_id", "event_type")
 
 
+@query
+def stream_job_states(spark, folder):
+    target = session.run_dir(spark, "states")
+    events = I.as_status_events(M.table_stream(spark, folder, "events"))
+    finished(M.start_states(events, f"{target}/table", f"{target}/checkpoint", once=True))
+    return M.running_states(spark, f"{target}/table").select(
+        "job_id", "status", moment("status_time"), "attempt", moment("last_event_time")
+    )
+
+
 @query
 def stream_rejects(spark, folder):
     target = session.run_dir(spark, "routing")

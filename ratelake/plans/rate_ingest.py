@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ratelake import schemas as S
-from ratelake.functions.keys import surrogate_id
 from ratelake.operators import rates as R
+from ratelake.plans.steps import Steps
+from ratelake.sinks.merged import RUN, MergedTable
 from ratelake.sources import shred as X
 
 
@@ -23,19 +24,35 @@ class Bronze:
     failed: DataFrame
 
 
-def land_bronze(files: DataFrame, folder: str, block_bytes: int = X.BLOCK_BYTES) -> Bronze:
+def land_bronze(
+    files: DataFrame,
+    folder: str,
+    block_bytes: int = X.BLOCK_BYTES,
+    part_bytes: int = X.PART_BYTES,
+    steps: Steps | None = None,
+) -> Bronze:
     """Shred files once, parse each section once, and land the results as tables below `folder`.
 
     The raw table is partitioned by section. Its files split, so a packed file that one task had to
-    stream is parsed by many.
+    stream is parsed by many. With `steps`, `files` carries the `job_id` of each file, and each step writes its
+    status events as it begins: packed files alone are decompressed, and a job with a file that is not whole ends
+    as FAILED with the reason, the others as COMPLETED.
     """
-    raw = X.shred(files, ["in_network", "provider_references", X.HEADER_SECTION], block_bytes)
+    if steps:
+        steps.record(files.where(X.packed()), "DECOMPRESSING")
+    raw = X.shred(files, ["in_network", "provider_references", X.HEADER_SECTION], block_bytes, part_bytes)
     raw.write.mode("overwrite").partitionBy("section").parquet(f"{folder}/raw")
     staged = files.sparkSession.read.schema(X.RAW).parquet(f"{folder}/raw")
     failed = X.failed_files(staged)
     whole = X.of_whole_files(staged, failed)
+    if steps:
+        steps.record(files, "PARSING")
     items = X.land(X.parse(whole, "in_network", S.ITEM), f"{folder}/items")
     references = X.land(X.parse(whole, "provider_references", S.PROVIDER_REFERENCE), f"{folder}/references")
+    if steps:
+        lost = files.select("job_id", "file_id").join(failed, "file_id")
+        steps.record(files.join(lost.select("job_id"), "job_id", "left_anti"), "COMPLETED")
+        steps.record(lost, "FAILED")
     return Bronze(
         items=X.good(items),
         references=X.good(references),
@@ -45,41 +62,23 @@ def land_bronze(files: DataFrame, folder: str, block_bytes: int = X.BLOCK_BYTES)
     )
 
 
-def state_events(files: DataFrame, failed: DataFrame, times: dict[str, datetime]) -> DataFrame:
-    """Status events of the jobs whose files were landed, to append to the stored ones.
-
-    `files` is (job_id, file_id), `failed` the failed files of a Bronze, `times` when each step began:
-    DOWNLOADING, DECOMPRESSING, PARSING, COMPLETED and FAILED. Packed files alone are decompressed. A job
-    whose file is not whole ends as FAILED.
-    """
-    lost = failed.select("file_id", F.lit(True).alias("lost")).distinct()
-    states = F.array_compact(
-        F.array(
-            F.lit("DOWNLOADING"),
-            F.when(X.packed(), "DECOMPRESSING"),
-            F.lit("PARSING"),
-            F.when(F.col("lost"), "FAILED").otherwise("COMPLETED"),
-        )
-    )
-    time = F.create_map(*[part for status, at in times.items() for part in (F.lit(status), F.lit(at))])
-    return (
-        files.join(lost, "file_id", "left")
-        .select("job_id", "file_id", F.explode(states).alias("status"))
-        .withColumn("status_time", time[F.col("status")])
-        .select(
-            surrogate_id("event", F.col("job_id"), F.col("file_id"), F.col("status"), F.col("status_time")).alias("event_id"),
-            "job_id",
-            "status",
-            "status_time",
-        )
-    )
-
-
 def upsert_dimension(table: DataFrame, priced: DataFrame, seen_date: Column) -> DataFrame:
     return R.merge(table.unionByName(R.dimension_rows(priced, seen_date)))
 
 
 def upsert_fact(table: DataFrame, priced: DataFrame, plans_of_files: DataFrame, locations: DataFrame) -> DataFrame:
     """The stored fact and new rows, with today's location of each provider group."""
-    rows = table.drop("zip_code", "region_code").unionByName(R.fact_rows(priced, plans_of_files))
+    rows = table.drop("zip_code", "region_code").unionByName(R.fact(priced, plans_of_files))
     return R.with_locations(R.merge(rows), locations)
+
+
+def dimension_table(path: str, **options) -> MergedTable:
+    """The stored rate dimension, merged by hash: `upsert` takes `rates.dimension_rows`."""
+    schema = StructType.fromDDL(S.PROCEDURE_RATE_TABLE)
+    return MergedTable(path, schema, ("procedure_hash",), lambda rows: R.merge(rows.drop(RUN)), **options)
+
+
+def fact_table(path: str, **options) -> MergedTable:
+    """The stored provider fact: `upsert` takes `rates.fact`. Locations join when it is read, so they are today's."""
+    schema = StructType([f for f in StructType.fromDDL(S.PROVIDER_RATE_TABLE) if f.name not in ("zip_code", "region_code")])
+    return MergedTable(path, schema, R.FACT_KEY, lambda rows: R.merge(rows.drop(RUN)), **options)

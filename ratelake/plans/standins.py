@@ -119,10 +119,10 @@ def header_texts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def items(spark: SparkSession, folder: str, described: bool = False) -> DataFrame:
+def items(spark: SparkSession, folder: str, described: bool = False, inline: bool = False) -> DataFrame:
     """An in-network item per line: one negotiated rate with two prices and one or two providers.
 
-    The price columns stay decimal all the way. Name and description need `part`; they are read
+    With `inline`, finished lines bring the members of their supplier's group instead of naming it. The price columns stay decimal all the way. Name and description need `part`; they are read
     for the queries that show them.
     """
     lines = spread(table(spark, folder, "lineitem"), *LINE)
@@ -132,6 +132,12 @@ def items(spark: SparkSession, folder: str, described: bool = False) -> DataFram
         F.col("l_returnflag") == "N", "institutional"
     ).otherwise("both")
     setting = F.when(F.col("l_linestatus") == "F", "inpatient").otherwise("outpatient")
+    # One member with a comma in it, and two members: not the same modifiers.
+    modifiers = (
+        F.when(F.col("l_linenumber") == 3, F.array(F.lit("25,59")))
+        .when(F.col("l_linenumber") == 4, F.array(F.lit("59"), F.lit("25")))
+        .otherwise(F.array("l_returnflag"))
+    )
 
     def price(kind: str, rate: Column) -> Column:
         return F.struct(
@@ -141,7 +147,7 @@ def items(spark: SparkSession, folder: str, described: bool = False) -> DataFram
             F.array((F.col("l_linenumber") + 10).cast("string"), F.lit("11")).alias("service_code"),
             classes.alias("billing_class"),
             setting.alias("setting"),
-            F.array(F.col("l_returnflag")).alias("billing_code_modifier"),
+            modifiers.alias("billing_code_modifier"),
             F.lit(None).cast("string").alias("additional_information"),
         )
 
@@ -154,6 +160,12 @@ def items(spark: SparkSession, folder: str, described: bool = False) -> DataFram
         .otherwise(F.array("l_suppkey"))
         .alias("provider_references"),
     )
+    if inline:
+        finished = F.col("l_linestatus") == "F"
+        groups = supplier_members(F.col("l_suppkey"), F.lit("inline"))
+        rate = rate.withField("provider_references", F.when(~finished, rate["provider_references"])).withField(
+            "provider_groups", F.when(finished, F.reverse(groups))
+        )
     if described:
         lines = lines.join(
             table(spark, folder, "part").select("p_partkey", "p_name", "p_brand"),
@@ -196,6 +208,8 @@ def item_texts(spark: SparkSession, folder: str) -> DataFrame:
         text("l_orderkey").alias("file_id"),
         F.lit("in_network").alias("section"),
         F.col("l_linenumber").cast("bigint").alias("item_no"),
+        F.lit(0).cast("bigint").alias("part"),
+        F.lit(True).alias("whole"),
         plain.alias("text"),
     )
 
@@ -208,6 +222,8 @@ def reference_texts(spark: SparkSession, folder: str) -> DataFrame:
         text("l_orderkey").alias("file_id"),
         F.lit("provider_references").alias("section"),
         F.col("l_suppkey").alias("item_no"),
+        F.lit(0).cast("bigint").alias("part"),
+        F.lit(True).alias("whole"),
         F.concat(F.lit('{"provider_group_id":'), key, F.lit(',"provider_groups":'), members, F.lit("}")).alias("text"),
     )
 
@@ -243,15 +259,12 @@ def two_reference_files(spark: SparkSession, folder: str) -> DataFrame:
     return references(spark, folder, "even").unionByName(references(spark, folder, "odd", 5_000_000_000))
 
 
-def references(spark: SparkSession, folder: str, file_id: str = "suppliers", shift: int = 0) -> DataFrame:
-    """A provider reference per supplier, with two members that share an NPI; every fifth tax id is `tin`."""
-    key = F.col("s_suppkey")
+def supplier_members(key: Column, name: Column, shift: int = 0) -> Column:
+    """The members of a supplier's group: two that share an NPI; every fifth tax id is `tin`."""
     tax = "struct<type:string,value:string,business_name:string>"
 
     def tax_id(kind: str, value: Column) -> Column:
-        return F.struct(
-            F.lit(kind).alias("type"), value.cast("string").alias("value"), F.col("s_name").alias("business_name")
-        ).cast(tax)
+        return F.struct(F.lit(kind).alias("type"), value.cast("string").alias("value"), name.alias("business_name")).cast(tax)
 
     odd = key % 5 == 0
 
@@ -263,17 +276,27 @@ def references(spark: SparkSession, folder: str, file_id: str = "suppliers", shi
         )
 
     first = key * 10 + 1_000_000_000 + shift
+    return F.array(member(F.array(first, first + 1), tax_id("ein", key)), member(F.array(first + 1), tax_id("npi", first + 1)))
+
+
+def references(spark: SparkSession, folder: str, file_id: str = "suppliers", shift: int = 0) -> DataFrame:
+    """A provider reference per supplier."""
+    key = F.col("s_suppkey")
     return table(spark, folder, "supplier").select(
         F.lit(file_id).alias("file_id"),
         key.alias("provider_group_id"),
         (F.concat_ws("/", "s_name", F.lit(file_id)) if shift else F.col("s_name")).alias("network_name"),
-        F.array(
-            member(F.array(first, first + 1), tax_id("ein", key)),
-            member(F.array(first + 1), tax_id("npi", first + 1)),
-        ).alias("provider_groups"),
+        supplier_members(key, F.col("s_name"), shift).alias("provider_groups"),
     )
 
 
+def file_references(spark: SparkSession, folder: str) -> DataFrame:
+    """The provider references of each order's file: the suppliers its lines name."""
+    numbers = F.when(F.col("l_returnflag") == "R", F.array("l_suppkey", F.col("l_suppkey") + 1)).otherwise(F.array("l_suppkey"))
+    named = table(spark, folder, "lineitem").select(text("l_orderkey").alias("file_id"), F.explode(numbers).alias("provider_group_id"))
+    return named.distinct().withColumn("provider_groups", supplier_members(F.col("provider_group_id"), F.lit("reference")))
+
+
 def locations(spark: SparkSession, folder: str) -> DataFrame:
     """Zip code and region of each provider group that a file names; a negative balance means no zip."""
     suppliers, nations = table(spark, folder, "supplier"), table(spark, folder, "nation")
@@ -298,10 +321,14 @@ def file_plans(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def status_events(spark: SparkSession, folder: str) -> DataFrame:
+    return as_status_events(table(spark, folder, "events"))
+
+
+def as_status_events(events: DataFrame) -> DataFrame:
     status = F.lit(None).cast("string")
     for event, name in EVENT_STATUS.items():
         status = F.when(F.col("event_type") == event, name).otherwise(status)
-    return table(spark, folder, "events").select(
+    return events.select(
         "event_id",
         text("user_id").alias("job_id"),
         status.alias("status"),
@@ -447,20 +474,57 @@ def write_rate_files(spark: SparkSession, folder: str, target: str) -> None:
     )
 
 
-def write_damaged_files(spark: SparkSession, folder: str, target: str) -> None:
-    """Land a file per nation: its key as items, with members that are no objects; every fifth file ends too early."""
-    key = text("n_nationkey")
+def write_documents(lines: DataFrame, target: str) -> None:
+    """Land a document per `document` from its lines `value` in the order of `place`."""
+    dealt = lines.repartition("document").sortWithinPartitions("document", "place")
+    dealt.select("document", "value").write.partitionBy("document").text(target)
+
+
+def write_week_files(spark: SparkSession, folder: str, target: str) -> None:
+    """Land an in-network file per week of shipping, its lines as items; every fifth week's file ends too early.
+
+    The sixth line of an order adds a member that is a string, the seventh is an array in place of an object.
+    """
+    week = F.date_format(F.date_trunc("week", "l_shipdate"), "yyyy-MM-dd")
+    key = text("l_partkey")
     item = F.concat(F.lit('{"billing_code":"'), key, F.lit('","negotiated_rates":[]}'))
-    odd = F.concat(F.lit("[null,"), item, F.lit(',["'), key, F.lit('"],'), item, F.lit(',"'), key, F.lit('"'))
-    end = F.when(F.col("n_nationkey") % 5 == 0, "").otherwise("]}")
-    (
-        table(spark, folder, "nation")
-        .select("n_nationkey", F.concat(F.lit('{"in_network":'), F.lit(" " * 5000), odd, end).alias("value"))
-        .withColumn("nation", F.col("n_nationkey"))
-        .drop("n_nationkey")
-        .write.partitionBy("nation")
-        .text(target)
+    value = (
+        F.when(F.col("l_linenumber") == 6, F.concat(F.lit(',"'), key, F.lit('",'), item))
+        .when(F.col("l_linenumber") == 7, F.concat(F.lit(',["'), key, F.lit('"]')))
+        .otherwise(F.concat(F.lit(","), item))
+    )
+    lines = table(spark, folder, "lineitem").select(
+        week.alias("document"), F.struct(F.lit(1).alias("part"), "l_orderkey", "l_linenumber").alias("place"), value.alias("value")
+    )
+    weeks = table(spark, folder, "lineitem").select(week.alias("document"), (F.weekofyear("l_shipdate") % 5 == 0).alias("short")).distinct()
+    head = F.concat(
+        F.lit('{"reporting_entity_name":"Insurer","plan_name":"'), F.col("document"),
+        F.lit('","in_network":[null,{"billing_code":"'), F.col("document"), F.lit('","negotiated_rates":[]}'),
+    )
+    zero = F.lit(0).cast("bigint")
+
+    def place(part: int) -> Column:
+        return F.struct(F.lit(part).alias("part"), zero.alias("l_orderkey"), zero.cast("int").alias("l_linenumber")).alias("place")
+
+    heads = weeks.select("document", place(0), head.alias("value"))
+    ends = weeks.where(~F.col("short")).select("document", place(2), F.lit('],"version":"1.0"}').alias("value"))
+    write_documents(heads.unionByName(lines).unionByName(ends), target)
+
+
+def write_index_files(spark: SparkSession, folder: str, target: str) -> None:
+    """Land an index per month, its structures in the order of their keys."""
+    months = table(spark, folder, "orders").select(
+        F.col("o_orderkey").alias("rs_pos"), F.date_format("o_orderdate", "yyyy-MM").alias("document")
     )
+    rows = structures(spark, folder).join(months, "rs_pos")
+    body = F.concat(F.lit(","), F.to_json(F.struct("reporting_plans", "in_network_files", "allowed_amount_file")))
+    place = lambda part, key: F.struct(F.lit(part).alias("part"), key.alias("rs_pos")).alias("place")
+    lines = rows.select("document", place(1, F.col("rs_pos")), body.alias("value"))
+    zero = F.lit(0).cast("bigint")
+    named = months.select("document").distinct()
+    heads = named.select("document", place(0, zero), F.lit('{"reporting_entity_name":"Insurer","reporting_structure":[{}').alias("value"))
+    ends = named.select("document", place(2, zero), F.lit("]}").alias("value"))
+    write_documents(heads.unionByName(lines).unionByName(ends), target)
 
 
 def plan_table(spark: SparkSession, folder: str) -> DataFrame:

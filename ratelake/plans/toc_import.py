@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ratelake import values as V
 from ratelake.operators import insurance_plans as P
 from ratelake.operators import toc as T
+from ratelake.plans.steps import Steps
 from ratelake.session import staged
 
 
@@ -38,15 +39,22 @@ def import_toc(
     topic_prefix: str = "",
     part_size: int = 10_000,
     staging: str | None = None,
+    steps: Steps | None = None,
 ) -> TocImport:
     """All tables of an import; the plan table is merged once for the whole index.
 
     Nothing runs until a table is used, except that with a `staging` folder the plans and the
-    pairs of file and plan, which several tables share, are written there first.
+    files with their plans, which several tables share, are written there first.
 
     A structure dropped for its placeholder adds neither files nor plans, but its plans still
     serve as donors of ids.
+
+    With `steps`, the import writes its own status events: PARSING as it begins and, once plans and pairs are
+    staged, COMPLETED, or FAILED for an index without any plan that has an id.
     """
+    own = structures.select(parent_job_id.alias("job_id"), "file_id").distinct()
+    if steps:
+        steps.record(own, "PARSING")
     good = T.first_plans(T.flatten_plans(structures))
     kept = structures
     if scope == "structure":
@@ -57,10 +65,13 @@ def import_toc(
     files = T.files_by_location(listed)
     if staging:
         plans = staged(plans, f"{staging}/plans")
-    pairs = T.plans_of_files(listed, plans)
+    parts = T.with_plan_parts(files, T.plans_of_files(listed, plans), part_size)
     if staging:
-        pairs = staged(pairs, f"{staging}/file_plans")
-    parts = T.with_plan_parts(files, pairs, part_size)
+        parts = staged(parts, f"{staging}/file_plans")
+    if steps:
+        hopeless = own.join(good.select("file_id").distinct(), "file_id", "left_anti")
+        steps.record(hopeless.withColumn("reason", F.lit("no plan with an id")), "FAILED")
+        steps.record(own.join(hopeless.select("job_id"), "job_id", "left_anti"), "COMPLETED")
     jobs = T.child_jobs(files, parent_job_id, source_id)
     return TocImport(
         good_plans=good,

@@ -26,7 +26,11 @@ PRICE = (
     "service_code: ARRAY<STRING>, billing_class: STRING, setting: STRING, "
     "billing_code_modifier: ARRAY<STRING>, additional_information: STRING>"
 )
-RATE = f"STRUCT<negotiated_prices: ARRAY<{PRICE}>, provider_references: ARRAY<BIGINT>>"
+TAX_ID = "STRUCT<type: STRING, value: STRING, business_name: STRING>"
+# Files name the tax id `tins` or `tin`.
+MEMBER = f"STRUCT<npi: ARRAY<BIGINT>, tins: {TAX_ID}, tin: {TAX_ID}>"
+# A rate names provider references, or brings the members of its own group.
+RATE = f"STRUCT<negotiated_prices: ARRAY<{PRICE}>, provider_references: ARRAY<BIGINT>, provider_groups: ARRAY<{MEMBER}>>"
 
 # One element of the in_network array.
 ITEM = (
@@ -36,10 +40,7 @@ ITEM = (
     f"covered_services ARRAY<{CODE}>"
 )
 
-TAX_ID = "STRUCT<type: STRING, value: STRING, business_name: STRING>"
-MEMBER = f"STRUCT<npi: ARRAY<BIGINT>, tins: {TAX_ID}, tin: {TAX_ID}>"
-
-# One element of the provider_references array. Files name the tax id `tins` or `tin`.
+# One element of the provider_references array.
 PROVIDER_REFERENCE = (
     f"provider_group_id BIGINT, network_name STRING, provider_groups ARRAY<{MEMBER}>"
 )

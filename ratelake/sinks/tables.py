@@ -1,18 +1,28 @@
-"""Tables that grow by appends: jobs, file manifest. Merged tables are in operators.upsert."""
+"""Tables that grow by appends: jobs, file manifest."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from ratelake.sinks.merged import RUN, MergedTable
 
-def append_new(df: DataFrame, table: str, stored: DataFrame, key: str = "id") -> None:
-    """Append the rows whose key is not stored yet, each key once.
 
-    Ids follow from what a row stands for, so a run that is repeated appends nothing twice, and rows of
-    one batch that share a key are the same row.
+def once_table(path: str, schema: str | StructType, key: str = "id", **options) -> MergedTable:
+    """A table whose rows are stored once by key, as they first came.
+
+    Ids follow from what a row stands for, so a run that is repeated adds nothing. An append compares with
+    nothing that is stored: a row that was there before lies beside it until the bucket is read or written
+    anew, and goes then.
     """
-    fresh = df.join(stored.select(key), key, "left_anti").dropDuplicates([key]).select(*df.columns)
-    fresh.write.mode("append").parquet(table)
+
+    def first(rows: DataFrame) -> DataFrame:
+        kept = [c for c in rows.columns if c not in (key, RUN)]
+        return rows.groupBy(key).agg(F.min_by(F.struct(*kept), F.struct(RUN, F.xxhash64(*kept))).alias("row")).select(key, "row.*")
+
+    fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    return MergedTable(path, fields, (key,), first, **options)
 
 
 def dump_json(df: DataFrame, folder: str) -> None:

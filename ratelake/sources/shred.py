@@ -6,10 +6,13 @@ it into one task, so it is cut into byte blocks that tasks read on their own:
 1. A block cannot tell whether it begins inside a string, nor how deep. Each block but a
    file's last is summarized for both cases: quotes, change of depth, what was opened where.
 2. Windows over these small summaries give every block its true entry state.
-3. Each block yields the elements that begin in it, reading on past its end for the last one.
+3. Each block yields what begins in it, reading on past its end for the last of it. What can begin is an
+   element, and a member of an array inside an element: one element larger than a block, with all the rates
+   of a code or all the groups of a network, is cut before such members and read by many tasks.
 
-Packed files cannot be entered in the middle; a task streams each of them, holding one element.
-Rows hold text only. `parse` turns it into columns after the rows are spread over tasks.
+Packed files cannot be entered in the middle; a task streams each of them, and each entry of an archive. A task never holds more than
+PART_BYTES of an element and one member. Rows hold text only. `parse` turns it into columns after the rows
+are spread over tasks, and gives every part of an element the scalars that stand in any of them.
 
 Nothing is passed over in silence: what stands in a wanted array and is no object becomes a row of its
 own, which `parse` marks as bad, and a file that ends too early is a failed file.
@@ -17,312 +20,35 @@ own, which `parse` marks as bad, and a file that ends too early is a failed file
 
 from __future__ import annotations
 
-import json
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 
-import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructType
 
 from ratelake.schemas import HEADER
-from ratelake.sources.files import READ_BYTES, UNPACK_ERRORS, entries, is_packed, open_file, over_tasks
+from ratelake.sources.files import READ_BYTES, UNPACK_ERRORS, by_bytes, is_packed, list_entries, open_entry, open_file, packed
+from ratelake.sources.scan import (
+    BETWEEN_SECTION, FAILED_SECTION, HEADER_SECTION, NO_SECTION, PART_BYTES, State, chunks_of, cut, lead_before, look_back_from,
+    safe_offset, summarize,
+)
 
 BLOCK_BYTES = 64 << 20
-FIRST_LOOK = 4096
-BETWEEN = b", \t\r\n"
-QUOTE, BACKSLASH, OPEN_OBJECT, CLOSE_OBJECT, OPEN_ARRAY, CLOSE_ARRAY = b'"\\{}[]'
-IS_BRACKET = np.isin(np.arange(256), (OPEN_OBJECT, CLOSE_OBJECT, OPEN_ARRAY, CLOSE_ARRAY))
-HEADER_SECTION = "#header"
-FAILED_SECTION = "#failed"
-#: Behind a section's name: text in its array that is no object or array.
-BETWEEN_SECTION = "#between"
-NO_SECTION = "\0"
 
 OPENS = "ARRAY<STRUCT<d: BIGINT, n: BIGINT, name: STRING>>"
 SUMMARY = (
     "file_id STRING, block_no BIGINT, quotes BIGINT, "
     f"delta_out BIGINT, opens_out {OPENS}, delta_in BIGINT, opens_in {OPENS}"
 )
-RAW = "archive STRING, file_id STRING, section STRING, item_no BIGINT, text STRING"
-
-
-# --- inside one task -------------------------------------------------------------------
-
-
-def _real_quotes(buf: np.ndarray) -> np.ndarray:
-    """Positions of the quotes that no backslash escapes."""
-    quotes = np.flatnonzero(buf == QUOTE)
-    doubtful = np.flatnonzero((quotes > 0) & (buf[quotes - 1] == BACKSLASH))
-    if not len(doubtful):
-        return quotes
-    # Behind an odd run of backslashes a quote is escaped.
-    slashes = np.flatnonzero(buf == BACKSLASH)
-    fresh = np.diff(slashes, prepend=-2) != 1
-    run_start = np.maximum.accumulate(np.where(fresh, np.arange(len(slashes)), 0))
-    last = np.searchsorted(slashes, quotes[doubtful]) - 1
-    return np.delete(quotes, doubtful[(last - run_start[last]) % 2 == 0])
-
-
-def _brackets(buf: np.ndarray, quotes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of all brackets, and how many quotes stand before each, modulo 2."""
-    at = np.flatnonzero(IS_BRACKET[buf])
-    return at, np.searchsorted(quotes, at) & 1
-
-
-def _steps(kinds: np.ndarray) -> np.ndarray:
-    return np.where((kinds == OPEN_OBJECT) | (kinds == OPEN_ARRAY), 1, -1)
-
-
-def _key_before(text: bytes, quotes: np.ndarray, end: int) -> str:
-    """The key of the value that begins at `end`, "" where there is none; `quotes` are the text's real quotes."""
-    behind = int(np.searchsorted(quotes, end))
-    if behind < 2:
-        return ""
-    first, last = int(quotes[behind - 2]), int(quotes[behind - 1])
-    if text[last + 1 : end].strip() != b":":
-        return ""
-    try:
-        return json.loads(text[first : last + 1]).encode("utf-8", "replace").decode()
-    except ValueError:
-        return text[first + 1 : last].decode("utf-8", "replace")
-
-
-def _last_token(text: bytes, in_string: bool) -> bytes | None:
-    """The text from its last string on, which may still be open; None if no string begins in it."""
-    quotes = _real_quotes(np.frombuffer(text, dtype=np.uint8))
-    needed = 1 if in_string else 2
-    return text[int(quotes[-needed]) :] if len(quotes) >= needed else None
-
-
-def _lead(look_back: Callable[[int], tuple[bytes, bool]], in_string: bool) -> bytes:
-    """What a block must know of the text before it to name an array: the last key, however far back it begins."""
-    length = FIRST_LOOK
-    while True:
-        text, whole = look_back(length)
-        if not in_string and text.rstrip()[-1:] not in (b"", b'"', b":"):
-            return b""
-        token = _last_token(text, in_string)
-        if token is not None or whole:
-            return token or b""
-        length *= 8
-
-
-def _look_back(stream, offset: int) -> Callable[[int], tuple[bytes, bool]]:
-    """A reader of the text before an offset: the last n bytes or a few more, and whether that is all."""
-
-    def read(length: int) -> tuple[bytes, bool]:
-        start = max(0, offset - length)
-        while start:
-            stream.seek(start - 1)
-            byte = stream.read(1)[0]
-            if byte != BACKSLASH and byte < 0x80:
-                break
-            start -= 1
-        stream.seek(start)
-        return stream.read(offset - start), start == 0
-
-    return read
-
-
-def _safe_end(data: bytes) -> int:
-    """Length up to which data can be cut: behind an ASCII byte that is no backslash."""
-    end = len(data)
-    while end and (data[end - 1] == BACKSLASH or data[end - 1] >= 0x80):
-        end -= 1
-    return end
-
-
-def _safe_offset(stream, offset: int, size: int) -> int:
-    """The first place from offset on where a file can be cut."""
-    if offset <= 0 or offset >= size:
-        return min(max(offset, 0), size)
-    stream.seek(offset - 1)
-    while offset < size:
-        byte = stream.read(1)[0]
-        if byte != BACKSLASH and byte < 0x80:
-            break
-        offset += 1
-    return offset
-
-
-def _chunks(stream) -> Iterator[bytes]:
-    held = b""
-    while data := stream.read(READ_BYTES):
-        data = held + data
-        end = _safe_end(data)
-        held = data[end:]
-        if end:
-            yield data[:end]
-    if held:
-        yield held
-
-
-def _summarize(look_back: Callable[[int], tuple[bytes, bool]], data: bytes) -> dict:
-    """What a block does to the state, whether it begins outside a string or inside one."""
-    buf = np.frombuffer(data, dtype=np.uint8)
-    quotes = _real_quotes(buf)
-    brackets, odd = _brackets(buf, quotes)
-    out = {"quotes": len(quotes)}
-    for case, in_string in (("out", 0), ("in", 1)):
-        at = brackets[odd == in_string]
-        kinds = buf[at]
-        step = _steps(kinds)
-        before = np.cumsum(step) - step
-        # Depths 1 and 2 of the document are at most 2 from here.
-        seen = np.flatnonzero((step == 1) & (before <= 2))
-        depths, last, counts = np.unique(before[seen][::-1], return_index=True, return_counts=True)
-        opens = []
-        for depth, back, count in zip(depths.tolist(), last.tolist(), counts.tolist()):
-            where = int(seen[len(seen) - 1 - back])
-            name = NO_SECTION if kinds[where] == OPEN_OBJECT else _name(look_back, data, quotes, int(at[where]), in_string)
-            opens.append({"d": depth, "n": count, "name": name})
-        out[f"delta_{case}"] = int(step.sum())
-        out[f"opens_{case}"] = opens
-    return out
-
-
-def _name(look_back, data: bytes, quotes: np.ndarray, position: int, in_string: int) -> str:
-    """The key of an array that opens in a block; only a key that begins before the block is read back."""
-    behind = int(np.searchsorted(quotes, position))
-    if behind >= 2:
-        return _key_before(data, quotes, position)
-    if data[int(quotes[0]) + 1 if behind else 0 : position].strip() not in (b"", b":"):
-        return ""
-    text = _lead(look_back, bool(in_string)) + data[:position]
-    return _key_before(text, _real_quotes(np.frombuffer(text, dtype=np.uint8)), len(text))
-
-
-class State:
-    """Where a stream stands: inside a string, how deep, in which array, at which element.
-
-    `lead` is the text from the last string of depth 1 on, white space left out; it may hold an array's key.
-    """
-
-    __slots__ = ("in_string", "depth", "section", "next_item", "lead", "offset")
-
-    def __init__(self, in_string=0, depth=0, section=NO_SECTION, next_item=0, lead=b"", offset=0):
-        self.in_string, self.depth, self.section = in_string, depth, section
-        self.next_item, self.lead, self.offset = next_item, lead, offset
-
+RAW = "archive STRING, file_id STRING, section STRING, item_no BIGINT, part BIGINT, whole BOOLEAN, text STRING"
 
-def _lead_after(lead: bytes, chunk: bytes, in_string: int) -> bytes:
-    token = _last_token(lead + chunk, bool(in_string))
-    if token is None or in_string:
-        return token or b""
-    end = int(_real_quotes(np.frombuffer(token, dtype=np.uint8))[1]) + 1
-    return token[:end] + b"".join(token[end:].split())
 
-
-def _cut(
-    chunks: Iterable[bytes], state: State, limit: float, wanted: frozenset[str], to_end: bool = False
-) -> Iterator[tuple[str, int, bytes]]:
-    """(section, item_no, text) of the elements that begin before `limit`.
-
-    Text at depth 1, arrays and objects replaced by null, comes out as pieces of the header
-    section numbered by their offset. Text between the objects and arrays of a wanted array comes out
-    too, with the number of the next one; a block's edge may cut it in two. With `to_end`, a stream that
-    ends inside a value gives a row of FAILED_SECTION.
-    """
-    # An element that was open on entry belongs to an earlier block: pass over its rest.
-    skipping = state.depth >= 3
-    open_parts: list[bytes] | None = None
-    open_at: tuple[str, int] = ("", 0)
-    listed = wanted - {HEADER_SECTION}
-
-    def between(text: bytes) -> Iterator[tuple[str, int, bytes]]:
-        if state.section in listed and (stray := text.strip(BETWEEN)):
-            yield state.section + BETWEEN_SECTION, state.next_item, stray
-
-    for chunk in chunks:
-        if state.offset >= limit and open_parts is None:
-            return
-        own = len(chunk) if limit == float("inf") else max(0, min(len(chunk), int(limit) - state.offset))
-        buf = np.frombuffer(chunk, dtype=np.uint8)
-        quotes = _real_quotes(buf)
-        at, odd = _brackets(buf, quotes)
-        at = at[odd == state.in_string]
-        kinds = buf[at]
-        step = _steps(kinds)
-        after = state.depth + np.cumsum(step)
-        before = after - step
-
-        # Only brackets that touch depth 1 or the edge of an element matter.
-        edge = ((before <= 2) & (step == 1)) | ((after <= 2) & (step == -1))
-        header_from = 0 if state.depth == 1 else None
-        between_from = 0 if state.depth == 2 else None
-        taken = 0
-        for position, kind, low in zip(at[edge].tolist(), kinds[edge].tolist(), np.minimum(before, after)[edge].tolist()):
-            offset = state.offset + position
-            opening = kind in (OPEN_OBJECT, OPEN_ARRAY)
-            if low == 2:
-                if opening:
-                    if between_from is not None:
-                        yield from between(chunk[between_from : min(position, own)])
-                        between_from = None
-                    if offset >= limit:
-                        return
-                    open_at = (state.section, state.next_item)
-                    state.next_item += 1
-                    open_parts, taken = [], position
-                else:
-                    if skipping:
-                        skipping = False
-                    elif open_parts is not None:
-                        open_parts.append(chunk[taken : position + 1])
-                        if open_at[0] in listed:
-                            yield (*open_at, b"".join(open_parts))
-                        open_parts = None
-                    if offset >= limit:
-                        return
-                    between_from = position + 1
-            elif offset >= limit:
-                break
-            elif opening and low == 1:
-                if kind == OPEN_OBJECT:
-                    state.section = NO_SECTION
-                elif np.searchsorted(quotes, position) >= 2:
-                    state.section = _key_before(chunk, quotes, position)
-                else:
-                    text = state.lead + chunk[:position]
-                    state.section = _key_before(text, _real_quotes(np.frombuffer(text, dtype=np.uint8)), len(text))
-                if HEADER_SECTION in wanted:
-                    yield HEADER_SECTION, state.offset + header_from, chunk[header_from:position] + b"null"
-                header_from, between_from = None, position + 1
-            elif opening:
-                header_from = position + 1
-            elif low == 1:
-                if between_from is not None:
-                    yield from between(chunk[between_from:position])
-                header_from, between_from = position + 1, None
-            else:
-                if header_from is not None and HEADER_SECTION in wanted:
-                    yield HEADER_SECTION, state.offset + header_from, chunk[header_from:position]
-                header_from = None
-        if header_from is not None and HEADER_SECTION in wanted and own > header_from:
-            yield HEADER_SECTION, state.offset + header_from, chunk[header_from:own]
-        if between_from is not None:
-            yield from between(chunk[between_from:own])
-        if open_parts is not None:
-            open_parts.append(chunk[taken:])
-            taken = 0
-        state.in_string = (state.in_string + len(quotes)) % 2
-        if len(after):
-            state.depth = int(after[-1])
-        state.lead = _lead_after(state.lead, chunk, state.in_string) if state.depth == 1 else b""
-        state.offset += len(chunk)
-    if open_parts is not None and open_at[0] in listed:
-        # The file ends inside an element: it comes out as it is and will not parse.
-        yield (*open_at, b"".join(open_parts))
-    if to_end and (state.depth or state.in_string):
-        yield FAILED_SECTION, 0, b"the document ends too early or its brackets do not match"
-
-
-def _frames(archive: str, file_id: str, items: Iterable[tuple[str, int, bytes]]) -> Iterator[pd.DataFrame]:
-    columns = ["archive", "file_id", "section", "item_no", "text"]
+def _frames(archive: str, file_id: str, items: Iterable[tuple]) -> Iterator[pd.DataFrame]:
+    columns = ["archive", "file_id", "section", "item_no", "part", "whole", "text"]
     rows, size = [], 0
-    for section, item_no, text in items:
-        rows.append((archive, file_id, section, item_no, text.decode("utf-8", "replace")))
+    for *place, text in items:
+        rows.append((archive, file_id, *place, text.decode("utf-8", "replace")))
         size += len(text)
         if size > READ_BYTES or len(rows) >= 4096:
             yield pd.DataFrame(rows, columns=columns)
@@ -331,13 +57,6 @@ def _frames(archive: str, file_id: str, items: Iterable[tuple[str, int, bytes]])
         yield pd.DataFrame(rows, columns=columns)
 
 
-# --- over all tasks --------------------------------------------------------------------
-
-
-def packed():
-    return F.lower("file_id").rlike("[.](gz|zip)$")
-
-
 def _entry_states(blocks: DataFrame, block_bytes: int) -> DataFrame:
     """State in which each block but a file's first is entered."""
 
@@ -345,15 +64,15 @@ def _entry_states(blocks: DataFrame, block_bytes: int) -> DataFrame:
         for batch in batches:
             for file_id, block_no, size in zip(batch["file_id"], batch["block_no"], batch["file_size"]):
                 with open_file(file_id) as stream:
-                    start = _safe_offset(stream, int(block_no) * block_bytes, int(size))
-                    end = _safe_offset(stream, (int(block_no) + 1) * block_bytes, int(size))
+                    start = safe_offset(stream, int(block_no) * block_bytes, int(size))
+                    end = safe_offset(stream, (int(block_no) + 1) * block_bytes, int(size))
                     stream.seek(start)
                     data = stream.read(end - start)
-                    row = _summarize(_look_back(stream, start), data)
+                    row = summarize(look_back_from(stream, start), data)
                 yield pd.DataFrame([{"file_id": file_id, "block_no": block_no, **row}])
 
     inner = blocks.where((F.col("block_no") + 1) * block_bytes < F.col("file_size"))
-    summaries = over_tasks(inner, "file_id", "block_no").mapInPandas(run, SUMMARY)
+    summaries = by_bytes(inner, F.lit(block_bytes), "file_id", "block_no").mapInPandas(run, SUMMARY)
     through = Window.partitionBy("file_id").orderBy("block_no").rowsBetween(Window.unboundedPreceding, 0)
 
     def opened(depth: int):
@@ -368,6 +87,7 @@ def _entry_states(blocks: DataFrame, block_bytes: int) -> DataFrame:
         .withColumn("depth_before", F.col("depth_through") - F.col("delta"))
         .withColumn("at_one", opened(1))
         .withColumn("at_two", opened(2))
+        .withColumn("at_three", opened(3))
         .select(
             "file_id",
             (F.col("block_no") + 1).alias("block_no"),
@@ -375,27 +95,29 @@ def _entry_states(blocks: DataFrame, block_bytes: int) -> DataFrame:
             F.col("depth_through").cast("int").alias("depth"),
             F.last("at_one.name", ignorenulls=True).over(through).alias("section"),
             F.sum(F.coalesce("at_two.n", F.lit(0))).over(through).alias("next_item"),
+            F.last("at_three.name", ignorenulls=True).over(through).alias("inner"),
         )
     )
 
 
-def shred(files: DataFrame, sections: Sequence[str], block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(file_id, section, item_no, text) for the elements of the named top-level arrays.
+def shred(
+    files: DataFrame, sections: Sequence[str], block_bytes: int = BLOCK_BYTES, part_bytes: int = PART_BYTES
+) -> DataFrame:
+    """(file_id, section, item_no, part, whole, text) for the elements of the named top-level arrays.
 
-    `files` is (file_id, file_size). `item_no` rises in document order within a file. Section
+    `files` is (file_id, file_size). `item_no` rises in document order within a file. An element that is not
+    `whole` comes in parts, which rise with their place. Section
     HEADER_SECTION asks for the scalar members, see `headers`. Entries of a zip get the id `file!entry`.
     A file that ends too early and an archive that cannot be unpacked give a row of FAILED_SECTION, see
     `failed_files`; items may have come before it. `archive` is the landed file itself.
     """
     wanted = frozenset(sections)
     last = F.greatest(F.ceil(F.col("file_size") / block_bytes) - 1, F.lit(0))
-    blocks = files.select(
-        "file_id",
-        "file_size",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.when(packed(), 0).otherwise(last).cast("bigint"))).alias("block_no"),
+    plain = files.where(~packed())
+    blocks = plain.select(
+        "file_id", "file_size", F.explode(F.sequence(F.lit(0).cast("bigint"), last.cast("bigint"))).alias("block_no")
     )
-    states = _entry_states(blocks.where(~packed()), block_bytes)
-    work = blocks.join(states, ["file_id", "block_no"], "left").select(
+    states = blocks.join(_entry_states(blocks, block_bytes), ["file_id", "block_no"], "left").select(
         "file_id",
         "file_size",
         "block_no",
@@ -403,52 +125,94 @@ def shred(files: DataFrame, sections: Sequence[str], block_bytes: int = BLOCK_BY
         F.coalesce("depth", F.lit(0)).alias("depth"),
         F.coalesce("section", F.lit(NO_SECTION)).alias("section"),
         F.coalesce("next_item", F.lit(0)).alias("next_item"),
-        packed().alias("packed"),
+        F.when((F.col("depth") >= 4) & (F.col("inner") != ""), F.col("inner")).otherwise(NO_SECTION).alias("inner"),
     )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def of_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
                 with open_file(row.file_id) as stream:
-                    if row.packed:
-                        try:
-                            for name, entry in entries(row.file_id, stream):
-                                inner = f"{row.file_id}!{name}" if row.file_id.lower().endswith(".zip") else row.file_id
-                                if is_packed(name):
-                                    items = [(FAILED_SECTION, 0, b"an archive inside an archive")]
-                                else:
-                                    items = _cut(_chunks(entry), State(), float("inf"), wanted, to_end=True)
-                                yield from _frames(row.file_id, inner, items)
-                        except UNPACK_ERRORS as error:
-                            yield from _frames(row.file_id, row.file_id, [(FAILED_SECTION, 0, str(error).encode())])
-                        continue
                     size = int(row.file_size)
-                    start = _safe_offset(stream, int(row.block_no) * block_bytes, size)
-                    end = _safe_offset(stream, (int(row.block_no) + 1) * block_bytes, size)
-                    lead = _lead(_look_back(stream, start), bool(row.in_string)) if row.depth == 1 else b""
+                    start = safe_offset(stream, int(row.block_no) * block_bytes, size)
+                    end = safe_offset(stream, (int(row.block_no) + 1) * block_bytes, size)
+                    lead = lead_before(look_back_from(stream, start), bool(row.in_string)) if row.depth in (1, 3) else b""
                     stream.seek(start)
-                    state = State(int(row.in_string), int(row.depth), row.section, int(row.next_item), lead, start)
-                    items = _cut(_chunks(stream), state, end, wanted, to_end=end == size)
+                    state = State(int(row.in_string), int(row.depth), row.section, int(row.next_item), row.inner, lead, start)
+                    items = cut(chunks_of(stream), state, end, wanted, part_bytes, to_end=end == size)
                     yield from _frames(row.file_id, row.file_id, items)
 
-    return over_tasks(work, "file_id", "block_no").mapInPandas(run, RAW)
+    def failed(reason: str) -> list[tuple]:
+        return [(FAILED_SECTION, 0, 0, True, reason.encode())]
+
+    def of_entries(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for row in batch.itertuples(index=False):
+                if row.error is not None:
+                    yield from _frames(row.file_id, row.file_id, failed(row.error))
+                    continue
+                zipped = not pd.isna(row.entry_no)
+                inner = f"{row.file_id}!{row.entry}" if zipped else row.file_id
+                try:
+                    with open_entry(row.file_id, int(row.entry_no) if zipped else None) as (name, entry):
+                        if is_packed(name):
+                            items = failed("an archive inside an archive")
+                        else:
+                            items = cut(chunks_of(entry), State(), float("inf"), wanted, part_bytes, to_end=True)
+                        yield from _frames(row.file_id, inner, items)
+                except UNPACK_ERRORS as error:
+                    yield from _frames(row.file_id, row.file_id, failed(str(error)))
+
+    own = F.least(F.col("file_size"), F.lit(block_bytes))
+    entries = list_entries(files.where(packed()))
+    return (
+        by_bytes(states, own, "file_id", "block_no")
+        .mapInPandas(of_blocks, RAW)
+        .unionByName(by_bytes(entries, F.col("size"), "file_id", "entry_no").mapInPandas(of_entries, RAW))
+    )
 
 
 def parse(raw: DataFrame, section: str, schema: str) -> DataFrame:
-    """Columns of one section. `bad` marks elements with a value that does not fit the schema, and what is no object."""
+    """Columns of one section. `bad` marks elements with a value that does not fit the schema, and what is no object.
+
+    An element in parts is a row each: numbered by `part` from 0, all with the element's scalars, and each with
+    its own members of the arrays; `earlier` tells for each array how many members the parts before have. Its
+    parts are bad together. Whole elements are part 0 and pass by without an exchange.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-    return (
-        raw.where(F.col("section").isin(section, section + BETWEEN_SECTION))
-        .select("section", "file_id", "item_no", "text", F.from_json("text", f"{schema}, _corrupt STRING", options).alias("item"))
-        .select(
-            "file_id",
-            "item_no",
-            "item.*",
-            "text",
-            ((F.col("section") != section) | F.col("item._corrupt").isNotNull() | ~F.col("text").startswith("{")).alias("bad"),
-        )
-        .drop("_corrupt")
+    rows = raw.where(F.col("section").isin(section, section + BETWEEN_SECTION)).withColumn(
+        "item", F.from_json("text", f"{schema}, _corrupt STRING", options)
     )
+    bad = (F.col("section") != section) | F.col("item._corrupt").isNotNull() | ~F.col("text").startswith("{")
+    rows = rows.select("file_id", "item_no", "part", "whole", "item.*", "text", bad.alias("bad")).drop("_corrupt")
+    fields = StructType.fromDDL(schema)
+    arrays = [f.name for f in fields if isinstance(f.dataType, ArrayType)]
+    scalars = [f.name for f in fields if f.name not in arrays]
+    shape = ["file_id", "item_no", "part", "earlier", *fields.names, "text", "bad"]
+    kind = f"struct<{','.join(f'{name}:bigint' for name in arrays)}>"
+    whole = rows.where("whole").withColumns({"part": F.lit(0).cast("bigint"), "earlier": F.lit(None).cast(kind)})
+
+    item = ["file_id", "item_no"]
+    parts = rows.where(~F.col("whole"))
+    # A part has some megabytes, so an element has few of them.
+    in_order = Window.partitionBy(*item).orderBy("part")
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+
+    def so_far(name: str):
+        n = F.when(F.col(name).isNotNull(), F.size(name)).otherwise(0).cast("bigint")
+        return F.coalesce(F.sum(n).over(before), F.lit(0)).alias(name)
+
+    shared = parts.groupBy(*item).agg(*[F.max(name).alias(name) for name in [*scalars, "bad"]])
+    placed = parts.withColumns(
+        {"earlier": F.struct(*[so_far(name) for name in arrays]), "part": (F.row_number().over(in_order) - 1).cast("bigint")}
+    )
+    return whole.select(*shape).unionByName(placed.drop(*scalars, "bad").join(shared, item).select(*shape))
+
+
+def place_in(df: DataFrame, array: str, position: Column) -> Column:
+    """The place of an array's member in its whole element, from its place in a part."""
+    if "earlier" not in df.columns:
+        return position
+    return (position + F.coalesce(F.col("earlier")[array], F.lit(0))).cast("int")
 
 
 def land(parsed: DataFrame, folder: str) -> DataFrame:
@@ -477,13 +241,12 @@ def of_whole_files(raw: DataFrame, failed: DataFrame) -> DataFrame:
 
 
 def headers(raw: DataFrame) -> DataFrame:
-    """Scalar members of each file. A file's header is a few short pieces, wherever they stand in it."""
-    pieces = F.array_sort(F.collect_list(F.struct("item_no", "text")))
-    text = F.concat(F.lit("{"), F.array_join(F.transform(pieces, lambda p: p["text"]), ""), F.lit("}"))
+    """Scalar members of each file. Each piece of its header is parsed by itself; where a name comes twice, the greater value stays."""
+    members = F.regexp_replace("text", r"^[,\s]+|[,\s]+$", "")
+    fields = StructType.fromDDL(HEADER).names
     return (
         raw.where(F.col("section") == HEADER_SECTION)
+        .select("file_id", F.from_json(F.concat(F.lit("{"), members, F.lit("}")), HEADER).alias("header"))
         .groupBy("file_id")
-        .agg(text.alias("text"))
-        .select("file_id", F.from_json("text", HEADER).alias("header"))
-        .select("file_id", "header.*")
+        .agg(*[F.max(F.col("header")[name]).alias(name) for name in fields])
     )

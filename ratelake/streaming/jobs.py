@@ -1,25 +1,26 @@
 """Streams of jobs and files.
 
-Sinks that are no plain append write each micro-batch to a folder of its own number, so a
-batch that runs again after a failure replaces its own output.
+What a stream must remember is keyed state in Spark's state store. Sinks that are no plain append write each
+micro-batch to a folder of its own number, or merge it by key, so a batch that runs again after a failure
+replaces its own output.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import reduce
-from operator import and_
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import StructType
 
 from ratelake import values as V
 from ratelake.functions.keys import surrogate_id
 from ratelake.functions.text import bare_topic
+from ratelake.operators import jobs as J
 from ratelake.operators import rates as R
 from ratelake.plans.rate_ingest import land_bronze
+from ratelake.sinks.merged import RUN, MergedTable
 from ratelake.sources import shred as X
 
 
@@ -64,49 +65,76 @@ def _by_batch(stream: DataFrame, checkpoint: str, write: Callable[[DataFrame, in
     return (writer.trigger(availableNow=True) if once else writer).start()
 
 
-def start_counters(files: DataFrame, target: str, checkpoint: str, once: bool = False) -> StreamingQuery:
-    """Per batch, bytes and files by job and type. No state is kept between batches."""
+def newest(keys: Sequence[str]) -> Callable[[DataFrame], DataFrame]:
+    """A merge by which the row of the latest run stands."""
 
-    def write(batch: DataFrame, number: int) -> None:
-        (
-            batch.groupBy("job_id", "file_type")
-            .agg(F.sum("file_size").alias("n_bytes"), F.count(F.lit(1)).alias("n_files"))
-            .write.mode("overwrite")
-            .parquet(f"{target}/batch={number}")
-        )
+    def merge(rows: DataFrame) -> DataFrame:
+        kept = [c for c in rows.columns if c not in (*keys, RUN)]
+        return rows.groupBy(*keys).agg(F.max_by(F.struct(*kept), RUN).alias("row")).select(*keys, "row.*")
+
+    return merge
 
-    return _by_batch(files, checkpoint, write, once)
+
+def running_table(path: str, schema: str, keys: Sequence[str], **options) -> MergedTable:
+    """A table of totals by key, of which a stream writes those that changed."""
+    return MergedTable(path, StructType.fromDDL(schema), tuple(keys), newest(keys), **{"buckets": 16, **options})
+
+
+def start_running(totals: DataFrame, table: MergedTable, checkpoint: str, once: bool = False) -> StreamingQuery:
+    """Keep a table of what a streaming aggregation has by key.
+
+    The totals are keyed state of the stream, so a batch reads nothing of earlier batches; it writes the keys
+    it changed, as they are now. A batch that runs again writes the same totals again.
+    """
+
+    def write(batch: DataFrame, _: int) -> None:
+        table.upsert(batch.select(*table.schema.names))
+
+    writer = totals.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write)
+    return (writer.trigger(availableNow=True) if once else writer).start()
+
+
+COUNTERS = "job_id STRING, file_type STRING, n_bytes BIGINT, n_files BIGINT"
+
+
+def start_counters(files: DataFrame, target: str, checkpoint: str, once: bool = False) -> StreamingQuery:
+    """Bytes and files by job and type over all batches, see `running_counters`."""
+    totals = files.groupBy("job_id", "file_type").agg(F.sum("file_size").alias("n_bytes"), F.count(F.lit(1)).alias("n_files"))
+    return start_running(totals, running_table(target, COUNTERS, ["job_id", "file_type"]), checkpoint, once)
 
 
 def running_counters(spark: SparkSession, target: str) -> DataFrame:
     """Counters over all batches so far."""
-    return (
-        spark.read.schema("job_id STRING, file_type STRING, n_bytes BIGINT, n_files BIGINT")
-        .parquet(target)
-        .groupBy("job_id", "file_type")
-        .agg(F.sum("n_bytes").alias("n_bytes"), F.sum("n_files").alias("n_files"))
-    )
+    return running_table(target, COUNTERS, ["job_id", "file_type"]).read(spark)
+
+
+STATES = "job_id STRING, status STRING, status_time TIMESTAMP, attempt BIGINT, last_event_time TIMESTAMP"
+
+
+def start_states(events: DataFrame, target: str, checkpoint: str, once: bool = False) -> StreamingQuery:
+    """The state machine of each job over a stream of its status events, see `running_states`.
+
+    A job's state is a few maxima over its events, so events may come in any order and any batch, as late as
+    they like: the state is that of all events so far.
+    """
+    return start_running(J.latest_status(events), running_table(target, STATES, ["job_id"]), checkpoint, once)
+
+
+def running_states(spark: SparkSession, target: str) -> DataFrame:
+    """Current status and attempt of each job so far."""
+    return running_table(target, STATES, ["job_id"]).read(spark)
 
 
 def start_first_requests(
     requests: DataFrame, keys: list[str], target: str, checkpoint: str, once: bool = False
 ) -> StreamingQuery:
-    """Requests without repeats, however late they come: a batch is compared with the batches stored before it.
+    """Requests without repeats, however late they come.
 
-    State behind a watermark would drop a late request that was never seen, and say nothing. A batch that
-    runs again reads only what came before it, so it writes the same rows.
+    The keys seen are state of the stream, kept on disk and without a horizon: behind a watermark a late
+    request that was never seen would be dropped, and nothing would say so. A batch meets the state of its own
+    keys only.
     """
-
-    def write(batch: DataFrame, number: int) -> None:
-        fresh = batch.dropDuplicates(keys)
-        if number:
-            schema = StructType([*[batch.schema[key] for key in keys], StructField("batch", LongType())])
-            stored = batch.sparkSession.read.schema(schema).parquet(target).where(F.col("batch") < number)
-            same = [fresh[key].eqNullSafe(stored[key]) for key in keys]
-            fresh = fresh.join(stored, reduce(and_, same), "left_anti")
-        fresh.write.mode("overwrite").parquet(f"{target}/batch={number}")
-
-    return _by_batch(requests, checkpoint, write, once)
+    return start_append(requests.dropDuplicates(keys), target, checkpoint, once)
 
 
 def start_append(stream: DataFrame, target: str, checkpoint: str, once: bool = False) -> StreamingQuery:

@@ -2,15 +2,17 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from ratelake import schemas as S
+from ratelake.functions import keys as K
 from ratelake.functions.urls import url_extension
 from ratelake.operators import listing as L
 from ratelake.operators import providers as G
 from ratelake.operators import rates as R
 from ratelake.operators import toc as T
-from ratelake.sinks.tables import append_new
+from ratelake.sinks.tables import once_table
 
 
 def test_extension_of_odd_urls(spark):
@@ -93,8 +95,22 @@ def test_one_dimension_row_for_each_hash(spark):
 
 
 def test_a_batch_appends_a_key_once(spark, tmp_path):
-    table = str(tmp_path / "jobs")
-    spark.createDataFrame([("a", 1)], "id string, n int").write.parquet(table)
-    batch = spark.createDataFrame([("a", 1), ("b", 2), ("b", 2)], "id string, n int")
-    append_new(batch, table, spark.read.parquet(table))
-    assert sorted(r["id"] for r in spark.read.parquet(table).collect()) == ["a", "b"]
+    table = once_table(str(tmp_path / "jobs"), "id STRING, n INT", buckets=2)
+    table.upsert(spark.createDataFrame([("a", 1)], "id string, n int"))
+    done = table.upsert(spark.createDataFrame([("a", 9), ("b", 2), ("b", 2)], "id string, n int"))
+    assert done.n_rows == 2
+    assert sorted(map(tuple, table.read(spark).collect())) == [("a", 1), ("b", 2)]
+
+
+@pytest.mark.parametrize("members", [([["25,59"], ["25", "59"]]), [['a","b'], ["a", "b"]], [["a\\"], ['a"']]])
+def test_members_of_arrays_stay_apart_in_the_hash(spark, members):
+    """No member is taken for two: other modifiers or service codes are another price."""
+    for field in ("billing_code_modifier", "service_code"):
+        price = spark.createDataFrame([(m,) for m in members], "m array<string>").select(
+            F.struct(
+                *[F.lit(None).cast("string").alias(n) for n in ("negotiated_type", "negotiated_rate", "expiration_date", "billing_class", "setting")],
+                *[(F.col("m") if n == field else F.array().cast("array<string>")).alias(n) for n in ("service_code", "billing_code_modifier")],
+            ).alias("p")
+        )
+        hashes = price.select(K.price_hash(F.lit("CPT"), F.lit("1"), F.col("p")).alias("h")).distinct()
+        assert hashes.count() == 2

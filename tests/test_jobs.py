@@ -135,8 +135,9 @@ def test_follow_over_equals_window(spark, width):
 
 def test_gather_in_parts_is_whole_and_bounded(spark):
     df = skewed(spark).select("k", F.sha2(F.col("id").cast("string"), 256).alias("v"))
-    rows = gather_in_parts(df, ["k"], "v", F.substring("v", 1, 2), 64, "vs").collect()
+    rows = gather_in_parts(df.unionByName(df.limit(50)), ["k"], "v", F.substring("v", 1, 2), 64, "vs").collect()
     assert max(len(r.vs) for r in rows) == 64
+    assert all(r.n_parts == sum(o.k == r.k for o in rows) for r in rows)
     got = {}
     for r in sorted(rows, key=lambda r: (r.k, r.part)):
         got.setdefault(r.k, []).extend(r.vs)
@@ -175,19 +176,29 @@ def test_text(spark):
     assert tuple(row) == ("in-network-file", "x", None, 3)
 
 
-def test_append_new_appends_once(spark, tmp_path):
-    from ratelake.sinks.tables import append_new, dump_json
+def test_rows_are_stored_once(spark, tmp_path):
+    from ratelake.sinks.tables import dump_json, once_table
 
-    table = str(tmp_path / "jobs")
+    table = once_table(str(tmp_path / "jobs"), "id STRING, n INT")
     rows = spark.createDataFrame([("a", 1), ("b", 2)], "id string, n int")
-    append_new(rows, table, rows.limit(0))
-    more = rows.unionByName(spark.createDataFrame([("c", 3)], "id string, n int"))
-    append_new(more, table, spark.read.schema("id string, n int").parquet(table))
-    assert sorted(map(tuple, spark.read.parquet(table).collect())) == [("a", 1), ("b", 2), ("c", 3)]
+    table.upsert(rows)
+    table.upsert(rows.unionByName(spark.createDataFrame([("c", 3)], "id string, n int")))
+    assert sorted(map(tuple, table.read(spark).collect())) == [("a", 1), ("b", 2), ("c", 3)]
     dump_json(rows, str(tmp_path / "dump"))
     assert spark.read.json(str(tmp_path / "dump")).count() == 2
 
 
+@pytest.mark.parametrize("number", [0, 3, 49, 50, 51, 1000])
+def test_a_deep_page_reads_the_files_it_lies_in(spark, tmp_path, number):
+    df = spark.range(503).select("id", F.when(F.col("id") % 7 > 0, F.col("id") % 50).alias("v"))
+    for ascending in (True, False):
+        folder = str(tmp_path / f"{number}{ascending}")
+        L.write_pages(df, "v", "id", folder, ascending, files=12)
+        got = L.deep_page(spark, folder, "v", "id", number, ascending=ascending)
+        assert got.collect() == L.page(df, "v", "id", number, ascending=ascending).collect()
+        assert len(got.inputFiles()) <= 2
+
+
 def test_step_rows(spark):
     rows = events(spark, "PENDING", "DOWNLOADING", "DECOMPRESSING", "PARSING", "FAILED", "PENDING", "DOWNLOADING")
     steps = J.step_rows(rows, F.date_trunc("minute", "status_time")).orderBy("sequence_order").collect()

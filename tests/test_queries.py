@@ -13,7 +13,7 @@ from ratelake.plans.queries import QUERIES
 
 TABLES = "region nation customer supplier part orders lineitem events documents pages".split()
 # Sorts and global aggregates end in one partition by nature.
-SINGLE = {"list_page", "list_page_after", "list_counts"}
+SINGLE = {"list_page", "list_page_after", "list_page_deep", "list_counts", "lookup_first"}
 
 
 @pytest.fixture(scope="module")

@@ -3,7 +3,6 @@
 import gzip
 import json
 import zipfile
-from datetime import datetime
 from decimal import Decimal
 
 import pytest
@@ -15,8 +14,10 @@ from ratelake.operators import providers as G
 from ratelake.operators import rates as R
 from ratelake.operators import serving as A
 from ratelake.functions.keys import group_id
-from ratelake.plans.rate_ingest import land_bronze, state_events, upsert_dimension, upsert_fact
+from ratelake.plans.rate_ingest import land_bronze, upsert_dimension, upsert_fact
+from ratelake.plans.steps import Steps
 from ratelake.sources import files as D
+from ratelake.sources import scan
 from ratelake.sources import shred as X
 
 PRICE = {"negotiated_type": "negotiated", "expiration_date": "9999-12-31", "billing_class": "professional"}
@@ -96,7 +97,7 @@ def one(bronze):
 
 
 def test_every_packing_gives_the_same(bronze):
-    rows = bronze.items.groupBy("file_id").agg(F.sort_array(F.collect_list("billing_code")).alias("codes")).collect()
+    rows = bronze.items.where("part = 0").groupBy("file_id").agg(F.sort_array(F.collect_list("billing_code")).alias("codes")).collect()
     found = {r.file_id.split("/landed0/")[1]: r.codes for r in rows}
     both = ["470", "99213"]
     assert found == {"plain.json": both, "pretty file.json": both, "packed.json.gz": both, "two.zip!in/a.json": both, "two.zip!b.json": ["c"]}
@@ -188,7 +189,8 @@ def test_members_and_join(bronze, one):
     pairs, providers = G.bridge(members)
     assert (pairs.count(), providers.count()) == (2, 2)
     joined = G.join_rates(one[1], references).collect()
-    assert sorted((r.rate_no, r.provider_group_id, len(r.provider_groups)) for r in joined) == [(0, 1, 2), (0, 2, 0), (1, 2, 0)]
+    assert sorted((r.rate_no, r.provider_group_id, r.n_members) for r in joined) == [(0, 1, 2), (0, 2, 0), (1, 2, 0)]
+    assert {r.group_id for r in members.select("group_id").collect()} < {r.group_id for r in joined}
 
 
 def test_layouts_and_lookups(spark, one, tmp_path):
@@ -232,6 +234,66 @@ def test_large_file_in_many_blocks(spark, tmp_path):
     assert X.headers(raw).first().version == "1"
 
 
+def test_giant_elements_come_in_parts(spark, tmp_path):
+    """One code with very many rates and one group with very many members: every rate and member, in order, with all scalars."""
+    rates = [{"negotiated_prices": [{**PRICE, "negotiated_rate": i}], "provider_references": [7]} for i in range(500)]
+    members = [{"npi": [i], "tins": {"type": "ein", "value": str(i)}} for i in range(300)]
+    bad = [{"negotiated_prices": [{"negotiated_rate": "x" if i == 99 else 1}], "provider_references": [1]} for i in range(100)]
+    giant = {"billing_code_type": "CPT", "negotiated_rates": rates, "billing_code": "99", "bundled_codes": [{"billing_code": str(i)} for i in range(90)]}
+    doc = {
+        "in_network": [{"billing_code": "1", "negotiated_rates": rates[:1]}, giant, {"billing_code": "bad", "negotiated_rates": bad}],
+        "provider_references": [{"provider_groups": members, "network_name": "N", "provider_group_id": 7}],
+        "version": "1",
+    }
+    (tmp_path / "giant.json").write_text(json.dumps(doc))
+    (tmp_path / "giant.json.gz").write_bytes(gzip.compress(json.dumps(doc).encode()))
+    files = D.list_files(spark, str(tmp_path))
+    bronze = land_bronze(files, str(tmp_path / "staging"), block_bytes=3000, part_bytes=1000)
+    raw = spark.read.parquet(str(tmp_path / "staging" / "raw"))
+    assert raw.agg(F.max(F.length("text"))).first()[0] < 4000
+    messages = R.rate_messages(bronze.items)
+    for packed in (".json", ".json.gz"):
+        own = messages.where(F.col("file_id").endswith(packed)).where("procedure.billing_code = '99'").orderBy("rate_no").collect()
+        assert [r.rate_no for r in own] == list(range(500))
+        assert [r.negotiated_prices[0].negotiated_rate for r in own] == list(range(500))
+        assert {r.procedure.billing_code_type for r in own} == {"CPT"}
+        found = G.members(bronze.references.where(F.col("file_id").endswith(packed))).orderBy("member_no").collect()
+        assert [(r.member_no, r.npi, r.network_name, r.provider_group_id) for r in found] == [(i, i, "N", 7) for i in range(300)]
+        codes = R.item_codes(bronze.items.where(F.col("file_id").endswith(packed))).orderBy("pos").collect()
+        assert [(r.pos, r.billing_code) for r in codes] == [(i, str(i)) for i in range(90)]
+    assert bronze.items.where("billing_code = 'bad'").count() == 0
+    parsed = X.parse(raw, "in_network", S.ITEM)
+    none = F.lit(0)
+    metrics = J.parse_metrics(parsed.select("file_id", "part", "bad", F.size("negotiated_rates").alias("n_rates"), none.alias("n_providers")))
+    assert {tuple(r)[1:5] for r in metrics.collect()} == {(3, 2, 1, 501)}
+    joined = G.join_rates(messages, bronze.references).where("procedure.billing_code = '99'").collect()
+    assert len(joined) == 1000 and {r.n_members for r in joined} == {300}
+
+
+def test_an_item_of_many_megabytes_in_flat_memory(tmp_path):
+    """The scanner holds a part and a member of an item, not the item."""
+    import tracemalloc
+
+    rate = b'{"negotiated_prices":[{"negotiated_rate":1}],"provider_references":[1]},'
+
+    class Endless:
+        """A document of 256 MB that is nowhere whole."""
+
+        left = [b'{"in_network":[{"billing_code":"1","negotiated_rates":[', *[rate * (16_384)] * 220, rate[:-1] + b"]}]}"]
+
+        def read(self, n):
+            return self.left.pop(0) if self.left else b""
+
+    tracemalloc.start()
+    n = 0
+    for *_, whole, text in scan.cut(scan.chunks_of(Endless()), scan.State(), float("inf"), frozenset(["in_network"]), 1 << 20, True):
+        assert not whole and len(text) < 4 << 20
+        n += text.count(b"provider_references")
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 16_384 * 220 + 1 and peak < 100 << 20
+
+
 def test_empty_file_gives_nothing(spark, tmp_path):
     (tmp_path / "empty.json").write_text("")
     (tmp_path / "bare.json").write_text("{}")
@@ -250,7 +312,7 @@ def test_broken_files(spark, tmp_path):
     bronze = land_bronze(files, str(tmp_path / "staging"), block_bytes=200)
     name = lambda r: r.file_id.rsplit("/", 1)[1]
     assert sorted(name(r) for r in bronze.failed.collect()) == ["cut.json", "no.zip", "short.json.gz"]
-    assert sorted((name(r), r.billing_code) for r in bronze.items.collect()) == [("fine.json", "470"), ("fine.json", "99213")]
+    assert sorted((name(r), r.billing_code) for r in bronze.items.where("part = 0").collect()) == [("fine.json", "470"), ("fine.json", "99213")]
     measured = D.measure_files(files).collect()
     assert sorted(name(r) for r in measured if r.error) == ["no.zip", "short.json.gz"]
     assert D.manifest(D.measure_files(files), F.lit("j")).count() == 2
@@ -274,7 +336,7 @@ def test_fact_keeps_files_apart_and_new_codes_join_old_rows(spark, one):
     priced, _ = fact_of(spark, one)
     both = priced.unionByName(priced.withColumn("file_id", F.lit("other")))
     plans = both.select("file_id").distinct().withColumn("insurance_plan_id", F.lit("p1"))
-    groups = R.merge(R.fact_rows(both, plans)).select("provider_group_id").distinct()
+    groups = R.fact(both, plans).select("provider_group_id").distinct()
     assert groups.count() == 4
     rows = R.dimension_rows(priced, F.col("seen_date"))
     later = rows.withColumn("setting", F.lit(9).cast("tinyint"))
@@ -283,20 +345,30 @@ def test_fact_keeps_files_apart_and_new_codes_join_old_rows(spark, one):
     assert merged.where("setting = 9").count() == merged.count()
 
 
-def test_state_events_of_landed_files(spark):
+def test_steps_write_their_events(spark, landed, tmp_path):
     """A packed file is decompressed first, a file that is not whole ends as FAILED, and every move is legal."""
-    names = [("1", "a.json.gz"), ("2", "b.json"), ("3", "c.json")]
-    files = spark.createDataFrame(names, "job_id string, file_id string")
-    failed = spark.createDataFrame([("c.json", "cut"), ("c.json", "cut")], "file_id string, reason string")
-    states = ("DOWNLOADING", "DECOMPRESSING", "PARSING", "COMPLETED", "FAILED")
-    events = state_events(files, failed, {status: datetime(2024, 1, 1, n) for n, status in enumerate(states)})
+    (tmp_path / "in").mkdir()
+    text = json.dumps(DOCUMENT).encode()
+    for name, body in {"a.json.gz": gzip.compress(text), "b.json": text, "c.json": text[:-9]}.items():
+        (tmp_path / "in" / name).write_bytes(body)
+    files = D.list_files(spark, str(tmp_path / "in")).withColumn("job_id", F.regexp_extract("file_id", "([abc])[.]json", 1))
+    steps = Steps(str(tmp_path / "events"))
+    steps.record(files, "PENDING")
+    steps.record(files, "DOWNLOADING")
+    land_bronze(files, str(tmp_path / "bronze"), steps=steps)
+    events = steps.events(spark)
     found = {}
     for row in events.orderBy("status_time").collect():
         found.setdefault(row.job_id, []).append(row.status)
     assert found == {
-        "1": ["DOWNLOADING", "DECOMPRESSING", "PARSING", "COMPLETED"],
-        "2": ["DOWNLOADING", "PARSING", "COMPLETED"],
-        "3": ["DOWNLOADING", "PARSING", "FAILED"],
+        "a": ["PENDING", "DOWNLOADING", "DECOMPRESSING", "PARSING", "COMPLETED"],
+        "b": ["PENDING", "DOWNLOADING", "PARSING", "COMPLETED"],
+        "c": ["PENDING", "DOWNLOADING", "PARSING", "FAILED"],
     }
     assert J.illegal_moves(events, F.date_trunc("hour", "status_time")).count() == 0
-    assert {r.job_id: r.status for r in J.latest_status(events).collect()} == {"1": "COMPLETED", "2": "COMPLETED", "3": "FAILED"}
+    assert {r.job_id: r.status for r in J.latest_status(events).collect()} == {"a": "COMPLETED", "b": "COMPLETED", "c": "FAILED"}
+    assert events.where("reason IS NOT NULL").count() == 1
+    times = [r.status_time for r in events.where("job_id = 'a'").orderBy("status_time").collect()]
+    assert len(set(times)) == 5
+    with pytest.raises(ValueError):
+        steps.record(files, "SLEEPING")

@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from ratelake.operators import jobs as J
@@ -93,3 +94,37 @@ def test_consumed_messages_open_attempts(spark):
     messages = spark.createDataFrame(rows, "topic string, value string, at int").withColumn("at", F.timestamp_seconds("at"))
     status = J.latest_status(M.opened_attempts(M.routed(messages))).collect()
     assert [(r.job_id, r.status, r.attempt) for r in status] == [("1", "PENDING", 2)]
+
+
+@pytest.mark.parametrize("cuts", [[], [3], [1, 2, 3, 4, 5, 6, 7], [6]])
+def test_streams_equal_the_batch_at_any_split(spark, tmp_path, cuts):
+    """Counters, states and first requests over batches in any order and cut; each batch reads its own rows only."""
+    kinds = ["PENDING", "DOWNLOADING", "FAILED", "PENDING", "PARSING", "COMPLETED", "PENDING", "FAILED"]
+    rows = [(f"e{i}", f"j{i % 3}" if i else None, kinds[i], 100 * (i * 5 % 8), i) for i in range(8)]
+    df = spark.createDataFrame(rows, "event_id string, job_id string, status string, at bigint, file_size bigint")
+    df = df.withColumns({"status_time": F.timestamp_seconds("at"), "file_type": F.col("status")}).drop("at")
+    source, schema = str(tmp_path / "in"), df.schema
+    edges = [0, *cuts, 8]
+    for low, high in zip(edges, edges[1:], strict=False):
+        ids = [f"e{i}" for i in range(low, high)]
+        df.where(F.col("event_id").isin(ids)).coalesce(1).write.mode("append").parquet(source)
+        stream = lambda: spark.readStream.schema(schema).parquet(source)
+        M.start_counters(stream(), str(tmp_path / "counters"), str(tmp_path / "c1"), once=True).awaitTermination()
+        M.start_states(stream(), str(tmp_path / "states"), str(tmp_path / "c2"), once=True).awaitTermination()
+        M.start_first_requests(stream(), ["job_id", "status"], str(tmp_path / "first"), str(tmp_path / "c3"), once=True).awaitTermination()
+    want = df.groupBy("job_id", "file_type").agg(F.sum("file_size").alias("n_bytes"), F.count(F.lit(1)).alias("n_files"))
+    assert sorted(map(str, M.running_counters(spark, str(tmp_path / "counters")).collect())) == sorted(map(str, want.collect()))
+    states = M.running_states(spark, str(tmp_path / "states"))
+    assert sorted(map(str, states.collect())) == sorted(map(str, J.latest_status(df).select(states.columns).collect()))
+    assert spark.read.parquet(str(tmp_path / "first")).count() == df.select("job_id", "status").distinct().count()
+
+
+def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
+    table = M.running_table(str(tmp_path / "t"), M.COUNTERS, ["job_id", "file_type"])
+    totals = spark.createDataFrame([("a", "X", 5, 1), (None, "X", 2, 1)], M.COUNTERS)
+    for _ in range(2):
+        table.upsert(totals)
+    table.upsert(spark.createDataFrame([("a", "X", 9, 2)], M.COUNTERS))
+    assert sorted(map(str, table.read(spark).collect())) == sorted(
+        map(str, spark.createDataFrame([("a", "X", 9, 2), (None, "X", 2, 1)], M.COUNTERS).collect())
+    )

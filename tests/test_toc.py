@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 from ratelake.operators import insurance_plans as P
 from ratelake.operators import toc as T
 from ratelake.operators.upsert import read_version, write_version
+from ratelake.plans.steps import Steps
 from ratelake.plans.toc_import import import_toc
-from ratelake.schemas import LISTING, PLANS_TABLE
+from ratelake.schemas import LISTING, PLANS_TABLE, STRUCTURE
 from ratelake.sources import documents, shred
+from ratelake.sources import files as D
+from ratelake.sources import shred as X
 from ratelake.sources.files import list_files
 
 EMPTY = "empty_allowed-amounts.json"
@@ -198,3 +201,53 @@ def test_listings(spark, tmp_path):
         "files": ("not exactly one file", None),
     }
     assert LISTING.startswith("mrfs")
+
+
+def index(*structures):
+    return json.dumps({"reporting_entity_name": "x", "reporting_structure": list(structures)})
+
+
+def read_index(spark, folder, **sizes):
+    raw = X.shred(D.list_files(spark, str(folder)), ["reporting_structure"], **sizes)
+    return documents.shredded_structures(X.good(X.parse(raw, "reporting_structure", STRUCTURE)))
+
+
+def test_an_import_writes_its_states_and_fails_without_a_good_plan(spark, tmp_path):
+    """The states of each index as they happen; one whose plans all lack an id ends as FAILED."""
+    plan = lambda i: {"plan_name": f"p{i}", "plan_id_type": "ein", "plan_id": i, "plan_market_type": "group"}
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "good.json").write_text(index({"reporting_plans": [plan("1")], "in_network_files": [{"location": "https://h/a"}]}))
+    (tmp_path / "in" / "poor.json").write_text(index({"reporting_plans": [plan(None), plan("")], "in_network_files": [{"location": "https://h/b"}]}))
+    steps = Steps(str(tmp_path / "events"))
+    job = F.regexp_extract("file_id", "([a-z]+)[.]json", 1)
+    none = spark.createDataFrame([], PLANS_TABLE)
+    import_toc(
+        read_index(spark, tmp_path / "in"), none, F.lit("c"), F.lit("s"), job, datetime(2024, 1, 1),
+        staging=str(tmp_path / "staging"), steps=steps,
+    )
+    found = sorted((r.job_id, r.status, r.reason) for r in steps.events(spark).collect())
+    assert found == [
+        ("good", "COMPLETED", None), ("good", "PARSING", None), ("poor", "FAILED", "no plan with an id"), ("poor", "PARSING", None),
+    ]
+
+
+def test_a_bad_listing_fails_its_job(spark, tmp_path):
+    (tmp_path / "bad.json").write_text("{no")
+    (tmp_path / "two.json").write_text(json.dumps({"mrfs": [{}, {}]}))
+    steps = Steps(str(tmp_path.parent / "listing-events"))
+    gated = T.gate_listings(documents.listings(spark, str(tmp_path)))
+    steps.record(T.failed_listings(gated, F.regexp_extract("file_id", "([a-z]+)[.]json", 1)), "FAILED")
+    found = {r.job_id: (r.status, r.reason) for r in steps.events(spark).collect()}
+    assert found == {"bad": ("FAILED", "not a listing"), "two": ("FAILED", "more than one mrf")}
+
+
+def test_a_giant_structure_in_parts_is_the_structure(spark, tmp_path):
+    """Plans and files of one structure many blocks long: the same plans, files, places and pairs as read whole."""
+    plans = [{"plan_name": f"p{i % 40}", "plan_id_type": "ein", "plan_id": str(i) if i % 3 else None} for i in range(120)]
+    files = [{"location": f"https://h/f{i}.json"} for i in range(90)]
+    giant = {"reporting_plans": plans, "allowed_amount_file": {"location": "https://h/aa.json"}, "in_network_files": files}
+    (tmp_path / "toc.json").write_text(index({"reporting_plans": plans[:2]}, giant))
+    whole, parts = read_index(spark, tmp_path), read_index(spark, tmp_path, block_bytes=1500, part_bytes=700)
+    assert whole.count() == 2 and parts.count() > 6
+    for f in (T.flatten_plans, T.flatten_files):
+        assert sorted(map(str, f(parts).collect())) == sorted(map(str, f(whole).collect()))
