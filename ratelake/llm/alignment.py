@@ -13,9 +13,12 @@ from __future__ import annotations
 
 import hashlib
 import re
+from array import array
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
 from functools import cache
+from itertools import accumulate
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -26,15 +29,17 @@ from ratelake.llm.common import most_frequent, slices, staged, table, utf8
 
 #: Most pairs that are broadcast, 13 bytes each.
 HEAD = 1 << 20
-#: Windows and words a worker keeps, in two generations, and the longest kept, in bytes. Bound memory, not results.
-CACHE, LONGEST = 300_000, 256
+#: Windows a worker keeps, in two generations, and the longest kept, in bytes. Bound memory, not results.
+CACHE, LONGEST = 400_000, 256
+#: Links of a group beyond which its repeated pairs are counted at once.
+MANY = 256
 #: Pairs a task counts before it sends the counts on.
 HELD = 1 << 21
 
-#: What one tokenizer sees as a word: a blank belongs to what follows it.
-CHUNK = re.compile(r" ?\S+|\s+(?!\S)|\s+").findall
-#: White space to Python's patterns but not to the tokenizer's.
-SEPARATORS = re.compile("[\x1c-\x1f]").search
+#: How a byte-level vocabulary cuts words, fixed by the vocabulary.
+WORD = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Characters beyond the first scripts, separators that not all patterns take for white space, long blank runs.
+OTHER = re.compile("[\x1c-\x1f\x85\u0250-\U0010ffff]|\\s{1000}").search
 
 
 def paths() -> tuple[str, str]:
@@ -70,9 +75,15 @@ class Kept(dict):
 
 
 class ByteTokens:
-    """Ids of a byte-level vocabulary as little-endian 16-bit bytes. Words met before are looked up."""
+    """Ids of a byte-level vocabulary as little-endian 16-bit bytes.
+
+    The same merges, as ranks of the entries they make, are applied by a faster library. It is asked where both cut
+    a text into words alike for certain: texts of letters and marks of the first scripts. Other texts, whose
+    characters their Unicode tables may tell differently, and very long runs of white space go to the vocabulary's own.
+    """
 
     def __init__(self, path: str):
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -82,36 +93,17 @@ class ByteTokens:
         for entry, i in vocabulary.items():
             self.values[i] = bytes(bytes_of[c] for c in entry)
         self.spaced = np.array([v.startswith(b" ") for v in self.values])
-        self.size = np.array([len(v) for v in self.values], np.int64)
-        self.known = Kept()
-
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u2") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, chunks: set[str]) -> None:
-        fresh = [c for c in chunks if self.known[c] is None]
-        # A word behind a blank has no other blank, so a token with a blank begins it and many go at once.
-        words = [c for c in fresh if c[0] == " " and not c[1:2].isspace() and len(c) > 1]
-        for at in range(0, len(words), 1024):
-            some = words[at : at + 1024]
-            (ids,) = self._ids(["".join(some)])
-            starts = (2 * np.flatnonzero(self.spaced[ids])).tolist()
-            raw = ids.tobytes()
-            if len(starts) != len(some):
-                raise ValueError("a word has more than one beginning")
-            for word, start, stop in zip(some, starts, [*starts[1:], len(raw)], strict=True):
-                self.known[word] = raw[start:stop]
-        rest = [c for c in fresh if c not in self.known]
-        for chunk, ids in zip(rest, self._ids(rest), strict=True):
-            self.known[chunk] = ids.tobytes()
+        self.lengths = [len(v) for v in self.values]
+        self.size = np.array(self.lengths, np.int64)
+        special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
+        ranks = {bytes(bytes_of[c] for c in entry): i for entry, i in vocabulary.items() if entry not in special}
+        self.quick = tiktoken.Encoding("ranks", pat_str=WORD, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        self.known.trim()
-        split = [[] if SEPARATORS(t) else CHUNK(t) for t in texts]
-        self._learn(set().union(*split))
-        found = [b"".join(map(self.known.__getitem__, chunks)) for chunks in split]
-        for i in (i for i, t in enumerate(texts) if SEPARATORS(t)):
-            found[i] = self._ids([texts[i]])[0].tobytes()
+        found = [b"" if OTHER(t) else array("H", self.quick.encode_ordinary(t)).tobytes() for t in texts]
+        others = [i for i, t in enumerate(texts) if OTHER(t)]
+        for i, e in zip(others, self.tokenizer.encode_batch_fast([texts[i] for i in others], add_special_tokens=False), strict=True):
+            found[i] = array("H", e.ids).tobytes()
         return found
 
 
@@ -129,21 +121,24 @@ class PieceTokens:
             for i in range(n)
         ]
         self.spaced = np.array([v.startswith(b" ") for v in self.values])
-        self.size = np.array([len(v) for v in self.values], np.int64)
+        self.lengths = [len(v) for v in self.values]
+        self.size = np.array(self.lengths, np.int64)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(ids, "<u2").tobytes() for ids in self.model.encode(texts, num_threads=1)]
+        return [array("H", ids).tobytes() for ids in self.model.encode(texts, num_threads=1)]
 
 
-@dataclass
-class Window:
-    """The groups of a window as text, how many, and their linked pairs a << 16 | b with how often each is linked."""
+class Window(NamedTuple):
+    """The groups of a window as text, how many, and their links: pairs a << 16 | b as 32-bit bytes, as often as each is linked.
+
+    A group of more links than MANY has its pairs once, and how often each is linked beside them, in `counted`.
+    """
 
     text: bytes
     groups: int
     links: int
     pairs: bytes
-    times: bytes
+    counted: tuple[list[int], list[int]] | None
 
 
 def same(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -158,23 +153,32 @@ class Aligner:
         self.first, self.second, self.known = ByteTokens(first), PieceTokens(second), Kept()
 
     def window(self, one: bytes, two: bytes) -> Window:
-        a, b = np.frombuffer(one, "<u2"), np.frombuffer(two, "<u2")
-        at, bt = same(np.cumsum(self.first.size[a]), np.cumsum(self.second.size[b]))
-        texts, links, pairs, times = [], 0, [], []
+        """The groups of a window: they end where both sides end at the same byte."""
+        a, b = memoryview(one).cast("H").tolist(), memoryview(two).cast("H").tolist()
+        ends = list(accumulate(map(self.first.lengths.__getitem__, a)))
+        others_end = list(accumulate(map(self.second.lengths.__getitem__, b)))
+        texts, links, pairs, counted = [], 0, [], ([], [])
         i = j = 0
-        for x, y in zip((at + 1).tolist(), (bt + 1).tolist(), strict=True):
-            own, others = a[i:x], b[j:y]
-            texts.append(b"%s|%s" % (",".join(map(str, own.tolist())).encode(), ",".join(map(str, others.tolist())).encode()))
-            links += len(own) * len(others)
-            # Repeated ids of a long group are counted, not paired one by one.
-            (own, n), (others, m) = np.unique(own, return_counts=True), np.unique(others, return_counts=True)
-            pairs.append(((own.astype("<u4") << 16)[:, None] | others[None, :]).ravel())
-            times.append(np.multiply.outer(n, m).ravel())
+        for end in sorted(set(ends).intersection(others_end)):
+            x, y = ends.index(end, i) + 1, others_end.index(end, j) + 1
+            if x - i == 1 == y - j:
+                texts.append(f"{a[i]}|{b[j]}")
+                pairs.append(a[i] << 16 | b[j])
+                links += 1
+            else:
+                own, others = a[i:x], b[j:y]
+                texts.append(f"{','.join(map(str, own))}|{','.join(map(str, others))}")
+                links += len(own) * len(others)
+                if len(own) * len(others) <= MANY:
+                    pairs += [k << 16 | other for k in own for other in others]
+                else:
+                    # Repeated ids of a long group are counted, not paired one by one.
+                    repeats = Counter(others).items()
+                    for k, times in Counter(own).items():
+                        counted[0].extend([k << 16 | other for other, _ in repeats])
+                        counted[1].extend([times * again for _, again in repeats])
             i, j = x, y
-        return Window(
-            b";".join(texts), len(texts), links,
-            np.concatenate(pairs).astype("<u4").tobytes(), np.concatenate(times).astype("<i8").tobytes(),
-        )
+        return Window(";".join(texts).encode(), len(texts), links, array("I", pairs).tobytes(), counted if counted[0] else None)
 
     def windows(self, one: bytes, two: bytes) -> list[Window]:
         """The windows of a document in order."""
@@ -187,14 +191,16 @@ class Aligner:
             (one[p:q], two[r:s])
             for p, q, r, s in zip(left, [*left[1:], len(one)], right, [*right[1:], len(two)], strict=True)
         ]
-        known, found = self.known, []
-        for key in keys:
+        known = self.known
+        found = list(map(known.get, keys))
+        for i in [i for i, window in enumerate(found) if window is None]:
+            key = keys[i]
             window = known[key]
             if window is None:
                 window = self.window(*key)
                 if len(key[0]) <= LONGEST and len(key[1]) <= LONGEST:
                     known[key] = window
-            found.append(window)
+            found[i] = window
         known.trim()
         return found
 
@@ -204,18 +210,18 @@ class Aligner:
         spaced = [" " + t for t in texts]
         for raw, one, two in zip(raws, self.first.encode(spaced), self.second.encode(texts), strict=True):
             whole = b" " + raw
-            ids, others = np.frombuffer(one, "<u2").tolist(), np.frombuffer(two, "<u2").tolist()
-            if (
-                not raw
-                or b"".join(map(self.first.values.__getitem__, ids)) != whole
-                or b"".join(map(self.second.values.__getitem__, others)) != whole
-            ):
+            ids, others = memoryview(one).cast("H"), memoryview(two).cast("H").tolist()
+            # A vocabulary of bytes gives back the text it was given; the text is `raw` if the other side says so.
+            if not raw or b"".join(map(self.second.values.__getitem__, others)) != whole:
                 yield None
                 continue
             found = self.windows(one, two)
-            pairs, place = np.unique(np.frombuffer(b"".join([w.pairs for w in found]), "<u4"), return_inverse=True)
-            times = np.zeros(len(pairs), np.int64)
-            np.add.at(times, place, np.frombuffer(b"".join([w.times for w in found]), "<i8"))
+            pairs, times = np.unique(np.frombuffer(b"".join([w.pairs for w in found]), "<u4"), return_counts=True)
+            counted = [w.counted for w in found if w.counted]
+            if counted:
+                more, often = (np.array([x for own in side for x in own], np.int64) for side in zip(*counted, strict=True))
+                pairs, place = np.unique(np.concatenate([pairs.astype(np.int64), more]), return_inverse=True)
+                times = np.bincount(place, np.concatenate([times, often])).astype(np.int64)
             yield (
                 len(ids), len(others), sum([w.groups for w in found]), sum([w.links for w in found]),
                 b";".join([w.text for w in found]), pairs.astype("<u4").tobytes(), times.astype("<i8").tobytes(),
