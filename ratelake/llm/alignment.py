@@ -29,8 +29,8 @@ from ratelake.llm.common import most_frequent, slices, staged, table, utf8
 
 #: Most pairs that are broadcast, 13 bytes each.
 HEAD = 1 << 20
-#: Windows a worker keeps, in two generations, and the longest kept, in bytes. Bound memory, not results.
-CACHE, LONGEST = 400_000, 256
+#: Windows and words a worker keeps, in two generations, and the longest kept, in bytes. Bound memory, not results.
+CACHE, LONGEST = 250_000, 256
 #: Links of a group beyond which its repeated pairs are counted at once.
 MANY = 256
 #: Pairs a task counts before it sends the counts on.
@@ -42,6 +42,10 @@ WORD = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+
 OTHER = re.compile("[\x1c-\x1f\x85\u0250-\U0010ffff]|\\s{1000}").search
 
 
+#: Words between single blanks.
+SINGLE = re.compile("(?<=[^ ]) (?=[^ ])").split
+
+
 def paths() -> tuple[str, str]:
     import public_tokenizers
 
@@ -108,7 +112,11 @@ class ByteTokens:
 
 
 class PieceTokens:
-    """Ids of a vocabulary of pieces with single bytes to fall back on."""
+    """Ids of a vocabulary of pieces with single bytes to fall back on.
+
+    No piece goes on behind a blank that follows another character, so a text's ids are those of its words in
+    turn, each with the blank before it. Words met before are looked up.
+    """
 
     def __init__(self, path: str):
         import sentencepiece
@@ -120,12 +128,24 @@ class PieceTokens:
             else self.model.id_to_piece(i).replace("▁", " ").encode()
             for i in range(n)
         ]
+        self.apart = not any(b" " in value.lstrip(b" ") for value in self.values)
+        self.known = Kept()
         self.spaced = np.array([v.startswith(b" ") for v in self.values])
         self.lengths = [len(v) for v in self.values]
         self.size = np.array(self.lengths, np.int64)
 
+    def words(self, text: str) -> list[str]:
+        if "▁" in text or not self.apart:
+            return [text]
+        return SINGLE(text) if "  " in text or text[:1] == " " or text[-1:] == " " else text.split(" ")
+
     def encode(self, texts: list[str]) -> list[bytes]:
-        return [array("H", ids).tobytes() for ids in self.model.encode(texts, num_threads=1)]
+        self.known.trim()
+        split = [self.words(t) for t in texts]
+        fresh = [w for w in set().union(*split) if self.known[w] is None]
+        for word, ids in zip(fresh, self.model.encode(fresh, num_threads=1), strict=True):
+            self.known[word] = array("H", ids).tobytes()
+        return [b"".join(map(self.known.__getitem__, words)) for words in split]
 
 
 class Window(NamedTuple):
@@ -216,15 +236,16 @@ class Aligner:
                 yield None
                 continue
             found = self.windows(one, two)
-            pairs, times = np.unique(np.frombuffer(b"".join([w.pairs for w in found]), "<u4"), return_counts=True)
-            counted = [w.counted for w in found if w.counted]
-            if counted:
+            groups, n_groups, n_links, own_pairs, own_counted = zip(*found, strict=True)
+            pairs, times = np.unique(np.frombuffer(b"".join(own_pairs), "<u4"), return_counts=True)
+            if any(own_counted):
+                counted = [c for c in own_counted if c]
                 more, often = (np.array([x for own in side for x in own], np.int64) for side in zip(*counted, strict=True))
                 pairs, place = np.unique(np.concatenate([pairs.astype(np.int64), more]), return_inverse=True)
                 times = np.bincount(place, np.concatenate([times, often])).astype(np.int64)
             yield (
-                len(ids), len(others), sum([w.groups for w in found]), sum([w.links for w in found]),
-                b";".join([w.text for w in found]), pairs.astype("<u4").tobytes(), times.astype("<i8").tobytes(),
+                len(ids), len(others), sum(n_groups), sum(n_links), b";".join(groups),
+                pairs.astype("<u4").tobytes(), times.astype("<i8").tobytes(),
             )
 
 
