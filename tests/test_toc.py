@@ -163,14 +163,16 @@ def test_long_plan_lists_go_out_in_parts(spark, index, imported):
 
 
 def test_shredded_index_is_the_same(spark, index, tmp_path):
+    """Whole structures as they are; with blocks far smaller than a structure, its plans and files by place."""
     (tmp_path / "index.json").write_text(json.dumps(INDEX))
-    raw = shred.shred(list_files(spark, str(tmp_path)), ["reporting_structure"], block_bytes=100)
-    from ratelake.schemas import STRUCTURE
-
-    rows = documents.shredded_structures(shred.good(shred.parse(raw, "reporting_structure", STRUCTURE)))
     picked = ["rs_pos", "reporting_plans", "in_network_files", "allowed_amount_file"]
     key = lambda r: r.rs_pos
-    assert sorted(rows.select(*picked).collect(), key=key) == sorted(index.select(*picked).collect(), key=key)
+    whole = read_index(spark, tmp_path)
+    assert sorted(whole.select(*picked).collect(), key=key) == sorted(index.select(*picked).collect(), key=key)
+    parts = read_index(spark, tmp_path, block_bytes=100)
+    for f in (T.flatten_plans, T.flatten_files):
+        rows, want = (sorted(map(str, f(df).drop("file_id").collect())) for df in (parts, index))
+        assert rows == want
 
 
 def test_lots(spark):
@@ -203,7 +205,7 @@ def test_listings(spark, tmp_path):
     assert LISTING.startswith("mrfs")
 
 
-def index(*structures):
+def document(*structures):
     return json.dumps({"reporting_entity_name": "x", "reporting_structure": list(structures)})
 
 
@@ -216,8 +218,8 @@ def test_an_import_writes_its_states_and_fails_without_a_good_plan(spark, tmp_pa
     """The states of each index as they happen; one whose plans all lack an id ends as FAILED."""
     plan = lambda i: {"plan_name": f"p{i}", "plan_id_type": "ein", "plan_id": i, "plan_market_type": "group"}
     (tmp_path / "in").mkdir()
-    (tmp_path / "in" / "good.json").write_text(index({"reporting_plans": [plan("1")], "in_network_files": [{"location": "https://h/a"}]}))
-    (tmp_path / "in" / "poor.json").write_text(index({"reporting_plans": [plan(None), plan("")], "in_network_files": [{"location": "https://h/b"}]}))
+    (tmp_path / "in" / "good.json").write_text(document({"reporting_plans": [plan("1")], "in_network_files": [{"location": "https://h/a"}]}))
+    (tmp_path / "in" / "poor.json").write_text(document({"reporting_plans": [plan(None), plan("")], "in_network_files": [{"location": "https://h/b"}]}))
     steps = Steps(str(tmp_path / "events"))
     job = F.regexp_extract("file_id", "([a-z]+)[.]json", 1)
     none = spark.createDataFrame([], PLANS_TABLE)
@@ -246,7 +248,7 @@ def test_a_giant_structure_in_parts_is_the_structure(spark, tmp_path):
     plans = [{"plan_name": f"p{i % 40}", "plan_id_type": "ein", "plan_id": str(i) if i % 3 else None} for i in range(120)]
     files = [{"location": f"https://h/f{i}.json"} for i in range(90)]
     giant = {"reporting_plans": plans, "allowed_amount_file": {"location": "https://h/aa.json"}, "in_network_files": files}
-    (tmp_path / "toc.json").write_text(index({"reporting_plans": plans[:2]}, giant))
+    (tmp_path / "toc.json").write_text(document({"reporting_plans": plans[:2]}, giant))
     whole, parts = read_index(spark, tmp_path), read_index(spark, tmp_path, block_bytes=1500, part_bytes=700)
     assert whole.count() == 2 and parts.count() > 6
     for f in (T.flatten_plans, T.flatten_files):
