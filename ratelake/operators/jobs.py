@@ -161,13 +161,18 @@ def company_sources(companies: DataFrame, sources: DataFrame) -> DataFrame:
     return owned.join(named, "company_id").unionByName(without, allowMissingColumns=True)
 
 
+def _first_part(parsed: DataFrame) -> Column:
+    """Rows that count as an object; where there is no `part`, all objects are whole."""
+    return F.col("part") == 0 if "part" in parsed.columns else F.lit(True)
+
+
 def parse_metrics(parsed: DataFrame) -> DataFrame:
     """Per file: objects parsed, saved and with errors; rates among the saved ones.
 
     `parsed` is (file_id, part, bad, n_rates, n_providers); `bad` marks objects that did not parse. An object in
     parts counts with its first.
     """
-    first = F.col("part") == 0
+    first = _first_part(parsed)
     return parsed.groupBy("file_id").agg(
         F.count_if(first).alias("objects_parsed"),
         F.count_if(first & ~F.col("bad")).alias("objects_saved"),
@@ -179,7 +184,7 @@ def parse_metrics(parsed: DataFrame) -> DataFrame:
 
 def reference_metrics(parsed: DataFrame) -> DataFrame:
     """Per file: provider references found and saved. `parsed` is (file_id, part, bad)."""
-    first = F.col("part") == 0
+    first = _first_part(parsed)
     return parsed.groupBy("file_id").agg(
         F.count_if(first).alias("references_parsed"), F.count_if(first & ~F.col("bad")).alias("references_saved")
     )
