@@ -19,12 +19,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ratelake.llm.common import staged, table
+from ratelake.llm.spans import let
 
-#: A published sketch holds about 16 differing digests; beyond, two fingerprints alone do not tell how many differ.
-PARTS, WIDTH = 3, 8
+#: A published sketch holds about 8 differing digests; beyond, two fingerprints alone do not tell how many differ.
+PARTS, WIDTH = 3, 4
 CELLS = PARTS * WIDTH
 #: How much larger a retry is than the try before.
-GROWTH = 4
+GROWTH = 16
 #: A line is a paragraph; a longer one ends at the first end of a sentence behind LONG characters, or, where
 #: none comes within LONGEST, behind the word that stands there; a word counts up to LONG characters more.
 LONG, LONGEST = 100, 200
@@ -32,7 +33,7 @@ PARAGRAPH = rf"(?:[^\n]{{{LONG},{LONGEST}}}?[.!?](?=\s)|[^\n]{{{LONGEST}}}\S{{0,
 #: Rows of a bucket of ids in which the next document is looked for, and most buckets.
 ROWS, BUCKETS = 256, 1 << 16
 #: A round's sketch has CELLS * GROWTH ** round cells.
-ROUNDS = 16
+ROUNDS = 8
 #: The bits of a check that are published.
 HALF = 0xFFFFFFFF
 KEY = ["_bucket", "_row"]
@@ -99,11 +100,12 @@ def _peel(cells: Column, salt: Column, bits: int = -1) -> Column:
 
     A cell with one digest (count 1 or -1, and the check fits) gives it up, and it is taken from its
     cells in all parts. The parts take turns, so no digest is given up twice in a step; PARTS turns
-    without a find mean that nothing more comes, so 3 turns for each two digests a sketch can hold do.
+    without a find mean that nothing more comes, and end the work on a table that holds too many; 3 turns for each
+    two digests a sketch can hold do.
     `bits` are those of a check that the cells hold.
     """
     cell = "struct<n:bigint,k:bigint,c:bigint>"
-    start = F.struct(cells.cast(f"array<{cell}>").alias("cells"), F.lit(0).alias("found"))
+    start = F.struct(cells.cast(f"array<{cell}>").alias("cells"), F.lit(0).alias("found"), F.lit(0).alias("idle"))
     turns = F.array(*[F.lit(p) for _ in range(CELLS // 2) for p in range(PARTS)])
 
     def check(digest: Column) -> Column:
@@ -112,28 +114,25 @@ def _peel(cells: Column, salt: Column, bits: int = -1) -> Column:
     def pure(x: Column) -> Column:
         return (F.abs(x["n"]) == 1) & (x["c"] == check(x["k"]))
 
-    def turn(acc: Column, part: Column) -> Column:
-        own = F.filter(F.slice(acc["cells"], part * WIDTH + 1, F.lit(WIDTH)), pure)
+    def without(cells: Column, x: Column) -> Column:
+        spots = F.array(*[_cell(x["k"], salt, p).cast("int") + p * WIDTH for p in range(PARTS)])
+        gone = F.struct(spots.alias("spots"), check(x["k"]).alias("check"))
+
+        def taken(y: Column, i: Column, g: Column) -> Column:
+            rest = F.struct((y["n"] - x["n"]).alias("n"), y["k"].bitwiseXOR(x["k"]).alias("k"), y["c"].bitwiseXOR(g["check"]).alias("c"))
+            return F.when(F.array_contains(g["spots"], i), rest).otherwise(y)
 
-        def without(cells: Column, x: Column) -> Column:
-            spots = F.array(*[_cell(x["k"], salt, p).cast("int") + p * WIDTH for p in range(PARTS)])
-            return F.transform(
-                cells,
-                lambda y, i: F.when(
-                    F.array_contains(spots, i),
-                    F.struct(
-                        (y["n"] - x["n"]).alias("n"),
-                        y["k"].bitwiseXOR(x["k"]).alias("k"),
-                        y["c"].bitwiseXOR(check(x["k"])).alias("c"),
-                    ),
-                ).otherwise(y),
-            )
+        return let(gone, lambda g: F.transform(cells, lambda y, i: taken(y, i, g)))
 
+    def step(acc: Column, own: Column) -> Column:
         cells = F.aggregate(own, acc["cells"].cast(f"array<{cell}>"), without)
-        return F.when(
-            F.exists(acc["cells"], lambda y: y["n"] != 0),
-            F.struct(cells.alias("cells"), (acc["found"] + F.size(own)).alias("found")),
-        ).otherwise(acc)
+        idle = F.when(F.size(own) > 0, 0).otherwise(acc["idle"] + 1)
+        return F.struct(cells.alias("cells"), (acc["found"] + F.size(own)).alias("found"), idle.alias("idle"))
+
+    def turn(acc: Column, part: Column) -> Column:
+        own = F.filter(F.slice(acc["cells"], part * WIDTH + 1, F.lit(WIDTH)), pure)
+        going = (acc["idle"] < PARTS) & F.exists(acc["cells"], lambda y: y["n"] != 0)
+        return F.when(going, let(own, lambda o: step(acc, o))).otherwise(acc)
 
     return F.aggregate(
         turns,
@@ -264,7 +263,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """A row for each of `docs`: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_*.
 
     fingerprint is the sketch of all a text's digests: of each cell the count, the digests and half the
-    checks in hexadecimal. Two fingerprints whose texts differ in up to about 16 paragraphs can be subtracted and
+    checks in hexadecimal. Two fingerprints whose texts differ in up to about 8 paragraphs can be subtracted and
     peeled by whoever has them, see `peeled`; beyond, sketches of the texts grow until they hold. Likeness is the share of digests in both texts among those in either, from the
     number that peeling recovers; two texts without digests are alike. Reads doc_id and text; a NULL text
     is empty. A single row follows itself. An empty table gives an empty result.
