@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ratelake.llm.common import staged, table
 from ratelake.llm.spans import let
 
-#: A published sketch holds about 8 differing digests; beyond, two fingerprints alone do not tell how many differ.
+#: A published sketch surely holds two differing digests and often up to eight; beyond, two fingerprints alone do not tell how many differ.
 PARTS, WIDTH = 3, 4
 CELLS = PARTS * WIDTH
 #: How much larger a retry is than the try before.
@@ -263,7 +263,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """A row for each of `docs`: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_*.
 
     fingerprint is the sketch of all a text's digests: of each cell the count, the digests and half the
-    checks in hexadecimal. Two fingerprints whose texts differ in up to about 8 paragraphs can be subtracted and
+    checks in hexadecimal. Two fingerprints whose texts differ in a few paragraphs can be subtracted and
     peeled by whoever has them, see `peeled`; beyond, sketches of the texts grow until they hold. Likeness is the share of digests in both texts among those in either, from the
     number that peeling recovers; two texts without digests are alike. Reads doc_id and text; a NULL text
     is empty. A single row follows itself. An empty table gives an empty result.
