@@ -47,6 +47,20 @@ def test_query_equals_sql(spark, sql, small, name):
         assert "SinglePartition" not in df._jdf.queryExecution().executedPlan().toString()
 
 
+WHOLE_KEYS = {"plan_code": "insurance_plan_id"}
+
+
+@pytest.mark.parametrize("path", WHOLE_KEYS)
+def test_a_lookup_returns_every_code_of_its_leading_key(spark, small, path):
+    key = WHOLE_KEYS[path]
+    fact = entry_module.queries()["provider_rate_fact"](spark, small)
+    rows = [row for row in fact.collect() if row[key] is not None]
+    smallest = min(row[key] for row in rows)
+    want = [row for row in rows if row[key] == smallest]
+    got = entry_module.queries()[f"lookup_{path}"](spark, small).select(*fact.columns).collect()
+    assert plain(got) == plain(want) and len({row.billing_code_id for row in want}) > 1
+
+
 def test_entry(spark):
     df = entry_module.entry(spark)
     assert df.count() > 0 and "avg_rate" in df.columns
