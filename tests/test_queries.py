@@ -47,7 +47,7 @@ def test_query_equals_sql(spark, sql, small, name):
         assert "SinglePartition" not in df._jdf.queryExecution().executedPlan().toString()
 
 
-WHOLE_KEYS = {"plan_code": "insurance_plan_id", "region": "region_code"}
+WHOLE_KEYS = {"plan_code": "insurance_plan_id", "region": "region_code", "zip": "zip_code"}
 
 
 @pytest.mark.parametrize("path", WHOLE_KEYS)
