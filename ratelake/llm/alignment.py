@@ -1,9 +1,7 @@
 """Alignment of two tokenizers' tokens over the same texts, and how often two tokens meet.
 
-Both tokenizers encode the whole text. Where a token of each begins with a space at the same byte, the
-tokens before end together; these anchors cut a document into windows of about a word. What a window's ids
-link does not depend on the text around, so an alignment is kept by the ids of both sides and looked up
-when the window comes again.
+Both tokenizers encode the whole text. The byte offsets where tokens of each end together cut a document
+into groups; numpy finds them, their links and their text for many documents at once.
 
 Counts of linked pairs cover all documents. The most frequent pairs, a bounded number, are broadcast to the
 pass that sums them up by document; the rest is joined, so nothing is left out.
@@ -17,7 +15,6 @@ from array import array
 from collections import Counter
 from collections.abc import Iterator
 from functools import cache
-from itertools import accumulate
 from typing import NamedTuple
 
 import numpy as np
@@ -29,8 +26,8 @@ from ratelake.llm.common import most_frequent, slices, staged, table, utf8
 
 #: Most pairs that are broadcast, 13 bytes each.
 HEAD = 1 << 20
-#: Windows and words a worker keeps, in two generations, and the longest kept, in bytes. Bound memory, not results.
-CACHE, LONGEST = 250_000, 256
+#: Words a worker keeps, in two generations. Bounds memory, not results.
+CACHE = 250_000
 #: Links of a group beyond which its repeated pairs are counted at once.
 MANY = 256
 #: Pairs a task counts before it sends the counts on.
@@ -38,8 +35,12 @@ HELD = 1 << 21
 
 #: How a byte-level vocabulary cuts words, fixed by the vocabulary.
 WORD = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Characters beyond the first scripts, separators that not all patterns take for white space, long blank runs.
-OTHER = re.compile("[\x1c-\x1f\x85\u0250-\U0010ffff]|\\s{1000}").search
+#: Bytes of the first scripts without the separators that not all patterns take for white space; one of these has two bytes.
+PLAIN = bytes(b for b in range(0xC9) if not 0x1C <= b <= 0x1F)
+NEXT_LINE = "\x85".encode()
+#: White space, and bytes that may be part of it, as blanks: long runs of them are not left out.
+BLANKS = bytes(0x20 if b in b"\t\n\v\f\r\x85\xa0\xc2" else b for b in range(256))
+LONG = b" " * 1000
 
 
 #: Words between single blanks.
@@ -104,8 +105,10 @@ class ByteTokens:
         self.quick = tiktoken.Encoding("ranks", pat_str=WORD, mergeable_ranks=ranks, special_tokens={})
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        found = [b"" if OTHER(t) else array("H", self.quick.encode_ordinary(t)).tobytes() for t in texts]
-        others = [i for i, t in enumerate(texts) if OTHER(t)]
+        raws = map(str.encode, texts)
+        other = [bool(r.translate(None, PLAIN)) or NEXT_LINE in r or LONG in r.translate(BLANKS) for r in raws]
+        found = [b"" if o else array("H", self.quick.encode_ordinary(t)).tobytes() for t, o in zip(texts, other, strict=True)]
+        others = [i for i, o in enumerate(other) if o]
         for i, e in zip(others, self.tokenizer.encode_batch_fast([texts[i] for i in others], add_special_tokens=False), strict=True):
             found[i] = array("H", e.ids).tobytes()
         return found
@@ -149,16 +152,13 @@ class PieceTokens:
 
 
 class Window(NamedTuple):
-    """The groups of a window as text, how many, and their links: pairs a << 16 | b as 32-bit bytes, as often as each is linked.
+    """The groups of a text as text, how many, and their links: pairs a << 16 | b ascending as 32-bit bytes, how often each is linked as 64-bit ones."""
 
-    A group of more links than MANY has its pairs once, and how often each is linked beside them, in `counted`.
-    """
-
-    text: bytes
     groups: int
     links: int
+    text: bytes
     pairs: bytes
-    counted: tuple[list[int], list[int]] | None
+    times: bytes
 
 
 def same(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -168,85 +168,85 @@ def same(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(hit), at[hit]
 
 
+def steps(counts: np.ndarray) -> np.ndarray:
+    """0, 1, 2 and so on, up to each count in turn."""
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
 class Aligner:
     def __init__(self, first: str, second: str):
-        self.first, self.second, self.known = ByteTokens(first), PieceTokens(second), Kept()
-
-    def window(self, one: bytes, two: bytes) -> Window:
-        """The groups of a window: they end where both sides end at the same byte."""
-        a, b = memoryview(one).cast("H").tolist(), memoryview(two).cast("H").tolist()
-        ends = list(accumulate(map(self.first.lengths.__getitem__, a)))
-        others_end = list(accumulate(map(self.second.lengths.__getitem__, b)))
-        texts, links, pairs, counted = [], 0, [], ([], [])
-        i = j = 0
-        for end in sorted(set(ends).intersection(others_end)):
-            x, y = ends.index(end, i) + 1, others_end.index(end, j) + 1
-            if x - i == 1 == y - j:
-                texts.append(f"{a[i]}|{b[j]}")
-                pairs.append(a[i] << 16 | b[j])
-                links += 1
-            else:
-                own, others = a[i:x], b[j:y]
-                texts.append(f"{','.join(map(str, own))}|{','.join(map(str, others))}")
-                links += len(own) * len(others)
-                if len(own) * len(others) <= MANY:
-                    pairs += [k << 16 | other for k in own for other in others]
-                else:
-                    # Repeated ids of a long group are counted, not paired one by one.
-                    repeats = Counter(others).items()
-                    for k, times in Counter(own).items():
-                        counted[0].extend([k << 16 | other for other, _ in repeats])
-                        counted[1].extend([times * again for _, again in repeats])
-            i, j = x, y
-        return Window(";".join(texts).encode(), len(texts), links, array("I", pairs).tobytes(), counted if counted[0] else None)
-
-    def windows(self, one: bytes, two: bytes) -> list[Window]:
-        """The windows of a document in order."""
+        self.first, self.second = ByteTokens(first), PieceTokens(second)
+        # Ids as decimal digits, filled up with zero bytes; the last of the eight is for what stands behind.
+        self.digits = np.array([b"%d" % i for i in range(1 << 16)], "S8").view("<u8")
+        self.width = np.char.str_len(self.digits.view("S8")).astype(np.int64) + 1
+
+    def windows(self, one: bytes, two: bytes, counts: list[int] | None = None, others: list[int] | None = None) -> list[Window]:
+        """The groups of texts whose ids follow one another, as many of each side as `counts` and `others` say, else one text.
+
+        Both sides of a text have the same bytes, so its last group ends with it.
+        """
         a, b = np.frombuffer(one, "<u2"), np.frombuffer(two, "<u2")
-        starts, others = np.cumsum(self.first.size[a]) - self.first.size[a], np.cumsum(self.second.size[b]) - self.second.size[b]
-        i, j = np.flatnonzero(self.first.spaced[a]), np.flatnonzero(self.second.spaced[b])
-        at, bt = same(starts[i], others[j])
-        left, right = (2 * i[at]).tolist(), (2 * j[bt]).tolist()
-        keys = [
-            (one[p:q], two[r:s])
-            for p, q, r, s in zip(left, [*left[1:], len(one)], right, [*right[1:], len(two)], strict=True)
-        ]
-        known = self.known
-        found = list(map(known.get, keys))
-        for i in [i for i, window in enumerate(found) if window is None]:
-            key = keys[i]
-            window = known[key]
-            if window is None:
-                window = self.window(*key)
-                if len(key[0]) <= LONGEST and len(key[1]) <= LONGEST:
-                    known[key] = window
-            found[i] = window
-        known.trim()
-        return found
+        n_a, n_b = np.array(counts or [len(a)]), np.array(others or [len(b)])
+        at, bt = same(np.cumsum(self.first.size[a]), np.cumsum(self.second.size[b]))
+        from_a, from_b = np.concatenate([[0], at[:-1] + 1]), np.concatenate([[0], bt[:-1] + 1])
+        own, their = at + 1 - from_a, bt + 1 - from_b
+        links = own * their
+        last = np.searchsorted(at, np.cumsum(n_a) - 1) + 1
+        first = np.concatenate([[0], last[:-1]])
+        # The ids of a group stand one side behind the other.
+        place_a = np.arange(len(a)) + np.repeat(from_b, own)
+        place_b = np.arange(len(b)) + np.repeat(from_a + own, their)
+        ids, behind = np.empty(len(a) + len(b), np.int64), np.full(len(a) + len(b), ord(","), np.uint64)
+        ids[place_a], ids[place_b] = a, b
+        behind[place_a[at]], behind[place_b[bt]] = ord("|"), ord(";")
+        text = (self.digits[ids] | behind << np.uint64(56)).tobytes().translate(None, b"\0")
+        stops = np.cumsum(np.add.reduceat(self.width[ids], np.concatenate([[0], np.cumsum(n_a + n_b)[:-1]]))).tolist()
+        keys, times = self.linked(a, b, from_a, from_b, own, their, np.repeat(np.arange(len(n_a)), last - first))
+        cuts = np.searchsorted(keys, np.arange(len(n_a) + 1) << 32).tolist()
+        pairs = (keys & 0xFFFFFFFF).astype("<u4")
+        return [
+            Window(n, k, text[p : q - 1], pairs[r:s].tobytes(), times[r:s].tobytes())
+            for n, k, p, q, r, s in zip(
+                (last - first).tolist(), np.add.reduceat(links, first).tolist(), [0, *stops], stops, cuts, cuts[1:], strict=False
+            )
+        ]
+
+    def linked(self, a: np.ndarray, b: np.ndarray, from_a: np.ndarray, from_b: np.ndarray, own: np.ndarray, their: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The linked pairs of groups, text << 32 | a << 16 | b ascending, and how often each is linked."""
+        links = own * their
+        single, several = np.flatnonzero(links == 1), np.flatnonzero((links > 1) & (links <= MANY))
+        k, group = steps(links[several]), np.repeat(several, links[several])
+        left = np.concatenate([from_a[single], from_a[group] + k // their[group]])
+        right = np.concatenate([from_b[single], from_b[group] + k % their[group]])
+        near = text[np.concatenate([single, group])]
+        keys, times = np.unique(near << 32 | a[left].astype(np.int64) << 16 | b[right], return_counts=True)
+        # Repeated ids of a long group are counted, not paired one by one.
+        more, often = [keys], [times]
+        for g in np.flatnonzero(links > MANY).tolist():
+            x, n = np.unique(a[from_a[g] : from_a[g] + own[g]], return_counts=True)
+            y, m = np.unique(b[from_b[g] : from_b[g] + their[g]], return_counts=True)
+            more.append((text[g] << 32 | x.astype(np.int64)[:, None] << 16 | y).ravel())
+            often.append((n[:, None] * m).ravel())
+        if len(more) > 1:
+            keys, place = np.unique(np.concatenate(more), return_inverse=True)
+            times = np.bincount(place, np.concatenate(often)).astype(np.int64)
+        return keys, times.astype("<i8")
 
     def align(self, raws: list[bytes]) -> Iterator[tuple | None]:
         """(n_a, n_b, n_groups, n_links, groups, pairs, times) of each text, None without tokens."""
         texts = [raw.decode("utf-8", "replace") for raw in raws]
-        spaced = [" " + t for t in texts]
-        for raw, one, two in zip(raws, self.first.encode(spaced), self.second.encode(texts), strict=True):
-            whole = b" " + raw
-            ids, others = memoryview(one).cast("H"), memoryview(two).cast("H").tolist()
-            # A vocabulary of bytes gives back the text it was given; the text is `raw` if the other side says so.
-            if not raw or b"".join(map(self.second.values.__getitem__, others)) != whole:
-                yield None
-                continue
-            found = self.windows(one, two)
-            groups, n_groups, n_links, own_pairs, own_counted = zip(*found, strict=True)
-            pairs, times = np.unique(np.frombuffer(b"".join(own_pairs), "<u4"), return_counts=True)
-            if any(own_counted):
-                counted = [c for c in own_counted if c]
-                more, often = (np.array([x for own in side for x in own], np.int64) for side in zip(*counted, strict=True))
-                pairs, place = np.unique(np.concatenate([pairs.astype(np.int64), more]), return_inverse=True)
-                times = np.bincount(place, np.concatenate([times, often])).astype(np.int64)
-            yield (
-                len(ids), len(others), sum(n_groups), sum(n_links), b";".join(groups),
-                pairs.astype("<u4").tobytes(), times.astype("<i8").tobytes(),
-            )
+        ones, twos = self.first.encode([" " + t for t in texts]), self.second.encode(texts)
+        # A vocabulary of bytes gives back the text it was given; the text is `raw` if the other side says so.
+        kept = [
+            i for i, (raw, two) in enumerate(zip(raws, twos, strict=True))
+            if raw and b"".join(map(self.second.values.__getitem__, memoryview(two).cast("H").tolist())) == b" " + raw
+        ]
+        counts, others = [len(ones[i]) // 2 for i in kept], [len(twos[i]) // 2 for i in kept]
+        found = self.windows(b"".join(ones[i] for i in kept), b"".join(twos[i] for i in kept), counts, others) if kept else []
+        rows: list[tuple | None] = [None] * len(raws)
+        for i, n_a, n_b, window in zip(kept, counts, others, found, strict=True):
+            rows[i] = (n_a, n_b, *window)
+        yield from rows
 
 
 @cache

@@ -1,6 +1,7 @@
 """Alignment of two tokenizers against brute force."""
 
 import hashlib
+import sys
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -129,3 +130,31 @@ def test_query(spark, small, tokenizers):
 def test_groups_as_text(hard):
     rows = alignment.aligned(hard, FIRST, SECOND, with_groups=True).filter(F.col("n_a") > 0).collect()
     assert rows and all(hashlib.sha256(r["groups"].encode()).hexdigest() == r["groups_sha256"] for r in rows)
+
+
+def test_texts_side_by_side_keep_their_links(tokenizers):
+    texts = ["x" * 3000, "", "don't 12345", "▁x", "x" * 500 + " a", "日本語 " + "7" * 300]
+    for text, row in zip(texts, alignment.aligner(FIRST, SECOND).align([t.encode() for t in texts]), strict=True):
+        want = groups(text, tokenizers)
+        assert (row is None) == (want is None)
+        if row:
+            pairs = Counter(x << 16 | y for a, b in want for x in a for y in b)
+            found = zip(np.frombuffer(row[5], "<u4").tolist(), np.frombuffer(row[6], "<i8").tolist(), strict=True)
+            assert list(found) == sorted(pairs.items())
+
+
+def test_new_words_cost_no_calls_each():
+    own, calls = alignment.Aligner(FIRST, SECOND), 0
+    text = " ".join(f"ward{i}qz" for i in range(2000))
+    one, two = own.first.encode([" " + text])[0], own.second.encode([text])[0]
+
+    def count(*_):
+        nonlocal calls
+        calls += 1
+
+    sys.setprofile(count)
+    try:
+        own.windows(one, two)
+    finally:
+        sys.setprofile(None)
+    assert calls < 2000
