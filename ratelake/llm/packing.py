@@ -9,6 +9,7 @@ buckets and offsets, so a length that a third of all pieces share is no single g
 
 from __future__ import annotations
 
+import json
 import re
 import zlib
 from bisect import bisect_left, insort
@@ -20,14 +21,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ratelake.llm.alignment import byte_of
 from ratelake.llm.common import staged, table, utf8
 
 TOKENS = 4096
 END = 2
 #: Word chunks whose ids a generation keeps, two at a time. Bounds memory, not results.
 CACHE = 400_000
-#: Lower-case letters that stay as they are, then marks: two words to the tokenizer.
-SIMPLE = re.compile("([a-zß-öø-ÿ]+)([.,;:!?]*)").fullmatch
+#: Chunks between blanks: lower-case letters that stay as they are, then marks, two words to the tokenizer; or any other.
+PARTS = re.compile("([a-zß-öø-ÿ]+)([.,;:!?]*)(?: |\\Z)|([^ ]+)").findall
+#: Longest word of letters that the faster library gets.
+LONGEST = 256
 #: Buckets of equal lengths for ranks.
 BUCKETS = 1024
 
@@ -40,13 +44,30 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def ranked(model: dict):
+    """The vocabulary's merges as ranks of the entries they make, for a faster library, and the ids of the ranks.
+
+    A blank behind a word stands for the mark of its end, which a last byte takes up before all merges.
+    """
+    import tiktoken
+
+    bytes_of = byte_of()
+    raw = lambda entry: bytes(bytes_of[c] for c in entry.removesuffix("</w>")) + b" " * entry.endswith("</w>")
+    ids = {raw(entry): i for entry, i in model["vocab"].items()}
+    merged = [raw("".join(m) if isinstance(m, list) else m.replace(" ", "")) for m in model["merges"]]
+    ends = [entry for entry in ids if len(entry) == 2 and entry.endswith(b" ")]
+    order = list(dict.fromkeys([*ends, *merged, *ids, *[bytes([b]) for b in range(256)]]))
+    quick = tiktoken.Encoding("words", pat_str="[^ ]+ ", mergeable_ranks={entry: i for i, entry in enumerate(order)}, special_tokens={})
+    return quick, np.array([ids.get(entry, -1) for entry in order], "<i4")
+
+
 class ChunkIds(dict):
     """The ids of the chunks of a text between ASCII white space, as little-endian 32-bit bytes.
 
     No token of this vocabulary spans white space, so a text's ids are those of its chunks in turn. Chunks
     not met before are encoded many at a time. Lower-case letters and marks behind them are words of their own
-    to the tokenizer, so such a chunk needs no more than its letters, which many chunks share. Two
-    generations are kept: what was used lately outlives a full one.
+    to the tokenizer, so such a chunk needs no more than its letters, which many chunks share; a faster library
+    applies the same merges to these. Two generations are kept: what was used lately outlives a full one.
     """
 
     def __init__(self, path: str):
@@ -57,6 +78,7 @@ class ChunkIds(dict):
         self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
         for token, i in self.tokenizer.get_vocab().items():
             self.ends[i] = token.endswith("</w>")
+        self.quick, self.quick_ids = ranked(json.loads(self.tokenizer.to_str())["model"])
         self.older: dict[str, bytes] = {}
 
     def chunks(self, text: str) -> list[str]:
@@ -67,32 +89,29 @@ class ChunkIds(dict):
             text = text.replace(space, " ")
         return text.split(" ")
 
+    def new(self, chunks: set[str]) -> set[str]:
+        """What is not known yet; chunks of the older generation are taken over."""
+        fresh = chunks.difference(self)
+        again = {chunk: self.older[chunk] for chunk in fresh if chunk in self.older}
+        self.update(again)
+        return fresh.difference(again)
+
     def learn(self, chunks: set[str]) -> None:
         self[""] = b""
-        split, letters, others = [], set(), set()
-        for chunk in chunks.difference(self):
-            kept = self.older.get(chunk)
-            if kept is not None:
-                self[chunk] = kept
-            elif found := SIMPLE(chunk):
-                split.append((chunk, *found.groups()))
-                letters.add(found[1])
-                others.add(found[2])
-            else:
-                others.add(chunk)
-        words = [w for w in letters if w not in self]
+        split = PARTS(" ".join(self.new(chunks)))
+        letters = self.new({word for word, _, _ in split})
+        long = {word for word in letters if len(word) > LONGEST}
+        words = list(letters - long)
         for at in range(0, len(words), 1024):
             self._learn_words(words[at : at + 1024])
-        rest = [c for c in others if c not in self]
+        rest = [*long, *self.new({marks or other for _, marks, other in split})]
         for at in range(0, len(rest), 256):
             self._learn_any(rest[at : at + 256])
-        for chunk, word, marks in split:
-            self[chunk] = self[word] + self[marks]
+        self.update({word + marks: self[word] + self[marks] for word, marks, _ in split if marks})
 
     def _learn_words(self, words: list[str]) -> None:
         """Words of letters: each ends with the only token of its own that ends a word."""
-        (encoded,) = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)
-        ids = np.array(encoded.ids, "<u4")
+        ids = self.quick_ids[self.quick.encode_ordinary(" ".join(words) + " ")]
         stops = (4 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
         raw = ids.tobytes()
         for word, start, stop in zip(words, [0, *stops], stops, strict=False):

@@ -114,6 +114,24 @@ def test_chunks_give_the_ids_of_whole_texts(texts):
         assert np.frombuffer(ids, "<u4").tolist() == known.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_words_of_letters_need_no_tokenizer():
+    known = packing.ChunkIds(packing.tokenizer_path())
+    entries = [entry.removesuffix("</w>") for entry in known.tokenizer.get_vocab()]
+    words = sorted({e for e in entries if re.fullmatch("[a-z]+", e)})
+    words += ["zürich", "straße", "éaiño", *["ab" * n for n in range(1, 120)], *["e" * n for n in range(1, 120)]]
+    text = " ".join(words)
+    want = known.tokenizer.encode(text, add_special_tokens=False).ids
+    known.tokenizer = None
+    assert np.frombuffer(known.encode([text])[0], "<u4").tolist() == want
+
+
+def test_very_long_words_and_marks():
+    known = packing.ChunkIds(packing.tokenizer_path())
+    for text in ("q" * 3000 + " b", "ab" * 200 + "!? ab.", "x" * packing.LONGEST + " " + "x" * (packing.LONGEST + 1) + ","):
+        want = known.tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(known.encode([text])[0], "<u4").tolist() == want
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 500), max_size=20))
 def test_plan_places_every_piece_once(histogram):
