@@ -47,9 +47,10 @@ def inline_references(items: DataFrame) -> DataFrame:
 
 
 def identities(references: DataFrame, inline: DataFrame | None = None) -> DataFrame:
-    """(group_id, content_id): groups with the same members have one content id, in whatever file and form they stand.
+    """(group_id, content_id, file_id, number): groups with the same members have one content id, in whatever file and form they stand.
 
-    Members are added up row by row, so a group of any number of them, and one in parts, is never gathered.
+    Members are added up row by row, so a group of any number of them, and one in parts, is never gathered. One
+    exchange deals them by group.
     """
     listed = references.select("file_id", F.col("provider_group_id").cast("string").alias("number"), "provider_groups")
     if inline is not None:
@@ -58,10 +59,11 @@ def identities(references: DataFrame, inline: DataFrame | None = None) -> DataFr
         "file_id", "number", member_text(F.col("member")).alias("text")
     )
     return (
-        texts.distinct()
+        texts.repartition("file_id", "number")
+        .distinct()
         .groupBy("file_id", "number")
         .agg(content_number_of_rows(F.col("text")).alias("content"))
-        .select(group_id(F.col("file_id"), F.col("number")).alias("group_id"), surrogate_id("group", F.col("content")).alias("content_id"))
+        .select(group_id(F.col("file_id"), F.col("number")).alias("group_id"), surrogate_id("group", F.col("content")).alias("content_id"), "file_id", "number")
     )
 
 

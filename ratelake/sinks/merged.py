@@ -22,6 +22,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructType
 
+from ratelake import session
+
 BUCKET, RUN = "_bucket", "_run"
 ENTRY = "bucket INT, run BIGINT, folder STRING, n_rows BIGINT"
 
@@ -52,6 +54,9 @@ class MergedTable:
     `merge` gets the columns of `schema` and RUN, the number of the run a row came with, and must give the same
     whether it is applied to all rows at once or to some first. `buckets` is fixed for the life of a table; a
     bucket is what one task rewrites. `slack` is the share of a bucket's oldest rows that may lie in later runs.
+    `merge_dealt` does what `merge` does to rows that carry BUCKET, keeps it, and deals them by it into as many parts
+    as there are buckets; it is told whether each run's rows are merged, so that buckets are written anew behind one
+    exchange in place of two.
     """
 
     path: str
@@ -60,6 +65,7 @@ class MergedTable:
     merge: Callable[[DataFrame], DataFrame]
     buckets: int = 64
     slack: float = 0.25
+    merge_dealt: Callable[[DataFrame, int, bool], DataFrame] | None = None
 
     def bucket(self, *values: Column) -> Column:
         """The bucket of a key, from its columns or from values of the same types."""
@@ -123,10 +129,18 @@ class MergedTable:
         buckets = [r["bucket"] for r in wanted.select(self.bucket().alias("bucket")).distinct().collect()]
         return self.read(rows.sparkSession, buckets).join(wanted, list(self.keys), "left_semi")
 
-    def _write(self, rows: DataFrame, folder: str, run: int) -> list[Part]:
+    def _dealt(self, rows: DataFrame, merged: bool) -> DataFrame:
+        """Rows merged and dealt by their bucket, which they carry."""
+        bucket = self.bucket().alias(BUCKET)
+        if self.merge_dealt:
+            return self.merge_dealt(rows.select(*self.schema.names, RUN, bucket), self.buckets, merged)
+        return self._merged(rows).select("*", bucket).repartition(self.buckets, BUCKET)
+
+    def _write(self, dealt: DataFrame, folder: str, run: int) -> list[Part]:
         """Rows by bucket, and how many each got: counted from the files' footers."""
-        spark, target = rows.sparkSession, f"{self.path}/{folder}"
-        rows.withColumn(BUCKET, self.bucket()).repartition(self.buckets, BUCKET).write.partitionBy(BUCKET).parquet(target)
+        spark, target = dealt.sparkSession, f"{self.path}/{folder}"
+        with session.shuffles_freed(spark):
+            dealt.withColumn(RUN, F.lit(run)).write.partitionBy(BUCKET).parquet(target)
         stored = StructType().add(BUCKET, IntegerType())
         counts = spark.read.schema(stored).parquet(target).groupBy(BUCKET).count().collect()
         return [Part(r[BUCKET], run, folder, r["count"]) for r in counts]
@@ -136,8 +150,7 @@ class MergedTable:
         spark = rows.sparkSession
         before = self.last_run(spark)
         live, run, name = self.parts(spark, before), before + 1, uuid.uuid4().hex
-        numbered = self._merged(rows.withColumn(RUN, F.lit(run))).withColumn(RUN, F.lit(run))
-        fresh = self._write(numbered, f"runs/{run}-{name}", run)
+        fresh = self._write(self._dealt(rows.withColumn(RUN, F.lit(run)), False), f"runs/{run}-{name}", run)
         by_bucket = defaultdict(list)
         for part in [*live, *fresh]:
             by_bucket[part.bucket].append(part)
@@ -149,12 +162,18 @@ class MergedTable:
                 full.append(bucket)
         if full:
             old = [part for bucket in full for part in by_bucket.pop(bucket)]
-            anew = self._merged(self._scan(spark, old)).withColumn(RUN, F.lit(run))
-            for part in self._write(anew, f"runs/{run}-{name}-whole", run):
+            for part in self._write(self._dealt(self._scan(spark, old), True), f"runs/{run}-{name}-whole", run):
                 by_bucket[part.bucket].append(part)
         self._commit(spark, [part for own in by_bucket.values() for part in own], run)
+        self._remove(spark, [part for part in fresh if part.bucket in full])
         return Written(run, sum(part.n_rows for part in fresh), tuple(full))
 
+    def _remove(self, spark: SparkSession, parts: list[Part]) -> None:
+        """Delete parts that no commit names."""
+        for part in parts:
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{part.folder}/{BUCKET}={part.bucket}")
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def _commit(self, spark: SparkSession, parts: list[Part], run: int) -> None:
         """One file, which appears whole or not at all. An empty table has a row without a bucket."""
         rows = [(p.bucket, p.run, p.folder, p.n_rows) for p in parts] or [(None, run, None, 0)]
