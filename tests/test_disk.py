@@ -53,6 +53,27 @@ def test_staged_rows_leave_no_shuffle_files(spark, tmp_path):
     assert all(f.endswith(".zstd.parquet") for f in os.listdir(tmp_path / "a") if f.startswith("part-"))
 
 
+def test_a_bucket_written_anew_leaves_one_copy_behind_the_run(spark, tmp_path):
+    def rows(*days):
+        return spark.createDataFrame([(f"h{k}", d) for k in range(40) for d in days], "h STRING, d STRING").select(
+            F.sha2("h", 256).alias("procedure_hash"), F.lit(1).cast("decimal(18,4)").alias("negotiated_rate"),
+            F.lit(None).cast("date").alias("expiration_date"), F.lit("c").alias("billing_code"),
+            F.array(F.lit(1).cast("tinyint")).alias("service_code"), F.lit(None).cast("tinyint").alias("billing_class"),
+            F.lit(2).cast("tinyint").alias("setting"), F.array(F.lit("m")).alias("billing_code_modifier"),
+            F.to_date("d").alias("first_seen_date"), F.to_date("d").alias("last_seen_date"),
+        )
+
+    table = P.dimension_table(str(tmp_path / "t"), buckets=4)
+    table.upsert(rows("2001-01-01", "2001-01-03"))
+    written = table.upsert(rows("2001-01-02", "2001-01-05"))
+    assert written.n_rows == 40 and len(written.rewritten) == 4
+    kept = [r for r in os.listdir(tmp_path / "t" / "runs") for b in os.listdir(tmp_path / "t" / "runs" / r) if b.startswith("_bucket=")]
+    assert len(kept) == 8 and sum(r.endswith("-whole") for r in kept) == 4
+    got = {(str(r.first_seen_date), str(r.last_seen_date)) for r in table.read(spark).collect()}
+    assert table.read(spark).count() == 40 and got == {("2001-01-01", "2001-01-05")}
+    assert table.read(spark, run=1).count() == 40
+
+
 def test_a_layout_in_steps_has_the_rows_and_order_of_one(spark, tmp_path):
     day = F.lit("2001-01-01").cast("date")
     fact = spark.range(300).select(
