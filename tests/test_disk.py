@@ -91,6 +91,18 @@ def test_a_layout_in_steps_has_the_rows_and_order_of_one(spark, tmp_path):
     assert found.count() == 150 and found.columns == fact.columns
 
 
+def test_a_price_without_a_number_keeps_its_group(spark):
+    day = F.lit("2001-01-01").cast("date")
+    fact = spark.sql("SELECT 'p' AS insurance_plan_id, 'c' AS billing_code_id, '1' AS file_id, CAST(NULL AS STRING) AS number").select(
+        "insurance_plan_id", "billing_code_id", K.group_id(F.col("file_id"), F.col("number")).alias("provider_group_id"),
+        F.lit(HASH).alias("procedure_hash"), day.alias("first_seen_date"), day.alias("last_seen_date"), "file_id", "number",
+    )
+    known = fact.select(F.col("provider_group_id").alias("group_id"), F.lit("same").alias("content_id"), "file_id", "number")
+    places = fact.select("provider_group_id", F.lit("00001").alias("zip_code"), F.lit(1).alias("region_code"), "file_id", "number")
+    assert [r.provider_group_id for r in R.by_content(fact, known).collect()] == ["same"]
+    assert [r.zip_code for r in R.with_locations(fact, places).collect()] == ["00001"]
+
+
 LOOKUPS = ["lookup_provider"]
 
 
@@ -102,3 +114,12 @@ def test_a_lookup_writes_its_layout_in_steps(spark, small, name):
     assert len([d for d in os.listdir(f"{target}/rows") if d.startswith(A.STEP)]) == Q.LAYOUT_STEPS
     kept = A.view(Q.stored_rows(spark.sparkContext.applicationId, spark, small), path)
     assert A.read_layout(spark, target, S.PROVIDER_RATE_TABLE).exceptAll(kept).count() == 0 < kept.count()
+
+
+def test_contents_join_a_fact_by_file(spark, small, sorted_joins):
+    rows = R.fact(Q.priced(spark, small), Q.I.file_plans(spark, small), numbered=True)
+    same = Q.G.identities(Q.I.file_references(spark, small))
+    keys = exchanges(R.by_content(rows, same))
+    assert not any(k.startswith("provider_group_id") for k in keys)
+    plain = R.by_content(rows.drop(*R.NUMBERED), same)
+    assert R.by_content(rows, same).exceptAll(plain).count() == 0 < plain.count()
