@@ -103,7 +103,7 @@ def test_a_price_without_a_number_keeps_its_group(spark):
     assert [r.zip_code for r in R.with_locations(fact, places).collect()] == ["00001"]
 
 
-LOOKUPS = ["lookup_provider", "lookup_first", "lookup_plan_code", "lookup_region"]
+LOOKUPS = ["lookup_provider", "lookup_first", "lookup_plan_code", "lookup_region", "lookup_zip"]
 
 
 @pytest.mark.parametrize("name", LOOKUPS)
