@@ -53,6 +53,22 @@ def test_staged_rows_leave_no_shuffle_files(spark, tmp_path):
     assert all(f.endswith(".zstd.parquet") for f in os.listdir(tmp_path / "a") if f.startswith("part-"))
 
 
+def test_an_upsert_of_a_numbered_fact_is_merged_by_file(spark, small, sorted_joins):
+    keys = exchanges(Q.provider_rate_upsert(spark, small))
+    assert "file_id" in keys and not any("provider_group_id" in k or "hash" in k for k in keys)
+
+
+def test_a_fact_without_numbers_is_upserted_the_same(spark, small):
+    plans, places = Q.I.file_plans(spark, small), Q.I.locations(spark, small)
+    earlier, later = Q.priced(spark, small, F.col("flag") != "R"), Q.priced(spark, small, F.col("flag") != "A")
+    found = []
+    for numbered in (False, True):
+        stored = R.with_locations(R.fact(earlier, plans, numbered=numbered), places)
+        found.append(P.upsert_fact(stored, later, plans, places).drop(*R.NUMBERED))
+    assert found[0].columns == found[1].columns and found[0].count() == found[1].count() > 0
+    assert found[0].exceptAll(found[1]).count() == 0
+
+
 def test_a_bucket_written_anew_leaves_one_copy_behind_the_run(spark, tmp_path):
     def rows(*days):
         return spark.createDataFrame([(f"h{k}", d) for k in range(40) for d in days], "h STRING, d STRING").select(
