@@ -69,6 +69,16 @@ def test_a_fact_without_numbers_is_upserted_the_same(spark, small):
     assert found[0].exceptAll(found[1]).count() == 0
 
 
+def test_a_packed_dimension_takes_new_rows_by_one_exchange(spark, small):
+    seen = F.col("seen_date")
+    first, later = Q.priced(spark, small, F.col("flag") != "R"), Q.priced(spark, small, F.col("flag") != "A")
+    rows = R.dimension_rows(first, F.date_sub(seen, 30))
+    packed = P.upsert_dimension(R.merge(K.pack(rows), packed=True), later, seen)
+    assert sum(k.startswith("procedure_hash") for k in exchanges(packed)) == 2
+    plain = P.upsert_dimension(R.merge(rows), later, seen)
+    assert packed.exceptAll(plain).count() == plain.exceptAll(packed).count() == 0 < plain.count()
+
+
 def test_a_bucket_written_anew_leaves_one_copy_behind_the_run(spark, tmp_path):
     def rows(*days):
         return spark.createDataFrame([(f"h{k}", d) for k in range(40) for d in days], "h STRING, d STRING").select(
