@@ -53,6 +53,12 @@ def test_staged_rows_leave_no_shuffle_files(spark, tmp_path):
     assert all(f.endswith(".zstd.parquet") for f in os.listdir(tmp_path / "a") if f.startswith("part-"))
 
 
+@pytest.mark.parametrize("name", ["provider_rate_fact"])
+def test_rows_of_the_fact_pass_one_exchange(spark, small, sorted_joins, name):
+    keys = exchanges(Q.QUERIES[name](spark, small))
+    assert keys.count("file_id") == 3 and not any("provider_group_id" in k for k in keys)
+
+
 def test_an_upsert_of_a_numbered_fact_is_merged_by_file(spark, small, sorted_joins):
     keys = exchanges(Q.provider_rate_upsert(spark, small))
     assert "file_id" in keys and not any("provider_group_id" in k or "hash" in k for k in keys)
